@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshed.llm import media, mixing, secrets, sharding, token_counts
+from lakeshed.llm import language_id, media, mixing, ngram_join, quality, secrets, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_mixing": mixing.op2_mixing,
         "op5_secret_scan": secrets.op5_secret_scan,
         "op6_sharding": sharding.op6_sharding,
+        "op7_language_id": language_id.op7_language_id,
         "op8_media_columns": media.op8_media_columns,
+        "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_token_counts": token_counts.op10_token_counts,
     }
 

@@ -118,13 +118,15 @@ def one_hash(word: bytes) -> int:
     return int(mix(np.array([total + _U(len(data))], np.uint64))[0])
 
 
-def shingles(words: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct hashes of a document's runs of ``size`` words; of the whole if it has fewer; none if it has none."""
-    if not len(words):
-        return np.zeros(0, np.uint64)
-    width = min(size, len(words))
-    runs = np.full(len(words) - width + 1, _U(width))
+def runs_of(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash for each run of ``width`` words, in order."""
+    runs = np.full(max(0, len(words) - width + 1), _U(width))
     for k in range(width):
         runs = (runs ^ words[k : len(words) - width + 1 + k]) * _U(0xD6E8FEB86659FD93)
         runs ^= runs >> _U(32)
-    return np.unique(mix(runs))
+    return mix(runs)
+
+
+def shingles(words: np.ndarray, size: int) -> np.ndarray:
+    """Sorted distinct hashes of a document's runs of ``size`` words; of the whole if it has fewer; none if it has none."""
+    return np.unique(runs_of(words, min(size, len(words)))) if len(words) else np.zeros(0, np.uint64)
