@@ -77,10 +77,10 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         at = end
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words, and for each document the index of its first word (one more at the end)."""
     inside = np.empty(len(data) + 1, bool)
-    np.logical_not(SEPARATOR[data], out=inside[:-1])
+    np.logical_not(separator[data], out=inside[:-1])
     inside[-1] = False
     before = np.empty_like(inside)
     before[0] = False
@@ -94,9 +94,9 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
     """A hash for each word, and for each document the index of its first word (one more at the end)."""
-    starts, ends, first = word_bounds(data, offsets)
+    starts, ends, first = word_bounds(data, offsets, separator)
     if not len(starts):
         return np.zeros(0, np.uint64), first
     total = np.zeros(len(data) + 1, np.uint64)
