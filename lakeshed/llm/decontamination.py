@@ -225,7 +225,7 @@ def contaminated(docs: DataFrame, items: DataFrame, items_a_block: int = ITEMS_A
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no test item."""
     found = contaminated(docs, items).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

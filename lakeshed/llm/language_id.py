@@ -195,7 +195,7 @@ def kept_languages(docs: DataFrame) -> DataFrame:
     """
     filters = learned(docs.filter(~is_held_out(F.col("doc_id"), 5, 0)))
     rejected = identified(docs, filters).filter((F.col("lang_pred") == UNKNOWN) | ((F.col("score") < LEAST_SCORE) & (F.col("n_grams") >= LEAST_GRAMS))).select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_rejected")), "left_anti")
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_rejected"]), "left_anti")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

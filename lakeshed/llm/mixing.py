@@ -87,9 +87,14 @@ def words_taken(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` of which the mix takes at least a word; a document taken again appears once."""
-    kept = mixed(docs).filter("taken > 0").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """The rows of ``docs`` of which the mix takes at least a word, as often as it takes them.
+
+    Documents of the same doc_id share the times of the one taken most.
+    """
+    times = mixed(docs).filter("taken > 0").groupBy("_row", "doc_id").agg(F.count("*").cast("int").alias("times")).groupBy("doc_id").agg(F.max("times").alias("times"))
+    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["doc_id"]))
+    again = joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), times["times"])).alias("turn of the mix"))
+    return again.drop("turn of the mix")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

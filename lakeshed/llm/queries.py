@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshed.llm import decontamination, language_id, media, mixing, ngram_join, quality, secrets, sharding, token_counts
+from lakeshed.llm import decontamination, kneser_ney, language_id, media, mixing, ngram_join, quality, secrets, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_mixing": mixing.op2_mixing,
+        "op3_lm_scoring": kneser_ney.op3_lm_scoring,
         "op4_decontamination": decontamination.op4_decontamination,
         "op5_secret_scan": secrets.op5_secret_scan,
         "op6_sharding": sharding.op6_sharding,

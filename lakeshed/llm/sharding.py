@@ -23,6 +23,8 @@ SHARDS = 8
 ROUNDS = 4
 #: Groups with more than 1/HOT_SHARE of all rows are joined by broadcast; there are fewer than HOT_SHARE of them.
 HOT_SHARE = 500
+#: A number that ``propagated`` takes for the row's, if there is such a column.
+ROW = "row number for sharding"
 _HASH_SPAN = 1 << 32
 
 
@@ -48,7 +50,8 @@ def propagated(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> D
     no more than the round.  Only counts by shard reach the driver.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.md5(text).alias("group"), F.monotonically_increasing_id().alias("_row"))
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    rows = docs.select("doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.md5(text).alias("group"), row.alias("_row"))
     rows = stored(rows, "shard-rows")
     count = rows.count()
     buckets = bucket_count(count)
@@ -123,5 +126,16 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return slotted.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def with_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The rows of ``docs`` with the column ``shard`` (in place of one of that name).
+
+    Rows are written with a number of their own first, so that repeated ones can differ in shard.
+    """
+    numbered = stored(docs.drop("shard").withColumn(ROW, F.monotonically_increasing_id()), "shard-docs")
+    placed = propagated(numbered, shards).select(F.col("_row").alias("row"), F.col("shard").alias("placed"))
+    joined = numbered.join(placed, numbered[ROW] == placed["row"])
+    return joined.select(*[numbered[c] for c in numbered.columns if c != ROW], placed["placed"].alias("shard"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
