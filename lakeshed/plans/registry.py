@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from lakeshed.plans import matching, relational, snapshots, texts
+from lakeshed.plans.base import Query
+
 FLAGSHIP = "snapshot_diff"
+_MODULES = (relational, texts, matching, snapshots)
 
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return {name: f for m in _MODULES for name, f in m.plans.queries.items()}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for m in _MODULES for name, sql in m.plans.sql.items()}
