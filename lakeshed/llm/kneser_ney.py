@@ -118,7 +118,7 @@ def _rows(shard: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordB
     order = np.argsort(shard, kind="stable")
     shard, keys, counts = shard[order], keys[order], counts[order]
     start = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.zeros(0, int)
-    stop = np.append(start[1:], len(shard))
+    stop = np.append(start[1:], len(shard))[: len(start)]
     columns = (pa.array(shard[start], pa.int32()), pa.array([keys[a:b].tobytes() for a, b in zip(start, stop, strict=True)], pa.binary()), pa.array([counts[a:b].tobytes() for a, b in zip(start, stop, strict=True)], pa.binary()))
     return pa.RecordBatch.from_arrays(list(columns), ["shard", "keys", "counts"])
 
