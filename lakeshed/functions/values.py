@@ -87,7 +87,7 @@ def month_of_path(path: Column, year: int) -> Column:
 def metres(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance; null if a coordinate is."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_M * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    return 2 * EARTH_M * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))
 
 
 def planar_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
