@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,20 +137,17 @@ def orphan_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 # Streams -------------------------------------------------------------------
 
-_EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-
-
 def _folder(spark: SparkSession) -> str:
+    """A new folder that all workers see."""
     base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    return f"{base}/stream-{spark.sparkContext.applicationId}-{id(object())}-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
+    return f"{base}/stream-{uuid.uuid4().hex}"
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     """The event table as a stream of files: written again in parts, as a collector leaves them."""
     folder = _folder(spark)
     table(spark, sf, "events").repartition(8, "user_id").write.parquet(f"{folder}/in")
-    schema = spark.read.parquet(f"{folder}/in").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/in")
+    return streams.file_stream(spark, f"{folder}/in", spark.read.parquet(f"{folder}/in").schema, 4)
 
 
 @plans.query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def file_stream(spark: SparkSession, path: str, schema: str, files_a_trigger: int = 16) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: StructType | str, files_a_trigger: int = 16) -> DataFrame:
     """New Parquet files of a folder."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_trigger).parquet(path)
 
