@@ -77,9 +77,18 @@ def spread(df: DataFrame, group: str, identity: str) -> DataFrame:
 
 
 def exact_spread(df: DataFrame, group: str, identity: str) -> DataFrame:
-    """The largest distance of all pairs of a group; for groups of bounded size."""
-    a = df.select(group, F.col(identity).alias("_a"), F.col("lat").alias("_lat1"), F.col("lon").alias("_lon1"))
-    b = df.select(group, F.col(identity).alias("_b"), F.col("lat").alias("_lat2"), F.col("lon").alias("_lon2"))
+    """The largest distance of two places of a group, 0 for one.
+
+    With a pair at distance D and all places within R of a centre, both ends of
+    the farthest pair lie at least D - R from it.  Only such places are paired.
+    """
+    points = df.filter("lat is not null and lon is not null").select(group, identity, "lat", "lon")
+    centre = points.groupBy(group).agg(((F.min("lat") + F.max("lat")) / 2).alias("_lat"), ((F.min("lon") + F.max("lon")) / 2).alias("_lon"))
+    away = points.join(centre, group).withColumn("_r", metres(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
+    bound = spread(points, group, identity).join(away.groupBy(group).agg(F.max("_r").alias("_most")), group)
+    outer = away.join(bound, group).filter(F.col("_r") >= F.col("spread") * (1 - 1e-6) - F.col("_most") - 0.01).select(group, identity, "lat", "lon")
+    a = outer.select(group, F.col(identity).alias("_a"), F.col("lat").alias("_lat1"), F.col("lon").alias("_lon1"))
+    b = outer.select(group, F.col(identity).alias("_b"), F.col("lat").alias("_lat2"), F.col("lon").alias("_lon2"))
     far = a.join(b, group).filter("_a <= _b").groupBy(group).agg(F.max(metres(F.col("_lat1"), F.col("_lon1"), F.col("_lat2"), F.col("_lon2"))).alias("spread"))
     return far.select(group, F.coalesce("spread", F.lit(0.0)).alias("spread"))
 

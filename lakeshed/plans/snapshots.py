@@ -54,12 +54,12 @@ def change_counters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query("""
-WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderkey % 5 = 0 GROUP BY 1)
-SELECT coalesce(a.k, b.k) AS o_custkey, CASE WHEN b.n IS NOT NULL THEN CASE WHEN a.n IS NULL THEN 'new' ELSE 'ok' END WHEN coalesce(a.k, b.k) % 2 = 0 THEN 'emptied' ELSE 'not_captured' END AS status, coalesce(a.n, 0)::BIGINT AS rows_before, coalesce(b.n, 0)::BIGINT AS rows_after FROM a FULL JOIN b ON a.k = b.k""")
+WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1), b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
+SELECT coalesce(a.k, b.k) AS o_custkey, CASE WHEN b.n IS NOT NULL THEN CASE WHEN a.n IS NULL THEN 'new' ELSE 'ok' END WHEN coalesce(a.k, b.k) IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) THEN 'emptied' ELSE 'not_captured' END AS status, coalesce(a.n, 0)::BIGINT AS rows_before, coalesce(b.n, 0)::BIGINT AS rows_after FROM a FULL JOIN b ON a.k = b.k""")
 def capture_statuses(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    seen = table(spark, sf, "customer").filter("c_custkey % 2 = 0").select(c("c_custkey").alias("o_custkey"))
-    return merging.capture_status(orders.filter("o_orderkey % 3 = 0"), orders.filter("o_orderkey % 5 = 0"), seen, "o_custkey")
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_custkey")
+    seen = table(spark, sf, "customer").filter("c_acctbal > 0").select(c("c_custkey").alias("o_custkey"))
+    return merging.capture_status(orders.filter("o_orderstatus <> 'O'"), orders.filter("o_orderstatus = 'O'"), seen, "o_custkey")
 
 
 @plans.query("""
@@ -80,10 +80,10 @@ def replaced_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query("""
-WITH u AS (SELECT s_suppkey AS k, 0 AS p, s_name AS name FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT c_custkey, 1, c_name FROM customer)
+WITH u AS (SELECT s_suppkey AS k, 0 AS p, s_name AS name FROM supplier WHERE s_acctbal > 0 UNION ALL SELECT c_custkey, 1, c_name FROM customer)
 SELECT k, name FROM u QUALIFY row_number() OVER (PARTITION BY k ORDER BY p, name) = 1""")
 def union_with_precedence(spark: SparkSession, sf: str) -> DataFrame:
-    a = table(spark, sf, "supplier").filter("s_suppkey % 2 = 0").select(c("s_suppkey").alias("k"), c("s_name").alias("name"))
+    a = table(spark, sf, "supplier").filter("s_acctbal > 0").select(c("s_suppkey").alias("k"), c("s_name").alias("name"))
     b = table(spark, sf, "customer").select(c("c_custkey").alias("k"), c("c_name").alias("name"))
     return merging.union_by_precedence([a, b], ["k"], [F.asc("name")])
 

@@ -24,12 +24,11 @@ def part_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query(r"""
-SELECT doc_id, len(text)::BIGINT AS chars, trim(regexp_replace(lower(text[1:200]), '[\s]+', ' ', 'g')) AS key, len(regexp_extract_all(text, '[A-Z][a-z]+'))::BIGINT AS capitals, sha256(coalesce(text, '')) AS digest, md5(coalesce(text, '')) AS short_digest FROM documents""")
+SELECT doc_id, len(text)::BIGINT AS chars, md5(trim(regexp_replace(lower(coalesce(text, '')), '[ \t\n\r\f\v]+', ' ', 'g'))) AS key, len(regexp_extract_all(text, '[A-Z][a-z]+'))::BIGINT AS capitals, sha256(coalesce(text, '')) AS digest, md5(coalesce(text, '')) AS short_digest FROM documents""")
 def document_keys(spark: SparkSession, sf: str) -> DataFrame:
-    # The key is of the head of the text, as a listing shows it; counts and digests are of the whole.
     x = c("text")
     full = F.coalesce(x, F.lit(""))
-    key = F.trim(F.regexp_replace(F.lower(F.substring(x, 1, 200)), r"\s+", " "))
+    key = F.md5(F.trim(F.regexp_replace(F.lower(full), r"[ \t\n\r\f\x0B]+", " ")))
     return table(spark, sf, "documents").select("doc_id", F.length(x).cast("long").alias("chars"), key.alias("key"), F.regexp_count(x, F.lit("[A-Z][a-z]+")).cast("long").alias("capitals"), F.sha2(full, 256).alias("digest"), F.md5(full).alias("short_digest"))
 
 
