@@ -138,6 +138,17 @@ def test_ngram_join_of_blocks(docs, sample, monkeypatch):
     assert got == component_of([(r[0], r[1]) for r in sample])
 
 
+def test_ngram_join_of_hot_lists(spark, docs, sample, monkeypatch):
+    """Lists dealt by batch and bridged give the same links."""
+    monkeypatch.setattr(ngram_join, "HOT", 0)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == component_of([(r[0], r[1]) for r in sample])
+
+
 def test_linked_is_exact():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
