@@ -49,3 +49,12 @@ METRES_SQL = "2 * 6371000.0::DOUBLE * asin(sqrt(least(pow(sin(radians({b}.lat -
 def money(x: Column) -> Column:
     """Two digits, so that the order of a sum doesn't show."""
     return F.round(x, 2)
+
+
+def mean_money(x: Column) -> Column:
+    """The mean of amounts with two digits, from an exact sum of hundredths, so that no half depends on the order."""
+    return F.round(F.sum(F.round(x * 100).cast("long")) / F.nullif(F.count(x), F.lit(0))) / 100
+
+
+def mean_money_sql(x: str) -> str:
+    return f"(round(sum(round({x} * 100)::BIGINT)::DOUBLE / nullif(count({x}), 0)) / 100)"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeshed.functions.values import band
 from lakeshed.operators import choosing, merging
-from lakeshed.plans.base import Plans, money, table
+from lakeshed.plans.base import Plans, mean_money, mean_money_sql, money, table
 
 plans = Plans()
 c = F.col
@@ -23,12 +23,12 @@ def coverage_by_segment(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("c_mktsegment").agg(F.count("*").alias("customers"), F.count("n").alias("with_orders"), pct.alias("pct"), F.coalesce(F.sum("n"), F.lit(0)).alias("orders"))
 
 
-@plans.query("""
+@plans.query(f"""
 SELECT l_returnflag, l_linestatus, count(*) AS lines, count(DISTINCT l_suppkey) AS suppliers, count(*) FILTER (l_discount > 0.05) AS discounted,
- round(sum(l_quantity), 2) AS sum_qty, round(avg(l_extendedprice), 2) AS avg_price FROM lineitem GROUP BY 1, 2""")
+ round(sum(l_quantity), 2) AS sum_qty, {mean_money_sql("l_extendedprice")} AS avg_price FROM lineitem GROUP BY 1, 2""")
 def filtered_summary(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.count("*").alias("lines"), F.countDistinct("l_suppkey").alias("suppliers"), F.count_if(c("l_discount") > 0.05).alias("discounted"), money(F.sum("l_quantity")).alias("sum_qty"), money(F.avg("l_extendedprice")).alias("avg_price")
+        F.count("*").alias("lines"), F.countDistinct("l_suppkey").alias("suppliers"), F.count_if(c("l_discount") > 0.05).alias("discounted"), money(F.sum("l_quantity")).alias("sum_qty"), mean_money(c("l_extendedprice")).alias("avg_price")
     )
 
 
@@ -109,8 +109,8 @@ def dominant_event(spark: SparkSession, sf: str) -> DataFrame:
     return choosing.dominant(table(spark, sf, "events"), ["user_id"], "event_type", 3, 0.5)
 
 
-@plans.query("""
-SELECT l_returnflag, min(l_extendedprice) AS least, max(l_extendedprice) AS most, round(avg(l_extendedprice), 2) AS mean, round(median(l_extendedprice), 4) AS median,
+@plans.query(f"""
+SELECT l_returnflag, min(l_extendedprice) AS least, max(l_extendedprice) AS most, {mean_money_sql("l_extendedprice")} AS mean, round(median(l_extendedprice), 4) AS median,
  list_sort(list(l_extendedprice))[(count(l_extendedprice) // 2 + 1)] AS upper_median, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90 FROM lineitem GROUP BY 1""")
 def price_statistics(spark: SparkSession, sf: str) -> DataFrame:
     x = c("l_extendedprice")
@@ -118,7 +118,7 @@ def price_statistics(spark: SparkSession, sf: str) -> DataFrame:
     ranked = table(spark, sf, "lineitem").select("l_returnflag", x)
     middle = F.percentile(x, F.array(F.lit(0.5), F.lit(0.9)))
     upper = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY l_extendedprice DESC)")
-    return ranked.groupBy("l_returnflag").agg(F.min(x).alias("least"), F.max(x).alias("most"), money(F.avg(x)).alias("mean"), F.round(middle[0], 4).alias("median"), upper.alias("upper_median"), F.round(middle[1], 4).alias("p90"))
+    return ranked.groupBy("l_returnflag").agg(F.min(x).alias("least"), F.max(x).alias("most"), mean_money(x).alias("mean"), F.round(middle[0], 4).alias("median"), upper.alias("upper_median"), F.round(middle[1], 4).alias("p90"))
 
 
 _BANDS = [(1000.0, "under 1k"), (50000.0, "1k to 50k"), (200000.0, "50k to 200k")]
@@ -138,14 +138,14 @@ def status_crosstab(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count_if(p.startswith("1")).alias("urgent"), F.count_if(p.startswith("5")).alias("low"), F.count("*").alias("every"))
 
 
-@plans.query("""
-SELECT r_name, n_name, count(c_custkey) AS customers, round(avg(c_acctbal), 2) AS mean, round(median(c_acctbal), 4) AS median, min(c_acctbal) AS least, max(c_acctbal) AS most, count(DISTINCT c_mktsegment) AS segments
+@plans.query(f"""
+SELECT r_name, n_name, count(c_custkey) AS customers, {mean_money_sql("c_acctbal")} AS mean, round(median(c_acctbal), 4) AS median, min(c_acctbal) AS least, max(c_acctbal) AS most, count(DISTINCT c_mktsegment) AS segments
 FROM region JOIN nation ON r_regionkey = n_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2""")
 def overview_report(spark: SparkSession, sf: str) -> DataFrame:
     places = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), c("n_regionkey") == c("r_regionkey"))  # 25 and 5 rows at any scale
     rows = places.join(table(spark, sf, "customer"), c("c_nationkey") == c("n_nationkey"), "left")
     b = c("c_acctbal")
-    return rows.groupBy("r_name", "n_name").agg(F.count("c_custkey").alias("customers"), money(F.avg(b)).alias("mean"), F.round(F.median(b), 4).alias("median"), F.min(b).alias("least"), F.max(b).alias("most"), F.countDistinct("c_mktsegment").alias("segments"))
+    return rows.groupBy("r_name", "n_name").agg(F.count("c_custkey").alias("customers"), mean_money(b).alias("mean"), F.round(F.median(b), 4).alias("median"), F.min(b).alias("least"), F.max(b).alias("most"), F.countDistinct("c_mktsegment").alias("segments"))
 
 
 @plans.query("""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshed.operators import gates, merging
-from lakeshed.plans.base import Plans, money, table
+from lakeshed.plans.base import Plans, mean_money, mean_money_sql, money, table
 from lakeshed.streaming import streams
 
 plans = Plans()
@@ -48,9 +48,9 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     return merging.snapshot_changes(before, after, _KEYS, "price", ["flag"], "seq").select(*_KEYS, "change", "field", "percent", "outlier")
 
 
-@plans.query(f"SELECT change, field, count(*) AS n, count(*) FILTER (outlier) AS outliers, round(coalesce(avg(percent), 0), 2) AS mean FROM ({_CHANGES}) GROUP BY 1, 2")
+@plans.query(f"SELECT change, field, count(*) AS n, count(*) FILTER (outlier) AS outliers, coalesce({mean_money_sql('percent')}, 0) AS mean FROM ({_CHANGES}) GROUP BY 1, 2")
 def change_counters(spark: SparkSession, sf: str) -> DataFrame:
-    return snapshot_diff(spark, sf).groupBy("change", "field").agg(F.count("*").alias("n"), F.count_if("outlier").alias("outliers"), money(F.coalesce(F.avg("percent"), F.lit(0.0))).alias("mean"))
+    return snapshot_diff(spark, sf).groupBy("change", "field").agg(F.count("*").alias("n"), F.count_if("outlier").alias("outliers"), F.coalesce(mean_money(c("percent")), F.lit(0.0)).alias("mean"))
 
 
 @plans.query("""
