@@ -14,6 +14,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -231,7 +232,10 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 def learned(measured: DataFrame, labels: DataFrame, target: str = "quality", sample: int = SAMPLE) -> Model:
     """A model from at most ``sample`` labelled rows of (doc_id, features)."""
     known = labels.filter(F.col(target).isNotNull()).select(F.col("doc_id").alias("_id"), F.col(target).cast("int").alias("_y"))
-    rows = measured.join(known, F.col("doc_id") == F.col("_id")).select("features", "_y", F.xxhash64("doc_id").alias("_hash"), "doc_id")
+    rows = measured.join(known, F.col("doc_id") == F.col("_id")).select("features", "_y", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)).alias("_hash"), "doc_id")
+    # The smallest hashes lie below this with room to spare, so that tasks send few rows beyond the sample.
+    count = max(1, rows.count())
+    rows = rows.filter(F.col("_hash") < math.ceil((1 << 20) * (1.1 * sample + 1000) / count))
     rows = rows.orderBy("_hash", "doc_id", "_y").limit(sample).toPandas()
     x = np.array(rows["features"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, rows["_y"].to_numpy(float))
