@@ -25,12 +25,12 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeshed.llm.common import table
 from lakeshed.llm.words import chunks, runs_of, word_hashes
@@ -183,15 +183,30 @@ def _matches(index: Index, words: np.ndarray, first: np.ndarray) -> Iterator[tup
         yield d, item, *found
 
 
-def contaminated(docs: DataFrame, items: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap: documents that hold a test item.
+def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, str]]]:
+    """Items in the order of item_id, a block at a time."""
+    block: list[tuple[int, str]] = []
+    for r in items.filter("text is not null and item_id is not null").select("item_id", "text").distinct().orderBy("item_id", "text").toLocalIterator():
+        block.append((r["item_id"], r["text"]))
+        if len(block) == size:
+            yield block
+            block = []
+    if block:
+        yield block
+
 
-    Items reach the driver a block at a time, in the order of item_id.
-    """
+def _matched(index: Index, text: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
+    """(row, item, score, question overlap, answer overlap) of a column of texts."""
+    if index.ids:
+        for at, _, data, offsets in chunks(pc.utf8_lower(text)):
+            for row, *rest in _matches(index, *word_hashes(data, offsets, _PARTS)):
+                yield at + row, *rest
+
+
+def contaminated(docs: DataFrame, items: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> DataFrame:
+    """doc_id, item_id, score, question_overlap, answer_overlap: documents that hold a test item."""
     item_type, doc_type = dict(items.dtypes)["item_id"], dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {doc_type}, item_id {item_type}, score double, question_overlap double, answer_overlap double"
-    out = None
-    block: list[tuple[int, str]] = []
 
     def searched(block: list[tuple[int, str]]) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(block)
@@ -200,32 +215,36 @@ def contaminated(docs: DataFrame, items: DataFrame, items_a_block: int = ITEMS_A
             index = Index(shared.value)
             kind = pa.int64() if item_type == "bigint" else pa.int32()
             for batch in batches:
-                for at, end, data, offsets in chunks(pc.utf8_lower(batch.column(1))):
-                    if not index.ids:
-                        continue
-                    rows = list(_matches(index, *word_hashes(data, offsets, _PARTS)))
-                    if rows:
-                        which, item, *rest = zip(*rows, strict=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column(0)[at:end].take(pa.array(which)), pa.array([index.ids[i] for i in item], kind), *(pa.array(x, pa.float64()) for x in rest)],
-                            ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
-                        )
+                if rows := list(_matched(index, batch.column(1))):
+                    which, item, *rest = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(which)), pa.array([index.ids[i] for i in item], kind), *(pa.array(x, pa.float64()) for x in rest)],
+                        ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
+                    )
 
         return docs.select("doc_id", "text").mapInArrow(search, schema)
 
-    for r in items.filter("text is not null and item_id is not null").select("item_id", "text").distinct().orderBy("item_id", "text").toLocalIterator():
-        block.append((r["item_id"], r["text"]))
-        if len(block) == items_a_block:
-            out, block = searched(block) if out is None else out.unionByName(searched(block)), []
-    if block or out is None:
-        out = searched(block) if out is None else out.unionByName(searched(block))
-    return out
+    parts = [searched(block) for block in _blocks(items, items_a_block)] or [searched([])]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> DataFrame:
+    """The rows of ``docs`` that hold no test item; a filter for each block of items, without a shuffle."""
+    text = docs.columns.index("text")
+
+    def without(docs: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Index(shared.value)
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                clean[[row for row, *_ in _matched(index, batch.column(text))]] = False
+                yield batch.filter(pa.array(clean))
 
+        return docs.mapInArrow(keep, docs.schema)
 
-def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no test item."""
-    found = contaminated(docs, items).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+    return reduce(without, _blocks(items, items_a_block), docs)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

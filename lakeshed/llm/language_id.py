@@ -33,6 +33,8 @@ LEAST_SHARE, RELATIVE_SHARE = 2e-6, 0.3
 HASHES = 3
 BITS_A_GRAM = 16
 UNKNOWN = "und"
+#: More languages than this are taken for a mistake in the column; it bounds what is broadcast and collected.
+MOST_LANGUAGES = 4096
 #: Share of a text's n-grams, beyond chance, that its language has to hold for the pipeline to keep it.
 LEAST_SCORE = 0.35
 #: Texts of fewer n-grams are too short to be rejected by their score.
@@ -134,7 +136,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 def learned(docs: DataFrame) -> Filters:
     """Filters from all documents with a language.  A language keeps at most 1 / LEAST_SHARE n-grams, which bounds what the driver gathers."""
-    sizes = docs.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("docs")).orderBy("lang").collect()
+    sizes = docs.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("docs")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = [r["lang"] for r in sizes]
     by_gram = Window.partitionBy("gram")
     counts = gram_counts(docs)
@@ -159,31 +163,37 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return ascii_letter
 
 
+def predicted(text: pa.Array, filters: Filters) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, scores and numbers of n-grams of a column of texts."""
+    named: list[str] = []
+    scores, counts = [np.zeros(0)], [np.zeros(0, np.int64)]
+    for at, end, data, offsets in chunks(text):
+        found, owner = grams(data, offsets)
+        rows, letters = end - at, _has_letter(data, offsets)
+        total = np.bincount(owner, minlength=rows)
+        masks = filters.masks(found)
+        extra = np.zeros((rows, max(1, len(filters.languages))))
+        for k in range(len(filters.languages)):
+            hit = (masks[:, k // 64] >> masks.dtype.type(k % 64)) & masks.dtype.type(1)
+            hits = np.bincount(owner[hit.astype(bool)], minlength=rows)
+            extra[:, k] = np.maximum(hits - total * filters.chance[k], 0) / (1 - filters.chance[k])
+        best = np.where(extra.max(1) > 0, extra.argmax(1), filters.most_common)
+        share = np.clip(extra.max(1) / np.maximum(total, 1), 0, 1)
+        known = letters & bool(filters.languages)
+        named += [filters.languages[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
+        scores.append(np.where(known, share, 0.0))
+        counts.append(total)
+    return named, np.concatenate(scores), np.concatenate(counts)
+
+
 def identified(docs: DataFrame, filters: Filters) -> DataFrame:
     """doc_id, lang_pred, score (the share of the text's n-grams, less chance, that the language's filter holds), n_grams."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = shared.value
         for batch in batches:
-            named, scores, counts = [], [], []
-            for at, end, data, offsets in chunks(batch.column(1)):
-                found, owner = grams(data, offsets)
-                rows, letters = end - at, _has_letter(data, offsets)
-                total = np.bincount(owner, minlength=rows)
-                masks = filters.masks(found)
-                extra = np.zeros((rows, max(1, len(filters.languages))))
-                for k in range(len(filters.languages)):
-                    hit = (masks[:, k // 64] >> masks.dtype.type(k % 64)) & masks.dtype.type(1)
-                    hits = np.bincount(owner[hit.astype(bool)], minlength=rows)
-                    extra[:, k] = np.maximum(hits - total * filters.chance[k], 0) / (1 - filters.chance[k])
-                best = np.where(extra.max(1) > 0, extra.argmax(1), filters.most_common)
-                share = np.clip(extra.max(1) / np.maximum(total, 1), 0, 1)
-                known = letters & bool(filters.languages)
-                named += [filters.languages[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
-                scores.append(np.where(known, share, 0.0))
-                counts.append(total)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(named, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64()), pa.array(np.concatenate(counts) if counts else [], pa.int64())], ["doc_id", "lang_pred", "score", "n_grams"])
+            named, scores, counts = predicted(batch.column(1), shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(named, pa.string()), pa.array(scores), pa.array(counts)], ["doc_id", "lang_pred", "score", "n_grams"])
 
     return docs.select("doc_id", "text").mapInArrow(predict, f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double, n_grams long")
 
@@ -194,8 +204,14 @@ def kept_languages(docs: DataFrame) -> DataFrame:
     Learns from the four fifths of ``docs`` that are not held out.
     """
     filters = learned(docs.filter(~is_held_out(F.col("doc_id"), 5, 0)))
-    rejected = identified(docs, filters).filter((F.col("lang_pred") == UNKNOWN) | ((F.col("score") < LEAST_SCORE) & (F.col("n_grams") >= LEAST_GRAMS))).select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_rejected"]), "left_anti")
+    shared, text = docs.sparkSession.sparkContext.broadcast(filters), docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named, scores, counts = predicted(batch.column(text), shared.value)
+            yield batch.filter(pa.array((np.array(named, object) != UNKNOWN) & ((scores >= LEAST_SCORE) | (counts < LEAST_GRAMS))))
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
