@@ -149,6 +149,28 @@ def test_ngram_join_of_hot_lists(spark, docs, sample, monkeypatch):
     assert got == component_of([(r[0], r[1]) for r in sample])
 
 
+def test_ngram_join_bridges_large_batches(spark, monkeypatch):
+    """Near copies of short, hot texts in batches with different salts are linked, with many unrelated hot documents around them."""
+    monkeypatch.setattr(ngram_join, "HOT", 0)
+    rng = random.Random(23)
+    prose = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    # one word more or less at the end: 5 of 6 to 9 of 10 shingles are shared
+    base = [prose(9 + k % 5) for k in range(40)]
+    halves = [base, [f"{x} end{k}" for k, x in enumerate(base)]]
+    texts = [half + [prose(rng.randrange(9, 40)) for _ in range(260)] for half in halves]
+    for half in texts:
+        rng.shuffle(half)
+    rows = list(enumerate(texts[0] + texts[1]))
+    at = {t: i for i, t in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [got[at[b]] for b in halves[1]] == [at[a] for a in halves[0]]
+
+
 def test_linked_is_exact():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
