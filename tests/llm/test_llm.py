@@ -171,6 +171,26 @@ def test_ngram_join_bridges_large_batches(spark, monkeypatch):
     assert [got[at[b]] for b in halves[1]] == [at[a] for a in halves[0]]
 
 
+@pytest.mark.parametrize("most", [4_000_000, 400])
+def test_ngram_join_counts_links(docs, sample, monkeypatch, most):
+    """Each document has the number of different sets linked to its own, in one task or in pairs of blocks."""
+    monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", most)
+    sets = {r[0]: frozenset(shingle_set(r[1])) for r in sample}
+    alike = lambda a, b: a and b and a != b and 100 * len(a & b) >= 80 * len(a | b)
+    want = {i: sum(bool(alike(a, b)) for b in set(sets.values())) for i, a in sets.items()}
+    assert {r["doc_id"]: r["n_links"] for r in ngram_join.near_duplicates(docs).collect()} == want
+    assert max(want.values()) > 2
+
+
+def test_all_links_are_given():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
+    sets = sorted((np.unique(np.where(rng.random(300) < rng.choice([0.02, 0.08, 0.12]), rng.integers(0, 1 << 60, 300, dtype=np.uint64), base)) for _ in range(60)), key=len)
+    near = lambda a, b: 100 * (k := len(np.intersect1d(a, b))) >= 80 * (len(a) + len(b) - k)
+    assert sorted(ngram_join.linked(sets, sets, True)) == [(a, b) for a in range(60) for b in range(a) if near(sets[a], sets[b])]
+    assert sorted(ngram_join.linked(sets[:20], sets[20:], False)) == [(a, b) for a in range(20) for b in range(40) if near(sets[a], sets[20 + b])]
+
+
 def test_linked_is_exact():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
