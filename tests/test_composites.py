@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeshed.operators import merging, nearby, resolving, tiers
+from lakeshed.operators import merging, nearby, resolving, similarity, tiers
 from lakeshed.operators.gates import Gate, changed_fields, orphans
 from lakeshed.sources import html as h
 from lakeshed.streaming import streams
@@ -75,3 +75,17 @@ def test_streams(spark, tmp_path):
     streams.run_batches(stream, lambda batch, n: streams.split_failures(batch, F.length("v") > 1, good, bad, n), str(tmp_path / "c2"), "append")
     assert [r["v"] for r in spark.read.parquet(bad).collect()] == ["again"]
     assert streams.to_retry(spark.read.parquet(bad), spark.read.parquet(good), "k").count() == 0
+
+
+def test_best_match_with_a_hot_word(spark):
+    """A misspelt rare word beside a word that a third of rows have, against brute force."""
+    right = [(0, "alpha cafe bar"), (1, "alfa restaurant"), (2, "a"), (3, "bb restaurant")] + [(10 + k, f"place{k} {'restaurant' if k % 3 == 0 else 'shop'}") for k in range(60)]
+    left = [(0, "alpha restaurant"), (1, "restaurant plaze12"), (2, "bar alpha cafe"), (3, "a"), (4, "zzz qqq"), (5, "restaurants"), (6, None), (7, "shop pace7")]
+    want = {}
+    for i, a in left:
+        found = [(-similarity.token_sort(a, b), j) for j, b in right if a is not None and similarity.token_sort(a, b) >= 85]
+        if found:
+            want[i] = min(found)[1]
+    got = similarity.best_match(spark.createDataFrame(left, "l int, a string"), spark.createDataFrame(right, "r int, b string"), "l", "a", "r", "b", similarity.token_sort_score, 85.0)
+    assert {x["l"]: x["r"] for x in got.collect()} == want
+    assert want[0] == 1
