@@ -58,37 +58,63 @@ def _sql(pattern: str) -> str:
     return "r'" + pattern.replace("'", r"\x27") + "'"
 
 
+#: Pieces between matches are numbered in blocks of so many, so that lists grow by concatenation within a block only.
+BLOCK = 256
+
+
 def _matches(text: str, pattern: str, gate: str, group: int = 0) -> str:
     """An array of (start, end, value) of the pattern's leftmost matches, where ``gate`` holds; else an empty one.
 
-    The text between matches gives their places: each starts after all pieces and matches before it.
+    The text between matches gives their places: each starts after all pieces and
+    matches before it.  Lengths are summed by block, then within each block.
     """
     p = _sql(pattern)
-    return f"""if({gate}, aggregate(
-        arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group})),
-        named_struct('at', 0, 'found', cast(array() AS array<struct<start:int,end:int,value:string>>)),
-        (a, x) -> named_struct('at', a.at + length(x.`0`) + coalesce(length(x.`1`), 0), 'found',
-            if(x.`1` IS NULL, a.found, concat(a.found, array(named_struct('start', a.at + length(x.`0`), 'end', a.at + length(x.`0`) + length(x.`1`), 'value', x.`2`))))),
-        a -> a.found), cast(array() AS array<struct<start:int,end:int,value:string>>))"""
+    none = "cast(array() AS array<struct<start:int,end:int,value:string>>)"
+    size = "length(x.`0`) + coalesce(length(x.`1`), 0)"
+    found = f"""flatten(transform(
+        array(arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group}))),
+        all -> flatten(transform(
+            array(transform(sequence(0, (size(all) - 1) div {BLOCK}), b -> slice(all, b * {BLOCK} + 1, {BLOCK}))),
+            blocks -> flatten(zip_with(blocks,
+                aggregate(transform(blocks, part -> aggregate(part, 0, (n, x) -> n + {size})), array(0), (n, s) -> concat(n, array(element_at(n, -1) + s))),
+                (part, base) -> if(part IS NULL, {none}, aggregate(part, named_struct('at', base, 'found', {none}),
+                    (a, x) -> named_struct('at', a.at + {size}, 'found',
+                        if(x.`1` IS NULL, a.found, concat(a.found, array(named_struct('start', a.at + length(x.`0`), 'end', a.at + length(x.`0`) + length(x.`1`), 'value', x.`2`))))),
+                    a -> a.found))))))))"""
+    return f"if({gate}, {found}, {none})"
+
+
+#: Counts of a window need five bits each; so many of them lie in one number.
+_COUNTS = 12
 
 
 def _windows(value: str) -> str:
-    """(first, last): the starts of the first and last windows of ``value`` with enough entropy; -1 if none."""
+    """(first, last): the starts of the first and last windows of ``value`` with enough entropy; -1 if none.
+
+    The counts of the alphabet's characters lie in a few numbers; a step changes
+    those of the character that enters and of the one that leaves.  A window is
+    judged at the step after it, the last one at the end.
+    """
     logs = "array(" + ",".join(f"{x}L" for x in _LOGS) + ")"
     most = f"if({value} RLIKE '^([0-9a-f]+|[0-9A-F]+)$', {_most_sum(HEX_BITS)}L, {_most_sum(OTHER_BITS)}L)"
-    enters, leaves = "w.codes[i]", f"if(i >= {WINDOW}, w.codes[i - {WINDOW}], -1)"
-    up = f"element_at({logs}, a.counts[c.i] + 2) - element_at({logs}, a.counts[c.i] + 1)"
-    down = f"element_at({logs}, a.counts[c.o]) - element_at({logs}, a.counts[c.o] + 1)"
-    return f"""aggregate(transform(array(transform(sequence(1, length({value})), k -> instr('{ALPHABET}', substr({value}, k, 1)) - 1)), codes -> named_struct('codes', codes)),
-        named_struct('first', -1, 'last', -1),
-        (z, w) -> aggregate(transform(sequence(0, size(w.codes) - 1), i -> named_struct('n', i, 'i', {enters}, 'o', {leaves})),
-            named_struct('counts', transform(sequence(1, {len(ALPHABET)}), j -> 0), 'sum', 0L, 'first', -1, 'last', -1),
-            (a, c) -> aggregate(array(a.sum + if(c.i = c.o, 0L, {up} + if(c.o < 0, 0L, {down}))), a, (b, s) -> named_struct(
-                'counts', if(c.i = c.o, a.counts, transform(a.counts, (x, j) -> x + if(j = c.i, 1, 0) - if(j = c.o, 1, 0))),
-                'sum', s,
-                'first', if(a.first < 0 AND c.n >= {WINDOW - 1} AND s <= {most}, c.n - {WINDOW - 1}, a.first),
-                'last', if(c.n >= {WINDOW - 1} AND s <= {most}, c.n - {WINDOW - 1}, a.last))),
-            a -> named_struct('first', a.first, 'last', a.last)))"""
+    enters, leaves = "get(w.codes, i)", f"get(w.codes, i - {WINDOW})"
+    held = lambda x: f"cast(shiftright(get(a.counts, {x} div {_COUNTS}), cast(5 * ({x} % {_COUNTS}) AS int)) & 31L AS int)"
+    one = lambda x: f"if(j = {x} div {_COUNTS}, shiftleft(1L, cast(5 * ({x} % {_COUNTS}) AS int)), 0L)"
+    up = f"get({logs}, {held(enters)} + 1) - get({logs}, {held(enters)})"
+    down = f"get({logs}, {held(leaves)} - 1) - get({logs}, {held(leaves)})"
+    good = f"i >= {WINDOW} AND a.sum <= w.most"
+    return f"""element_at(transform(
+        transform(array(cast({value} AS binary)), b -> named_struct('most', {most}, 'codes', transform(sequence(1, octet_length(b)), k -> instr('{ALPHABET}', cast(substring(b, k, 1) AS string)) - 1))),
+        w -> aggregate(sequence(0, size(w.codes) - 1),
+            named_struct('counts', array_repeat(0L, {-(-len(ALPHABET) // _COUNTS)}), 'sum', 0L, 'first', -1, 'last', -1),
+            (a, i) -> named_struct(
+                'counts', if(i >= {WINDOW} AND {enters} = {leaves}, a.counts, transform(a.counts, (x, j) -> x + {one(enters)} - if(i >= {WINDOW}, {one(leaves)}, 0L))),
+                'sum', a.sum + if(i >= {WINDOW} AND {enters} = {leaves}, 0L, {up} + if(i >= {WINDOW}, {down}, 0L)),
+                'first', if(a.first < 0 AND {good}, i - {WINDOW}, a.first),
+                'last', if({good}, i - {WINDOW}, a.last)),
+            a -> named_struct(
+                'first', if(a.first < 0 AND a.sum <= w.most, size(w.codes) - {WINDOW}, a.first),
+                'last', if(a.sum <= w.most, size(w.codes) - {WINDOW}, a.last)))), 1)"""
 
 
 def with_spans(docs: DataFrame, text: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
