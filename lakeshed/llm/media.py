@@ -4,9 +4,11 @@ A media value is a WAV file of one channel at 8 kHz.  mu-law and A-law hold one
 8-bit sample a byte; ADPCM holds 64-byte blocks (a 4-byte header with the first
 sample and the step index, then two samples a byte).  Blocks are independent, so
 they are decoded side by side: one numpy step for each of a block's 121 samples,
-over all blocks of a batch.
+over all blocks of a batch.  Long files are decoded, resampled and measured in
+windows, so that memory follows what is stored of them.
 
-Defined results: a null text counts as the empty text; equal texts give equal
+Defined results: a text whose PCM would pass 2 GB (280 MB and more) is beyond one
+value and raises; a null text counts as the empty text; equal texts give equal
 values; repeated rows give repeated results; an empty table gives no rows; other
 columns are left out.
 """
@@ -109,19 +111,39 @@ def read_wav(media: bytes) -> tuple[str, int, bytes]:
     raise ValueError("no data")
 
 
-def resample(pcm: np.ndarray, rate: int = RATE, to: int = STORED_RATE) -> np.ndarray:
-    """Linear resampling to a multiple of the rate, in whole numbers; the last sample is held."""
+def resample(pcm: np.ndarray, rate: int = RATE, to: int = STORED_RATE, then: int | None = None) -> np.ndarray:
+    """Linear resampling to a multiple of the rate, in whole numbers, towards the sample ``then`` after the last; without one the last is held."""
     times = to // rate
     if times * rate != to:
         raise ValueError("only whole multiples of the rate")
     wide = pcm.astype(np.int32)
-    after = np.concatenate([wide[1:], wide[-1:]])
+    after = np.concatenate([wide[1:], wide[-1:] if then is None else np.array([then], np.int32)])
     out = np.empty(len(wide) * times, np.int16)
     for k in range(times):
         out[k::times] = (wide * (times - k) + after * k) // times
     return out
 
 
+def _windows(codec: str, data: bytes) -> Iterator[np.ndarray]:
+    """8 kHz PCM of STEP_BYTES of the codec's bytes at a time."""
+    for at in range(0, len(data), STEP_BYTES):
+        part = np.frombuffer(data, np.uint8, min(STEP_BYTES, len(data) - at), at)
+        yield decode_adpcm(part).ravel() if codec == "ima_adpcm" else part.view(np.int16) if codec == "pcm" else LAWS[codec][part]
+
+
+def long_pcm(media: bytes, rate: int = STORED_RATE) -> bytes:
+    """What ``decode_all`` and ``resample`` give, for one long file in windows."""
+    codec, _, data = read_wav(media)
+    out, held = bytearray(), None
+    for part in _windows(codec, data):
+        if held is not None:
+            out += resample(held, RATE, rate, int(part[0])).tobytes()
+        held = part
+    if held is not None:
+        out += resample(held, RATE, rate).tobytes()
+    return wav("pcm", out, rate)
+
+
 def decode_all(media: list[bytes]) -> list[tuple[bytes, np.ndarray]]:
     """(data, 8 kHz PCM) of each WAV file; the ADPCM blocks of all of them are decoded together, some megabytes at a time."""
     out: list = []
@@ -195,32 +217,49 @@ def with_pcm(media: DataFrame, rate: int = STORED_RATE) -> DataFrame:
         for batch in batches:
             for at, end in _runs(batch.column(2)):
                 files = batch.column(2)[at:end].to_pylist()
-                pcm = [wav("pcm", resample(x, RATE, rate).tobytes(), rate) for _, x in decode_all(files)]
+                short = [x for x in files if len(x) <= STEP_BYTES]
+                together = iter(decode_all(short))
+                pcm = [wav("pcm", resample(next(together)[1], RATE, rate).tobytes(), rate) if len(x) <= STEP_BYTES else long_pcm(x, rate) for x in files]
                 codecs = [read_wav(x)[0] for x in files]
                 yield pa.RecordBatch.from_arrays([*(c[at:end] for c in batch.columns), pa.array(codecs), pa.array(pcm, pa.binary())], ["doc_id", "n_bytes", "media", "codec", "pcm"])
 
     return media.mapInArrow(decode, f"doc_id {dict(media.dtypes)['doc_id']}, n_bytes long, media binary, codec string, pcm binary")
 
 
+#: Samples that features are computed of at once.
+SAMPLES = 1 << 20
+
+
+def features(pcm: bytes) -> str:
+    """Samples, peak, crossings of zero and mean square of a stored PCM file, in windows."""
+    audio = np.frombuffer(read_wav(pcm)[2], np.int16)
+    peak = crossings = squares = 0
+    for at in range(0, len(audio), SAMPLES):
+        part = audio[max(0, at - 1) : at + SAMPLES]  # one sample of the window before, for a crossing between them
+        below = part < 0
+        crossings += int(np.count_nonzero(below[1:] != below[:-1]))
+        wide = part[min(at, 1) :].astype(np.int64)
+        peak, squares = max(peak, int(np.abs(wide).max())), squares + int(np.dot(wide, wide))
+    return f"n={len(audio)};peak={peak};zc={crossings};ms={squares // max(1, len(audio))}"
+
+
 def media_digest(media: DataFrame) -> DataFrame:
-    """Reads media values back: checksums of payload and file, and features of the resampled audio (samples, peak, crossings of zero, mean square)."""
+    """Reads the columns of ``with_pcm`` back: checksums of payload, media and PCM files, and features of the PCM."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+        names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "pcm_bytes", "pcm_sha256", "feature"]
         for batch in batches:
             for at, end in _runs(batch.column(2)):
-                files = batch.column(2)[at:end].to_pylist()
                 rows = []
-                for one, (data, pcm) in zip(files, decode_all(files), strict=True):
-                    audio = resample(pcm).astype(np.int64)
-                    crossings = int(np.count_nonzero((audio[1:] < 0) != (audio[:-1] < 0)))
-                    feature = f"{read_wav(one)[0]};n={len(audio)};peak={int(np.abs(audio).max())};zc={crossings};ms={int(np.dot(audio, audio)) // len(audio)}"
-                    rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-BLOCK:]), len(one), hashlib.sha256(one).hexdigest(), feature))
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                for one, pcm in zip(batch.column(2)[at:end], batch.column(4)[at:end], strict=True):
+                    one, pcm = one.as_py(), pcm.as_py()
+                    codec, _, data = read_wav(one)
+                    rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-BLOCK:]), len(one), hashlib.sha256(one).hexdigest(), len(pcm), hashlib.sha256(pcm).hexdigest(), f"{codec};{features(pcm)}"))
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at:end], batch.column(1)[at:end], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], names)
 
-    return media.mapInArrow(digest, f"doc_id {dict(media.dtypes)['doc_id']}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.mapInArrow(digest, f"doc_id {dict(media.dtypes)['doc_id']}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, pcm_bytes long, pcm_sha256 string, feature string")
 
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_digest(with_media(table(spark, sf_dir, "documents")))
+    return media_digest(with_pcm(with_media(table(spark, sf_dir, "documents"))))

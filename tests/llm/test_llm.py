@@ -407,7 +407,7 @@ def test_bloom_rows_hold_all_languages():
 
 def test_media(spark, docs, sample, none):
     for codec in media.CODECS:
-        rows = media.media_digest(media.with_media(docs, codec)).collect()
+        rows = media.media_digest(media.with_pcm(media.with_media(docs, codec))).collect()
         assert len(rows) == len(sample)
         texts = {r[0]: (r[1] or "").encode() for r in sample}
         for r in rows:
@@ -418,11 +418,26 @@ def test_media(spark, docs, sample, none):
     pcm = media.with_pcm(media.with_media(docs)).filter("doc_id = 1").first()
     kind, rate, data = media.read_wav(pcm["pcm"])
     assert (kind, rate) == ("pcm", 16000) and len(data) > 0
-    assert media.media_digest(media.with_media(none)).count() == 0
+    assert media.media_digest(media.with_pcm(media.with_media(none))).count() == 0
     with pytest.raises(ValueError):
         media.read_wav(b"nothing")
 
 
+@pytest.mark.parametrize("codec", media.CODECS)
+def test_media_in_windows(codec, monkeypatch):
+    """A long file gives the same PCM and features in windows as at once."""
+    data = np.random.default_rng(7).integers(0, 256, 64 * 300, dtype=np.uint8).tobytes()
+    one = media.wav(codec, data)
+    audio = media.resample(media.decode_all([one])[0][1])
+    whole = media.wav("pcm", audio.tobytes(), media.STORED_RATE)
+    monkeypatch.setattr(media, "STEP_BYTES", 64 * 7)
+    monkeypatch.setattr(media, "SAMPLES", 1000)
+    assert media.long_pcm(one) == whole
+    wide = audio.astype(np.int64)
+    crossings = sum((a < 0) != (b < 0) for a, b in zip(wide[1:], wide[:-1], strict=True))
+    assert media.features(whole) == f"n={len(wide)};peak={abs(wide).max()};zc={crossings};ms={int((wide * wide).sum()) // len(wide)}"
+
+
 def test_codecs():
     mu, a = media.LAWS["mulaw"], media.LAWS["alaw"]
     assert (mu[0xFF], mu[0x7F], mu[0x80], mu[0x00]) == (0, 0, 32124, -32124)
@@ -489,6 +504,27 @@ def test_token_counts(docs, sample, none):
     assert token_counts.length_sums(token_counts.with_token_counts(none)).count() == 0
 
 
+def test_token_counts_of_long_space():
+    """Runs of white space encoded by themselves give the same lengths; a run of millions is no harm."""
+    encoding = token_counts._encoding(token_counts.VOCABULARY)
+    rng = random.Random(6)
+    parts = [" ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "  \n ", "a", "Wort", "é", "9", "!?", "'s", "'ll", "\u200b"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts[: rng.choice([5, 15])]) for _ in range(rng.randrange(40)))
+        assert token_counts.encoded_length(encoding, text, 2) == token_counts.encoded_length(encoding, text, 5) == len(encoding.encode_ordinary(text))
+    assert token_counts.encoded_length(encoding, "a" + " " * 5_000_000 + "b") > 2
+
+
+def test_secrets_of_long_runs(spark):
+    """Many matches in one text, and a long run, are found as by the plain version."""
+    rng = random.Random(12)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["".join(rng.choice(["token=abcdefgh%d " % k, "x é ", "AKIA" + "A7" * 9 + " ", "".join(rng.choice("0123456789abcdef") for _ in range(33)) + ","]) for k in range(3000)), "".join(rng.choice(alnum) for _ in range(30_000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in secrets.with_spans(df).select("doc_id", secrets._joined(F.col("spans")).alias("s")).collect()}
+    assert got == {i: spans_of(t)[1] for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, sql, name):
     got, want = queries.queries()[name](spark, SF).toPandas(), sql.execute(queries.oracle_sql()[name]).df()
