@@ -13,11 +13,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset, as in tests, one of our own."""
+    """The folder in spark.checkpoint.dir; where it is unset and all runs on one machine, as in tests, one of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")

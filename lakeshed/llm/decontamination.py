@@ -13,35 +13,42 @@ and those above it are checked: the share of the question's three-word runs, and
 of the answer's words in order, that the passage holds.  The answer is what
 follows ``answer:``, else the last sentence, else the last fifth of the words.
 
-The index is broadcast in blocks of at most ``ITEMS_A_BLOCK`` items; each block
-is run against all documents.  Defined results: null and empty texts and items
-match nothing; repeated documents give repeated rows, items with a repeated
-item_id count as one by their best score; an empty table gives no rows; other
-columns are left out.
+Rarity, mean length and longest item are taken over all items.  Items are dealt
+to parts of about ``PART_BYTES`` of text; a task builds each part's index and
+writes it to the shared folder, from where workers map it: documents are scanned
+once, nothing but totals and the parts' numbers reaches the driver, and results
+don't depend on the size of parts.
+
+Defined results: null and empty texts match nothing, nor do items without a
+word; an item without an item_id counts, with a null one; there is one row for
+each doc_id and item_id that match, with the best score, whatever rows repeat
+either; an empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeshed.llm.common import table
+from lakeshed.llm.common import new_path, stored, table
+from lakeshed.llm.store import Store
 from lakeshed.llm.words import chunks, runs_of, word_hashes
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.65
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.6, 0.6
 RUN = 3
-#: Items lie in at most so many blocks of at least 8.
+#: A part's items lie in at most so many blocks of at least 8.
 BLOCKS = 64
-ITEMS_A_BLOCK = 20_000
+PART_BYTES = 4 << 20
 LEAST_PASSAGE = 64
 
 #: Everything but letters, digits and bytes beyond ASCII parts words.
@@ -67,38 +74,64 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:at]), " ".join(words[at:])
 
 
+@dataclass(frozen=True)
+class Totals:
+    """What scores need of all items together, and where the parts of the index lie."""
+
+    items: int
+    mean: float
+    longest: int
+    folder: str = ""
+    parts: tuple[int, ...] = ()
+
+
+_ARRAYS = {
+    "items": np.int64, "terms": np.uint64, "start": np.int64, "holders": np.int32, "gains": np.float64, "most": np.float64, "block_most": np.float32,
+    "runs": np.uint64, "runs_at": np.int64, "asked": np.int64, "answers": np.uint64, "answers_at": np.int64,
+}
+
+
+def _parts_of(texts: list[str]) -> tuple[list[np.ndarray], list[int], list[np.ndarray]]:
+    """Each item's question's distinct word runs, its number of words, and the answer's words."""
+    split = [tuple(map(_words_of, question_and_answer(t))) for t in texts]
+    return [np.unique(runs_of(q, min(RUN, len(q)))) if len(q) else np.zeros(0, np.uint64) for q, _ in split], [len(q) for q, _ in split], [a for _, a in split]
+
+
+def indexed(items: np.ndarray, texts: list[str], terms: list[np.ndarray], times: list[np.ndarray], held: list[np.ndarray], totals: Totals) -> dict[str, np.ndarray]:
+    """The arrays of an index of these items: ``terms`` are an item's distinct words in order, ``times`` their counts in it, ``held`` in how many items each is."""
+    shares = []
+    for n, df in zip(times, held, strict=True):
+        part = np.log1p((totals.items - df + 0.5) / (df + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * n.sum() / totals.mean))
+        shares.append(part / part.sum())
+    flat = np.concatenate(terms) if terms else np.zeros(0, np.uint64)
+    names, which = np.unique(flat, return_inverse=True)
+    holder = np.repeat(np.arange(len(terms)), [len(x) for x in terms])
+    order = np.lexsort((holder, which))
+    gains = np.concatenate(shares)[order] if shares else np.zeros(0)
+    which, holder = which[order], holder[order]
+    start = np.searchsorted(which, np.arange(len(names) + 1))
+    block = max(8, -(-len(terms) // BLOCKS))
+    block_most = np.zeros((len(names), -(-max(1, len(terms)) // block)), np.float32)
+    np.maximum.at(block_most, (which, holder // block), gains.astype(np.float32))
+    runs, asked, answers = _parts_of(texts)
+    at = lambda lists: np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    joined = lambda lists: np.concatenate(lists) if lists else np.zeros(0, np.uint64)
+    out = (items, names, start, holder, gains, np.maximum.reduceat(gains, start[:-1]) if len(names) else gains, block_most.ravel(), joined(runs), at(runs), asked, joined(answers), at(answers))
+    return {name: np.asarray(x, kind) for (name, kind), x in zip(_ARRAYS.items(), out, strict=True)}
+
+
 class Index:
     """Inverted lists in order of items, with each block's largest contribution."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        items = [(i, t) for i, t in items if t]
-        hashed = [(i, _words_of(t), t) for i, t in items]
-        hashed = [x for x in hashed if len(x[1])]
-        self.ids = [x[0] for x in hashed]
-        self.words = [x[1] for x in hashed]
-        self.parts = [tuple(map(_words_of, question_and_answer(x[2]))) for x in hashed]
-        count = [np.unique(w, return_counts=True) for w in self.words]
-        self.terms = np.unique(np.concatenate([c[0] for c in count])) if count else np.zeros(0, np.uint64)
-        at = [np.searchsorted(self.terms, c[0]) for c in count]
-        held = np.bincount(np.concatenate(at), minlength=len(self.terms)) if at else np.zeros(0)
-        rarity = np.log1p((len(at) - held + 0.5) / (held + 0.5))
-        mean = np.mean([len(w) for w in self.words]) if at else 1.0
-        lists: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        for item, (where, (_, n)) in enumerate(zip(at, count, strict=True)):
-            part = rarity[where] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(self.words[item]) / mean))
-            for k, share in zip(where, part / part.sum(), strict=True):
-                lists[int(k)].append((item, float(share)))
-        self.lists = [np.array([i for i, _ in lists[k]]) for k in range(len(self.terms))]
-        self.gains = [np.array([g for _, g in lists[k]]) for k in range(len(self.terms))]
-        self.block = max(8, -(-len(self.ids) // BLOCKS))
-        self.block_most = np.zeros((len(self.terms), -(-max(1, len(self.ids)) // self.block)), np.float32)
-        for k, (items, gains) in enumerate(zip(self.lists, self.gains, strict=True)):
-            np.maximum.at(self.block_most[k], items // self.block, gains.astype(np.float32))
-        self.most = np.array([g.max() for g in self.gains])
-        self.longest = max((len(w) for w in self.words), default=0)
+    def __init__(self, arrays: dict[str, np.ndarray], longest: int):
+        for name, values in arrays.items():
+            setattr(self, name, values)
+        self.longest = longest
+        count = len(self.items)
+        self.block = max(8, -(-count // BLOCKS))
+        self.block_most = self.block_most.reshape(len(self.terms), -(-max(1, count) // self.block))
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.terms & _U(0xFFFF)).astype(np.int64)] = True
-        self.runs = [(np.unique(runs_of(q, min(RUN, len(q)))) if len(q) else np.zeros(0, np.uint64), len(q)) for q, _ in self.parts]
 
     def find(self, words: np.ndarray) -> np.ndarray:
         """The number of each word in the index, -1 for others."""
@@ -116,19 +149,26 @@ class Index:
         for place, block in enumerate(blocks):
             low = block * self.block
             for t in terms[self.block_most[terms, block] > 0]:
-                a, b = np.searchsorted(self.lists[t], (low, low + self.block))
-                score[place * self.block + self.lists[t][a:b] - low] += self.gains[t][a:b]
+                first = self.start[t]
+                a, b = first + np.searchsorted(self.holders[first : self.start[t + 1]], (low, low + self.block))
+                score[place * self.block + self.holders[a:b] - low] += self.gains[a:b]
         good = np.flatnonzero(score >= threshold)
         return [(int(blocks[k // self.block] * self.block + k % self.block), float(score[k])) for k in good]
 
     def verified(self, item: int, passage: np.ndarray) -> tuple[float, float]:
         """Shares of the question's word runs, and of the answer's words in their order, that the passage holds."""
-        runs, asked = self.runs[item]
+        runs, asked = self.runs[self.runs_at[item] : self.runs_at[item + 1]], int(self.asked[item])
         question = float(np.isin(runs, runs_of(passage, min(RUN, asked))).mean()) if asked else 1.0
-        answer = self.parts[item][1]
+        answer = self.answers[self.answers_at[item] : self.answers_at[item + 1]]
         return question, _in_order(answer, passage) / len(answer) if len(answer) else 1.0
 
 
+@lru_cache(maxsize=4096)
+def _mapped(folder: str, part: int, longest: int) -> Index:
+    store = Store(folder)
+    return Index({name: store.read(f"{name}-{part}", kind) for name, kind in _ARRAYS.items()}, longest)
+
+
 def _in_order(short: np.ndarray, long: np.ndarray) -> int:
     """The length of the longest common subsequence within any stretch of twice the answer's length."""
     hits = np.flatnonzero(np.isin(long, short))
@@ -174,7 +214,7 @@ def _matches(index: Index, words: np.ndarray, first: np.ndarray) -> Iterator[tup
         stop = np.append(start[1:], len(passage))
         for k in np.flatnonzero(bounds.max(1) >= THRESHOLD - 1e-4):
             p = passage[start[k]]
-            for item, score in index.above(held[start[k] : stop[k]], np.flatnonzero(bounds[k] >= THRESHOLD - 1e-4), THRESHOLD - 1e-9):
+            for item, score in index.above(np.sort(held[start[k] : stop[k]]), np.flatnonzero(bounds[k] >= THRESHOLD - 1e-4), THRESHOLD - 1e-9):
                 question, answer = index.verified(item, words[begin[p] : end[p]])
                 if question >= QUESTION_OVERLAP and answer >= ANSWER_OVERLAP:
                     key = int(doc[p]), item
@@ -183,68 +223,88 @@ def _matches(index: Index, words: np.ndarray, first: np.ndarray) -> Iterator[tup
         yield d, item, *found
 
 
-def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, str]]]:
-    """Items in the order of item_id, a block at a time."""
-    block: list[tuple[int, str]] = []
-    for r in items.filter("text is not null and item_id is not null").select("item_id", "text").distinct().orderBy("item_id", "text").toLocalIterator():
-        block.append((r["item_id"], r["text"]))
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
-def _matched(index: Index, text: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
-    """(row, item, score, question overlap, answer overlap) of a column of texts."""
-    if index.ids:
+def index_of(items: DataFrame, part_bytes: int = PART_BYTES) -> Totals:
+    """Builds the index in the shared folder; ``items`` gets a column ``number`` and has item_id and text."""
+    folder = new_path(items.sparkSession, "benchmark-index")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(_words_of(t), return_counts=True) for t in batch.column(1).to_pylist()]
+            columns = [batch.column(0), batch.column(1), pa.array([int(n.sum()) for _, n in found], pa.int64()), pa.array([x.view(np.int64) for x, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["number", "text", "words", "terms", "times"])
+
+    rows = stored(items.select("number", "text").mapInArrow(measure, "number long, text string, words long, terms array<long>, times array<long>").filter("words > 0"), "benchmark-words")
+    facts = rows.agg(F.count("*"), F.sum("words"), F.max("words"), F.sum(F.octet_length("text"))).first()
+    if not facts[0]:
+        return Totals(0, 1.0, 0)
+    totals = Totals(facts[0], facts[1] / facts[0], facts[2])
+    parts = max(1, -(-facts[3] // part_bytes))
+    one = rows.select("number", F.explode(F.arrays_zip("terms", "times")).alias("x")).select("number", "x.terms", "x.times")
+    held = one.groupBy("terms").agg(F.count("*").alias("held"))
+    lists = one.join(held, "terms").groupBy("number").agg(F.array_sort(F.collect_list(F.struct("terms", "times", "held"))).alias("x"))  # one item's words, no more than its text
+    dealt = rows.select("number", "text").join(lists, "number").select("number", "text", F.col("x.terms").alias("terms"), F.col("x.times").alias("times"), F.col("x.held").alias("held"), F.pmod(F.xxhash64("number"), F.lit(parts)).cast("int").alias("part"))
+
+    def build(group: pa.Table) -> pa.Table:
+        group = group.sort_by("number")
+        part, column = group.column("part")[0].as_py(), lambda name: [np.array(x, np.int64) for x in group.column(name).to_pylist()]
+        terms = [x.view(np.uint64) for x in column("terms")]
+        order = [np.argsort(x) for x in terms]
+        sort = lambda lists: [x[o] for x, o in zip(lists, order, strict=True)]
+        arrays = indexed(group.column("number").to_numpy(), group.column("text").to_pylist(), sort(terms), sort(column("times")), sort(column("held")), totals)
+        for name, values in arrays.items():
+            Store(folder).write(f"{name}-{part}", values)
+        return pa.table({"part": pa.array([part], pa.int32())})
+
+    built = dealt.groupBy("part").applyInArrow(build, "part int").collect()
+    return Totals(totals.items, totals.mean, totals.longest, folder, tuple(sorted(r["part"] for r in built)))
+
+
+def _numbered(items: DataFrame) -> DataFrame:
+    """item_id, text and number of distinct items with a text; written, so that numbers stay."""
+    return stored(items.filter("text is not null").select("item_id", "text").distinct().withColumn("number", F.monotonically_increasing_id()), "benchmark-items")
+
+
+def _matched(totals: Totals, text: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
+    """(row, item's number, score, question overlap, answer overlap) of a column of texts."""
+    if totals.parts:
         for at, _, data, offsets in chunks(pc.utf8_lower(text)):
-            for row, *rest in _matches(index, *word_hashes(data, offsets, _PARTS)):
-                yield at + row, *rest
+            words, first = word_hashes(data, offsets, _PARTS)
+            for part in totals.parts:
+                index = _mapped(totals.folder, part, totals.longest)
+                for row, item, *rest in _matches(index, words, first):
+                    yield at + row, int(index.items[item]), *rest
 
 
-def contaminated(docs: DataFrame, items: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: documents that hold a test item."""
-    item_type, doc_type = dict(items.dtypes)["item_id"], dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {doc_type}, item_id {item_type}, score double, question_overlap double, answer_overlap double"
-
-    def searched(block: list[tuple[int, str]]) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value)
-            kind = pa.int64() if item_type == "bigint" else pa.int32()
-            for batch in batches:
-                if rows := list(_matched(index, batch.column(1))):
-                    which, item, *rest = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(which)), pa.array([index.ids[i] for i in item], kind), *(pa.array(x, pa.float64()) for x in rest)],
-                        ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
-                    )
+    numbered = _numbered(items)
+    totals = index_of(numbered, part_bytes)
 
-        return docs.select("doc_id", "text").mapInArrow(search, schema)
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if rows := list(_matched(totals, batch.column(1))):
+                which, item, *rest = zip(*rows, strict=True)
+                columns = [batch.column(0).take(pa.array(which)), pa.array(item, pa.int64()), *(pa.array(x, pa.float64()) for x in rest)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "number", "score", "question_overlap", "answer_overlap"])
 
-    parts = [searched(block) for block in _blocks(items, items_a_block)] or [searched([])]
-    return reduce(DataFrame.unionByName, parts)
+    found = docs.select("doc_id", "text").mapInArrow(search, f"doc_id {dict(docs.dtypes)['doc_id']}, number long, score double, question_overlap double, answer_overlap double")
+    best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("x")
+    named = found.join(numbered.select("number", "item_id"), "number")
+    return named.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.*")
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> DataFrame:
-    """The rows of ``docs`` that hold no test item; a filter for each block of items, without a shuffle."""
+def clean_documents(docs: DataFrame, items: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of ``docs`` that hold no test item; a filter of one scan, without a shuffle."""
     text = docs.columns.index("text")
+    totals = index_of(_numbered(items), part_bytes)
 
-    def without(docs: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value)
-            for batch in batches:
-                clean = np.ones(batch.num_rows, bool)
-                clean[[row for row, *_ in _matched(index, batch.column(text))]] = False
-                yield batch.filter(pa.array(clean))
-
-        return docs.mapInArrow(keep, docs.schema)
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            clean[[row for row, *_ in _matched(totals, batch.column(text))]] = False
+            yield batch.filter(pa.array(clean))
 
-    return reduce(without, _blocks(items, items_a_block), docs)
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

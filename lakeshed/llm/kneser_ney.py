@@ -34,12 +34,9 @@ an empty table gives no rows; other columns are left out.
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +45,7 @@ from pyspark.sql import functions as F
 
 from lakeshed.llm.common import new_path, table
 from lakeshed.llm.language_id import is_held_out
+from lakeshed.llm.store import Store
 from lakeshed.llm.words import hashed_words, mix
 
 #: The end token's hash; no word of a text has it but by a chance of 2**-64.
@@ -61,43 +59,6 @@ GATHER = 4_000_000
 _U = np.uint64
 
 
-class Store:
-    """Arrays in a folder that all workers see: a mounted path is mapped in place, another one is fetched to a file that is unlinked once mapped."""
-
-    def __init__(self, folder: str):
-        self.folder = folder
-        url = urlparse(folder)
-        self.local = url.path if url.scheme in ("", "file") else None
-
-    def write(self, name: str, values: np.ndarray) -> None:
-        own = f".{name}-{uuid.uuid4().hex}"
-        if self.local:
-            os.makedirs(self.local, exist_ok=True)
-            values.tofile(f"{self.local}/{own}")
-            os.replace(f"{self.local}/{own}", f"{self.local}/{name}")
-            return
-        from pyarrow import fs
-
-        system, path = fs.FileSystem.from_uri(self.folder)
-        system.create_dir(path, recursive=True)
-        with system.open_output_stream(f"{path}/{own}") as out:
-            out.write(values.tobytes())
-        system.move(f"{path}/{own}", f"{path}/{name}")
-
-    def read(self, name: str, dtype: type) -> np.ndarray:
-        if self.local:
-            path = f"{self.local}/{name}"
-            return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-        from pyarrow import fs
-
-        system, path = fs.FileSystem.from_uri(self.folder)
-        with tempfile.NamedTemporaryFile() as copy, system.open_input_stream(f"{path}/{name}") as data:
-            while block := data.read(1 << 22):
-                copy.write(block)
-            copy.flush()
-            return np.memmap(copy.name, dtype, "r") if copy.tell() else np.zeros(0, dtype)
-
-
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and their summed counts."""
     key, count = np.concatenate(keys), np.concatenate(counts)

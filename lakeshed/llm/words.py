@@ -2,8 +2,9 @@
 
 A word is a maximal run of bytes other than space and 0x09-0x0D; only A-Z are
 lower-cased.  All functions take whole texts; null counts as the empty text.
-Work is done on runs of documents of about ``CHUNK_BYTES`` so that memory
-follows the longest document, not the batch.
+Work is done on runs of documents of about ``CHUNK_BYTES``; a longer document is
+cut between words, and a longer word is summed up in parts, so that memory
+beyond the text and its hashes is bounded.
 """
 
 from __future__ import annotations
@@ -47,8 +48,7 @@ def _power(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if size <= 8 * CHUNK_BYTES:
-            _powers[base] = have
+        _powers[base] = have
     return have[:n]
 
 
@@ -94,8 +94,7 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = S
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word, and for each document the index of its first word (one more at the end)."""
+def _hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, first = word_bounds(data, offsets, separator)
     if not len(starts):
         return np.zeros(0, np.uint64), first
@@ -105,6 +104,46 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = S
     return mix(words + (ends - starts).astype(np.uint64)), first
 
 
+def _one_word(word: np.ndarray) -> np.ndarray:
+    """The hash of a word of any length."""
+    total, mask = 0, (1 << 64) - 1
+    for at in range(0, len(word), CHUNK_BYTES):
+        part = word[at : at + CHUNK_BYTES]
+        part = int(np.sum(_BYTE_CODE[LOWER[part]] * _power(_BASE, len(part)), dtype=np.uint64))
+        total = (total + part * pow(_BASE, at, 1 << 64)) & mask
+    return mix(np.array([(total + len(word)) & mask], np.uint64))
+
+
+def stretches(data: np.ndarray, separator: np.ndarray) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, whether it is one long word) of parts of a text of about CHUNK_BYTES, cut after separators alone."""
+    at = 0
+    while at < len(data):
+        end, long = min(len(data), at + CHUNK_BYTES), False
+        if end < len(data):
+            gaps = np.flatnonzero(separator[data[at:end]])
+            long = not len(gaps)
+            end = end if long else at + int(gaps[-1]) + 1
+            while long and end < len(data) and not separator[data[end]]:
+                gaps = np.flatnonzero(separator[data[end : end + CHUNK_BYTES]])
+                end = end + int(gaps[0]) if len(gaps) else min(len(data), end + CHUNK_BYTES)
+        yield at, end, long
+        at = end
+
+
+def _long_text(data: np.ndarray, separator: np.ndarray) -> np.ndarray:
+    """The hashes of one text's words, a stretch at a time."""
+    out = [_one_word(data[a:b]) if long else _hashes(data[a:b], np.array([0, b - a]), separator)[0] for a, b, long in stretches(data, separator)]
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word, and for each document the index of its first word (one more at the end)."""
+    if len(data) <= 2 * CHUNK_BYTES:
+        return _hashes(data, offsets, separator)
+    parts = [_long_text(data[a:b], separator) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+
+
 def hashed_words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, word hashes, index of each document's first word) by chunk."""
     for at, end, data, offsets in chunks(column):
@@ -113,9 +152,7 @@ def hashed_words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nd
 
 def one_hash(word: bytes) -> int:
     """The hash that ``word_hashes`` gives this word."""
-    data = np.frombuffer(word, np.uint8)
-    total = np.sum(_BYTE_CODE[LOWER[data]] * _power(_BASE, len(data)), dtype=np.uint64)
-    return int(mix(np.array([total + _U(len(data))], np.uint64))[0])
+    return int(_one_word(np.frombuffer(word, np.uint8))[0])
 
 
 def runs_of(words: np.ndarray, width: int) -> np.ndarray:

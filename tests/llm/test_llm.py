@@ -100,6 +100,20 @@ def test_words_match_a_plain_split(sample):
     assert words.one_hash(b"Word") == words.one_hash(b"word")
 
 
+def test_words_of_long_texts(monkeypatch):
+    """Texts and words longer than a chunk have the hashes that they have in one piece."""
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab  \n") for _ in range(rng.randrange(200))) + "x" * rng.choice([0, 40, 150]) + rng.choice(["", " end", "\n"]) for _ in range(300)]
+    whole = [[words.one_hash(w.encode()) for w in lowered(t)] for t in texts]
+    monkeypatch.setattr(words, "CHUNK_BYTES", 16)
+    found = []
+    for _, _, hashes, first in words.hashed_words(pa.array(texts)):
+        found += [hashes[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)]
+    assert found == whole
+
+
 def test_totals_before(spark):
     rng = random.Random(1)
     rows = [(rng.choice("ab"), rng.randrange(100), rng.randrange(9)) for _ in range(200)]
@@ -295,19 +309,95 @@ def test_decontamination(spark, docs, none):
     rows = [(1, f"{other} {text.upper()} {other}"), (2, near), (3, other), (4, "What is the old town of the harbour?"), (5, None), (6, ""), (7, "x seven quiet RIVERS that cross plains! answer: ondava, topla; laborec. name"), (8, text.split("?")[0] + "?")]
     found = decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
     got = {(r["doc_id"], r["item_id"]) for r in found}
-    assert {(1, 1), (2, 1), (7, 2)} <= got and got <= {(1, 1), (2, 1), (7, 2)}
+    assert got == {(1, 1), (2, 1), (7, 2)}
     assert decontamination.contaminated(none, items).count() == 0
     assert decontamination.contaminated(docs, items.filter("false")).count() == 0
-    one_by_one = decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items, items_a_block=1)
-    assert {(r["doc_id"], r["item_id"]) for r in one_by_one.collect()} >= {(1, 1), (2, 1)}
     assert decontamination.clean_documents(docs, items).columns == docs.columns
+    # two texts under one id, an item without an id, a repeated document, ids that are strings
+    more = items.selectExpr("if(item_id = 2, 1, nullif(item_id, 1)) AS item_id", "text").unionByName(items.filter("item_id = 1"))
+    strings = more.selectExpr("cast(item_id AS string) AS item_id", "text")
+    twice = spark.createDataFrame([*rows, rows[0], (None, rows[0][1])], "doc_id long, text string").selectExpr("cast(doc_id AS string) AS doc_id", "text", "'x' AS number")
+    got = [(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(twice, strings).collect()]
+    assert sorted(got, key=repr) == sorted([("1", None), ("1", "1"), ("2", None), ("2", "1"), ("7", "1"), (None, None), (None, "1")], key=repr)
+    assert decontamination.clean_documents(twice, strings).count() == len(rows) - 3
+
+
+def bm25_matches(docs, items):
+    """(doc_id, item_id, score, question, answer) by plain loops over all passages and items."""
+    said = lambda t: re.findall("[0-9a-z\x80-\U0010ffff]+", t.lower())
+    known = [(i, said(t), t) for i, t in items if t and said(t)]
+    n, mean, longest = len(known), sum(len(w) for _, w, _ in known) / len(known), max(len(w) for _, w, _ in known)
+    df = Counter(w for _, words, _ in known for w in set(words))
+    rarity = {w: math.log1p((n - c + 0.5) / (c + 0.5)) for w, c in df.items()}
+
+    def gains(words):
+        g = {w: rarity[w] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(words) / mean)) for w, c in Counter(words).items()}
+        return {w: x / sum(g.values()) for w, x in g.items()}
+
+    def in_order(short, long):
+        best = 0
+        for at in range(len(long)):
+            row = [0] * (len(short) + 1)
+            for word in long[at : at + 2 * len(short)]:
+                new = row[:]
+                for k, s in enumerate(short):
+                    new[k + 1] = max(new[k], row[k + 1], row[k] + 1 if s == word else 0)
+                row = new
+            best = max(best, row[-1])
+        return best
+
+    out = {}
+    length = max(64, 2 * longest)
+    for d, text in docs:
+        words = said(text or "")
+        for at in range(0, max(1, len(words) - length // 2), length // 2):
+            passage = words[at : at + length]
+            for i, w, t in known:
+                score = sum(x for word, x in gains(w).items() if word in set(passage))
+                if score >= 0.65 - 1e-9:
+                    asked, answer = (said(x) for x in decontamination.question_and_answer(t))
+                    width = min(3, len(asked))
+                    runs = {tuple(asked[k : k + width]) for k in range(len(asked) - width + 1)} if asked else set()
+                    have = {tuple(passage[k : k + width]) for k in range(len(passage) - width + 1)}
+                    q, a = len(runs & have) / len(runs) if asked else 1.0, in_order(answer, passage) / len(answer) if answer else 1.0
+                    if q >= 0.6 and a >= 0.6:
+                        out[d, i] = max(out.get((d, i), (0,)), (score, q, a))
+    return out
+
+
+def test_decontamination_against_plain_bm25(spark):
+    """The same matches and scores as by brute force, whatever the size of the index's parts."""
+    rng = random.Random(31)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(8, 30))) + "? " + " ".join(rng.choices(vocabulary, k=rng.randrange(1, 6)))) for i in range(60)]
+    docs = []
+    for d in range(300):
+        words = rng.choices(vocabulary, k=rng.randrange(0, 160))
+        if d % 2:
+            own = items[rng.randrange(60)][1].split()
+            for _ in range(rng.randrange(0, 7)):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = own
+        docs.append((d, " ".join(words)))
+    want = bm25_matches(docs, items)
+    assert len(want) > 50
+    there, tests = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for part_bytes in (1, 700, 4 << 20):
+        got = {(r["doc_id"], r["item_id"]): tuple(r)[2:] for r in decontamination.contaminated(there, tests, part_bytes).collect()}
+        assert set(got) == set(want)
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
 
 
 def test_block_bounds_lose_no_item():
     rng = random.Random(2)
     terms = [f"t{k}" for k in range(80)]
-    items = [(i, " ".join(rng.choice(terms) for _ in range(rng.randrange(3, 25)))) for i in range(70)]
-    index = decontamination.Index(items)
+    items = [" ".join(rng.choice(terms) for _ in range(rng.randrange(3, 25))) for i in range(70)]
+    counted = [np.unique(decontamination._words_of(t), return_counts=True) for t in items]
+    df = Counter(int(w) for c in counted for w in c[0])
+    totals = decontamination.Totals(70, float(np.mean([c[1].sum() for c in counted])), 25)
+    arrays = decontamination.indexed(np.arange(70), items, [c[0] for c in counted], [c[1] for c in counted], [np.array([df[int(w)] for w in c[0]]) for c in counted], totals)
+    index = decontamination.Index(arrays, 25)
     for _ in range(60):
         held = index.find(np.unique(decontamination._words_of(" ".join(rng.choice(terms) for _ in range(40)))))
         held = held[held >= 0]
@@ -315,8 +405,8 @@ def test_block_bounds_lose_no_item():
         got = dict(index.above(held, np.flatnonzero(bounds >= 0.5 - 1e-4), 0.5))
         want = Counter()
         for t in held:
-            for i, g in zip(index.lists[t], index.gains[t], strict=True):
-                want[int(i)] += float(g)
+            for k in range(index.start[t], index.start[t + 1]):
+                want[int(index.holders[k])] += float(index.gains[k])
         assert got == pytest.approx({i: s for i, s in want.items() if s >= 0.5})
 
 
