@@ -176,26 +176,27 @@ def decode_all(media: list[bytes]) -> list[tuple[bytes, np.ndarray]]:
     return out
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], codec: str | None) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) as (doc_id, n_bytes, media)."""
+    for batch in batches:
+        ids, texts = batch.columns
+        for at, end in _runs(texts):
+            files, sizes = [], []
+            for x in texts[at:end].to_pylist():
+                data = (x or "").encode()
+                sizes.append(len(data))
+                data += b"\0" * (max(BLOCK, -len(data) % BLOCK + len(data)) - len(data))
+                files.append(wav(codec or CODECS[zlib.crc32(data) % len(CODECS)], data))
+            yield pa.RecordBatch.from_arrays([ids[at:end], pa.array(sizes, pa.int64()), pa.array(files, pa.binary())], ["doc_id", "n_bytes", "media"])
+
+
 def with_media(docs: DataFrame, codec: str | None = None) -> DataFrame:
     """doc_id, n_bytes, media: each text's bytes, zeros up to a positive multiple of 64, as a WAV file.
 
     Without ``codec`` the payload's CRC chooses among mu-law, A-law and ADPCM, as
     a collection of calls mixes them.
     """
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts = batch.columns
-            for at, end in _runs(texts):
-                files, sizes = [], []
-                for x in texts[at:end].to_pylist():
-                    data = (x or "").encode()
-                    sizes.append(len(data))
-                    data += b"\0" * (max(BLOCK, -len(data) % BLOCK + len(data)) - len(data))
-                    files.append(wav(codec or CODECS[zlib.crc32(data) % len(CODECS)], data))
-                yield pa.RecordBatch.from_arrays([ids[at:end], pa.array(sizes, pa.int64()), pa.array(files, pa.binary())], ["doc_id", "n_bytes", "media"])
-
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, media binary")
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: _encoded(batches, codec), f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, media binary")
 
 
 def _runs(column: pa.Array) -> Iterator[tuple[int, int]]:
@@ -210,20 +211,25 @@ def _runs(column: pa.Array) -> Iterator[tuple[int, int]]:
         yield at, len(column)
 
 
+def _decoded(batches: Iterator[pa.RecordBatch], rate: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n_bytes, media) with codec and pcm."""
+    for batch in batches:
+        for at, end in _runs(batch.column(2)):
+            files = batch.column(2)[at:end].to_pylist()
+            together = iter(decode_all([x for x in files if len(x) <= STEP_BYTES]))
+            pcm = [wav("pcm", resample(next(together)[1], RATE, rate).tobytes(), rate) if len(x) <= STEP_BYTES else long_pcm(x, rate) for x in files]
+            codecs = [read_wav(x)[0] for x in files]
+            yield pa.RecordBatch.from_arrays([*(c[at:end] for c in batch.columns), pa.array(codecs, pa.string()), pa.array(pcm, pa.binary())], ["doc_id", "n_bytes", "media", "codec", "pcm"])
+
+
 def with_pcm(media: DataFrame, rate: int = STORED_RATE) -> DataFrame:
     """Adds to (doc_id, n_bytes, media) the columns codec and pcm: a WAV file of the decoded audio resampled to ``rate``."""
+    return media.mapInArrow(lambda batches: _decoded(batches, rate), f"doc_id {dict(media.dtypes)['doc_id']}, n_bytes long, media binary, codec string, pcm binary")
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, end in _runs(batch.column(2)):
-                files = batch.column(2)[at:end].to_pylist()
-                short = [x for x in files if len(x) <= STEP_BYTES]
-                together = iter(decode_all(short))
-                pcm = [wav("pcm", resample(next(together)[1], RATE, rate).tobytes(), rate) if len(x) <= STEP_BYTES else long_pcm(x, rate) for x in files]
-                codecs = [read_wav(x)[0] for x in files]
-                yield pa.RecordBatch.from_arrays([*(c[at:end] for c in batch.columns), pa.array(codecs), pa.array(pcm, pa.binary())], ["doc_id", "n_bytes", "media", "codec", "pcm"])
 
-    return media.mapInArrow(decode, f"doc_id {dict(media.dtypes)['doc_id']}, n_bytes long, media binary, codec string, pcm binary")
+def with_media_and_pcm(docs: DataFrame, codec: str | None = None, rate: int = STORED_RATE) -> DataFrame:
+    """``with_pcm`` of ``with_media``, by the same Python worker."""
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: _decoded(_encoded(batches, codec), rate), f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, media binary, codec string, pcm binary")
 
 
 #: Samples that features are computed of at once.
@@ -262,4 +268,4 @@ def media_digest(media: DataFrame) -> DataFrame:
 
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_digest(with_pcm(with_media(table(spark, sf_dir, "documents"))))
+    return media_digest(with_media_and_pcm(table(spark, sf_dir, "documents")))
