@@ -1,18 +1,23 @@
 """Language ID by bit-sliced Bloom filters of character n-grams.
 
 N-grams are runs of three and four bytes of words in lower case with a space at
-either end.  Training counts them by language; a language's filter holds those
-whose share in the language is at least ``LEAST_SHARE`` and at least
-``RELATIVE_SHARE`` of the largest share any language has.  All filters lie in one
-array of bit masks, a bit for each language: ANDing an n-gram's rows gives all
-languages that hold it.  A text's count of hits by language, less those its
-filter would give by chance, decides.
+either end.  Training counts all of them by language.  A language has a filter
+for each of ``SHARES``: it holds the n-grams with at least that share of the
+language's own, the first one all that ever came.  All filters lie in one array
+of bit masks, a bit for each language and share: ANDing an n-gram's rows gives
+all languages that hold it, and how often it comes there.  A text's count of hits
+by language, less those its filters would give by chance, decides.
+
+Tasks set the bits of a slice of the array each; the driver gathers the slices,
+at most ``MOST_BYTES``.  Where languages have more n-grams than fit at
+``BITS_A_GRAM``, there are fewer bits for each: none is left out, chance hits are
+more and corrected as ever.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; a
 text none of whose n-grams is known gets the language with most training
-documents and score 0; rows without a language teach nothing; repeated rows
-count each time; an empty table gives no rows; with no language learned all are
-``und``.
+documents and score 0; ties go to the language that comes first by code point;
+rows without a language teach nothing; repeated rows count each time; an empty
+table gives no rows; with no language learned all are ``und``.
 """
 
 from __future__ import annotations
@@ -23,19 +28,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshed.llm.common import table
-from lakeshed.llm.words import chunks, mix
+from lakeshed.llm.common import stored, table
+from lakeshed.llm.words import CHUNK_BYTES, chunks, mix, stretches
 
-LEAST_SHARE, RELATIVE_SHARE = 2e-6, 0.3
+#: A language's filters: n-grams with at least this share of its own.
+SHARES = (0.0, 2e-6, 3e-5, 4e-4)
+LEVELS = len(SHARES)
 HASHES = 3
 BITS_A_GRAM = 16
+#: The array's largest size, and the rows that one task sets.
+MOST_BYTES = 64 << 20
+SLICE = 1 << 16
 UNKNOWN = "und"
 #: More languages than this are taken for a mistake in the column; it bounds what is broadcast and collected.
 MOST_LANGUAGES = 4096
-#: Share of a text's n-grams, beyond chance, that its language has to hold for the pipeline to keep it.
+#: Score that a text needs for the pipeline to keep it.
 LEAST_SCORE = 0.35
 #: Texts of fewer n-grams are too short to be rejected by their score.
 LEAST_GRAMS = 20
@@ -44,6 +54,7 @@ _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _FOLD[0x80:] = np.arange(0x80, 256)
+_GAPS = _FOLD == 0x20
 _U = np.uint64
 
 
@@ -71,9 +82,26 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return found, np.concatenate([owner[ok3], owner[ok4]])
 
 
+def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of runs of documents; a long one comes in stretches, which no n-gram crosses."""
+    for at, end, data, offsets in chunks(column):
+        if len(data) <= 2 * CHUNK_BYTES:
+            yield at, end, data, offsets
+        else:
+            for a, b, _ in stretches(data, _GAPS):
+                yield at, end, data[a:b], np.array([0, b - a])
+
+
+def _places(found: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """An n-gram's rows in an array of ``bits`` rows, one for each hash."""
+    h, step = mix(found), mix(found ^ _U(0xA5A5A5A5A5A5A5A5)) | _U(1)
+    for k in range(HASHES):
+        yield ((h + _U(k) * step) & _U(bits - 1)).astype(np.int64)
+
+
 @dataclass
 class Filters:
-    """rows[i] has bit k set if language k has set its filter's bit i."""
+    """rows[i] has bit LEVELS * k + l set if language k has set bit i of its filter l; chance[k, l] is a filter's share of false hits."""
 
     languages: list[str]
     most_common: int
@@ -81,28 +109,63 @@ class Filters:
     chance: np.ndarray
 
     def masks(self, found: np.ndarray) -> np.ndarray:
-        """Bit masks (one column for each 64 languages) of the languages that hold each n-gram."""
-        bits = _U(len(self.rows) - 1)
-        h, step = mix(found), mix(found ^ _U(0xA5A5A5A5A5A5A5A5)) | _U(1)
-        out = self.rows[(h & bits).astype(np.int64)]
-        for k in range(1, HASHES):
-            out = out & self.rows[((h + _U(k) * step) & bits).astype(np.int64)]
+        """Bit masks (in as many columns as it takes) of the filters that hold each n-gram."""
+        out = None
+        for place in _places(found, len(self.rows)):
+            out = self.rows[place] if out is None else out & self.rows[place]
         return out
 
+    def levels(self, masks: np.ndarray, language: int) -> np.ndarray:
+        """A language's bits of each mask as a number below 2**LEVELS."""
+        each = 8 * masks.dtype.itemsize // LEVELS
+        return (masks[:, language // each] >> masks.dtype.type(LEVELS * (language % each))) & masks.dtype.type((1 << LEVELS) - 1)
+
+
+def build(languages: list[str], rows: np.ndarray, most_common: int) -> Filters:
+    """Filters from an array of 64-bit masks, kept as narrow as the languages allow."""
+    bit = lambda k, level: np.count_nonzero(rows[:, k * LEVELS // 64] & (_U(1) << _U((k * LEVELS + level) % 64)))
+    fill = np.array([[bit(k, level) / len(rows) for level in range(LEVELS)] for k in range(len(languages))]).reshape(-1, LEVELS)
+    narrow = next((t for t in (np.uint8, np.uint16, np.uint32) if len(languages) * LEVELS <= 8 * np.dtype(t).itemsize), np.uint64)
+    return Filters(languages, most_common, rows.astype(narrow), np.minimum(fill**HASHES, 0.999))
+
 
-def build(languages: list[str], held: list[tuple[int, int]], most_common: int) -> Filters:
-    """Filters from (n-gram, language's number) pairs."""
-    each = np.bincount([k for _, k in held] or [0], minlength=max(1, len(languages)))
-    bits = 1 << max(10, int(np.ceil(np.log2(max(1, each.max()) * BITS_A_GRAM))))
-    rows = np.zeros((bits, -(-max(1, len(languages)) // 64)), np.uint64)
-    if held:
-        found, number = np.array([g for g, _ in held], np.uint64), np.array([k for _, k in held])
-        h, step = mix(found), mix(found ^ _U(0xA5A5A5A5A5A5A5A5)) | _U(1)
-        for k in range(HASHES):
-            np.bitwise_or.at(rows, (((h + _U(k) * step) & _U(bits - 1)).astype(np.int64), number // 64), _U(1) << (number % 64).astype(np.uint64))
-    fill = np.array([np.count_nonzero(rows[:, k // 64] & (_U(1) << _U(k % 64))) / bits for k in range(len(languages))])
-    dtype = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(languages) <= 8 * np.dtype(t).itemsize) if len(languages) <= 64 else np.uint64
-    return Filters(languages, most_common, rows.astype(dtype), fill**HASHES)
+def set_bits(found: np.ndarray, language: np.ndarray, level: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, mask) of the bits that n-grams set: all of a language's filters up to the level."""
+    mask = ((_U(1) << (level + 1).astype(np.uint64)) - _U(1)) << (language * LEVELS % 64).astype(np.uint64)
+    return np.concatenate(list(_places(found, bits))), np.tile(language * LEVELS // 64, HASHES), np.tile(mask, HASHES)
+
+
+def sliced(counts: DataFrame, languages: list[str], totals: dict[str, int], bits: int) -> np.ndarray:
+    """The array of masks of (lang, gram, n) rows; tasks OR their slices together."""
+    number, width = {x: k for k, x in enumerate(languages)}, -(-max(1, len(languages)) * LEVELS // 64)
+    size = min(SLICE, bits)
+    each = np.array([totals.get(x, 1) for x in languages], float)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            langs = np.array([number[x] for x in batch.column(0).to_pylist()])
+            level = np.searchsorted(SHARES, batch.column(2).to_numpy() / each[langs], "right") - 1
+            row, column, mask = set_bits(batch.column(1).to_numpy().view(np.uint64), langs, level, bits)
+            order = np.argsort(row, kind="stable")
+            row, column, mask = row[order], column[order], mask[order]
+            cuts = np.searchsorted(row, np.arange(0, bits + 1, size))
+            some = np.flatnonzero(np.diff(cuts))
+            packed = lambda x, kind: pa.array([x[cuts[k] : cuts[k + 1]].astype(kind).tobytes() for k in some], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), packed(row % size, np.uint32), packed(column, np.uint16), packed(mask, np.uint64)], ["slice", "row", "column", "mask"])
+
+    def together(group: pa.Table) -> pa.Table:
+        out = np.zeros((size, width), np.uint64)
+        for row, column, mask in zip(*(group.column(c) for c in ("row", "column", "mask")), strict=True):
+            np.bitwise_or.at(out, (np.frombuffer(row.as_buffer(), np.uint32), np.frombuffer(column.as_buffer(), np.uint16)), np.frombuffer(mask.as_buffer(), np.uint64))
+        return pa.table({"slice": group.column("slice").slice(0, 1), "rows": pa.array([out.tobytes()], pa.binary())})
+
+    rows = np.zeros((bits, width), np.uint64)
+    parts = counts.select("lang", "gram", "n").mapInArrow(deal, "slice int, row binary, column binary, mask binary").groupBy("slice").applyInArrow(together, "slice int, rows binary")
+    for r in parts.toLocalIterator():
+        rows[r["slice"] * size : (r["slice"] + 1) * size] = np.frombuffer(r["rows"], np.uint64).reshape(-1, width)
+    return rows
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
@@ -119,7 +182,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             langs = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()])
-            for at, end, data, offsets in chunks(batch.column(1)):
+            for at, end, data, offsets in pieces(batch.column(1)):
                 found, owner = grams(data, offsets)
                 of = langs[at:end][owner]
                 for k in np.unique(of):
@@ -135,20 +198,19 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 
 def learned(docs: DataFrame) -> Filters:
-    """Filters from all documents with a language.  A language keeps at most 1 / LEAST_SHARE n-grams, which bounds what the driver gathers."""
+    """Filters from all documents with a language; no n-gram is left out."""
     sizes = docs.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("docs")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = [r["lang"] for r in sizes]
-    by_gram = Window.partitionBy("gram")
-    counts = gram_counts(docs)
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total"))
-    shares = shares.filter(F.col("share") >= LEAST_SHARE * RELATIVE_SHARE).withColumn("most", F.max("share").over(by_gram))
-    held = shares.filter((F.col("share") >= LEAST_SHARE) & (F.col("share") >= RELATIVE_SHARE * F.col("most"))).select("gram", "lang").collect()
-    number = {x: k for k, x in enumerate(languages)}
+    counts = stored(gram_counts(docs), "grams")
+    facts = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("grams")).collect()
+    most = max((r["grams"] for r in facts), default=1)
+    bits = 1 << 10
+    while bits < most * BITS_A_GRAM and 2 * bits * max(8, len(languages) * LEVELS // 8) <= MOST_BYTES:
+        bits *= 2
     most_common = max(range(len(sizes)), key=lambda k: (sizes[k]["docs"], -k), default=0)
-    return build(languages, [(r["gram"], number[r["lang"]]) for r in held], most_common)
+    return build(languages, sliced(counts, languages, {r["lang"]: r["total"] for r in facts}, bits), most_common)
 
 
 def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -164,30 +226,35 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def predicted(text: pa.Array, filters: Filters) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, scores and numbers of n-grams of a column of texts."""
-    named: list[str] = []
-    scores, counts = [np.zeros(0)], [np.zeros(0, np.int64)]
-    for at, end, data, offsets in chunks(text):
+    """Languages, scores and numbers of n-grams of a column of texts.
+
+    A filter with false hits at rate c gives hits = true + c (all - true); the
+    true ones are what its popcount says.  A language's score is the mean over its
+    filters of their true hits' share of the text's n-grams.
+    """
+    rows, languages = len(text), range(len(filters.languages))
+    total, letters = np.zeros(rows, np.int64), np.zeros(rows, bool)
+    extra = np.zeros((rows, max(1, len(filters.languages))))
+    bits = np.arange(1 << LEVELS)[:, None] >> np.arange(LEVELS) & 1
+    weight = [bits @ (1 / (1 - filters.chance[k])) for k in languages]
+    by_chance = [float((filters.chance[k] / (1 - filters.chance[k])).sum()) for k in languages]
+    for at, end, data, offsets in pieces(text):
         found, owner = grams(data, offsets)
-        rows, letters = end - at, _has_letter(data, offsets)
-        total = np.bincount(owner, minlength=rows)
+        letters[at:end] |= _has_letter(data, offsets)
+        count = np.bincount(owner, minlength=end - at)
+        total[at:end] += count
         masks = filters.masks(found)
-        extra = np.zeros((rows, max(1, len(filters.languages))))
-        for k in range(len(filters.languages)):
-            hit = (masks[:, k // 64] >> masks.dtype.type(k % 64)) & masks.dtype.type(1)
-            hits = np.bincount(owner[hit.astype(bool)], minlength=rows)
-            extra[:, k] = np.maximum(hits - total * filters.chance[k], 0) / (1 - filters.chance[k])
-        best = np.where(extra.max(1) > 0, extra.argmax(1), filters.most_common)
-        share = np.clip(extra.max(1) / np.maximum(total, 1), 0, 1)
-        known = letters & bool(filters.languages)
-        named += [filters.languages[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
-        scores.append(np.where(known, share, 0.0))
-        counts.append(total)
-    return named, np.concatenate(scores), np.concatenate(counts)
+        for k in languages:
+            extra[at:end, k] += np.bincount(owner, weight[k][filters.levels(masks, k)], end - at) - count * by_chance[k]
+    extra = np.maximum(extra, 0) / LEVELS
+    best = np.where(extra.max(1) > 0, extra.argmax(1), filters.most_common)
+    known = letters & bool(filters.languages)
+    named = [filters.languages[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
+    return named, np.where(known, np.clip(extra.max(1) / np.maximum(total, 1), 0, 1), 0.0), total
 
 
 def identified(docs: DataFrame, filters: Filters) -> DataFrame:
-    """doc_id, lang_pred, score (the share of the text's n-grams, less chance, that the language's filter holds), n_grams."""
+    """doc_id, lang_pred, score (the share of the text's n-grams, less chance, that the language's filters hold, on average), n_grams."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -485,19 +485,85 @@ def test_language_id(spark, docs, none):
     assert language_id.kept_languages(docs).columns == docs.columns
 
 
-def test_bloom_rows_hold_all_languages():
-    held = [(g, k) for k in range(70) for g in range(k * 10, k * 10 + 300)]
-    filters = language_id.build([f"l{k:02d}" for k in range(70)], held, 0)
+def plain_grams(text):
+    folded = "".join(c if c.isalpha() or not c.isascii() else " " for c in (text or "").translate(LOWER))
+    out = []
+    for w in folded.encode().split():
+        padded = b" " + w + b" "
+        for size, least in ((3, 2), (4, 2)):
+            out += [padded[k : k + size] for k in range(len(padded) - size + 1) if len(w) >= least]
+    return out
+
+
+def number(gram):
+    return int.from_bytes(gram, "little") | (1 << 40 if len(gram) == 3 else 0)
+
+
+def test_grams_match_plain_ones(sample, monkeypatch):
+    import pyarrow as pa
+
+    texts = [r[1] for r in sample if r[1] is None or r[1].isascii() or r[1] == "É é"] + ["Ärger über! x yz", "a bc"]
+    want = [Counter(map(number, plain_grams(t))) for t in texts]
+    for size in (words.CHUNK_BYTES, 64):
+        monkeypatch.setattr(words, "CHUNK_BYTES", size)
+        monkeypatch.setattr(language_id, "CHUNK_BYTES", size)
+        got = [Counter() for _ in texts]
+        for at, _, data, offsets in language_id.pieces(pa.array(texts)):
+            for g, owner in zip(*(x.tolist() for x in language_id.grams(data, offsets)), strict=True):
+                got[at + owner][g] += 1
+        assert got == want
+
+
+@pytest.mark.parametrize("most_bytes", [64 << 20, 200_000])
+def test_language_filters_against_exact_sets(spark, monkeypatch, most_bytes):
+    """Filters hold every n-gram; false hits come at the stated rate; corrected popcounts are near those of exact sets, however few the bits."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(language_id, "MOST_BYTES", most_bytes)
+    rng = random.Random(8)
+    letters = ["abcdefghij", "fghijklmno", "klmnopqrst"]
+    rows = [(i, " ".join("".join(rng.choice(letters[i % 3]) for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 60))), f"l{i % 3}") for i in range(240)]
+    filters = language_id.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert filters.languages == ["l0", "l1", "l2"]
+    counts = [Counter(g for _, t, k in rows if k == lang for g in plain_grams(t)) for lang in filters.languages]
+    exact = [[{number(g) for g, n in c.items() if n / sum(c.values()) >= share} for share in language_id.SHARES] for c in counts]
+    for k, sets in enumerate(exact):
+        for level, found in enumerate(sets):
+            assert found
+            masks = filters.masks(np.array(sorted(found), np.uint64))
+            assert (filters.levels(masks, k) >> level & 1).all()
+            strange = np.array([x for x in range(1 << 41, (1 << 41) + 20_000)], np.uint64)
+            false = (filters.levels(filters.masks(strange), k) >> level & 1).mean()
+            assert false == pytest.approx(filters.chance[k, level], abs=0.02)
+    named, scores, total = language_id.predicted(pa.array([t for _, t, _ in rows]), filters)
+    for (_, text, lang), name, score, n in zip(rows, named, scores, total, strict=True):
+        found = [number(g) for g in plain_grams(text)]
+        assert n == len(found)
+        if n >= 50:
+            want = [sum(sum(g in s for g in found) for s in sets) / len(found) / language_id.LEVELS for sets in exact]
+            assert name == lang == filters.languages[int(np.argmax(want))]
+            assert score == pytest.approx(max(want), abs=0.06)
+
+
+def test_filters_of_many_languages():
+    """Bits of 70 languages lie apart."""
+    languages = [f"l{k:02d}" for k in range(70)]
+    held = [(g, k, (g + k) % language_id.LEVELS) for k in range(70) for g in range(k * 10, k * 10 + 300)]
+    found, language, level = (np.array(x) for x in zip(*held, strict=True))
+    rows = np.zeros((1 << 16, -(-70 * language_id.LEVELS // 64)), np.uint64)
+    place, column, mask = language_id.set_bits(found.astype(np.uint64), language, level, 1 << 16)
+    np.bitwise_or.at(rows, (place, column), mask)
+    filters = language_id.build(languages, rows, 0)
     masks = filters.masks(np.arange(1000, dtype=np.uint64))
-    for g, k in held:
-        assert masks[g, k // 64] >> np.uint64(k % 64) & np.uint64(1)
-    false = sum(int(masks[g, k // 64] >> np.uint64(k % 64) & np.uint64(1)) for k in range(70) for g in range(k * 10 + 300, 1000))
+    for g, k, level in held:
+        assert filters.levels(masks, k)[g] & ((1 << (level + 1)) - 1) == (1 << (level + 1)) - 1
+    false = sum(int((filters.levels(masks, k)[k * 10 + 300 :] & 1).sum()) for k in range(70))
     assert false < 0.02 * 70 * 700
 
 
 def test_media(spark, docs, sample, none):
     for codec in media.CODECS:
-        rows = media.media_digest(media.with_pcm(media.with_media(docs, codec))).collect()
+        rows = media.media_digest(media.with_media_and_pcm(docs, codec)).collect()
         assert len(rows) == len(sample)
         texts = {r[0]: (r[1] or "").encode() for r in sample}
         for r in rows:
