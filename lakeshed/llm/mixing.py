@@ -21,8 +21,10 @@ from lakeshed.llm.common import bucket_count, stored, table, totals_before, word
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
-#: Finish times of 0 to 4 in so many ranges; the mix ends near time 1.
-RANGES = 4096
+#: Finish times of 0 to 4 in at least so many ranges, more for many rows; the mix ends near time 1.
+LEAST_RANGES = 4096
+#: A number that ``mixed`` takes for the row's, if there is such a column.
+ROW = "row number for mixing"
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -53,11 +55,13 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int
     the mix; null past the end), taken.
     """
     order = F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(seed)))
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("_row"), F.coalesce(order, F.lit("")).alias("shuffle"))
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), row.alias("_row"), F.coalesce(order, F.lit("")).alias("shuffle"))
     sizes = stored(sizes, "mix-sizes")
     facts = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     rows, budget = facts[0], facts[1]
     buckets = bucket_count(rows)
+    ranges = bucket_count(4 * rows, least=LEAST_RANGES, most=1 << 20)
     digits = 5  # hex digits of the shuffle key that choose a bucket
     sizes = sizes.withColumn("bucket", F.floor(F.coalesce(F.conv(F.substring("shuffle", 1, digits), 16, 10).cast("long"), F.lit(0)) / (16**digits // min(buckets, 16**digits))))
     queued = totals_before(sizes, ["source"], "bucket", [F.col("shuffle"), F.col("doc_id"), F.col("size"), F.col("_row")], F.col("size"), "before")
@@ -66,12 +70,12 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int
     passes = F.when(F.col("source_size") > 0, F.sequence(F.lit(0), F.greatest(F.ceil(F.col("target") / F.col("source_size")), F.lit(1)).cast("int") - 1)).otherwise(F.array(F.lit(0)))
     queued = queued.withColumn("pass", F.explode(passes))
     finish = F.when(F.col("target") > 0, (F.col("pass") * F.col("source_size") + F.col("before") + F.col("size")) / F.col("target"))
-    queued = queued.withColumn("finish", F.when(F.col("size") > 0, finish)).withColumn("range", F.least(F.floor(F.col("finish") * (RANGES / 4)), F.lit(RANGES)).cast("int"))
+    queued = queued.withColumn("finish", F.when(F.col("size") > 0, finish)).withColumn("range", F.least(F.floor(F.col("finish") * (ranges / 4)), F.lit(ranges)).cast("int"))
     queued = stored(queued.drop("before"), "mix-queue")
-    ranges = queued.filter("size > 0").groupBy("range").agg(F.sum("size").alias("words"))
-    cumulative = ranges.select("range", F.sum("words").over(Window.partitionBy(F.lit(0)).orderBy("range")).alias("through"))
+    by_range = queued.filter("size > 0").groupBy("range").agg(F.sum("size").alias("words"))
+    cumulative = by_range.select("range", F.sum("words").over(Window.partitionBy(F.lit(0)).orderBy("range")).alias("through"))
     end = cumulative.filter(F.col("through") >= budget).agg(F.min("range")).first()[0]
-    end = RANGES if end is None else end
+    end = ranges if end is None else end
     served = queued.filter((F.col("size") > 0) & (F.col("range") <= end))
     served = totals_before(served, [], "range", [F.col("finish"), F.col("source").asc_nulls_last(), F.col("shuffle"), F.col("doc_id"), F.col("pass"), F.col("_row")], F.col("size"), "start_word")
     taken = F.greatest(F.least(F.col("size"), F.lit(budget) - F.col("start_word")), F.lit(0)).cast("long")
@@ -87,13 +91,15 @@ def words_taken(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` of which the mix takes at least a word, as often as it takes them.
+    """The rows of ``docs`` of which the mix takes at least a word, each as often as it takes it.
 
-    Documents of the same doc_id share the times of the one taken most.
+    Rows are written with a number of their own first, so that repeated ids and
+    rows without one are taken apart.
     """
-    times = mixed(docs).filter("taken > 0").groupBy("_row", "doc_id").agg(F.count("*").cast("int").alias("times")).groupBy("doc_id").agg(F.max("times").alias("times"))
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["doc_id"]))
-    again = joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), times["times"])).alias("turn of the mix"))
+    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "mix-docs")
+    times = mixed(numbered).filter("taken > 0").groupBy("_row").agg(F.count("*").cast("int").alias("times"))
+    joined = numbered.join(times, numbered[ROW] == times["_row"])
+    again = joined.select(*[numbered[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), times["times"])).alias("turn of the mix"))
     return again.drop("turn of the mix")
 
 
