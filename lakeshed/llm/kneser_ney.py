@@ -54,6 +54,10 @@ END = 0x5F3759DF5F3759DF
 SHARD_BYTES = 64 << 20
 LEAST_SHARDS, MOST_SHARDS = 8, 4096
 HOT = 200
+#: Words that 32 bits of a bigram's key can number; one more stands for those that training lacks.
+MOST_WORDS = (1 << 32) - 1
+#: Counts from here on lie in a list of their own, those below in 32 bits.
+MANY = (1 << 32) - 1
 #: Pairs that a counting task gathers before it merges them.
 GATHER = 4_000_000
 _U = np.uint64
@@ -231,13 +235,15 @@ def trained(docs: DataFrame) -> Model:
         often = counts * HOT > counts.sum()  # at least all that are hot overall
         return pa.table({"shard": pa.array([shard], pa.int32()), "words": [len(keys)], "tokens": [int(counts.sum())], "often": pa.array([np.flatnonzero(often).tolist()], pa.list_(pa.int64())), "often_counts": pa.array([counts[often].tolist()], pa.list_(pa.int64()))})
 
-    facts = docs.select("text").mapInArrow(count_words, binary).groupBy("shard").applyInArrow(merge_words, "shard int, words long, tokens long, often array<long>, often_counts array<long>").collect()
+    facts = docs.select("text").mapInArrow(count_words, binary).repartition(4 * shards, "shard").groupBy("shard").applyInArrow(merge_words, "shard int, words long, tokens long, often array<long>, often_counts array<long>").collect()
     by_shard = {r["shard"]: r for r in facts}
     for k in set(range(shards)) - set(by_shard):
         Store(folder).write(f"words-{k}", np.zeros(0, np.uint64))
         Store(folder).write(f"counts-{k}", np.zeros(0, np.int64))
     offsets = tuple(int(x) for x in np.concatenate([[0], np.cumsum([by_shard[k]["words"] if k in by_shard else 0 for k in range(shards)])]))
     tokens = sum(r["tokens"] for r in facts)
+    if offsets[-1] >= MOST_WORDS:
+        raise ValueError(f"{offsets[-1]} distinct words; a bigram's key has room for {MOST_WORDS}")
     hot = tuple(sorted(offsets[r["shard"]] + i for r in facts for i, n in zip(r["often"], r["often_counts"], strict=True) if n * HOT > tokens))
     if not tokens:
         return Model(folder, shards, offsets, 0, hot, (0.0,) * 3, (0.0,) * 3, 0, 1.0)
@@ -256,16 +262,17 @@ def trained(docs: DataFrame) -> Model:
 
     def merge_pairs(group: pa.Table) -> pa.Table:
         """Writes the shard's bigrams; sends on, by the shard of the word, contexts of words and what contexts have followed by."""
-        keys, counts = _merged(_blobs(group, "keys", np.uint64), _blobs(group, "counts", np.uint32))
+        keys, counts = _merged(_blobs(group, "keys", np.uint64), [x.astype(np.int64) for x in _blobs(group, "counts", np.uint32)])
         shard, store = group.column("shard")[0].as_py(), Store(folder)
+        many = np.flatnonzero(counts >= MANY)
         store.write(f"pairs-{shard}", keys)
-        store.write(f"pair-counts-{shard}", counts.astype(np.uint32))
+        store.write(f"pair-counts-{shard}", np.minimum(counts, MANY).astype(np.uint32))
+        store.write(f"pairs-of-many-{shard}", np.concatenate([many, counts[many]]))
         bounds = np.array(offsets[1:], np.uint64)
         word, before = np.unique(keys & _U(0xFFFFFFFF), return_counts=True)
         context, start = np.unique(keys >> _U(32), return_index=True)
         kinds = [np.add.reduceat((counts == c) if c < 3 else (counts >= 3), start).astype(np.uint32) for c in (1, 2, 3)]
-        many = np.minimum(counts, 5)
-        tally = [int((many == c).sum()) for c in (1, 2, 3, 4)]
+        tally = [int((counts == c).sum()) for c in (1, 2, 3, 4)]
         word_shard, context_shard = np.searchsorted(bounds, word, "right"), np.searchsorted(bounds, context, "right")
         columns: dict[str, list] = {k: [] for k in ("shard", "word", "before", "context", "kinds", "tally")}
         for k in range(shards):
@@ -295,7 +302,7 @@ def trained(docs: DataFrame) -> Model:
         own = [int((before == c).sum()) for c in (1, 2, 3, 4)] + [int((before >= 3).sum())]
         return pa.table({"shard": pa.array([shard], pa.int32()), "tally": [tally], "own": [own], "pairs": [int(before.sum())]})
 
-    pairs = docs.select("text").mapInArrow(count_pairs, binary).groupBy("shard").applyInArrow(merge_pairs, "shard int, word binary, before binary, context binary, kinds binary, tally array<long>")
+    pairs = docs.select("text").mapInArrow(count_pairs, binary).repartition(4 * shards, "shard").groupBy("shard").applyInArrow(merge_pairs, "shard int, word binary, before binary, context binary, kinds binary, tally array<long>")
     facts = pairs.groupBy("shard").applyInArrow(merge_words_again, "shard int, tally array<long>, own array<long>, pairs long").collect()
     have = set(range(shards)) - {r["shard"] for r in facts}
     if have:
@@ -320,6 +327,7 @@ class _Mapped:
         self.paths = [store.local and os.path.exists(f"{store.local}/pairs-{k}") for k in shards]
         read = lambda name, dtype: [store.read(f"{name}-{k}", dtype) if self.paths[k] or not store.local else np.zeros(0, dtype) for k in shards]
         self.pairs, self.pair_counts = read("pairs", np.uint64), read("pair-counts", np.uint32)
+        self.many = [x.reshape(2, -1) for x in read("pairs-of-many", np.int64)]
         self.end = int(self.words.numbers(np.array([END], np.uint64))[0])
 
     def _by_shard(self, names: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -362,7 +370,10 @@ class _Mapped:
             part, have = which[cuts[k] : cuts[k + 1]], self.pairs[k]
             if len(part) and len(have):
                 at = np.minimum(np.searchsorted(have, keys[part]), len(have) - 1)
-                out[part] = np.where(have[at] == keys[part], self.pair_counts[k][at], 0)
+                count, (place, exact) = self.pair_counts[k][at].astype(np.int64), self.many[k]
+                if len(place):
+                    count[np.isin(at, place)] = exact[np.searchsorted(place, at[np.isin(at, place)])]
+                out[part] = np.where(have[at] == keys[part], count, 0)
         return out
 
 
