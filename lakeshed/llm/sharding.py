@@ -119,10 +119,7 @@ def _moved(state: DataFrame, shards: int, buckets: int, turn: int, rows: dict[in
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, and how many rows share the text."""
     state = propagated(docs, shards)
-    slotted = totals_before(
-        state.withColumn("_hash", F.shiftrightunsigned(F.xxhash64("_row", F.lit(-1)), 32)).withColumn("_bucket", F.floor(F.col("_hash") / (_HASH_SPAN // 1024))),
-        ["shard"], "_bucket", [F.col("_hash"), F.col("_row")], F.lit(1), "slot",
-    )
+    slotted = _ranked(state, ["shard"], bucket_count(state.count(), least=1024), -1, "slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
