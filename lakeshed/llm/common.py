@@ -52,6 +52,11 @@ def bucket_count(rows: int, each: int = 50_000, least: int = 16, most: int = 65_
     return n
 
 
+def partitions_for(spark: SparkSession, size: int, each: int = 48 << 20) -> int:
+    """A number of partitions that leaves about ``each`` bytes in one, no fewer than the session's."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
+
+
 def totals_before(df: DataFrame, group: list[str], bucket: str, order: list[Column], value: Column, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over the group's rows that come earlier.
 

@@ -154,7 +154,7 @@ def test_ngram_join_of_blocks(docs, sample, monkeypatch):
 
 def test_ngram_join_of_hot_lists(spark, docs, sample, monkeypatch):
     """Lists dealt by batch and bridged give the same links."""
-    monkeypatch.setattr(ngram_join, "HOT", 0)
+    monkeypatch.setattr(ngram_join, "LEAST_HOT", 1)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()}
@@ -165,7 +165,7 @@ def test_ngram_join_of_hot_lists(spark, docs, sample, monkeypatch):
 
 def test_ngram_join_bridges_large_batches(spark, monkeypatch):
     """Near copies of short, hot texts in batches with different salts are linked, with many unrelated hot documents around them."""
-    monkeypatch.setattr(ngram_join, "HOT", 0)
+    monkeypatch.setattr(ngram_join, "LEAST_HOT", 1)
     rng = random.Random(23)
     prose = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
     # one word more or less at the end: 5 of 6 to 9 of 10 shingles are shared
