@@ -51,8 +51,8 @@ from lakeshed.llm.words import hashed_words, mix
 #: The end token's hash; no word of a text has it but by a chance of 2**-64.
 END = 0x5F3759DF5F3759DF
 #: Words' bytes of text for each shard; shards are a power of two.
-SHARD_BYTES = 64 << 20
-LEAST_SHARDS, MOST_SHARDS = 8, 4096
+SHARD_BYTES = 24 << 20
+LEAST_SHARDS, MOST_SHARDS = 8, 8192
 HOT = 200
 #: Words that 32 bits of a bigram's key can number; one more stands for those that training lacks.
 MOST_WORDS = (1 << 32) - 1
