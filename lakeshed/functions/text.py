@@ -50,6 +50,20 @@ def composed(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 
 
+#: Pictures, arrows, variation selectors, joiners and keycaps, which don't count in a comparison.
+PICTURES = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2190}-\x{21FF}\x{2B00}-\x{2BFF}\x{FE00}-\x{FE0F}\x{200D}\x{20E3}]"
+
+
+def compared(x: Column) -> Column:
+    """A text as it is compared, never stored: compatibility form, without pictures, white space collapsed; null is empty.
+
+    Texts of ASCII alone skip the first step.
+    """
+    plain = F.coalesce(x, F.lit(""))
+    special = composed(F.when(plain.rlike(r"[^\x00-\x7F]"), plain))
+    return collapsed(F.regexp_replace(F.coalesce(special, plain), PICTURES, ""))
+
+
 @pandas_udf(StringType())
 def unmangled(x: pd.Series) -> pd.Series:
     """UTF-8 that was read as Latin-1, read again; others as they are."""

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeshed.functions.text import compared
 from lakeshed.functions.values import differs, is_outlier, percent_change
 from lakeshed.operators.choosing import first_rows
 
@@ -65,30 +66,54 @@ def multiset_hash(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return df.groupBy(key).agg(F.sha2(F.concat_ws(",", F.array_sort(F.collect_list(row))), 256).alias("hash"), F.count("*").alias("rows"))
 
 
+def changed_groups(before: DataFrame, after: DataFrame, group: str, columns: list[str]) -> DataFrame:
+    """(group, status) of both snapshots' groups: no_change where their rows are the same, in whatever order and as often; else changed, added or removed.
+
+    Rows are hashed twice and summed by group, so that nothing is gathered; the
+    gate before a diff of rows.
+    """
+    own = [F.col(c) for c in columns]
+    parts = [F.conv(F.substring(F.sha2(F.to_json(F.struct(*own)), 256), k, 8), 16, 10).cast("decimal(20,0)") for k in (1, 9, 17, 25)]
+    hashed = lambda df, n: df.groupBy(group).agg(F.struct(F.count("*"), *[F.sum(p) for p in parts]).alias(n))
+    both = hashed(before, "_a").join(hashed(after, "_b"), group, "full_outer")
+    status = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(F.col("_a") == F.col("_b"), "no_change").otherwise("changed")
+    return both.select(group, status.alias("status"))
+
+
 def snapshot_changes(before: DataFrame, after: DataFrame, keys: list[str], measure: str, texts: list[str], sequence: str) -> DataFrame:
     """Rows added, removed or changed between two snapshots.
 
-    Of rows with the same keys the last by ``sequence`` counts.  Columns: the keys,
-    change (ADDED, REMOVED, CHANGED), field, before, after (as text), percent and
-    outlier for the measure.
+    Of rows with the same keys the last by ``sequence`` counts.  A measure that
+    turns null, or was, is a change without a percentage.  Texts are compared
+    trimmed, a null one as empty; those that differ in emoji, white space or
+    compatibility form alone (see ``compared``) are no change.  Columns: the keys,
+    change (ADDED, REMOVED, CHANGED), field, before, after (as text, at most 500
+    characters), percent and outlier for the measure.
     """
     columns = [measure, *texts]
     a = first_rows(before, keys, [F.desc(sequence)]).select(*keys, *[F.col(c).alias(f"_a_{c}") for c in columns], F.lit(True).alias("_in_a"))
     b = first_rows(after, keys, [F.desc(sequence)]).select(*keys, *[F.col(c).alias(f"_b_{c}") for c in columns], F.lit(True).alias("_in_b"))
     both = a.join(b, keys, "full_outer")
-    text = lambda c: F.col(c).cast("string")
+    number = lambda c: F.col(c).cast("string")
+    text = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
     none = F.lit(None).cast("string")
     row = lambda change, field, x, y: F.struct(F.lit(change).alias("change"), F.lit(field).alias("field"), x.alias("before"), y.alias("after"))
-    changes = [F.when(differs(F.col(f"_a_{measure}"), F.col(f"_b_{measure}")), row("CHANGED", measure, text(f"_a_{measure}"), text(f"_b_{measure}")))]
-    changes += [F.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), row("CHANGED", c, text(f"_a_{c}"), text(f"_b_{c}"))) for c in texts]
+    old, new = F.col(f"_a_{measure}"), F.col(f"_b_{measure}")
+    moved = F.coalesce(differs(old, new), F.lit(False)) | (old.isNull() != new.isNull())
+    changes = [F.when(moved, row("CHANGED", measure, number(f"_a_{measure}"), number(f"_b_{measure}")))]
+    changes += [F.when(text(f"_a_{c}") != text(f"_b_{c}"), row("CHANGED", c, text(f"_a_{c}"), text(f"_b_{c}"))) for c in texts]
     rows = (
-        F.when(F.col("_in_a").isNull(), F.array(row("ADDED", "row", none, text(f"_b_{measure}"))))
-        .when(F.col("_in_b").isNull(), F.array(row("REMOVED", "row", text(f"_a_{measure}"), none)))
+        F.when(F.col("_in_a").isNull(), F.array(row("ADDED", "row", none, number(f"_b_{measure}"))))
+        .when(F.col("_in_b").isNull(), F.array(row("REMOVED", "row", number(f"_a_{measure}"), none)))
         .otherwise(F.filter(F.array(*changes), lambda c: c.isNotNull()))
     )
-    percent = F.when(F.col("c.field") == measure, percent_change(F.col(f"_a_{measure}"), F.col(f"_b_{measure}")))
+    percent = F.when((F.col("c.change") == "CHANGED") & (F.col("c.field") == measure), percent_change(old, new))
     out = both.withColumn("c", F.explode(rows)).withColumn("percent", percent)
-    return out.select(*keys, "c.change", "c.field", "c.before", "c.after", "percent", is_outlier(F.col("percent")).alias("outlier"))
+    out = out.select(*keys, "c.change", "c.field", "c.before", "c.after", "percent", is_outlier(F.col("percent")).alias("outlier"))
+    # Only what differs comes here, so that few rows are brought to compatibility form.
+    said = lambda c: compared(F.when(F.col("field").isin(texts), F.col(c)))
+    real = ~F.col("field").isin(texts) | (said("before") != said("after"))
+    return out.filter(real).withColumns({c: F.substring(c, 1, 500) for c in ("before", "after")})
 
 
 def capture_status(before: DataFrame, after: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -108,8 +133,8 @@ def audited(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -
 
 
 def patched(df: DataFrame, patches: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """Values of ``column`` from a side table where it has one that differs; counts are left to ``audited``."""
-    side = patches.select(*keys, F.col(column).alias("_new")).dropDuplicates(keys)
+    """Values of ``column`` from a side table where it has one, the smallest if it has several; counts are left to ``audited``."""
+    side = patches.groupBy(*keys).agg(F.min(column).alias("_new"))
     return df.join(side, keys, "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
 
 
@@ -120,4 +145,5 @@ def narrowed(df: DataFrame, known: DataFrame, fields: list[str], value: str, ide
     rows = df.join(k, same, "left").withColumn("_n", F.count("_value").over(Window.partitionBy(identity)))
     verdict = F.when(F.col("_n") == 0, "unmatched").when(F.col("_n") > 1, "ambiguous").otherwise("matched")
     rows = rows.withColumns({"verdict": verdict, value: F.when(F.col("_n") == 1, F.col("_value"))})
-    return rows.dropDuplicates([identity]).drop("_n", "_value", *[f"_k_{f}" for f in fields])
+    rows = first_rows(rows, [identity], [F.asc_nulls_last("_value")])
+    return rows.drop("_n", "_value", *[f"_k_{f}" for f in fields])

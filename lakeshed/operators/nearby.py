@@ -82,7 +82,7 @@ def exact_spread(df: DataFrame, group: str, identity: str) -> DataFrame:
     With a pair at distance D and all places within R of a centre, both ends of
     the farthest pair lie at least D - R from it.  Only such places are paired.
     """
-    points = df.filter("lat is not null and lon is not null").select(group, identity, "lat", "lon")
+    points = df.filter("lat is not null and lon is not null").groupBy(group, "lat", "lon").agg(F.min(identity).alias(identity))  # places at one spot are one
     centre = points.groupBy(group).agg(((F.min("lat") + F.max("lat")) / 2).alias("_lat"), ((F.min("lon") + F.max("lon")) / 2).alias("_lon"))
     away = points.join(centre, group).withColumn("_r", metres(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
     bound = spread(points, group, identity).join(away.groupBy(group).agg(F.max("_r").alias("_most")), group)
@@ -93,27 +93,43 @@ def exact_spread(df: DataFrame, group: str, identity: str) -> DataFrame:
     return far.select(group, F.coalesce("spread", F.lit(0.0)).alias("spread"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Cuts the lineage of a round where a checkpoint folder is set, else keeps the rows in the session."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+
+
 def connected(edges: DataFrame, nodes: DataFrame, identity: str) -> DataFrame:
-    """Each node's component, its smallest id: labels pass along edges and jump; each round is checkpointed where a folder is set."""
+    """Each node's component, its smallest id: labels pass along edges and jump; raises if they don't settle."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b"), F.col("a"))).distinct()
     labels = nodes.select(F.col(identity).alias("u"), F.col(identity).alias("component"))
-    keep = (lambda x: x.checkpoint()) if nodes.sparkSession.sparkContext.getCheckpointDir() else (lambda x: x.persist())
     for _ in range(100):
         least = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("component").alias("near"))
         moved = labels.join(least, "u", "left").select("u", F.least("component", F.coalesce("near", "component")).alias("component"))
         jumped = moved.join(moved.select(F.col("u").alias("component"), F.col("component").alias("far")), "component", "left")
-        now = keep(jumped.select("u", F.coalesce("far", "component").alias("component")))
+        now = _kept(jumped.select("u", F.coalesce("far", "component").alias("component")))
         same = now.join(labels.withColumnRenamed("component", "was"), "u").filter("component <> was").isEmpty()
         labels = now
         if same:
-            break
-    return labels.select(F.col("u").alias(identity), "component")
+            return labels.select(F.col("u").alias(identity), "component")
+    raise RuntimeError("components did not settle")
 
 
-def owners(links: DataFrame, child: str, parent: str, most: int = 20) -> DataFrame:
-    """Each child's last owner along the chain of parents; a cycle ends at its smallest name.  At most ``most`` steps, doubling."""
-    now = links.select(F.col(child).alias("c"), F.col(parent).alias("p")).dropDuplicates(["c"])
-    for _ in range(max(1, math.ceil(math.log2(most)))):
-        step = now.select(F.col("c").alias("p"), F.col("p").alias("pp"))
-        now = now.join(step, "p", "left").select("c", F.when(F.col("pp").isNull() | (F.col("pp") == F.col("c")), F.col("p")).otherwise(F.col("pp")).alias("p"))
-    return now.select(F.col("c").alias(child), F.col("p").alias("owner"))
+def owners(links: DataFrame, child: str, parent: str) -> DataFrame:
+    """Each child's last owner along the chain of parents, the smallest parent where a child has several; a cycle ends at its smallest name.
+
+    Steps double each round, and with them the smallest name passed on the way.
+    Chains of n links end after log2(n) rounds; what still moves then lies in a
+    cycle or leads to one.
+    """
+    now = _kept(links.groupBy(F.col(child).alias("c")).agg(F.min(parent).alias("p")).withColumn("least", F.col("p")))
+    count, steps = now.count(), 1
+    while steps <= count:
+        ahead = now.select(F.col("c").alias("_c"), F.col("p").alias("_p"), F.col("least").alias("_least"))
+        moved = now.join(ahead, F.col("p") == F.col("_c"), "left")
+        then = _kept(moved.select("c", F.coalesce("_p", "p").alias("p"), F.least("least", F.coalesce("_least", "least")).alias("least")))
+        settled = then.join(now.select(F.col("c").alias("_c"), F.col("p").alias("_p")), (F.col("c") == F.col("_c")) & (F.col("p") != F.col("_p"))).isEmpty()
+        now, steps = then, 2 * steps
+        if settled:
+            break
+    goes_on = now.select(F.col("c").alias("_c"), F.col("least").alias("_least"))  # the smallest name ahead of a place in a cycle is the cycle's
+    return now.join(goes_on, F.col("p") == F.col("_c"), "left").select(F.col("c").alias(child), F.coalesce("_least", "p").alias("owner"))

@@ -129,26 +129,40 @@ def embedding_labels(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg(similarity.cosine(c("embedding"), c("embedding"))), 6).alias("self"))
 
 
-_PAIRS_SQL = """
-WITH a AS (SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part), p AS (
- SELECT x.p_partkey AS new_id, y.p_partkey AS old_id, x.p_brand = y.p_brand AS same_chain, x.p_type = y.p_type AS same_cuisine, abs(x.p_retailprice - y.p_retailprice) AS metres
- FROM a x JOIN a y ON x.p_name = y.p_name AND x.p_size = y.p_size AND x.p_partkey % 2 = 0 AND y.p_partkey % 2 = 1),
-l AS (SELECT *, CASE WHEN same_chain AND same_cuisine AND metres <= 100 THEN 0.99 WHEN same_chain AND metres <= 30 THEN 0.98 WHEN metres <= 50 THEN 0.95 WHEN same_chain AND metres <= 120 THEN 0.93 WHEN metres <= 250 THEN 0.85 ELSE 0.70 END::DOUBLE AS confidence FROM p)
-SELECT new_id, old_id, confidence, confidence >= 0.8 AS accepted FROM l QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY confidence DESC, metres, old_id) = 1"""
+_LISTINGS = f"""SELECT p_partkey AS id, p_brand || p_size % 5 AS slug, CASE WHEN p_partkey % 6 <> 0 THEN p_brand END AS chain, p_name AS name, p_type AS listed, p_size % 10 AS area, CASE WHEN p_partkey % 5 = 0 THEN [] ELSE ['k' || p_size % 3, 'k' || p_partkey % 4] END AS cuisines,
+ CASE WHEN p_partkey % 11 <> 0 THEN lat END AS lat, CASE WHEN p_partkey % 11 <> 0 THEN lon END AS lon FROM (SELECT *, 25.0::DOUBLE + (p_partkey % 161 * 7919 % 1201)::DOUBLE / 100000.0::DOUBLE AS lat, 55.0::DOUBLE + (p_partkey % 161 * 6101 % 1187)::DOUBLE / 100000.0::DOUBLE AS lon FROM part)"""
+_SORTED = "list_reduce(list_sort(string_split({x}, ' ')), lambda a, b: a || ' ' || b)"
+_PAIRS_SQL = f"""
+WITH l AS ({_LISTINGS}), x AS (SELECT *, {_SORTED.format(x="name")} AS words FROM l WHERE id % 2 = 0), y AS (SELECT *, {_SORTED.format(x="name")} AS words FROM l WHERE id % 2 = 1),
+p AS (SELECT x.id AS new_id, y.id AS old_id, coalesce(x.slug = y.slug, false) AS same_slug, coalesce(x.chain = y.chain, false) AS same_chain, x.name = y.name AS same_name, x.listed = y.listed AND x.name <> y.name AS same_listed_name, x.area = y.area AS same_area,
+  len(list_intersect(x.cuisines, y.cuisines)) > 0 AS shared_cuisine, len(x.cuisines) = 0 OR len(y.cuisines) = 0 AS cuisine_open, round(100 * (1 - levenshtein(x.words, y.words) / greatest(len(x.words), len(y.words))), 2) AS fuzzy, CASE WHEN x.lat IS NOT NULL AND y.lat IS NOT NULL THEN {METRES_SQL.format(a='x', b='y')} END AS metres FROM x, y),
+s AS (SELECT *, CASE WHEN same_slug AND metres <= 100 THEN 0.99 WHEN same_chain AND metres <= 30 THEN 0.98 WHEN same_chain AND metres <= 120 THEN 0.93 WHEN same_name AND metres <= 50 THEN 0.95 WHEN same_listed_name AND metres <= 50 THEN 0.94 WHEN same_name AND metres <= 250 THEN 0.85
+  WHEN fuzzy >= 90 AND metres <= 150 AND (shared_cuisine OR cuisine_open) THEN 0.80 WHEN fuzzy >= 95 AND same_area AND shared_cuisine THEN 0.70 WHEN same_slug AND metres IS NULL THEN 0.60 WHEN same_slug THEN 0.25 END::DOUBLE AS confidence FROM p WHERE metres <= 250 OR same_slug OR (same_chain AND same_area AND metres IS NULL))
+SELECT new_id, old_id, confidence, confidence >= 0.8 AS accepted FROM s WHERE confidence IS NOT NULL QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY confidence DESC, CASE WHEN metres <= 250 THEN round(metres, 3) END NULLS LAST, old_id) = 1"""
 
 
 @plans.query(_PAIRS_SQL)
 def relisted(spark: SparkSession, sf: str) -> DataFrame:
-    """New (even) against old (odd) listings that share name and area: the ladder of ways to be the same place, the best candidate of each."""
-    a = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    x, y = a.filter("p_partkey % 2 = 0").alias("x"), a.filter("p_partkey % 2 = 1").alias("y")
-    chain, cuisine = c("x.p_brand") == c("y.p_brand"), c("x.p_type") == c("y.p_type")
-    pairs = x.join(y, (c("x.p_name") == c("y.p_name")) & (c("x.p_size") == c("y.p_size"))).select(
-        c("x.p_partkey").alias("new_id"), c("y.p_partkey").alias("old_id"), (chain & cuisine).alias("same_slug"), chain.alias("same_chain"), F.lit(True).alias("same_name"),
-        F.lit(100.0).alias("fuzzy"), F.lit(False).alias("same_cuisine"), F.lit(True).alias("same_area"), F.abs(c("x.p_retailprice") - c("y.p_retailprice")).alias("metres"),
+    """New (even) against old (odd) listings: candidates by place, slug and chain, the ladder of ways to be the same place, the best candidate of each."""
+    k, part = c("p_partkey"), table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    place = lambda base, step, over: F.when(k % 11 != 0, F.lit(base) + (k % 161 * step % over) / 100000.0)
+    cuisines = F.when(k % 5 != 0, F.array(F.concat(F.lit("k"), (c("p_size") % 3).cast("string")), F.concat(F.lit("k"), (k % 4).cast("string")))).otherwise(F.array().cast("array<string>"))
+    rows = part.select(
+        k.alias("id"), F.concat("p_brand", (c("p_size") % 5).cast("string")).alias("slug"), F.when(k % 6 != 0, c("p_brand")).alias("chain"), c("p_name").alias("name"), c("p_type").alias("listed"), (c("p_size") % 10).alias("area"),
+        cuisines.alias("cuisines"), F.array_join(F.array_sort(F.split("p_name", " ")), " ").alias("words"), place(25.0, 7919, 1201).alias("lat"), place(55.0, 6101, 1187).alias("lon"),
     )
-    found = pairs.withColumn("_l", tiers.laddered(tiers.relisting_steps())).withColumn("confidence", c("_l.confidence"))
-    return tiers.best_candidate(found, "new_id", [F.desc("confidence"), F.asc("metres"), F.asc("old_id")], 0.8).select("new_id", "old_id", "confidence", "accepted")
+    new, old = rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1")
+    x, y = new.alias("x"), old.alias("y")
+    pairs = tiers.relisting_candidates(new, old, ["name", "cuisines"]).join(x, c("new_id") == c("x.id")).join(y, c("old_id") == c("y.id"))
+    same = lambda name: F.coalesce(c(f"x.{name}") == c(f"y.{name}"), F.lit(False))
+    pairs = pairs.select(
+        "new_id", "old_id", same("slug").alias("same_slug"), same("chain").alias("same_chain"), same("name").alias("same_name"), (same("listed") & ~same("name")).alias("same_listed_name"), same("area").alias("same_area"),
+        F.arrays_overlap("x.cuisines", "y.cuisines").alias("shared_cuisine"), ((F.size("x.cuisines") == 0) | (F.size("y.cuisines") == 0)).alias("cuisine_open"),
+        similarity.levenshtein_score(c("x.words"), c("y.words")).alias("fuzzy"), metres(c("x.lat"), c("x.lon"), c("y.lat"), c("y.lon")).alias("metres"),
+    )
+    found = pairs.withColumn("_l", tiers.laddered(tiers.relisting_steps())).withColumn("confidence", c("_l.confidence")).filter("confidence > 0")
+    order = [F.desc("confidence"), F.asc_nulls_last(F.when(c("metres") <= 250, F.round("metres", 3))), F.asc("old_id")]
+    return tiers.best_candidate(found, "new_id", order, 0.8).select("new_id", "old_id", "confidence", "accepted")
 
 
 @plans.query("""
@@ -197,7 +211,7 @@ WITH RECURSIVE l AS (SELECT s_suppkey AS child, s_suppkey // 2 AS parent FROM su
 SELECT child, min(top) AS owner FROM r GROUP BY 1""")
 def ultimate_owners(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "supplier").filter("s_suppkey > 1").select(c("s_suppkey").alias("child"), F.floor(c("s_suppkey") / 2).alias("parent"))
-    return nearby.owners(rows, "child", "parent", 64)
+    return nearby.owners(rows, "child", "parent")
 
 
 @plans.query("""

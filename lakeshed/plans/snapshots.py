@@ -17,27 +17,32 @@ c = F.col
 
 _KEYS = ["l_orderkey", "l_linenumber"]
 _FROM = "FROM lineitem"
-_A = f"SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price, l_returnflag AS flag {_FROM} WHERE l_orderkey % 13 <> 0"
-_B = f"SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 7 = 0 THEN l_extendedprice * 1.05 WHEN l_partkey % 97 = 0 THEN l_extendedprice * 9 ELSE l_extendedprice END AS price, CASE WHEN l_partkey % 31 = 0 THEN 'X' ELSE l_returnflag END AS flag {_FROM} WHERE l_orderkey % 11 <> 0"
-_LAST = "QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, price DESC) = 1"
+_A = f"SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 83 <> 0 THEN l_extendedprice END AS price, CASE WHEN l_partkey % 41 <> 0 THEN l_returnflag END AS flag {_FROM} WHERE l_orderkey % 13 <> 0"
+_B = f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 89 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN l_extendedprice * 1.05 WHEN l_partkey % 97 = 0 THEN l_extendedprice * 9 ELSE l_extendedprice END AS price,
+ CASE WHEN l_partkey % 41 = 0 THEN '' WHEN l_partkey % 31 = 0 THEN 'X' WHEN l_partkey % 29 = 0 THEN l_returnflag || ' ☕' WHEN l_partkey % 23 = 0 THEN '  ' || l_returnflag ELSE l_returnflag END AS flag {_FROM} WHERE l_orderkey % 11 <> 0"""
+_LAST = "QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, price DESC NULLS LAST) = 1"
 
 
 def _months(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Two captures of the lines: prices and flags change, orders come and go."""
+    """Two captures of the lines: prices change, come and go, flags change in earnest or in looks alone, orders come and go."""
     rows = table(spark, sf, "lineitem").select(*_KEYS, "l_partkey", c("l_extendedprice").alias("price"), c("l_returnflag").alias("flag"))
-    price = F.when(c("l_partkey") % 7 == 0, c("price") * 1.05).when(c("l_partkey") % 97 == 0, c("price") * 9).otherwise(c("price"))
-    after = rows.withColumns({"price": price, "flag": F.when(c("l_partkey") % 31 == 0, "X").otherwise(c("flag"))})
+    k, flag = c("l_partkey"), c("flag")
+    price = F.when(k % 89 == 0, None).when(k % 7 == 0, c("price") * 1.05).when(k % 97 == 0, c("price") * 9).otherwise(c("price"))
+    said = F.when(k % 41 == 0, "").when(k % 31 == 0, "X").when(k % 29 == 0, F.concat(flag, F.lit(" ☕"))).when(k % 23 == 0, F.concat(F.lit("  "), flag)).otherwise(flag)
+    before = rows.withColumns({"price": F.when(k % 83 != 0, c("price")), "flag": F.when(k % 41 != 0, flag)})
+    after = rows.withColumns({"price": price, "flag": said})
     seq = F.struct("l_partkey", "price")
-    return rows.filter("l_orderkey % 13 <> 0").withColumn("seq", seq), after.filter("l_orderkey % 11 <> 0").withColumn("seq", seq)
+    return before.filter("l_orderkey % 13 <> 0").withColumn("seq", seq), after.filter("l_orderkey % 11 <> 0").withColumn("seq", seq)
 
 
+_SEEN = r"trim(regexp_replace(regexp_replace(coalesce({x}, ''), '[\x{{1F000}}-\x{{1FAFF}}\x{{2600}}-\x{{27BF}}]', '', 'g'), '\s+', ' ', 'g'))"
 _CHANGES = f"""
 WITH a AS ({_A} {_LAST}), b AS ({_B} {_LAST}),
 j AS (SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, coalesce(a.l_linenumber, b.l_linenumber) AS l_linenumber, a.price AS p, b.price AS q, a.flag AS f, b.flag AS g, a.l_orderkey IS NOT NULL AS ina, b.l_orderkey IS NOT NULL AS inb FROM a FULL JOIN b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber),
 x AS (
  SELECT l_orderkey, l_linenumber, CASE WHEN ina THEN 'REMOVED' ELSE 'ADDED' END AS change, 'row' AS field, NULL::DOUBLE AS percent FROM j WHERE NOT ina OR NOT inb
- UNION ALL SELECT l_orderkey, l_linenumber, 'CHANGED', 'price', round((q - p) / nullif(p, 0) * 100, 2) FROM j WHERE ina AND inb AND abs(p - q) > 0.01
- UNION ALL SELECT l_orderkey, l_linenumber, 'CHANGED', 'flag', NULL FROM j WHERE ina AND inb AND f IS DISTINCT FROM g)
+ UNION ALL SELECT l_orderkey, l_linenumber, 'CHANGED', 'price', round((q - p) / nullif(p, 0) * 100, 2) FROM j WHERE ina AND inb AND (abs(p - q) > 0.01 OR (p IS NULL) <> (q IS NULL))
+ UNION ALL SELECT l_orderkey, l_linenumber, 'CHANGED', 'flag', NULL FROM j WHERE ina AND inb AND {_SEEN.format(x='f')} <> {_SEEN.format(x='g')})
 SELECT l_orderkey, l_linenumber, change, field, percent, coalesce(abs(percent) > 300, false) AS outlier FROM x"""
 
 
@@ -48,6 +53,18 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     return merging.snapshot_changes(before, after, _KEYS, "price", ["flag"], "seq").select(*_KEYS, "change", "field", "percent", "outlier")
 
 
+@plans.query(f"""
+WITH a AS (SELECT l_orderkey, string_agg(l_linenumber || ':' || coalesce(price::DECIMAL(18, 2)::VARCHAR, '') || ':' || coalesce(flag, ''), ',' ORDER BY l_linenumber, price, flag) AS x FROM ({_A}) GROUP BY 1),
+b AS (SELECT l_orderkey, string_agg(l_linenumber || ':' || coalesce(price::DECIMAL(18, 2)::VARCHAR, '') || ':' || coalesce(flag, ''), ',' ORDER BY l_linenumber, price, flag) AS x FROM ({_B}) GROUP BY 1)
+SELECT CASE WHEN a.x IS NULL THEN 'added' WHEN b.x IS NULL THEN 'removed' WHEN a.x = b.x THEN 'no_change' ELSE 'changed' END AS status, count(*) AS orders FROM a FULL JOIN b USING (l_orderkey) GROUP BY 1""")
+def changed_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose lines are the same in both captures, and others: the gate before the diff of lines."""
+    shown = lambda df: df.select("l_orderkey", "l_linenumber", F.coalesce(c("price").cast("decimal(18,2)").cast("string"), F.lit("")).alias("price"), F.coalesce("flag", F.lit("")).alias("flag"))
+    before, after = _months(spark, sf)
+    out = merging.changed_groups(shown(before), shown(after), "l_orderkey", ["l_linenumber", "price", "flag"])
+    return out.groupBy("status").agg(F.count("*").alias("orders"))
+
+
 @plans.query(f"SELECT change, field, count(*) AS n, count(*) FILTER (outlier) AS outliers, coalesce({mean_money_sql('percent')}, 0) AS mean FROM ({_CHANGES}) GROUP BY 1, 2")
 def change_counters(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot_diff(spark, sf).groupBy("change", "field").agg(F.count("*").alias("n"), F.count_if("outlier").alias("outliers"), F.coalesce(mean_money(c("percent")), F.lit(0.0)).alias("mean"))

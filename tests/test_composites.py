@@ -50,15 +50,42 @@ def test_rules_and_ladders(spark):
     rows = spark.createDataFrame([(1, "Iced TEA", "soups"), (2, "x", "hot tea"), (3, None, None)], "id int, name string, category string")
     got = {r["id"]: (r["label"], r["field"]) for r in tiers.rule_value(rows, "id", ["name", "category"], rules).collect()}
     assert got == {1: ("drink", "name"), 2: ("drink", "category"), 3: (None, None)}
-    pair = spark.createDataFrame([(True, True, True, 100.0, True, True, 20.0), (True, False, False, 0.0, False, False, None)], "same_slug boolean, same_chain boolean, same_name boolean, fuzzy double, same_cuisine boolean, same_area boolean, metres double")
-    assert [r[0]["confidence"] for r in pair.select(tiers.laddered(tiers.relisting_steps())).collect()] == [0.99, 0.25]
+
+
+def test_relisting_ladder(spark):
+    """Each rule in its order, as the ladder's own cases have them."""
+    names = ["same_slug", "same_chain", "same_name", "same_listed_name", "same_area", "shared_cuisine", "cuisine_open", "fuzzy", "metres"]
+    case = lambda **x: tuple(x.get(n, {"fuzzy": 0.0, "metres": None}.get(n, False)) for n in names)
+    cases = [
+        (0.99, case(same_slug=True, same_chain=True, metres=100.0)), (0.98, case(same_chain=True, metres=30.0)), (0.93, case(same_chain=True, same_name=True, metres=45.0)), (0.95, case(same_name=True, metres=50.0)), (0.94, case(same_listed_name=True, metres=50.0)),
+        (0.85, case(same_name=True, metres=250.0)), (0.80, case(fuzzy=92.0, metres=100.0, cuisine_open=True)), (0.80, case(fuzzy=90.0, metres=150.0, shared_cuisine=True)), (0.0, case(fuzzy=92.0, metres=100.0)), (0.70, case(fuzzy=95.0, same_area=True, shared_cuisine=True)),
+        (0.0, case(fuzzy=99.0, same_area=True)), (0.60, case(same_slug=True)), (0.25, case(same_slug=True, metres=5000.0)), (0.0, case()),
+    ]
+    rows = spark.createDataFrame([(i, *x) for i, (_, x) in enumerate(cases)], "i int, same_slug boolean, same_chain boolean, same_name boolean, same_listed_name boolean, same_area boolean, shared_cuisine boolean, cuisine_open boolean, fuzzy double, metres double")
+    got = {r["i"]: r["c"] for r in rows.select("i", tiers.laddered(tiers.relisting_steps())["confidence"].alias("c")).collect()}
+    assert got == {i: want for i, (want, _) in enumerate(cases)}
+
+
+def test_close_vocabulary(spark):
+    words = spark.createDataFrame([("Hor Al Anz", ["Dubai"]), ("Al Barsha 1", ["Dubai"]), ("Al Barsha 3", None), ("Marina View", ["Dubai"]), ("Khalidiya Street", ["Abu Dhabi"]), ("Green Park East", None), ("Green Park Easy", None)], "term string, cities array<string>")
+    said = [(1, "anz hor al", "Dubai"), (2, "Al Barsha 2", None), (3, "Khalidiya Stret", "Dubai"), (4, "Khalidiya Stret", "Abu Dhabi"), (5, "Green Park Eas", None), (6, "nothing like it", None), (7, None, None), (8, "Marina Vieew", None)]
+    out = tiers.close_vocabulary_value(spark.createDataFrame(said, "id int, said string, city string"), "id", "said", "city", words, "term")
+    assert {r["id"]: (r["term"], r["method"]) for r in out.collect()} == {
+        1: ("Hor Al Anz", "close"), 2: (None, "tie"), 3: (None, "wrong city"), 4: ("Khalidiya Street", "close"), 5: (None, "tie"), 6: (None, "none"), 7: (None, "none"), 8: ("Marina View", "close"),
+    }
+    one = tiers.close_vocabulary_value(spark.createDataFrame([(2, "Al Barsha 2", None)], "id int, said string, city string"), "id", "said", "city", words.filter("term = 'Al Barsha 1'"), "term")
+    assert one.first()["method"] == "numbered"
 
 
 def test_owners_and_sitemaps(spark):
-    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "x")], "child string, parent string")
-    assert {tuple(r) for r in nearby.owners(links, "child", "parent").collect()} == {("a", "c"), ("b", "c"), ("x", "x")}
+    pairs = [("a", "b"), ("b", "c"), ("x", "x"), ("p", "q"), ("q", "p"), ("u", "v"), ("v", "w"), ("w", "u"), ("aa", "w"), ("two", "k"), ("two", "c")] + [(f"n{k}", f"n{k + 1}") for k in range(40)]
+    links = spark.createDataFrame(pairs, "child string, parent string")
+    want = {("a", "c"), ("b", "c"), ("x", "x"), ("p", "p"), ("q", "p"), ("u", "u"), ("v", "u"), ("w", "u"), ("aa", "u"), ("two", "c")} | {(f"n{k}", "n40") for k in range(40)}
+    assert {tuple(r) for r in nearby.owners(links, "child", "parent").collect()} == want
     edges = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "r")], "parent string, child string")
     assert {tuple(r) for r in h.sitemap_closure(edges, spark.createDataFrame([("r",)], "url string")).collect()} == {("r", 0), ("a", 1), ("b", 2)}
+    deep = spark.createDataFrame([(f"u{k}", f"u{k + 1}") for k in range(11)], "parent string, child string")
+    assert h.sitemap_closure(deep, spark.createDataFrame([("u0",)], "url string")).count() == 12
 
 
 def test_streams(spark, tmp_path):

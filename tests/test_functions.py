@@ -119,6 +119,15 @@ def test_snapshot_cases(spark):
     assert got == {
         (1, "CHANGED", "price"): (25.0, False), (2, "CHANGED", "name"): (None, False), (3, "CHANGED", "price"): (15800.0, True), (4, "REMOVED", "row"): (None, False), (5, "ADDED", "row"): (None, False), (6, "CHANGED", "price"): (None, False),
     }
+    # prices that come or go; texts that differ in looks alone, a real rename, a change of case, null and empty
+    texts = [("tea", "tea 🍵"), ("a  b ", "a\u00a0b"), ("Ｆｕｌｌ", "Full"), ("x", "y"), ("Tea", "tea"), (None, ""), (None, "new"), ("🍵", None)]
+    before = spark.createDataFrame([(k, 1.0, x, 1) for k, (x, _) in enumerate(texts)] + [(20, None, "p", 1), (21, 4.0, "p", 1), (22, None, "p", 1)], schema)
+    after = spark.createDataFrame([(k, 1.0, y, 1) for k, (_, y) in enumerate(texts)] + [(20, 3.0, "p", 1), (21, None, "p", 1), (22, None, "p", 1)], schema)
+    got = {(r["k"], r["field"], r["before"], r["after"]) for r in merging.snapshot_changes(before, after, ["k"], "price", ["name"], "seq").collect()}
+    assert got == {(3, "name", "x", "y"), (4, "name", "Tea", "tea"), (6, "name", "", "new"), (20, "price", None, "3.0"), (21, "price", "4.0", None)}
+    # the gate: order and repeats
+    gate = lambda x, y: {r["k"]: r["status"] for r in merging.changed_groups(spark.createDataFrame(x, "k int, v string"), spark.createDataFrame(y, "k int, v string"), "k", ["v"]).collect()}
+    assert gate([(1, "a"), (1, "b"), (2, "a"), (2, "a"), (3, None)], [(1, "b"), (1, "a"), (2, "a"), (4, "x")]) == {1: "no_change", 2: "changed", 3: "removed", 4: "added"}
     a = spark.createDataFrame([(1, 1.0), (1, 2.0)], "b int, p double")
     hashes = [merging.multiset_hash(x, "b", ["p"]).first()["hash"] for x in (a, a.orderBy(F.desc("p")))]
     assert hashes[0] == hashes[1]
