@@ -130,7 +130,7 @@ def embedding_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _LISTINGS = f"""SELECT p_partkey AS id, p_brand || p_size % 5 AS slug, CASE WHEN p_partkey % 6 <> 0 THEN p_brand END AS chain, p_name AS name, p_type AS listed, p_size % 10 AS area, CASE WHEN p_partkey % 5 = 0 THEN [] ELSE ['k' || p_size % 3, 'k' || p_partkey % 4] END AS cuisines,
- CASE WHEN p_partkey % 11 <> 0 THEN lat END AS lat, CASE WHEN p_partkey % 11 <> 0 THEN lon END AS lon FROM (SELECT *, 25.0::DOUBLE + (p_partkey % 161 * 7919 % 1201)::DOUBLE / 100000.0::DOUBLE AS lat, 55.0::DOUBLE + (p_partkey % 161 * 6101 % 1187)::DOUBLE / 100000.0::DOUBLE AS lon FROM part)"""
+ CASE WHEN p_partkey % 11 <> 0 THEN lat END AS lat, CASE WHEN p_partkey % 11 <> 0 THEN lon END AS lon FROM (SELECT *, 25.0::DOUBLE + (p_partkey // 2 * 7919 % 40009 + p_partkey % 5 * 20)::DOUBLE / 100000.0::DOUBLE AS lat, 55.0::DOUBLE + (p_partkey // 2 * 6101 % 39989)::DOUBLE / 100000.0::DOUBLE AS lon FROM part)"""
 _SORTED = "list_reduce(list_sort(string_split({x}, ' ')), lambda a, b: a || ' ' || b)"
 _PAIRS_SQL = f"""
 WITH l AS ({_LISTINGS}), x AS (SELECT *, {_SORTED.format(x="name")} AS words FROM l WHERE id % 2 = 0), y AS (SELECT *, {_SORTED.format(x="name")} AS words FROM l WHERE id % 2 = 1),
@@ -145,11 +145,12 @@ SELECT new_id, old_id, confidence, confidence >= 0.8 AS accepted FROM s WHERE co
 def relisted(spark: SparkSession, sf: str) -> DataFrame:
     """New (even) against old (odd) listings: candidates by place, slug and chain, the ladder of ways to be the same place, the best candidate of each."""
     k, part = c("p_partkey"), table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    place = lambda base, step, over: F.when(k % 11 != 0, F.lit(base) + (k % 161 * step % over) / 100000.0)
+    half = F.floor(k / 2)
+    place = lambda base, at: F.when(k % 11 != 0, F.lit(base) + at / 100000.0)
     cuisines = F.when(k % 5 != 0, F.array(F.concat(F.lit("k"), (c("p_size") % 3).cast("string")), F.concat(F.lit("k"), (k % 4).cast("string")))).otherwise(F.array().cast("array<string>"))
     rows = part.select(
         k.alias("id"), F.concat("p_brand", (c("p_size") % 5).cast("string")).alias("slug"), F.when(k % 6 != 0, c("p_brand")).alias("chain"), c("p_name").alias("name"), c("p_type").alias("listed"), (c("p_size") % 10).alias("area"),
-        cuisines.alias("cuisines"), F.array_join(F.array_sort(F.split("p_name", " ")), " ").alias("words"), place(25.0, 7919, 1201).alias("lat"), place(55.0, 6101, 1187).alias("lon"),
+        cuisines.alias("cuisines"), F.array_join(F.array_sort(F.split("p_name", " ")), " ").alias("words"), place(25.0, half * 7919 % 40009 + k % 5 * 20).alias("lat"), place(55.0, half * 6101 % 39989).alias("lon"),
     )
     new, old = rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1")
     x, y = new.alias("x"), old.alias("y")
