@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from lakeshed.plans import matching, relational, resolving, snapshots, texts
+from lakeshed.plans import matching, records, relational, resolving, snapshots, texts
 from lakeshed.plans.base import Query
 
 FLAGSHIP = "snapshot_diff"
-_MODULES = (relational, texts, matching, resolving, snapshots)
+_MODULES = (relational, texts, matching, resolving, records, snapshots)
 
 
 def queries() -> dict[str, Query]:
