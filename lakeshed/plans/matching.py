@@ -124,9 +124,14 @@ def nearest_embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query("""
-SELECT label, count(*) AS n, round(avg(list_cosine_similarity(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS self FROM embeddings GROUP BY 1""")
+WITH q AS (SELECT vec_id AS q, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 100 = 0), r AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT q, vec_id, label, round(list_cosine_similarity(q.e, r.e), 6) AS similarity FROM q, r WHERE q <> vec_id),
+k AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY q ORDER BY similarity DESC, vec_id) <= 5), m AS (SELECT q, label, count(*) AS n FROM k GROUP BY 1, 2)
+SELECT q, label, n AS votes FROM m QUALIFY row_number() OVER (PARTITION BY q ORDER BY n DESC, label) = 1""")
 def embedding_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg(similarity.cosine(c("embedding"), c("embedding"))), 6).alias("self"))
+    """The label that most of a vector's five most similar ones have."""
+    near = nearest_embeddings(spark, sf).join(table(spark, sf, "embeddings").select("vec_id", "label"), "vec_id")
+    return choosing.modes(near, ["q"], "label").select("q", "label", c("n").alias("votes"))
 
 
 _LISTINGS = f"""SELECT p_partkey AS id, p_brand || p_size % 5 AS slug, CASE WHEN p_partkey % 6 <> 0 THEN p_brand END AS chain, p_name AS name, p_type AS listed, p_size % 10 AS area, CASE WHEN p_partkey % 5 = 0 THEN [] ELSE ['k' || p_size % 3, 'k' || p_partkey % 4] END AS cuisines,
@@ -196,14 +201,16 @@ def canonical_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query("""
-WITH a AS (SELECT c_nationkey AS k, count(*) AS official FROM customer WHERE c_nationkey % 3 <> 0 GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) * 12 AS reported FROM supplier GROUP BY 1), e AS (SELECT n_nationkey AS k, 60::BIGINT AS estimate FROM nation),
+WITH a AS (SELECT c_nationkey AS k, count(*) AS official FROM customer WHERE c_nationkey % 3 <> 0 GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) * 12 AS reported FROM supplier GROUP BY 1), e AS (SELECT n_nationkey AS k, (SELECT count(*) FROM customer) // (SELECT count(*) FROM nation) + n_nationkey AS estimate FROM nation),
 x AS (SELECT e.k, official, reported, estimate FROM e LEFT JOIN a USING (k) LEFT JOIN b USING (k))
 SELECT k, CASE WHEN official IS NULL THEN reported WHEN reported IS NULL THEN official WHEN greatest(official, reported) - least(official, reported) <= 0.1 * greatest(official, reported) THEN official WHEN abs(official - estimate) <= abs(reported - estimate) THEN official ELSE reported END AS planned,
  greatest(official, reported) - least(official, reported) <= 0.1 * greatest(official, reported) AS agreed FROM x""")
 def planned_counts(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "customer").filter("c_nationkey % 3 <> 0").groupBy(c("c_nationkey").alias("k")).agg(F.count("*").alias("official"))
     b = table(spark, sf, "supplier").groupBy(c("s_nationkey").alias("k")).agg((F.count("*") * 12).alias("reported"))
-    rows = table(spark, sf, "nation").select(c("n_nationkey").alias("k"), F.lit(60).cast("long").alias("estimate")).join(a, "k", "left").join(b, "k", "left")
+    usual = table(spark, sf, "customer").agg(F.count("*").alias("people")).crossJoin(table(spark, sf, "nation").agg(F.count("*").alias("nations")))  # one row
+    nation = table(spark, sf, "nation").crossJoin(F.broadcast(usual))
+    rows = nation.select(c("n_nationkey").alias("k"), (F.floor(c("people") / c("nations")) + c("n_nationkey")).alias("estimate")).join(a, "k", "left").join(b, "k", "left")
     return tiers.planned_counts(rows, ["official", "reported"], "estimate").select("k", "planned", "agreed")
 
 

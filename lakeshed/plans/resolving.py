@@ -96,14 +96,17 @@ def types_from_hints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query("""
-SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_type WHEN p_partkey % 5 = 0 THEN p_type WHEN p_partkey % 7 = 0 THEN p_type ELSE p_brand END AS label,
- CASE WHEN p_partkey % 3 = 0 THEN 'same' WHEN p_partkey % 5 = 0 THEN 'only one' WHEN p_partkey % 7 = 0 THEN 'neighbours back the old' WHEN p_partkey % 11 = 0 THEN 'neighbours back the new' ELSE 'newer' END AS why FROM part""")
+WITH m AS (SELECT p_name, p_type, count(*) AS n FROM part GROUP BY 1, 2), v AS (SELECT p_name, p_type AS voted, n FROM m QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY n DESC, p_type) = 1),
+x AS (SELECT a.p_partkey, a.p_type AS old, b.p_type AS new, v.voted, v.n FROM part a LEFT JOIN part b ON b.p_partkey = a.p_partkey + 7 AND a.p_partkey % 5 <> 0 JOIN v ON v.p_name = a.p_name)
+SELECT p_partkey, CASE WHEN old = new OR new IS NULL THEN old WHEN n >= 3 AND voted = new THEN new WHEN n >= 3 AND voted = old THEN old ELSE new END AS label,
+ CASE WHEN old = new THEN 'same' WHEN new IS NULL THEN 'only one' WHEN n >= 3 AND voted = new THEN 'neighbours back the new' WHEN n >= 3 AND voted = old THEN 'neighbours back the old' ELSE 'newer' END AS why FROM x""")
 def label_conflicts(spark: SparkSession, sf: str) -> DataFrame:
-    k = c("p_partkey")
-    new = F.when(k % 3 == 0, c("p_type")).when(k % 5 != 0, c("p_brand"))
-    voted = F.when(k % 7 == 0, c("p_type")).when(k % 11 == 0, c("p_brand")).otherwise("else")
-    rows = table(spark, sf, "part").select("p_partkey", resolving.arbitrated(c("p_type"), new, voted, F.lit(4), 4).alias("x"))
-    return rows.select("p_partkey", "x.label", "x.why")
+    """A part's type against that of another month (the part seven on), arbitrated by the types of parts of its name."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    later = part.select((c("p_partkey") - 7).alias("p_partkey"), c("p_type").alias("new")).filter(c("p_partkey") % 5 != 0)
+    votes = choosing.modes(part, ["p_name"], "p_type").select("p_name", c("p_type").alias("voted"), "n")
+    rows = part.join(later, "p_partkey", "left").join(votes, "p_name")
+    return rows.select("p_partkey", resolving.arbitrated(c("p_type"), c("new"), c("voted"), c("n"), 3).alias("x")).select("p_partkey", "x.label", "x.why")
 
 
 @plans.query("""
@@ -144,11 +147,20 @@ def separation_test(spark: SparkSession, sf: str) -> DataFrame:
     return resolving.separated(before, after, "s_suppkey", "g").withColumn("was", c("was").cast("int"))
 
 
-@plans.query()
+@plans.query(f"""
+WITH u AS ({_C}), s AS (SELECT s_suppkey, s_nationkey AS nation, {places_sql('s_suppkey', 0)} FROM supplier),
+d AS (SELECT s_suppkey, c_mktsegment, c_custkey, sqrt(pow(s.lat - u.lat, 2) + pow(s.lon - u.lon, 2)) * 111 AS km FROM s, u WHERE sqrt(pow(s.lat - u.lat, 2) + pow(s.lon - u.lon, 2)) * 111 <= 15),
+k AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY km, c_custkey) <= 3), m AS (SELECT s_suppkey, c_mktsegment, count(*) AS n FROM k GROUP BY 1, 2),
+v AS (SELECT s_suppkey, c_mktsegment AS vote FROM m QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY n DESC, c_mktsegment) = 1),
+g AS (SELECT c_nationkey, c_mktsegment, count(*) AS n, sum(count(*)) OVER (PARTITION BY c_nationkey) AS total FROM customer GROUP BY 1, 2),
+t AS (SELECT c_nationkey AS nation, c_mktsegment AS main FROM g QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY n DESC, c_mktsegment) = 1 AND total >= 3 AND n >= 0.2 * total),
+x AS (SELECT s.s_suppkey, s.nation, p.c_mktsegment AS city, coalesce(vote = main AND p.c_mktsegment IS DISTINCT FROM vote, false) AS corrected, vote FROM s LEFT JOIN customer p ON p.c_custkey = s.s_suppkey LEFT JOIN v USING (s_suppkey) LEFT JOIN t USING (nation))
+SELECT s_suppkey, nation, CASE WHEN corrected THEN vote ELSE city END AS city, corrected FROM x""")
 def corrected_cities(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers' cities (segments, here) against the vote of near customers and their nation's dominant one."""
+    """Suppliers' cities (segments, here; stated by the customer of the same number) against the vote of near customers and their nation's dominant one."""
     people = places(table(spark, sf, "customer"), "c_custkey", 13)
     shops = places(table(spark, sf, "supplier").select("s_suppkey", c("s_nationkey").alias("nation")), "s_suppkey", 0)
     vote = nearby.vote(shops, people, "s_suppkey", "c_custkey", "c_mktsegment", 3, 15.0)
     main = choosing.dominant(people.withColumnRenamed("c_nationkey", "nation"), ["nation"], "c_mktsegment", 3, 0.2)
-    return resolving.corrected_city(shops.withColumn("city", F.lit("BUILDING")), "s_suppkey", "city", vote, main, "nation", "c_mktsegment").select("s_suppkey", "nation", "city", "corrected")
+    stated = shops.join(people.select(c("c_custkey").alias("s_suppkey"), c("c_mktsegment").alias("city")), "s_suppkey", "left")
+    return resolving.corrected_city(stated, "s_suppkey", "city", vote, main, "nation", "c_mktsegment").select("s_suppkey", "nation", "city", "corrected")

@@ -151,3 +151,14 @@ SELECT doc_id, n > 0 AS grounded, n FROM (SELECT doc_id, len(regexp_extract_all(
 def evidence_numbers(spark: SparkSession, sf: str) -> DataFrame:
     n = F.regexp_count("text", F.lit("[0-9]{3}-[0-9]{4}")).cast("long")
     return table(spark, sf, "documents").filter(c("text").isNotNull()).select("doc_id", (n > 0).alias("grounded"), n.alias("n"))
+
+
+@plans.query("""
+WITH w AS (SELECT a.p_partkey, list_distinct(list_filter(string_split(lower(a.p_name || ' ' || a.p_type), ' '), lambda x: len(x) > 2)) AS words, b.p_name AS e1, lower(b.p_type || ' ' || a.p_name) AS e2 FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1)
+SELECT p_partkey, greatest(len(list_intersect(words, string_split(e1, ' '))), len(list_intersect(words, string_split(e2, ' ')))) >= len(words) AS grounded FROM w""")
+def grounded_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether what a part says of itself is held by one of two texts of the next one."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    after = part.select((c("p_partkey") - 1).alias("p_partkey"), c("p_name").alias("e1"), c("p_type").alias("t"))
+    rows = part.join(after, "p_partkey").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("claim"), F.array("e1", F.concat_ws(" ", "t", "p_name")).alias("evidence"))
+    return tiers.grounded(rows, "claim", "evidence", t.significant).select("p_partkey", "grounded")
