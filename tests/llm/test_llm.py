@@ -196,6 +196,51 @@ def test_ngram_join_counts_links(docs, sample, monkeypatch, most):
     assert max(want.values()) > 2
 
 
+def test_ngram_join_of_odd_ids(spark):
+    """One id with several texts, no id, ids that are strings: each text is in its own class."""
+    base = "one two three four five six seven eight nine ten eleven twelve"
+    other = "uno due tre quattro cinque sei sette otto nove dieci undici dodici"
+    rows = [("b", base), ("a", base + " thirteen"), ("c", other), ("b", other + " tredici"), (None, base), (None, "alone in the world it is"), (None, "Alone in the world it is"), ("e", ""), ("e", ""), ("f", None)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id string, text string, k1 int")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["n_links"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()), key=repr)
+    want = [("b", 8, 1, "a"), ("a", 9, 1, "a"), ("c", 8, 1, "b"), ("b", 9, 1, "b"), (None, 8, 1, "a"), (None, 2, 0, None), (None, 2, 0, None), ("e", 0, 0, "e"), ("e", 0, 0, "e"), ("f", 0, 0, "f")]
+    assert got == sorted(want, key=repr)
+    kept = ngram_join.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    left = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert ("a", base + " thirteen") in left and ("b", other + " tredici") in left and ("e", "") in left and ("f", None) in left
+    assert len([1 for i, t in left if i is None]) == 1 and len(left) == 5
+
+
+def test_mixed_documents_of_odd_ids(spark):
+    """Rows of one id, and rows without one, are taken each by itself."""
+    rows = [(None if i % 3 == 0 else i % 5, " ".join(["w"] * (1 + i % 7)), "a" if i % 4 else "b") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    taken = mixing.mixed(docs).filter("taken > 0").count()
+    assert mixing.mixed_documents(docs).count() == taken
+
+
+LONG = {"space": " " * 5_000_000, "letter": "z" * 5_000_000, "run": "".join(random.Random(5).choices("ABCDEFGHIJKLMNOPQRSTUVWYZabcdefghijklmnopqrstuvwyz0123456789+/", k=1_000_000)), "words": "word, and " * 500_000}
+
+
+def test_very_long_texts(spark):
+    """Every operator takes texts of megabytes: white space, one letter, one run, few words."""
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate([*LONG.values(), "a short text of some words"])], "doc_id long, text string, lang string, source string").repartition(5)
+    items = spark.createDataFrame([(1, "word and word and word and word? word and")], "item_id long, text string")
+    encoding = token_counts._encoding(token_counts.VOCABULARY)
+    near = {r["doc_id"]: r["n_shingles"] for r in ngram_join.near_duplicates(docs).collect()}
+    assert (near[0], near[1], near[2], near[3]) == (0, 1, 1, 2)
+    assert {r["doc_id"]: r["size"] for r in mixing.words_taken(docs).collect()}[3] == 1_000_000
+    assert {r["doc_id"]: r["n_tokens"] for r in kneser_ney.scored(docs, kneser_ney.trained(docs)).collect()} == {0: 1, 1: 2, 2: 2, 3: 1_000_001, 4: 7}
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, items).collect()} == {(3, 1)}
+    assert {r["doc_id"]: r["n"] for r in secrets.with_spans(docs).select("doc_id", F.size("spans").alias("n")).collect()} == {0: 0, 1: 0, 2: 1, 3: 0, 4: 0}
+    assert sharding.sharded(docs).count() == 5
+    assert language_id.identified(docs, language_id.learned(docs)).filter("lang_pred = 'en'").count() == 4
+    assert {r["doc_id"]: r["n_bytes"] for r in media.media_digest(media.with_media_and_pcm(docs)).collect()} == {0: 5_000_000, 1: 5_000_000, 2: 1_000_000, 3: 5_000_000, 4: 26}
+    assert quality.with_features(docs).count() == 5
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.with_token_counts(docs).collect()} == {i: token_counts.encoded_length(encoding, t) for i, t in enumerate([*LONG.values(), "a short text of some words"])}
+
+
 def test_all_links_are_given():
     rng = np.random.default_rng(8)
     base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
