@@ -155,8 +155,11 @@ def orphan_lines(spark: SparkSession, sf: str) -> DataFrame:
 # Streams -------------------------------------------------------------------
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder that all workers see."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    """A new folder that all workers see; one of this machine's own only where all runs on it, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    base = base or f"file://{tempfile.mkdtemp(prefix='spark-')}"
     return f"{base}/stream-{uuid.uuid4().hex}"
 
 
