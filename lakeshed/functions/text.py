@@ -262,3 +262,23 @@ def head_noun(x: Column, containers: tuple[str, ...] = ("box", "plate", "bowl",
 def text_diff(before: pd.Series, after: pd.Series) -> pd.Series:
     """A unified diff, at most 2,000 characters, which is the feature."""
     return pd.Series(["\n".join(difflib.unified_diff((a or "").splitlines(), (b or "").splitlines(), lineterm=""))[:2000] for a, b in zip(before, after, strict=True)])
+
+
+#: Places in an address and their emirate; towns that lie elsewhere than they seem stand first.
+EMIRATES = (
+    ("Al Ain", "Abu Dhabi"), ("Khor Fakkan", "Sharjah"), ("Kalba", "Sharjah"), ("Dubai", "Dubai"), ("Abu Dhabi", "Abu Dhabi"),
+    ("Sharjah", "Sharjah"), ("Ajman", "Ajman"), ("Ras Al Khaimah", "Ras Al Khaimah"), ("Fujairah", "Fujairah"), ("Umm Al Quwain", "Umm Al Quwain"),
+)
+#: Sections that list items again.
+POPULAR = ("picks for you", "popular", "best seller")
+
+
+def emirate(address: Column, places: tuple[tuple[str, str], ...] = EMIRATES) -> Column:
+    """The emirate of the first place in the list that an address names, in whatever case; ``Unknown`` without one."""
+    bare = F.regexp_replace(address, r"(?i),?\s*(united arab emirates|u\.a\.e\.?|uae)\s*$", "")
+    return F.coalesce(first_of(bare, [(rf"(?i)\Q{p}\E", e) for p, e in places]), F.lit("Unknown"))
+
+
+def popular(section: Column, words: tuple[str, ...] = POPULAR) -> Column:
+    """Whether a section's name says that it repeats items of others; a null one doesn't."""
+    return F.coalesce(F.lower(section).rlike("|".join(words)), F.lit(False))
