@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshed.functions.values import EARTH_M, metres, planar_km
-from lakeshed.operators.choosing import first_rows, modes
+from lakeshed.operators.choosing import first_rows, kept, modes
 
 _METRES_A_DEGREE = math.pi * EARTH_M / 180
 
@@ -51,14 +51,38 @@ def close_pairs(df: DataFrame, identity: str, radius: float, on: list[str]) -> D
     return within(df.withColumnRenamed(identity, "a"), df.withColumnRenamed(identity, "b"), "a", "b", radius, on).filter("a < b")
 
 
+def planar_nearest(left: DataFrame, known: DataFrame, rid: str, carry: list[str], k: int, guard_km: float, levels: int = 10) -> DataFrame:
+    """(lat, lon, rid, carry, km): the k nearest known places of each spot of ``left`` by planar distance, within the guard, by distance, then id.
+
+    A spot looks no farther than it must: the smallest cell around it that holds k
+    known places bounds the distance by its diagonal.  Cells halve from level to
+    level; places at one spot beyond the k smallest ids are out of question.
+    """
+    reach = guard_km / 111
+    placed = lambda df: df.filter("lat is not null and lon is not null")
+    spots = placed(left).select("lat", "lon").distinct()
+    points = first_rows(placed(known), ["lat", "lon"], [F.asc(rid)], k).select(rid, *carry, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    halved = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(reach / 2**n * (1 + 1e-9)).alias("r")) for n in range(levels + 1)]))
+    cell = lambda x, side: F.floor(x / side)
+    diagonal = F.col("_l.r") / math.sqrt(2)
+    full = points.select(halved.alias("_l"), "_lat", "_lon").groupBy("_l", cell(F.col("_lat"), diagonal).alias("_y"), cell(F.col("_lon"), diagonal).alias("_x")).agg(F.count("*").alias("_n")).filter(F.col("_n") >= k)
+    own = spots.select("lat", "lon", halved.alias("_l")).withColumns({"_y": cell(F.col("lat"), diagonal), "_x": cell(F.col("lon"), diagonal)})
+    tight = own.join(full.select("_l", "_y", "_x"), ["_l", "_y", "_x"]).groupBy("lat", "lon").agg(F.max("_l").alias("_l"))
+    wide = F.struct(F.lit(0).alias("n"), F.lit(reach * (1 + 1e-9)).alias("r"))
+    level = spots.join(tight, ["lat", "lon"], "left").withColumn("_l", F.coalesce("_l", wide))
+    near = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
+    around = F.explode(F.array(*[F.struct((cell(F.col("lat"), F.col("_l.r")) + dy).alias("y"), (cell(F.col("lon"), F.col("_l.r")) + dx).alias("x")) for dy, dx in near]))
+    asked = level.select("lat", "lon", "_l", around.alias("_c"))
+    dealt = points.withColumn("_l", halved).withColumn("_c", F.struct(cell(F.col("_lat"), F.col("_l.r")).alias("y"), cell(F.col("_lon"), F.col("_l.r")).alias("x")))
+    pairs = asked.join(dealt, ["_l", "_c"]).withColumn("km", planar_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
+    pairs = pairs.filter((F.col("km") <= guard_km) & (F.col("km") <= F.col("_l.r") * 111 * (1 + 1e-9)))
+    return first_rows(pairs.select("lat", "lon", rid, *carry, "km"), ["lat", "lon"], [F.asc("km"), F.asc(rid)], k)
+
+
 def vote(left: DataFrame, labelled: DataFrame, lid: str, rid: str, label: str, k: int, guard_km: float) -> DataFrame:
     """The label that most of a place's k nearest have (planar distance), none if the nearest lies beyond the guard."""
-    reach = guard_km / 111 * _METRES_A_DEGREE * 1.02
-    pairs = within(left, labelled, lid, rid, reach).drop("distance")
-    pairs = pairs.join(left.select(lid, F.col("lat").alias("_lat1"), F.col("lon").alias("_lon1")), lid).join(labelled.select(rid, label, F.col("lat").alias("_lat2"), F.col("lon").alias("_lon2")), rid)
-    pairs = pairs.withColumn("km", planar_km(F.col("_lat1"), F.col("_lon1"), F.col("_lat2"), F.col("_lon2"))).filter(F.col("km") <= guard_km)
-    near = first_rows(pairs, [lid], [F.asc("km"), F.asc(rid)], k)
-    return modes(near, [lid], label).select(lid, label, "n")
+    best = modes(planar_nearest(left, labelled, rid, [label], k, guard_km), ["lat", "lon"], label)
+    return left.select(lid, "lat", "lon").join(best, ["lat", "lon"]).select(lid, label, "n")
 
 
 def spread(df: DataFrame, group: str, identity: str) -> DataFrame:
@@ -93,11 +117,6 @@ def exact_spread(df: DataFrame, group: str, identity: str) -> DataFrame:
     return far.select(group, F.coalesce("spread", F.lit(0.0)).alias("spread"))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of a round where a checkpoint folder is set, else keeps the rows in the session."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
-
-
 def connected(edges: DataFrame, nodes: DataFrame, identity: str) -> DataFrame:
     """Each node's component, its smallest id: labels pass along edges and jump; raises if they don't settle."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b"), F.col("a"))).distinct()
@@ -106,7 +125,7 @@ def connected(edges: DataFrame, nodes: DataFrame, identity: str) -> DataFrame:
         least = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("component").alias("near"))
         moved = labels.join(least, "u", "left").select("u", F.least("component", F.coalesce("near", "component")).alias("component"))
         jumped = moved.join(moved.select(F.col("u").alias("component"), F.col("component").alias("far")), "component", "left")
-        now = _kept(jumped.select("u", F.coalesce("far", "component").alias("component")))
+        now = kept(jumped.select("u", F.coalesce("far", "component").alias("component")))
         same = now.join(labels.withColumnRenamed("component", "was"), "u").filter("component <> was").isEmpty()
         labels = now
         if same:
@@ -121,12 +140,12 @@ def owners(links: DataFrame, child: str, parent: str) -> DataFrame:
     Chains of n links end after log2(n) rounds; what still moves then lies in a
     cycle or leads to one.
     """
-    now = _kept(links.groupBy(F.col(child).alias("c")).agg(F.min(parent).alias("p")).withColumn("least", F.col("p")))
+    now = kept(links.groupBy(F.col(child).alias("c")).agg(F.min(parent).alias("p")).withColumn("least", F.col("p")))
     count, steps = now.count(), 1
     while steps <= count:
         ahead = now.select(F.col("c").alias("_c"), F.col("p").alias("_p"), F.col("least").alias("_least"))
         moved = now.join(ahead, F.col("p") == F.col("_c"), "left")
-        then = _kept(moved.select("c", F.coalesce("_p", "p").alias("p"), F.least("least", F.coalesce("_least", "least")).alias("least")))
+        then = kept(moved.select("c", F.coalesce("_p", "p").alias("p"), F.least("least", F.coalesce("_least", "least")).alias("least")))
         settled = then.join(now.select(F.col("c").alias("_c"), F.col("p").alias("_p")), (F.col("c") == F.col("_c")) & (F.col("p") != F.col("_p"))).isEmpty()
         now, steps = then, 2 * steps
         if settled:
