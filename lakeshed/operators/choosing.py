@@ -94,3 +94,38 @@ def dealt_round(df: DataFrame, order: list[Column], groups: int, bucket: Column)
     before = rows.groupBy("_bucket").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     placed = rows.withColumn("_place", F.row_number().over(within)).join(before, "_bucket")
     return placed.withColumn("group", ((F.col("_before") + F.col("_place") - 1) % groups).cast("int")).drop("_bucket", "_place", "_before")
+
+
+def compositions(df: DataFrame, entity: str, label: str, term: str, labels: int = 4, terms: int = 5) -> DataFrame:
+    """(entity, shares, terms): the shares of an entity's most frequent labels, as a map, and its most frequent terms, in order; nulls don't count."""
+
+    def top(value: str, n: int) -> DataFrame:
+        counts = value_counts(df.filter(F.col(value).isNotNull()), [entity], value)
+        total = counts.groupBy(entity).agg(F.sum("n").alias("_all"))
+        best = first_rows(counts, [entity], [F.desc("n"), F.asc(value)], n).join(total, entity)
+        rows = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(value).alias("v"), (F.col("n") / F.col("_all")).alias("share"))))
+        return best.groupBy(entity).agg(rows.alias("_x"))
+
+    shares = top(label, labels).select(entity, F.map_from_entries(F.transform("_x", lambda x: F.struct(x["v"], x["share"]))).alias("shares"))
+    return shares.join(top(term, terms).select(entity, F.col("_x.v").alias("terms")), entity, "full_outer")
+
+
+def majority(df: DataFrame, keys: list[str], value: str, complete: Column, rank: Column) -> DataFrame:
+    """Each group's value by whether a row of it is complete, then its best rank, then its rows; the smallest on a tie.
+
+    Columns: the keys, value, n (its rows), others (rows of the group that say something else).
+    """
+    rows = df.filter(F.col(value).isNotNull()).withColumns({"_c": complete.cast("int"), "_r": rank})
+    said = rows.groupBy(*keys, value).agg(F.max(F.struct("_c", "_r")).alias("_best"), F.count("*").alias("n"))
+    total = said.groupBy(*keys).agg(F.sum("n").alias("_all"))
+    return first_rows(said, keys, [F.desc("_best"), F.desc("n"), F.asc(value)]).join(total, keys).select(*keys, value, "n", (F.col("_all") - F.col("n")).alias("others"))
+
+
+def split_by_match(df: DataFrame, side: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with their match in ``side`` (unique by the keys), and those without one."""
+    return df.join(side, keys), df.join(side.select(*keys), keys, "left_anti")
+
+
+def first_wins(df: DataFrame, side: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Adds the columns of the first row of ``side`` with the same keys; null where there is none."""
+    return df.join(first_rows(side, keys, order), keys, "left")

@@ -79,3 +79,27 @@ def accounted(total: int, **parts: int) -> None:
     """Raises if the parts don't add up to the total."""
     if total != sum(parts.values()):
         raise ValueError(f"{total} rows, but {parts}")
+
+
+def line_problems(lines: DataFrame, text: str, required: dict[str, str], key: str, menu: str) -> DataFrame:
+    """(problem, field, n) of lines that should hold one JSON object each, in one pass but for repeated keys.
+
+    ``required`` has the wanted fields and their types (string, number, boolean, array, object).
+    Problems: unparseable, missing, null, type, extra (fields beyond), empty menu, repeated key.
+    """
+    body = F.try_parse_json(F.when(F.trim(text) != "", F.col(text)))
+    rows = lines.filter(F.trim(F.coalesce(text, F.lit(""))) != "").select(F.col(text).alias("_t"), body.alias("_v"))
+    typed = lambda f: F.schema_of_variant(F.try_variant_get("_v", f"$.{f}", "variant"))
+    names = F.json_object_keys(F.when(F.col("_v").isNotNull(), F.col("_t")))
+    rows = rows.select("_v", names.alias("_names"), *[typed(f).alias(f"_k_{i}") for i, f in enumerate(required)], F.try_variant_get("_v", f"$.{key}", "string").alias("_key"), F.size(F.try_variant_get("_v", f"$.{menu}", "array<variant>")).alias("_items"))
+    object_ = F.col("_names").isNotNull()
+    patterns = {"string": "^STRING$", "number": r"^(BIGINT|DOUBLE|DECIMAL.*)$", "boolean": "^BOOLEAN$", "array": "^ARRAY", "object": "^OBJECT"}
+    found = [F.struct(F.lit("unparseable").alias("problem"), F.lit("").alias("field"), F.count_if(~object_).alias("n")), F.struct(F.lit("empty menu").alias("problem"), F.lit(menu).alias("field"), F.count_if(object_ & (F.coalesce("_items", F.lit(0)) <= 0)).alias("n"))]
+    for i, (f, kind) in enumerate(required.items()):
+        k, there = F.col(f"_k_{i}"), F.array_contains("_names", f)
+        for problem, wrong in (("missing", ~there), ("null", there & F.coalesce(k == "VOID", F.lit(False))), ("type", there & (k != "VOID") & ~k.rlike(patterns[kind]))):
+            found.append(F.struct(F.lit(problem).alias("problem"), F.lit(f).alias("field"), F.count_if(object_ & wrong).alias("n")))
+    counted = rows.agg(F.array(*found).alias("x")).select(F.inline("x"))
+    extra = rows.select(F.explode(F.array_except("_names", F.array(*map(F.lit, required)))).alias("field")).groupBy("field").agg(F.count("*").alias("n")).select(F.lit("extra").alias("problem"), "field", "n")
+    again = rows.filter("_key is not null").groupBy("_key").agg(F.count("*").alias("c")).filter("c > 1").agg(F.count("*").alias("n")).select(F.lit("repeated key").alias("problem"), F.lit(key).alias("field"), "n")
+    return counted.unionByName(extra).unionByName(again).filter("n > 0")

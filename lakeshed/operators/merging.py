@@ -147,3 +147,22 @@ def narrowed(df: DataFrame, known: DataFrame, fields: list[str], value: str, ide
     rows = rows.withColumns({"verdict": verdict, value: F.when(F.col("_n") == 1, F.col("_value"))})
     rows = first_rows(rows, [identity], [F.asc_nulls_last("_value")])
     return rows.drop("_n", "_value", *[f"_k_{f}" for f in fields])
+
+
+def patched_in_turn(df: DataFrame, patches: list[tuple[str, DataFrame, str, bool]], keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Sidecar patches (name, rows, column, only_empty) one after the other, and (patch, applied, same, unknown): what each did.
+
+    A value is set where it is null or, unless ``only_empty``, differs; the smallest of several in a
+    patch.  ``same`` is said already or kept, ``unknown`` are keys that no row has.
+    """
+    counts, flags = [], []
+    for k, (name, rows, column, only_empty) in enumerate(patches):
+        side = rows.filter(F.col(column).isNotNull()).groupBy(*keys).agg(F.min(column).alias("_new"))
+        sets = F.col("_new").isNotNull() & (F.col(column).isNull() if only_empty else ~F.col(column).eqNullSafe(F.col("_new")))
+        df = df.join(side, keys, "left").withColumns({f"_p{k}": F.when(F.col("_new").isNotNull(), sets), column: F.when(sets, F.col("_new")).otherwise(F.col(column))}).drop("_new")
+        flags.append(f"_p{k}")
+        missing = side.join(df.select(*keys), keys, "left_anti").agg(F.count("*").alias("unknown")).select(F.lit(name).alias("patch"), "unknown")
+        counts.append(missing)
+    done = df.agg(*[F.struct(F.count_if(F.col(f)).alias("applied"), F.count_if(~F.col(f)).alias("same")).alias(f) for f in flags])
+    each = done.select(F.inline(F.array(*[F.struct(F.lit(p[0]).alias("patch"), F.col(f"{f}.applied").alias("applied"), F.col(f"{f}.same").alias("same")) for p, f in zip(patches, flags, strict=True)])))
+    return df.drop(*flags), each.join(reduce(DataFrame.unionByName, counts), "patch")
