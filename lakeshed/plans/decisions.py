@@ -57,14 +57,14 @@ def patch_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query("""
-WITH r(k, word, label, needs, without) AS (SELECT row_number() OVER (ORDER BY n_name), word, 'label ' || n_name, CASE WHEN n % 3 = 0 THEN 'small|large' END, CASE WHEN n % 4 = 0 THEN 'ring' END FROM (SELECT n_name, n_nationkey AS n, ['hot', 'red', 'blue', 'green', 'steel', 'bolt'][n_nationkey % 6 + 1] AS word FROM nation)),
+WITH r(k, word, label, needs, without) AS (SELECT row_number() OVER (ORDER BY n_name), word, 'label ' || n_name, CASE WHEN n % 3 = 0 THEN 'small|large' END, CASE WHEN n % 4 = 0 THEN 'ring' END FROM (SELECT n_name, n_nationkey AS n, ['hot', 'red', 'blue', 'green', 'promo', 'bolt'][n_nationkey % 6 + 1] AS word FROM nation)),
 x AS (SELECT p_partkey, p_name, p_type, p_brand, lower(p_name || chr(10) || p_type) AS whole FROM part),
 m AS (SELECT p_partkey, f, k, label, CASE f WHEN 0 THEN 'p_name' ELSE 'p_type' END AS field FROM (SELECT *, 0 AS f, lower(p_name) AS said FROM x UNION ALL SELECT *, 1, lower(p_type) FROM x) JOIN r ON regexp_matches(said, '\\b' || word || '\\b') AND (needs IS NULL OR regexp_matches(whole, needs)) AND (without IS NULL OR NOT regexp_matches(whole, without)) WHERE p_brand NOT LIKE '%#1'),
 b AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY f, k) = 1)
 SELECT p_partkey, label, field FROM x LEFT JOIN b USING (p_partkey)""")
 def re_examined_labels(spark: SparkSession, sf: str) -> DataFrame:
     nation, n = table(spark, sf, "nation"), c("n_nationkey")
-    words = F.array(*map(F.lit, ("hot", "red", "blue", "green", "steel", "bolt")))
+    words = F.array(*map(F.lit, ("hot", "red", "blue", "green", "promo", "bolt")))
     rules = nation.select(c("n_name").alias("order"), F.element_at(words, (n % 6 + 1).cast("int")).alias("word"), F.concat(F.lit("label "), "n_name").alias("label"), F.when(n % 3 == 0, "small|large").alias("needs"), F.when(n % 4 == 0, "ring").alias("without"))
     part = table(spark, sf, "part").withColumn("category", F.when(F.endswith("p_brand", F.lit("#1")), "Skipped").otherwise(c("p_brand")))
     return tiers.re_examined(part, "p_partkey", ["p_name", "p_type"], "category", ["skipped"], rules)

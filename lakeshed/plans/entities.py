@@ -162,13 +162,14 @@ _HEADS, _TAILS, _GOODS, _FOOD = ("ring", "rod", "bolt"), ("red", "blue", "small"
 
 
 @plans.query(f"""
-WITH x AS (SELECT p_partkey, p_name, CASE WHEN p_size % 9 = 0 THEN p_name WHEN p_size % 5 = 0 THEN p_type END AS said, p_brand AS section, list_filter(string_split(p_name, ' '), lambda w: w NOT IN {_TAILS}) AS plain FROM part),
+WITH x AS (SELECT p_partkey, p_name, CASE WHEN p_size % 9 = 0 THEN p_name WHEN p_size % 5 = 0 THEN p_type END AS said, CASE p_partkey % 10 WHEN 0 THEN 'Steel ' || p_brand WHEN 1 THEN 'Only ' || string_split(p_name, ' ')[-1] ELSE p_brand END AS section, list_filter(string_split(p_name, ' '), lambda w: w NOT IN {_TAILS}) AS plain FROM part),
 h AS (SELECT *, coalesce(plain[-1], string_split(p_name, ' ')[1]) IN {_HEADS} AS head, regexp_matches(p_name, '{_GOODS}') AS named FROM x), v AS (SELECT section, avg((head OR named)::INT) AS share FROM h GROUP BY 1),
-e AS (SELECT h.*, share, coalesce(regexp_matches(lower(said), '{_GOODS}'), false) AS ns, coalesce(regexp_matches(lower(said), '{_FOOD}'), false) AS fs, regexp_matches(p_name, '{_FOOD}') AS fn FROM h JOIN v USING (section))
-SELECT p_partkey, CASE WHEN fs OR (NOT head AND fn) THEN NULL WHEN (head OR named) AND share >= 0.8 THEN 'A' WHEN (head OR named)::INT + ns::INT >= 2 THEN 'B' WHEN head AND NOT fn THEN 'C' END AS tier FROM e""")
+e AS (SELECT h.*, share, coalesce(regexp_matches(lower(said), '{_GOODS}'), false) AS ns, coalesce(regexp_matches(lower(said), '{_FOOD}'), false) AS fs, regexp_matches(p_name, '{_FOOD}') OR regexp_matches(lower(section), '{_FOOD}') AS fn, regexp_matches(lower(section), '{_GOODS}') AS sn FROM h JOIN v USING (section))
+SELECT p_partkey, CASE WHEN fs OR (NOT head AND fn) THEN NULL WHEN (head OR named) AND (sn OR share >= 0.8) THEN 'A' WHEN (head OR named)::INT + ns::INT + sn::INT >= 2 THEN 'B' WHEN head AND NOT fn THEN 'C' END AS tier FROM e""")
 def non_food_tiers(spark: SparkSession, sf: str) -> DataFrame:
     said = F.when(c("p_size") % 9 == 0, c("p_name")).when(c("p_size") % 5 == 0, c("p_type"))
-    rows = table(spark, sf, "part").select("p_partkey", "p_name", said.alias("said"), c("p_brand").alias("section"))
+    section = F.when(c("p_partkey") % 10 == 0, F.concat(F.lit("Steel "), "p_brand")).when(c("p_partkey") % 10 == 1, F.concat(F.lit("Only "), F.element_at(F.split("p_name", " "), -1))).otherwise(c("p_brand"))
+    rows = table(spark, sf, "part").select("p_partkey", "p_name", said.alias("said"), section.alias("section"))
     return entities.non_food(rows, "p_name", "said", "section", _HEADS, _TAILS, _GOODS, _FOOD).select("p_partkey", "tier")
 
 
@@ -211,7 +212,7 @@ def city_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return entities.city_leaks(rows, "area", "city", 10, 0.12).groupBy("area", "city").agg(F.count("*").alias("n"))
 
 
-_GATED = """x AS (SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'dubai' WHEN p_partkey % 53 = 0 THEN 'ديرة' WHEN p_partkey % 9 = 0 THEN upper(p_type) ELSE p_type END AS area, CASE WHEN p_size % 40 = 0 THEN 'Ajman' ELSE 'Dubai' END AS city, p_brand AS chain,
+_GATED = """x AS (SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'dubai' WHEN p_partkey % 53 = 0 THEN 'ديرة' WHEN p_partkey % 9 = 0 THEN lower(p_type) ELSE p_type END AS area, CASE WHEN p_size % 40 = 0 THEN 'Ajman' ELSE 'Dubai' END AS city, p_brand AS chain,
  CASE WHEN p_partkey % 6 = 0 THEN 'm' || p_partkey // 12 END AS link, 25.0::DOUBLE + (p_partkey * 7919 % 4001)::DOUBLE / 10000.0::DOUBLE AS lat, 55.0::DOUBLE + (p_partkey * 6101 % 3989)::DOUBLE / 10000.0::DOUBLE AS lon FROM part)"""
 
 
@@ -229,7 +230,7 @@ def cross_gates(spark: SparkSession, sf: str) -> DataFrame:
     from lakeshed.plans.base import places
 
     k = c("p_partkey")
-    area = F.when(k % 50 == 0, "dubai").when(k % 53 == 0, "ديرة").when(k % 9 == 0, F.upper("p_type")).otherwise(c("p_type"))
+    area = F.when(k % 50 == 0, "dubai").when(k % 53 == 0, "ديرة").when(k % 9 == 0, F.lower("p_type")).otherwise(c("p_type"))
     link = F.when(k % 6 == 0, F.concat(F.lit("m"), F.floor(k / 12).cast("string")))
     rows = table(spark, sf, "part").select("p_partkey", area.alias("area"), F.when(c("p_size") % 40 == 0, "Ajman").otherwise("Dubai").alias("city"), c("p_brand").alias("chain"), link.alias("link"))
     return entities.cross_gates(places(rows, "p_partkey", 0), "p_partkey", ["Dubai", "Ajman"], ["link"])
