@@ -16,7 +16,7 @@ from lakeshed.functions.text import ARABIC, area_shaped, collapsed, item_key, ma
 from lakeshed.functions.values import metres
 from lakeshed.operators.choosing import first_rows, modes
 from lakeshed.operators.nearby import exact_spread, nearest_within, within
-from lakeshed.operators.similarity import gram_pairs, indel_score, sorted_text, token_set_score, token_sort_score
+from lakeshed.operators.similarity import covered_texts, indel_score, near_texts, sorted_text, token_set_score, token_sort_score
 
 Scorer = Callable[[Column, Column], Column]
 c = F.col
@@ -210,20 +210,20 @@ def flattened_menus(menus: DataFrame, restaurants: DataFrame, key: str, told: li
 def items_matched(ours: DataFrame, theirs: DataFrame, venue: str, ours_id: str, theirs_id: str, name: str, least: float = 80.0) -> DataFrame:
     """Each of our items' match of the same venue: by key, else the best by sets of words, at least ``least``.
 
-    Two names reach it only if they share a word or are close as sorted words; both
-    kinds of pairs are joined, so that none is lost.  Columns: ours_id, theirs_id,
+    Two names reach it only if shared words make up most of one or they are close as
+    sorted words; both kinds of pairs are joined, so that none is lost.  Columns: ours_id, theirs_id,
     method, score; the smallest id on a tie.
     """
     x, y = ours.select(venue, ours_id, match_key(c(name)).alias("_a")), theirs.select(venue, theirs_id, match_key(c(name)).alias("_b"))
     y = y.groupBy(venue, "_b").agg(F.min(theirs_id).alias(theirs_id))
     exact = x.join(y, (x[venue] == y[venue]) & (c("_a") == c("_b"))).select(ours_id, theirs_id, F.lit("exact").alias("method"), F.lit(100.0).alias("score"))
     rest = x.join(exact.select(ours_id), ours_id, "left_anti").filter("_a <> ''")
-    words = lambda df, t: df.withColumn("_w", F.explode(F.array_distinct(F.split(t, " "))))
-    shared = words(rest, "_a").join(words(y.filter("_b <> ''"), "_b"), [venue, "_w"]).select(ours_id, theirs_id)
     once = lambda t: sorted_text(F.array_join(F.array_distinct(F.split(t, " ")), " "))
-    close = gram_pairs(rest, y, ours_id, once(c("_a")), theirs_id, once(c("_b")), least, [venue])
-    pairs = shared.unionByName(close.select(ours_id, theirs_id)).distinct()
-    rows = pairs.join(rest.select(ours_id, "_a"), ours_id).join(y.select(theirs_id, "_b"), theirs_id).withColumn("score", token_set_score("_a", "_b")).filter(c("score") >= least)
+    mine = rest.select(c(venue).alias("_g"), c(ours_id).alias("_x"), once(c("_a")).alias("a"))
+    other = y.filter("_b <> ''").select(c(venue).alias("_g"), c(theirs_id).alias("_y"), once(c("_b")).alias("b"))
+    pairs = near_texts(mine, other, least, ["_g"]).unionByName(covered_texts(mine, other, least, ["_g"])).distinct()
+    scored = pairs.withColumn("score", token_set_score("a", "b")).filter(c("score") >= least)
+    rows = mine.join(scored, ["_g", "a"]).join(other, ["_g", "b"]).select(c("_x").alias(ours_id), c("_y").alias(theirs_id), "score")
     best = first_rows(rows, [ours_id], [F.desc("score"), F.asc(theirs_id)])
     matched = exact.unionByName(best.select(ours_id, theirs_id, F.lit("fuzzy").alias("method"), "score"))
     return ours.select(ours_id).join(matched, ours_id, "left").withColumn("method", F.coalesce("method", F.lit("unmatched")))
