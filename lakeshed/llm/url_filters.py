@@ -36,7 +36,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshed.llm.common import table
+from lakeshed.llm.common import stored, table
 
 #: (action, host, path): hosts are taken with all their subdomains, paths as prefixes.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -136,7 +136,8 @@ def judged(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str
     keyed = pages.select(host.alias("host"), page_key(F.col("url")).alias("page")).filter("page is not null")
     labelled = keyed.join(one, "page").select("host", F.lit(1).cast("long").alias("n"), "bad")
     every = pages.select(host.alias("host"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad"))
-    known = reputations(every.union(labelled).groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    hosts = stored(every.union(labelled).groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "url-hosts")  # each level reads them
+    known = reputations(hosts)
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     verdict = F.coalesce(action, F.when(F.col("bound") > most_bad, F.lit("block")).otherwise(F.lit("allow")))
