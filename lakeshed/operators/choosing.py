@@ -12,11 +12,6 @@ def first_rows(df: DataFrame, keys: list[str], order: list[Column], n: int = 1)
     return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """Rows that several steps read: cut from their lineage where a checkpoint folder is set, else kept in the session."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
-
-
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 

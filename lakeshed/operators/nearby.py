@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshed.functions.values import EARTH_M, metres, planar_km
-from lakeshed.operators.choosing import first_rows, kept, modes
+from lakeshed.operators.choosing import first_rows, modes
+from lakeshed.operators.storing import stored
 
 _METRES_A_DEGREE = math.pi * EARTH_M / 180
 
@@ -125,7 +126,7 @@ def connected(edges: DataFrame, nodes: DataFrame, identity: str) -> DataFrame:
         least = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("component").alias("near"))
         moved = labels.join(least, "u", "left").select("u", F.least("component", F.coalesce("near", "component")).alias("component"))
         jumped = moved.join(moved.select(F.col("u").alias("component"), F.col("component").alias("far")), "component", "left")
-        now = kept(jumped.select("u", F.coalesce("far", "component").alias("component")))
+        now = stored(jumped.select("u", F.coalesce("far", "component").alias("component")))
         same = now.join(labels.withColumnRenamed("component", "was"), "u").filter("component <> was").isEmpty()
         labels = now
         if same:
@@ -140,12 +141,12 @@ def owners(links: DataFrame, child: str, parent: str) -> DataFrame:
     Chains of n links end after log2(n) rounds; what still moves then lies in a
     cycle or leads to one.
     """
-    now = kept(links.groupBy(F.col(child).alias("c")).agg(F.min(parent).alias("p")).withColumn("least", F.col("p")))
+    now = stored(links.groupBy(F.col(child).alias("c")).agg(F.min(parent).alias("p")).withColumn("least", F.col("p")))
     count, steps = now.count(), 1
     while steps <= count:
         ahead = now.select(F.col("c").alias("_c"), F.col("p").alias("_p"), F.col("least").alias("_least"))
         moved = now.join(ahead, F.col("p") == F.col("_c"), "left")
-        then = kept(moved.select("c", F.coalesce("_p", "p").alias("p"), F.least("least", F.coalesce("_least", "least")).alias("least")))
+        then = stored(moved.select("c", F.coalesce("_p", "p").alias("p"), F.least("least", F.coalesce("_least", "least")).alias("least")))
         settled = then.join(now.select(F.col("c").alias("_c"), F.col("p").alias("_p")), (F.col("c") == F.col("_c")) & (F.col("p") != F.col("_p"))).isEmpty()
         now, steps = then, 2 * steps
         if settled:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshed.functions.values import metres
-from lakeshed.operators import choosing, nearby, similarity, tiers
+from lakeshed.operators import choosing, nearby, similarity, tfidf, tiers
 from lakeshed.plans.base import METRES_SQL, Plans, places, places_sql, table
 
 plans = Plans()
@@ -103,13 +103,12 @@ def fuzzy_best_match(spark: SparkSession, sf: str) -> DataFrame:
 @plans.query()
 def tfidf_label_vote(spark: SparkSession, sf: str) -> DataFrame:
     """The quality of every hundredth document by the vote of its five most similar labelled ones."""
-    docs = table(spark, sf, "documents").filter("text is not null").select("doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     labels = table(spark, sf, "labels").select(c("doc_id").alias("ref"), c("quality").cast("string").alias("label"))
     known = docs.withColumnRenamed("doc_id", "ref").join(labels, "ref", "left_semi")
     asked = docs.filter("doc_id % 100 = 0")
-    reference, queries = similarity.tfidf(known, asked, "ref", "doc_id", "text")
-    near = similarity.neighbours(reference, queries, "ref", "doc_id", 5)
-    return similarity.voted(near, labels, "doc_id", "ref", "label", 4, 0.6)
+    near = tfidf.neighbours(*tfidf.vectors(known, asked, "ref", "doc_id", "text"), "ref", "doc_id", 5)
+    return tfidf.voted(near, labels, "doc_id", "ref", "label", 4, 0.6)
 
 
 @plans.query("""
@@ -119,7 +118,7 @@ SELECT q, vec_id, similarity FROM s QUALIFY row_number() OVER (PARTITION BY q OR
 def nearest_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
     asked = e.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "q")
-    near = similarity.nearest_vectors(asked, e, "q", "vec_id", "embedding", 6).filter("q <> vec_id")
+    near = tfidf.nearest_vectors(asked, e, "q", "vec_id", "embedding", 6).filter("q <> vec_id")
     return choosing.first_rows(near, ["q"], [F.desc("similarity"), F.asc("vec_id")], 5)
 
 
@@ -174,12 +173,8 @@ def relisted(spark: SparkSession, sf: str) -> DataFrame:
 @plans.query("""
 SELECT doc_id, CASE WHEN text LIKE '%|%' THEN 'table' WHEN lang = 'en' THEN 'english' WHEN n_chars < 500 THEN 'short' END AS label, CASE WHEN text LIKE '%|%' THEN 'rule' WHEN lang = 'en' THEN 'exact' WHEN n_chars < 500 THEN 'length' ELSE 'unknown' END AS tier FROM documents""")
 def tier_ladder(spark: SparkSession, sf: str) -> DataFrame:
-    steps = [
-        ("rule", lambda d: d.withColumn("label", F.when(c("text").contains("|"), "table"))),
-        ("exact", lambda d: d.withColumn("label", F.when(c("lang") == "en", "english"))),
-        ("length", lambda d: d.withColumn("label", F.when(c("n_chars") < 500, "short"))),
-    ]
-    return tiers.by_tiers(table(spark, sf, "documents"), "doc_id", steps, "label").select("doc_id", "label", "tier")
+    steps = [("rule", F.when(c("text").contains("|"), "table")), ("exact", F.when(c("lang") == "en", "english")), ("length", F.when(c("n_chars") < 500, "short"))]
+    return tiers.by_tiers(table(spark, sf, "documents"), "doc_id", steps, "label")
 
 
 @plans.query("""

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshed.operators import gates, merging
+from lakeshed.operators.storing import new_folder
 from lakeshed.plans.base import Plans, mean_money, mean_money_sql, money, table
 from lakeshed.streaming import streams
 
@@ -154,18 +152,9 @@ def orphan_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 # Streams -------------------------------------------------------------------
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder that all workers see; one of this machine's own only where all runs on it, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-    base = base or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    return f"{base}/stream-{uuid.uuid4().hex}"
-
-
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     """The event table as a stream of files: written again in parts, as a collector leaves them."""
-    folder = _folder(spark)
+    folder = new_folder(spark, "stream")
     table(spark, sf, "events").repartition(8, "user_id").write.parquet(f"{folder}/in")
     return streams.file_stream(spark, f"{folder}/in", spark.read.parquet(f"{folder}/in").schema, 4)
 
@@ -173,7 +162,7 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 @plans.query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def streamed_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Running counts by micro-batch; the last batch's counts are the table's."""
-    folder = _folder(spark)
+    folder = new_folder(spark, "stream")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.withColumn("number", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
@@ -185,7 +174,7 @@ def streamed_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @plans.query("SELECT DISTINCT user_id, event_type FROM events")
 def streamed_once_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    folder = _folder(spark)
+    folder = new_folder(spark, "stream")
     once = streams.once_by_key(_events(spark, sf).select("user_id", "event_type"), ["user_id", "event_type"])
     streams.run_once(once, "parquet", f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/out")
