@@ -44,6 +44,18 @@ def folded(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)))
 
 
+def _plain_letters() -> tuple[str, str]:
+    """Letters whose compatibility form is one ASCII character and marks, and that character."""
+    pairs = [(chr(k), "".join(c for c in unicodedata.normalize("NFKD", chr(k)) if not unicodedata.combining(c))) for k in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F))]
+    kept = [(c, plain) for c, plain in pairs if len(plain) == 1 and plain.isascii()]
+    return "".join(c for c, _ in kept), "".join(plain for _, plain in kept)
+
+
+def latin_folded(x: Column) -> Column:
+    """As ``folded`` for Latin letters, within the JVM, so that it may stand in any expression."""
+    return F.translate(F.regexp_replace(x, r"\p{M}", ""), *_plain_letters())
+
+
 @pandas_udf(StringType())
 def composed(x: pd.Series) -> pd.Series:
     """Compatibility composed form (NFKC)."""
@@ -264,19 +276,52 @@ def text_diff(before: pd.Series, after: pd.Series) -> pd.Series:
     return pd.Series(["\n".join(difflib.unified_diff((a or "").splitlines(), (b or "").splitlines(), lineterm=""))[:2000] for a, b in zip(before, after, strict=True)])
 
 
-#: Places in an address and their emirate; towns that lie elsewhere than they seem stand first.
-EMIRATES = (
-    ("Al Ain", "Abu Dhabi"), ("Khor Fakkan", "Sharjah"), ("Kalba", "Sharjah"), ("Dubai", "Dubai"), ("Abu Dhabi", "Abu Dhabi"),
-    ("Sharjah", "Sharjah"), ("Ajman", "Ajman"), ("Ras Al Khaimah", "Ras Al Khaimah"), ("Fujairah", "Fujairah"), ("Umm Al Quwain", "Umm Al Quwain"),
-)
+#: Cities that an address may name; towns within another's emirate stand first.
+CITIES = ("Al Ain", "Khor Fakkan", "Kalba", "Dubai", "Abu Dhabi", "Sharjah", "Ajman", "Ras Al Khaimah", "Fujairah", "Umm Al Quwain")
+#: Other spellings of them; what an address may end in; roads named after a city.
+CITY_FORMS = ((r"\bras\s*al\s*khaim(?:a|ah)\b", "Ras Al Khaimah"), (r"\bumm\s*al\s*(?:quwain|qaiwain|qaywayn)\b", "Umm Al Quwain"), (r"\bkhor\s*fakkan\b", "Khor Fakkan"), (r"\bal\s*fujairah\b", "Fujairah"))
+COUNTRY_END = r",?\s*(united arab emirates|u\.a\.e\.?|uae)\s*$"
+CITY_ROADS = r"\bal ain\s+(?:rd|road|hwy|highway)\b"
+#: Towns and the city whose segment they may stand before.
+TOWNS = (("Abu Dhabi", "Al Ain", r"\bal ain\b"), ("Sharjah", "Khor Fakkan", r"\bkhor\s*fakkan\b"), ("Sharjah", "Kalba", r"\bkalba\b"))
 #: Sections that list items again.
 POPULAR = ("picks for you", "popular", "best seller")
 
 
-def emirate(address: Column, places: tuple[tuple[str, str], ...] = EMIRATES) -> Column:
-    """The emirate of the first place in the list that an address names, in whatever case; ``Unknown`` without one."""
-    bare = F.regexp_replace(address, r"(?i),?\s*(united arab emirates|u\.a\.e\.?|uae)\s*$", "")
-    return F.coalesce(first_of(bare, [(rf"(?i)\Q{p}\E", e) for p, e in places]), F.lit("Unknown"))
+def emirate(address: Column) -> Column:
+    """The city that an address names: its last segment (of six) that is one, or the town before it; else the first of the list anywhere in it.
+
+    Segments are parted by dashes and commas; hyphens within a word don't part them.
+    Words of the list count whole, in whatever case, and not in the name of a road.
+    ``Unknown`` without one, for a null too.
+    """
+    said = F.regexp_replace(F.coalesce(address, F.lit("")), r"(?U)(?<=\w)-(?=\w)", " ")
+    for form, city in CITY_FORMS:
+        said = F.regexp_replace(said, f"(?i){form}", city)
+    bare = F.regexp_replace(F.regexp_replace(said, f"(?i){COUNTRY_END}", ""), "^[, -]+|[, -]+$", "")
+    parts = F.filter(F.transform(F.split(bare, r"\s*[-,]\s*"), lambda x: F.trim(x)), lambda x: x != "")
+    tail = F.slice(parts, F.greatest(F.size(parts) - 5, F.lit(1)), F.lit(6))
+    known = F.create_map(*[x for c in CITIES for x in (F.lit(c.lower()), F.lit(c))])
+    at = F.array_max(F.transform(tail, lambda x, k: F.when(F.map_contains_key(known, F.lower(x)), k + 1).otherwise(0)))
+    city = F.when(at > 0, F.try_element_at(known, F.lower(F.try_element_at(tail, F.nullif(at, F.lit(0))))))
+    before = F.regexp_replace(F.array_join(F.slice(tail, F.lit(1), F.greatest(at - 1, F.lit(0))), " "), f"(?i){CITY_ROADS}", "")
+    town = F.coalesce(*[F.when((city == c) & (at > 1) & before.rlike(f"(?i){p}"), t) for c, t, p in TOWNS])
+    anywhere = first_of(F.regexp_replace(said, f"(?i){CITY_ROADS}", " "), [(rf"(?i)\b\Q{c}\E\b", c) for c in CITIES])
+    return F.coalesce(town, city, anywhere, F.lit("Unknown"))
+
+
+def last_known_city(address: Column, cities: tuple[str, ...] = CITIES) -> Column:
+    """The last segment (parted by `` - ``) of an address that is a known city, in whatever case; null if none is."""
+    known = F.create_map(*[x for c in cities for x in (F.lit(c.lower()), F.lit(c))])
+    found = F.filter(F.transform(F.split(address, " - "), lambda x: F.try_element_at(known, F.lower(F.trim(x)))), lambda x: x.isNotNull())
+    return F.try_element_at(found, F.lit(-1))
+
+
+def slug_tail(url: Column, name: Column) -> Column:
+    """What a listing's slug says after its name, as words: the area; null where the slug doesn't begin with the name."""
+    slug = F.trim(F.replace(F.regexp_extract(url, r"([^/?#]*)(?:[?#].*)?$", 1), F.lit("-"), F.lit(" ")))
+    own = collapsed(F.regexp_replace(F.lower(name), "[^a-z0-9 ]", " "))
+    return F.when((own != "") & F.startswith(F.lower(slug), own), F.nullif(F.trim(F.substring(slug, F.length(own) + 1, F.length(slug))), F.lit("")))
 
 
 def popular(section: Column, words: tuple[str, ...] = POPULAR) -> Column:

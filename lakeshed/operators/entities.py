@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshed.functions.text import ARABIC, area_shaped, collapsed, item_key, match_key
+from lakeshed.functions.text import ARABIC, area_shaped, collapsed, item_key, latin_folded, match_key
 from lakeshed.functions.values import metres
 from lakeshed.operators.choosing import first_rows, modes
 from lakeshed.operators.nearby import exact_spread, nearest_within, within
@@ -117,17 +117,19 @@ def leads(brand: Column, title: Column) -> Column:
         return (b != "") & F.exists(F.array(t, bare), lambda x: F.startswith(F.concat(x, F.lit(" ")), F.concat(b, F.lit(" "))))
 
     parted = lambda x: collapsed(F.regexp_replace(_latin(x, " "), r"\band\b", " "))
-    return F.when(F.contains(parted(brand), F.lit(" ")), first(parted(brand), parted(title))).otherwise(first(_latin(brand, ""), _latin(title, "")))
+    return F.when(F.contains(_latin(brand, " and "), F.lit(" ")), first(parted(brand), parted(title))).otherwise(first(_latin(brand, ""), _latin(title, "")))
 
 
 def places_of_brands(found: DataFrame, query: str, brand: str, title: str, inside: Column, order: list[Column]) -> DataFrame:
     """Search results that are branches: in the country, the brand leading the title, one for each place of four digits.
 
-    A title in Arabic script alone counts if the search found nothing else.
+    The whole brand, with ``&`` as ``and``, also has to stand in the title.  A title in Arabic script alone counts if the search found nothing else.
     """
     alone = found.groupBy(query).agg((F.count("*") == 1).alias("_alone"))
     foreign = (_latin(c(title), " ") == "") & c("_alone")
-    kept = found.join(alone, query).filter(inside & (leads(c(brand), c(title)) | foreign)).drop("_alone")
+    whole = lambda x: F.concat(F.lit(" "), _latin(x, " and "), F.lit(" "))
+    named = leads(c(brand), c(title)) & F.contains(whole(c(title)), whole(c(brand)))
+    kept = found.join(alone, query).filter(inside & (named | foreign)).drop("_alone")
     unknown = c("lat").isNull() | c("lon").isNull()
     own = first_rows(kept.filter(~unknown).withColumns({"_y": F.round("lat", 4), "_x": F.round("lon", 4)}), [query, "_y", "_x"], order).drop("_y", "_x")
     return own.unionByName(kept.filter(unknown))
@@ -139,30 +141,72 @@ def brand_types(found: DataFrame, query: str, known_chain: Column) -> DataFrame:
     return out.select(query, "places", F.when(c("_known"), "Global Chain").when(c("places") >= 2, "Local Chain").otherwise("Independent").alias("type"))
 
 
-def _brand_words(x: Column) -> Column:
-    return F.filter(F.split(match_key(F.regexp_replace(F.lower(x), r"&|\band\b", " ")), " "), lambda w: w != "")
-
-
-def same_brand(name: Column, title: Column, generic: Sequence[str] = (), leading: Sequence[str] = (), score: Scorer = indel_score) -> Column:
-    """Whether two names are one brand: the same but for ``&``, a branch's suffix, the order of words, or a spelling of the whole name.
-
-    A whole name of several words may also stand inside the other; before it in
-    the title only words of ``leading``.  Names of ``generic`` words alone match only themselves.
+#: Words that say nothing of a brand, wherever they stand; words that may stand before a brand.
+GENERIC = ("restaurant", "restaurants", "resturant", "cafe", "café", "cafeteria", "llc", "l.l.c", "co", "company", "trading", "branch", "est", "the")
+DROPPED = (*GENERIC, "and", "al", "el", "of", "dubai", "sharjah", "ajman", "fujairah", "uae", "abudhabi", "cafteria")
+LEADING = ("main", "branch", "new", "gelateria", "patisserie", "pizzeria", "trattoria", "dine", "in", "delivery")
+#: A name of these words alone is a description.
+FOOD_WORDS = tuple("""
+juice juices center centre shawarma shawerma grill grills grilled pizza pizzeria burger burgers biryani
+biriyani mandi mandy madhbi kitchen sweets sweet bakery bakers bake coffee tea house corner express food
+foods chicken fried broast broasted kabab kebab kababs kebabs noodle noodles sushi bar lounge shop cake
+cakes dining oriental cuisine fresh healthy diet meal meals plans plan star royal grand new time spot
+point palace garden hut box bowl bowls salad salads shake shakes ice cream falafel falafil karak chai
+sandwich sandwiches fish seafood bbq pasta tandoor tandoori dosa chaat pastries pastry patisserie
+confectionery chocolate chocolates dessert desserts waffle waffles crepe crepes donut donuts fries wings
+taco tacos steak steaks rolls roll wraps wrap platter mix fusion bistro deli market mart grocery butchery
+yemen yemeni lebanese lebanon turkish indian india pakistani pakistan syrian iranian persian arabic
+arabian emirati egyptian chinese thai filipino korean japanese italian mexican american british german
+russian afghan kerala malabar hyderabadi hyd bombay mumbai delhi punjabi nepali nepalese sri lankan
+ethiopian african moroccan iraqi jordanian palestinian saudi kuwaiti gulf asian continental
+international special original famous best taste tasty delight delights hot spicy golden city world
+family first one by for la le
+""".split())
+_SEPARATOR = r"\s+-\s+|,|\||\("
+
+
+def _compact(x: Column) -> Column:
+    return F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(x, F.lit("")), ARABIC, " ")), "[^a-z0-9]", "")
+
+
+def _core(x: Column) -> Column:
+    """The words before a branch's separator, without generic ones at the end and the article before, joined."""
+    words = F.array_join(F.regexp_extract_all(F.lower(F.split(F.coalesce(x, F.lit("")), _SEPARATOR)[0]), F.lit(r"(?U)[\w'&]+"), F.lit(0)), " ")
+    bare = F.regexp_replace(F.regexp_replace(words, rf"(?:(?:^| )(?:{'|'.join(w for w in GENERIC if '.' not in w)}))+$", ""), "^(?:the(?: |$))+", "")
+    return F.regexp_replace(bare, "[^a-z0-9]", "")
+
+
+def _brand_words(x: Column, dropped: Sequence[str]) -> Column:
+    """Words of a name before a branch's separator: accents folded, other scripts out, without ``dropped`` ones."""
+    plain = F.regexp_replace(latin_folded(F.coalesce(x, F.lit(""))), r"[^\x00-\x7F]+", " ")
+    said = F.regexp_replace(F.lower(F.split(plain, _SEPARATOR)[0]), r"\babu\s*dhabi\b", " abudhabi ")
+    return F.filter(F.regexp_extract_all(said, F.lit("[a-z0-9]+"), F.lit(0)), lambda w: ~w.isin(*dropped))
+
+
+def same_brand(name: Column, title: Column, areas: Sequence[str] = (), food: Sequence[str] = FOOD_WORDS, score: Scorer = indel_score) -> Column:
+    """Whether two names are one brand, given that their places are the same.
+
+    One begins with the other, as they stand or without generic words, from four
+    letters on; or one is a variant of the other: the same but for ``&`` and accents,
+    a branch's suffix, the order of words, a spelling of the whole name, or a whole name of several
+    words inside the other, before which the title may have only words of
+    ``LEADING`` and ``areas``.  A name of ``food`` words alone has no variants.
     """
-    a, b = _brand_words(name), _brand_words(title)
+    begins = lambda a, b: (F.length(a) >= 4) & (F.length(b) >= 4) & (F.startswith(a, b) | F.startswith(b, a))
+    a, b = _brand_words(name, DROPPED), _brand_words(title, DROPPED)
     x, y = F.array_join(a, ""), F.array_join(b, "")
-    shorter = F.length(x) <= F.length(y)
-    s, long = F.when(shorter, a).otherwise(b), F.when(shorter, b).otherwise(a)
+    ours = F.length(x) <= F.length(y)  # the shorter is the name
+    s, long = F.when(ours, a).otherwise(b), F.when(ours, b).otherwise(a)
     sj, lj, n = F.array_join(s, ""), F.array_join(long, ""), F.size(s)
-    known = F.array(*map(F.lit, generic)).cast("array<string>")
-    spaced = lambda w: F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
-    before = F.filter(F.split(F.split_part(spaced(long), spaced(s), F.lit(1)), " "), lambda w: w != "")
-    run = F.contains(spaced(long), spaced(s)) & (n >= 2) & (F.length(sj) >= 8)
-    lead = F.forall(before, lambda w: w.isin(*leading)) if leading else F.size(before) == 0
     spelt = ((F.least(F.size(a), F.size(b)) >= 2) | (F.length(sj) >= 8)) & (F.length(sj) >= 6) & (score(x, y) >= 88)
-    like = (((n >= 2) | (F.length(sj) >= 7)) & F.startswith(lj, sj)) | ((n >= 2) & (F.array_sort(a) == F.array_sort(b))) | spelt | (run & (~shorter | lead))
-    common = F.forall(s, lambda w: F.array_contains(known, w))
-    return F.coalesce((sj != "") & F.when(x == y, F.length(x) >= 3).otherwise(~common & like), F.lit(False))
+    upto = F.when(F.size(long) > 0, F.sequence(F.lit(1), F.size(long))).otherwise(F.array().cast("array<int>"))
+    run = F.filter(upto, lambda i: F.exists(upto, lambda j: (j >= i) & (F.array_join(F.slice(long, i, F.greatest(j - i + 1, F.lit(1))), "") == sj)))
+    before = F.slice(long, F.lit(1), F.greatest(F.coalesce(F.try_element_at(run, F.lit(1)), F.lit(1)) - 1, F.lit(0)))
+    inside = (n >= 2) & (F.length(sj) >= 8) & (F.size(run) > 0) & (~ours | F.forall(before, lambda w: w.isin(*LEADING, *areas)))
+    like = F.when(x == y, F.length(x) >= 3).otherwise((((n >= 2) | (F.length(sj) >= 7)) & F.startswith(lj, sj)) | ((n >= 2) & (F.array_sort(a) == F.array_sort(b))) | spelt | inside)
+    identical = (F.length(x) >= 3) & (_brand_words(name, ("and",)) == _brand_words(title, ("and",)))
+    variant = (x != "") & (y != "") & (identical | (~F.forall(s, lambda w: w.isin(*food)) & like))
+    return F.coalesce(begins(_compact(name), _compact(title)) | begins(_core(name), _core(title)) | variant, F.lit(False))
 
 
 def branch_verdicts(branches: DataFrame, found: DataFrame, identity: str, name: str, title: str, most: float = 300.0, same: Callable[[Column, Column], Column] = same_brand) -> DataFrame:
@@ -235,17 +279,17 @@ def last_noun(x: Column, tails: Sequence[str], sizes: str = "") -> Column:
     return F.coalesce(F.try_element_at(F.filter(words, lambda w: ~w.isin(*tails)), F.lit(-1)), F.try_element_at(words, F.lit(1)), F.lit(""))
 
 
-def non_food(df: DataFrame, name: str, said: str, section: str, heads: Sequence[str], tails: Sequence[str], goods: str, food: str, sizes: str = "") -> DataFrame:
-    """Adds ``tier``: A, the name and its section speak of goods; B, two fields do; C, the head noun alone; null for food.
+def non_food(df: DataFrame, name: str, said: str, section: str, labelled: Column, heads: Sequence[str], tails: Sequence[str], goods: str, food: str, sizes: str = "", least: int = 5) -> DataFrame:
+    """Adds ``tier``: A, the name speaks of goods and its section too; B, two fields do; C, the head noun alone; null for food.
 
     What the description says of food outranks all, what the name or section says
-    all but a head noun among ``heads``.  A section of which four fifths of the items
-    are named as goods speaks of goods.
+    all but a head noun among ``heads``.  A section of at least ``least`` items of which four fifths are
+    ``labelled`` as goods speaks of goods.
     """
     holds = lambda f, p: F.coalesce(F.lower(f).rlike(p), F.lit(False))
-    rows = df.withColumns({"_head": last_noun(c(name), tails, sizes).isin(*heads), "_named": holds(name, goods)})
-    share = rows.groupBy(section).agg(F.avg((c("_head") | c("_named")).cast("int")).alias("_share")).withColumnRenamed(section, "_s")
-    rows = rows.join(share, c(section).eqNullSafe(c("_s")))
+    own = F.coalesce(section, F.lit(""))  # items without a section are one
+    share = df.groupBy(own.alias("_s")).agg(F.when(F.count("*") >= least, F.avg(F.coalesce(labelled, F.lit(False)).cast("int"))).otherwise(0.0).alias("_share"))
+    rows = df.withColumns({"_head": last_noun(c(name), tails, sizes).isin(*heads), "_named": holds(name, goods)}).join(share, own == c("_s"))
     in_said, in_section = holds(said, goods), holds(section, goods)
     fields = (c("_head") | c("_named")).cast("int") + in_said.cast("int") + in_section.cast("int")
     eaten = holds(said, food) | (~c("_head") & (holds(name, food) | holds(section, food)))

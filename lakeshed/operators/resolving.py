@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeshed.functions.text import collapsed, item_key, latin_folded
 from lakeshed.functions.values import metres
 from lakeshed.operators.choosing import first_rows, modes
+from lakeshed.operators.entities import beyond_area
 from lakeshed.operators.gates import Gate, checked
+from lakeshed.operators.nearby import exact_spread
 
 c = F.col
 
@@ -44,15 +47,28 @@ def one_of_promotions(df: DataFrame, keys: list[str], section: str, promoted: Co
 # Addresses and links -------------------------------------------------------
 
 
-def widest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Places of a group, and the diagonal of the box around them in metres: an upper bound of their spread."""
-    box = df.filter("lat is not null and lon is not null").groupBy(*keys).agg(F.count("*").alias("places"), *[f(x).alias(f"_{n}_{x}") for x in ("lat", "lon") for n, f in (("a", F.min), ("b", F.max))])
-    return box.select(*keys, "places", metres(c("_a_lat"), c("_a_lon"), c("_b_lat"), c("_b_lon")).alias("box"))
+def smeared(df: DataFrame, identity: str, chain: str, raw: str, area: str, most: float = 1000.0) -> DataFrame:
+    """(chain, address, branches, spread): addresses that one chain uses for places farther apart than one address can be.
+
+    Addresses that say no more than their area don't count; an address is one in
+    whatever case and spacing.  The spread is the largest distance of two places.
+    """
+    rows = df.filter(c(chain).isNotNull() & (F.trim(raw) != "") & (F.trim(raw) != "NA") & beyond_area(c(raw), c(area)))
+    rows = rows.select(identity, "lat", "lon", F.struct(c(chain).alias("chain"), item_key(c(raw)).alias("address")).alias("_g"))
+    several = rows.groupBy("_g").agg(F.countDistinct(identity).alias("branches")).filter("branches > 1")
+    far = exact_spread(rows.join(several, "_g", "left_semi"), "_g", identity).filter(c("spread") > most)
+    return several.join(far, "_g").select(c("_g.chain").alias(chain), c("_g.address").alias("address"), "branches", "spread")
 
 
-def smeared(df: DataFrame, chain: str, address: str, most: float = 1000.0) -> DataFrame:
-    """Addresses that one chain uses for places farther apart than one address can be."""
-    return widest(df.filter(c(address).isNotNull()), [chain, address]).filter((c("places") > 1) & (c("box") > most))
+def smear_verdict(place_city: Column, stated_city: Column, slug_area: Column, slug_listed: Column, file_area: Column) -> Column:
+    """What independent evidence says of a branch of a smeared address.
+
+    ``place_city`` is what verified points around it say, ``stated_city`` what the
+    address says; ``slug_area`` what its page's address says and whether that is a
+    listed area; ``file_area`` the file's own, if it is listed.  Without evidence it is unverified.
+    """
+    listed = F.coalesce(slug_listed, F.lit(False))
+    return F.when(place_city != stated_city, "wrong emirate").when(listed & (slug_area == file_area), "consistent").when(listed, "wrong area").otherwise("unverified")
 
 
 def link_owners(df: DataFrame, identity: str, link: str, owner_lat: str, owner_lon: str, near: float = 300.0, far: float = 1000.0) -> DataFrame:
@@ -60,11 +76,11 @@ def link_owners(df: DataFrame, identity: str, link: str, owner_lat: str, owner_l
 
     Columns: identity, link, verdict (own, keep, drop).
     """
-    rows = df.withColumn("_off", metres(c("lat"), c("lon"), c(owner_lat), c(owner_lon)))
+    rows = df.filter(c(link).isNotNull()).withColumn("_off", metres(c("lat"), c("lon"), c(owner_lat), c(owner_lon)))
     by = Window.partitionBy(link)
     rows = rows.withColumns({"_n": F.count("*").over(by), "_place": F.row_number().over(by.orderBy(F.asc_nulls_last("_off"), F.asc(identity)))})
     verdict = F.when(c("_n") == 1, "own").when((c("_place") == 1) & (c("_off") <= near), "own").when(c("_off") > far, "drop").otherwise("keep")
-    return rows.filter(c(link).isNotNull()).select(identity, link, verdict.alias("verdict"))
+    return rows.select(identity, link, verdict.alias("verdict"))
 
 
 def one_place(df: DataFrame, name_key: Column, order: list[Column], digits: int = 4) -> DataFrame:
@@ -84,18 +100,49 @@ def brand_steps(brand: Column, name: Column) -> Column:
     return F.when(name == brand, "exact").when(F.startswith(name, F.concat(brand, F.lit(" "))), "leading").when(F.contains(F.concat(F.lit(" "), name, F.lit(" ")), F.concat(F.lit(" "), brand, F.lit(" "))), "contained").when(hits >= need, "words")
 
 
+#: Public suffixes of two labels.
+TWO_LEVEL = ("co.uk", "org.uk", "me.uk", "ltd.uk", "plc.uk", "net.uk", "sch.uk", "ac.uk", "gov.uk", "com.au", "co.nz", "co.za", "com.br", "com.tr", "com.sa", "com.kw", "com.qa", "com.bh", "co.in")
+
+
+def registrable_domain(url: Column, suffixes: Sequence[str] = TWO_LEVEL) -> Column:
+    """The domain that is registered: two labels, three under a suffix of two; null without a dot."""
+    host = F.split(F.split(F.regexp_replace(F.lower(F.trim(url)), "^[a-z]+://", ""), "/")[0], ":")[0]
+    labels = F.filter(F.split(host, r"\."), lambda x: x != "")
+    n = F.when(F.array_join(F.slice(labels, -2, 2), ".").isin(*suffixes) & (F.size(labels) >= 3), 3).otherwise(2)
+    return F.when(F.size(labels) >= 2, F.array_join(F.slice(labels, -n, n), "."))
+
+
+def outlet_match(title: Column, site: Column, keywords: Column, excluded: Column, domain: Column) -> Column:
+    """How a result is a brand's: by ``title`` (one of its keywords, whole, first), by ``domain``, or null; excluded words refuse it."""
+    name = lambda x: collapsed(F.regexp_replace(F.regexp_replace(F.replace(F.lower(latin_folded(x)), F.lit("&"), F.lit(" and ")), "['.]", ""), "-", " "))
+    said = name(title)
+    within = lambda words: F.exists(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.contains(F.concat(F.lit(" "), said, F.lit(" ")), F.concat(F.lit(" "), w, F.lit(" "))))
+    refused = F.coalesce(within(excluded), F.lit(False))
+    return F.when(~refused, F.when(F.coalesce(within(keywords), F.lit(False)), "title").when(registrable_domain(site) == domain, "domain"))
+
+
 def outlets(df: DataFrame, keys: list[str], reasons: list[tuple[str, Column]], place: str, address: str, closed: Column, cap: int) -> DataFrame:
-    """Outlets of a brand: rows dropped by the first reason that holds, each counted; one for each place id, then address; open ones; whether the capture was cut at its cap."""
-    reason = F.coalesce(*[F.when(F.coalesce(holds, F.lit(False)), F.lit(name)) for name, holds in reasons])
-    rows = df.withColumns({"_reason": reason, "_closed": F.coalesce(closed, F.lit(False))})
+    """Outlets of a brand: rows dropped by the first reason that holds, each counted; one for each place id, then address; open ones; whether the capture was cut at its cap.
+
+    Of a place's rows the one with the first address, then an open one, counts; an address is open if one of its places is.
+    """
+    holds = [F.when(F.coalesce(x, F.lit(False)), F.lit(name)) for name, x in reasons]
+    rows = df.withColumns({"_reason": F.coalesce(*holds, F.lit(None).cast("string")) if holds else F.lit(None).cast("string"), "_closed": F.coalesce(closed, F.lit(False))})
     counted = rows.groupBy(*keys).agg(F.count("*").alias("rows"), *[F.count_if(c("_reason") == n).alias(n.replace(" ", "_")) for n, _ in reasons])
     own = F.coalesce(F.nullif(c(address), F.lit("")), F.concat(F.lit("id:"), c(place).cast("string")))
-    kept = first_rows(rows.filter("_reason is null").withColumn("_own", own), [*keys, place], [F.asc("_own")])
+    kept = first_rows(rows.filter(c("_reason").isNull() & c(place).isNotNull()).withColumn("_own", own), [*keys, place], [F.asc("_own"), F.asc("_closed")])
     unique = kept.groupBy(*keys, "_own").agg(F.bool_and("_closed").alias("_closed"))
     found = unique.groupBy(*keys).agg(F.count("*").alias("outlets"), F.count_if(~c("_closed")).alias("open"))
     return counted.join(found, keys, "left").withColumns({"outlets": F.coalesce("outlets", F.lit(0)), "open": F.coalesce("open", F.lit(0)), "cut": c("rows") >= cap})
 
 
+def shared_counts(counts: DataFrame, brand: str, same_as: DataFrame) -> DataFrame:
+    """Adds the brands that are another one under a further name (brand, same_as) with that one's counts; ``shared_from`` says whose."""
+    own = counts.withColumn("shared_from", F.lit(None).cast("string"))
+    rows = same_as.select(c(brand).alias("_new"), c("same_as").alias(brand)).join(counts, brand)
+    return own.unionByName(rows.withColumn("shared_from", c(brand).cast("string")).withColumn(brand, c("_new")).drop("_new"))
+
+
 # Labels --------------------------------------------------------------------
 
 

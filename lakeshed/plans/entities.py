@@ -85,7 +85,7 @@ def listing_distances(spark: SparkSession, sf: str) -> DataFrame:
 
 _RESULTS = f"""{_LISTED}, f AS (SELECT half, id, CASE half % 5 WHEN 0 THEN pair || ' & Sons' WHEN 1 THEN 'Al ' || pair WHEN 2 THEN 'Old ' || pair WHEN 3 THEN replace(pair, ' ', ' and ') ELSE 'مطعم' END AS title, pair AS asked,
   CASE WHEN half % 7 = 0 THEN 25.5::DOUBLE ELSE lat END AS lat, CASE WHEN half % 7 = 0 THEN 55.5::DOUBLE ELSE lon END AS lon, CASE WHEN half % 11 = 0 THEN 'Muscat, Oman' ELSE brand END AS address FROM l WHERE id % 3 <> 0),
-a AS (SELECT half, count(*) = 1 AS alone FROM f GROUP BY 1), kept AS (SELECT f.* FROM f JOIN a USING (half) WHERE address NOT LIKE '%Oman%' AND coalesce(lat BETWEEN 25.01 AND 25.39 AND lon BETWEEN 55.0 AND 55.4 OR half % 7 = 0, true) AND (half % 5 IN (0, 1, 3) OR (half % 5 = 4 AND alone))),
+a AS (SELECT half, count(*) = 1 AS alone FROM f GROUP BY 1), kept AS (SELECT f.* FROM f JOIN a USING (half) WHERE address NOT LIKE '%Oman%' AND coalesce(lat BETWEEN 25.01 AND 25.39 AND lon BETWEEN 55.0 AND 55.4 OR half % 7 = 0, true) AND (half % 5 IN (0, 1) OR (half % 5 = 4 AND alone))),
 o AS (SELECT * FROM kept WHERE lat IS NULL OR lon IS NULL UNION ALL (SELECT * FROM kept WHERE lat IS NOT NULL AND lon IS NOT NULL QUALIFY row_number() OVER (PARTITION BY half, round(lat, 4), round(lon, 4) ORDER BY id) = 1))"""
 
 
@@ -112,21 +112,40 @@ def brand_types(spark: SparkSession, sf: str) -> DataFrame:
     return entities.brand_types(_branches(spark, sf), "half", c("half") % 9 == 0)
 
 
-_TITLE = "CASE half % 6 WHEN 0 THEN pair || ' house' WHEN 1 THEN 'house ' || pair WHEN 2 THEN pair || ' hose' WHEN 3 THEN 'the old ' || pair || ' house' WHEN 4 THEN pair ELSE brand END"
+_TITLES = ("{p} house", "house {p}", "{p} hose", "the old {p} house", "{p}", "{b}", "Main {p} House Cafe", "New-{p} house", "Pláte & {p} - Dubai", "Z {p} house", "{p} and house, Deira", "zaki")
+_GENERIC_SQL = "|".join(w for w in entities.GENERIC if "." not in w)
+
+
+def _core_sql(x: str) -> str:
+    words = rf"array_to_string(regexp_extract_all(lower(regexp_split_to_array({x}, '\s+-\s+|,|\||\(')[1]), '[\p{{L}}\p{{N}}_''&]+'), ' ')"
+    return rf"regexp_replace(regexp_replace(regexp_replace({words}, '(?:(?:^| )(?:{_GENERIC_SQL}))+$', ''), '^(?:the(?: |$))+', ''), '[^a-z0-9]', '', 'g')"
+
+
+def _words_sql(x: str, dropped: tuple[str, ...]) -> str:
+    plain = rf"regexp_replace(lower(regexp_split_to_array(regexp_replace(strip_accents({x}), '[^\x00-\x7F]+', ' ', 'g'), '\s+-\s+|,|\||\(')[1]), '\babu\s*dhabi\b', ' abudhabi ', 'g')"
+    return f"list_filter(regexp_extract_all({plain}, '[a-z0-9]+'), lambda w: NOT list_contains({list(dropped)}, w))"
+
+
+_BEGINS = "(len({a}) >= 4 AND len({b}) >= 4 AND (starts_with({a}, {b}) OR starts_with({b}, {a})))"
 
 
 @plans.query(f"""
-WITH {_LISTED}, f AS (SELECT half, {_TITLE} AS title, lat + (half % 4)::DOUBLE / 1000.0::DOUBLE AS lat, lon FROM l WHERE id % 2 = 1 AND id % 10 <> 1),
-p AS (SELECT r.id, r.name, k.title, CASE WHEN r.lon IS NOT NULL AND k.lon IS NOT NULL THEN {_FAR} END AS m, lower(title) AS tl, replace(r.name, ' ', '') AS x, regexp_replace(lower(title), '[^a-z0-9]', '', 'g') AS y, string_split(r.name, ' ') AS a, string_split(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')), ' ') AS b FROM r LEFT JOIN f k ON r.half = k.half),
-q AS (SELECT *, CASE WHEN len(x) <= len(y) THEN x ELSE y END AS sj, CASE WHEN len(x) <= len(y) THEN y ELSE x END AS lj, CASE WHEN len(x) <= len(y) THEN a ELSE b END AS s, CASE WHEN len(x) <= len(y) THEN b ELSE a END AS lo FROM p),
-w AS (SELECT *, ' ' || array_to_string(s, ' ') || ' ' AS ss, ' ' || array_to_string(lo, ' ') || ' ' AS ls FROM q),
-z AS (SELECT *, CASE WHEN title IS NULL THEN false WHEN x = y THEN len(x) >= 3 ELSE ((len(s) >= 2 OR len(sj) >= 7) AND starts_with(lj, sj)) OR (len(s) >= 2 AND list_sort(a) = list_sort(b)) OR ((least(len(a), len(b)) >= 2 OR len(sj) >= 8) AND len(sj) >= 6 AND {_LEV.format(a='x', b='y')} * 100 >= 88)
-  OR (contains(ls, ss) AND len(s) >= 2 AND len(sj) >= 8 AND (len(x) > len(y) OR starts_with(ls, ss))) END AS same FROM w),
+WITH {_LISTED}, f AS (SELECT half, replace(replace({list(_TITLES)}[half % {len(_TITLES)} + 1], '{{p}}', pair), '{{b}}', brand) AS title, lat + (half % 4)::DOUBLE / 1000.0::DOUBLE AS lat, lon FROM l WHERE id % 2 = 1 AND id % 10 <> 1),
+p AS (SELECT r.id, r.name, k.title, CASE WHEN r.lon IS NOT NULL AND k.lon IS NOT NULL THEN {_FAR} END AS m FROM r LEFT JOIN f k ON r.half = k.half),
+w AS (SELECT *, {_words_sql('name', entities.DROPPED)} AS a, {_words_sql('title', entities.DROPPED)} AS b, {_words_sql('name', ('and',))} AS ka, {_words_sql('title', ('and',))} AS kb,
+  regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS ca, regexp_replace(lower(title), '[^a-z0-9]', '', 'g') AS cb, {_core_sql('name')} AS oa, {_core_sql('title')} AS ob FROM p),
+j AS (SELECT *, array_to_string(a, '') AS x, array_to_string(b, '') AS y FROM w),
+q AS (SELECT *, len(x) <= len(y) AS ours, CASE WHEN len(x) <= len(y) THEN x ELSE y END AS sj, CASE WHEN len(x) <= len(y) THEN y ELSE x END AS lj, CASE WHEN len(x) <= len(y) THEN a ELSE b END AS s, CASE WHEN len(x) <= len(y) THEN b ELSE a END AS lo FROM j),
+u AS (SELECT *, list_filter(range(1, len(lo) + 1), lambda i: len(list_filter(range(i, len(lo) + 1), lambda j: array_to_string(lo[i:j], '') = sj)) > 0) AS run FROM q),
+z AS (SELECT *, CASE WHEN title IS NULL THEN false ELSE {_BEGINS.format(a='ca', b='cb')} OR {_BEGINS.format(a='oa', b='ob')} OR (x <> '' AND y <> '' AND ((len(x) >= 3 AND ka = kb)
+  OR (len(list_filter(s, lambda v: NOT list_contains({list(entities.FOOD_WORDS)}, v))) > 0 AND CASE WHEN x = y THEN len(x) >= 3 ELSE ((len(s) >= 2 OR len(sj) >= 7) AND starts_with(lj, sj)) OR (len(s) >= 2 AND list_sort(a) = list_sort(b))
+   OR ((least(len(a), len(b)) >= 2 OR len(sj) >= 8) AND len(sj) >= 6 AND {_LEV.format(a='x', b='y')} * 100 >= 88)
+   OR (len(s) >= 2 AND len(sj) >= 8 AND len(run) > 0 AND (NOT ours OR len(list_filter(lo[:run[1] - 1], lambda v: NOT list_contains({list(entities.LEADING)}, v))) = 0)) END))) END AS same FROM u),
 e AS (SELECT id, count(title) AS n, min(CASE WHEN same THEN m END) AS metres, min(CASE WHEN same AND m IS NOT NULL THEN title END) AS title FROM z GROUP BY 1)
 SELECT id, CASE WHEN metres <= 300 THEN 'found' WHEN metres IS NOT NULL THEN 'brand only elsewhere' WHEN n > 0 THEN 'no such brand' ELSE 'nothing found' END AS verdict, CASE WHEN metres <= 300 THEN title END AS title, round(metres, 3) AS metres FROM e""")
 def branch_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     half = c("half")
-    title = F.when(half % 6 == 0, F.concat("pair", F.lit(" house"))).when(half % 6 == 1, F.concat(F.lit("house "), "pair")).when(half % 6 == 2, F.concat("pair", F.lit(" hose"))).when(half % 6 == 3, F.concat(F.lit("the old "), "pair", F.lit(" house"))).when(half % 6 == 4, c("pair")).otherwise(c("brand"))
+    title = F.replace(F.replace(F.element_at(F.array(*map(F.lit, _TITLES)), (half % len(_TITLES) + 1).cast("int")), F.lit("{p}"), c("pair")), F.lit("{b}"), c("brand"))
     rows = _listed(spark, sf)
     found = rows.filter("id % 2 = 1 and id % 10 <> 1").select("half", title.alias("title"), (c("lat") + half % 4 / 1000.0).alias("place_lat"), c("lon").alias("place_lon"))
     branches = rows.filter("id % 2 = 0")
@@ -162,15 +181,16 @@ _HEADS, _TAILS, _GOODS, _FOOD = ("ring", "rod", "bolt"), ("red", "blue", "small"
 
 
 @plans.query(f"""
-WITH x AS (SELECT p_partkey, p_name, CASE WHEN p_size % 9 = 0 THEN p_name WHEN p_size % 5 = 0 THEN p_type END AS said, CASE p_partkey % 10 WHEN 0 THEN 'Steel ' || p_brand WHEN 1 THEN 'Only ' || string_split(p_name, ' ')[-1] ELSE p_brand END AS section, list_filter(string_split(p_name, ' '), lambda w: w NOT IN {_TAILS}) AS plain FROM part),
-h AS (SELECT *, coalesce(plain[-1], string_split(p_name, ' ')[1]) IN {_HEADS} AS head, regexp_matches(p_name, '{_GOODS}') AS named FROM x), v AS (SELECT section, avg((head OR named)::INT) AS share FROM h GROUP BY 1),
+WITH x AS (SELECT p_partkey, p_name, p_size, CASE WHEN p_size % 9 = 0 THEN p_name WHEN p_size % 5 = 0 THEN p_type END AS said, CASE p_partkey % 10 WHEN 0 THEN 'Steel ' || p_brand WHEN 1 THEN 'Only ' || string_split(p_name, ' ')[-1] ELSE p_brand END AS section, list_filter(string_split(p_name, ' '), lambda w: w NOT IN {_TAILS}) AS plain FROM part),
+h AS (SELECT *, coalesce(plain[-1], string_split(p_name, ' ')[1]) IN {_HEADS} AS head, regexp_matches(p_name, '{_GOODS}') AS named FROM x), v AS (SELECT section, CASE WHEN count(*) >= 5 THEN avg((p_size % 6 <> 1 AND p_partkey % 10 = 1)::INT) ELSE 0 END AS share FROM h GROUP BY 1),
 e AS (SELECT h.*, share, coalesce(regexp_matches(lower(said), '{_GOODS}'), false) AS ns, coalesce(regexp_matches(lower(said), '{_FOOD}'), false) AS fs, regexp_matches(p_name, '{_FOOD}') OR regexp_matches(lower(section), '{_FOOD}') AS fn, regexp_matches(lower(section), '{_GOODS}') AS sn FROM h JOIN v USING (section))
 SELECT p_partkey, CASE WHEN fs OR (NOT head AND fn) THEN NULL WHEN (head OR named) AND (sn OR share >= 0.8) THEN 'A' WHEN (head OR named)::INT + ns::INT + sn::INT >= 2 THEN 'B' WHEN head AND NOT fn THEN 'C' END AS tier FROM e""")
 def non_food_tiers(spark: SparkSession, sf: str) -> DataFrame:
     said = F.when(c("p_size") % 9 == 0, c("p_name")).when(c("p_size") % 5 == 0, c("p_type"))
     section = F.when(c("p_partkey") % 10 == 0, F.concat(F.lit("Steel "), "p_brand")).when(c("p_partkey") % 10 == 1, F.concat(F.lit("Only "), F.element_at(F.split("p_name", " "), -1))).otherwise(c("p_brand"))
-    rows = table(spark, sf, "part").select("p_partkey", "p_name", said.alias("said"), section.alias("section"))
-    return entities.non_food(rows, "p_name", "said", "section", _HEADS, _TAILS, _GOODS, _FOOD).select("p_partkey", "tier")
+    labelled = (c("p_size") % 6 != 1) & (c("p_partkey") % 10 == 1)  # what a reviewer said of the item
+    rows = table(spark, sf, "part").select("p_partkey", "p_name", labelled.alias("labelled"), said.alias("said"), section.alias("section"))
+    return entities.non_food(rows, "p_name", "said", "section", c("labelled"), _HEADS, _TAILS, _GOODS, _FOOD).select("p_partkey", "tier")
 
 
 @plans.query(f"""
@@ -262,13 +282,31 @@ def items_matched(spark: SparkSession, sf: str) -> DataFrame:
     return entities.items_matched(part.filter("p_partkey % 2 = 0"), part.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "other"), "p_brand", "p_partkey", "other", "name")
 
 
-def _emirate_address(k: Column) -> Column:
-    towns = F.array(*map(F.lit, ("Al Ain", "Kalba", "Deira, Dubai", "Khalifa City, abu dhabi", "Muscat")))
-    return F.when(k % 11 != 0, F.concat(F.element_at(towns, (k % 5 + 1).cast("int")), F.lit(", United Arab Emirates")))
+_ADDRESSES = (
+    "Al Ain, United Arab Emirates", "Kalba", "Deira, Dubai", "Khalifa City, abu dhabi", "Muscat", "Dubai Road - Al Majaz - Sharjah", "Al Ain Street, Deira, Dubai", "Abu Dhabi Gate, Ajman", "Al Ain Society - Abu Dhabi",
+    "Al Ain Road - Abu Dhabi - U.A.E.", "Shop 3, Ras Al-Khaimah", "khorfakkan beach - Sharjah", "Umm al Qaiwain - UAE", "Old Fujairah Fort", "Kalba corniche, Sharjah, UAE", "", "a, b, Dubai, c, d, e, f, g, h", "al ain hwy only",
+)
+_LOW = [x.lower() for x in t.CITIES]
 
 
-@plans.query("""
-SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'Unknown' ELSE ['Abu Dhabi', 'Sharjah', 'Dubai', 'Abu Dhabi', 'Unknown'][p_partkey % 5 + 1] END AS emirate, contains(p_name, 'hot') AS popular, lower(trim(p_type)) <> lower(trim(p_brand)) AS beyond FROM part""")
+def _replaced(x: str, pairs: list[tuple[str, str]]) -> str:
+    for pattern, to in pairs:
+        x = f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
+    return x
+
+
+@plans.query(f"""
+WITH a AS (SELECT p_partkey, p_name, p_type, p_brand, CASE WHEN p_partkey % 11 <> 0 THEN p_brand || ' ' || {list(_ADDRESSES)}[p_partkey % {len(_ADDRESSES)} + 1] WHEN p_partkey % 2 = 0 THEN {list(_ADDRESSES)}[p_partkey % {len(_ADDRESSES)} + 1] END AS x FROM part),
+n AS (SELECT *, {_replaced("coalesce(x, '')", [(chr(92).join(["(", "w)-(", "w)"]), r"\1 \2")] * 2 + [("(?i)" + f, to) for f, to in t.CITY_FORMS])} AS said FROM a),
+b AS (SELECT *, trim({_replaced("said", [("(?i)" + t.COUNTRY_END, "")])}, ', -') AS bare, {_replaced("said", [("(?i)" + t.CITY_ROADS, " ")])} AS scrubbed FROM n),
+s AS (SELECT *, list_filter(list_transform(regexp_split_to_array(bare, '\\s*[-,]\\s*'), lambda y: trim(y)), lambda y: y <> '')[-6:] AS tail FROM b),
+k AS (SELECT *, coalesce(list_max(list_transform(range(1, len(tail) + 1), lambda i: CASE WHEN list_contains({_LOW}, lower(tail[i])) THEN i ELSE 0 END)), 0) AS pos FROM s),
+c AS (SELECT *, CASE WHEN pos > 0 THEN {list(t.CITIES)}[list_position({_LOW}, lower(tail[pos]))] END AS city, {_replaced("array_to_string(tail[:pos - 1], ' ')", [("(?i)" + t.CITY_ROADS, "")])} AS before_ FROM k)
+SELECT p_partkey, coalesce({', '.join(f"CASE WHEN city = '{y}' AND pos > 1 AND regexp_matches(before_, '(?i){z}') THEN '{town}' END" for y, town, z in t.TOWNS)}, city, {', '.join(f"CASE WHEN regexp_matches(scrubbed, '(?i){chr(92)}b{y}{chr(92)}b') THEN '{y}' END" for y in t.CITIES)}, 'Unknown') AS emirate,
+ contains(p_name, 'hot') AS popular, lower(trim(p_type)) <> lower(trim(p_brand)) AS beyond FROM c""".replace("\\\\s", "\\s"))
 def emirates(spark: SparkSession, sf: str) -> DataFrame:
+    k = c("p_partkey")
+    said = F.element_at(F.array(*map(F.lit, _ADDRESSES)), (k % len(_ADDRESSES) + 1).cast("int"))
+    address = F.when(k % 11 != 0, F.concat_ws(" ", "p_brand", said)).when(k % 2 == 0, said)
     section = F.when(F.contains("p_name", F.lit("hot")), F.concat(F.lit("Most POPULAR "), "p_name")).otherwise(c("p_name"))
-    return table(spark, sf, "part").select("p_partkey", t.emirate(_emirate_address(c("p_partkey"))).alias("emirate"), t.popular(section).alias("popular"), entities.beyond_area(c("p_type"), c("p_brand")).alias("beyond"))
+    return table(spark, sf, "part").select("p_partkey", t.emirate(address).alias("emirate"), t.popular(section).alias("popular"), entities.beyond_area(c("p_type"), c("p_brand")).alias("beyond"))

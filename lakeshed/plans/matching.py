@@ -141,7 +141,7 @@ WITH l AS ({_LISTINGS}), x AS (SELECT *, {_SORTED.format(x="name")} AS words FRO
 p AS (SELECT x.id AS new_id, y.id AS old_id, coalesce(x.slug = y.slug, false) AS same_slug, coalesce(x.chain = y.chain, false) AS same_chain, x.name = y.name AS same_name, x.listed = y.listed AND x.name <> y.name AS same_listed_name, x.area = y.area AS same_area,
   len(list_intersect(x.cuisines, y.cuisines)) > 0 AS shared_cuisine, len(x.cuisines) = 0 OR len(y.cuisines) = 0 AS cuisine_open, round(100 * (1 - levenshtein(x.words, y.words) / greatest(len(x.words), len(y.words))), 2) AS fuzzy, CASE WHEN x.lat IS NOT NULL AND y.lat IS NOT NULL THEN {METRES_SQL.format(a='x', b='y')} END AS metres FROM x, y),
 s AS (SELECT *, CASE WHEN same_slug AND metres <= 100 THEN 0.99 WHEN same_chain AND metres <= 30 THEN 0.98 WHEN same_chain AND metres <= 120 THEN 0.93 WHEN same_name AND metres <= 50 THEN 0.95 WHEN same_listed_name AND metres <= 50 THEN 0.94 WHEN same_name AND metres <= 250 THEN 0.85
-  WHEN fuzzy >= 90 AND metres <= 150 AND (shared_cuisine OR cuisine_open) THEN 0.80 WHEN fuzzy >= 95 AND same_area AND shared_cuisine THEN 0.70 WHEN same_slug AND metres IS NULL THEN 0.60 WHEN same_slug THEN 0.25 END::DOUBLE AS confidence FROM p WHERE metres <= 250 OR same_slug OR (same_chain AND same_area AND metres IS NULL))
+  WHEN fuzzy >= 90 AND metres <= 150 AND (shared_cuisine OR cuisine_open) THEN 0.80 WHEN fuzzy >= 95 AND same_area AND shared_cuisine THEN 0.70 WHEN same_slug AND metres IS NULL THEN 0.60 WHEN same_slug THEN 0.25 END::DOUBLE AS confidence FROM p WHERE metres <= 250 OR same_slug OR same_chain)
 SELECT new_id, old_id, confidence, confidence >= 0.8 AS accepted FROM s WHERE confidence IS NOT NULL QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY confidence DESC, CASE WHEN metres <= 250 THEN round(metres, 3) END NULLS LAST, old_id) = 1"""
 
 
@@ -158,7 +158,7 @@ def relisted(spark: SparkSession, sf: str) -> DataFrame:
     )
     new, old = rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1")
     x, y = new.alias("x"), old.alias("y")
-    pairs = tiers.relisting_candidates(new, old, ["name", "cuisines"]).join(x, c("new_id") == c("x.id")).join(y, c("old_id") == c("y.id"))
+    pairs = tiers.relisting_candidates(new, old, ["cuisines"], "words").join(x, c("new_id") == c("x.id")).join(y, c("old_id") == c("y.id"))
     same = lambda name: F.coalesce(c(f"x.{name}") == c(f"y.{name}"), F.lit(False))
     pairs = pairs.select(
         "new_id", "old_id", same("slug").alias("same_slug"), same("chain").alias("same_chain"), same("name").alias("same_name"), (same("listed") & ~same("name")).alias("same_listed_name"), same("area").alias("same_area"),

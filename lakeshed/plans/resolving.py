@@ -35,14 +35,53 @@ def promotions_merged(spark: SparkSession, sf: str) -> DataFrame:
 _C = f"SELECT c_custkey, c_nationkey, c_mktsegment, {places_sql('c_custkey', 13)} FROM customer"
 
 
-@plans.query(f"""
-WITH u AS ({_C}), b AS (SELECT c_mktsegment, c_nationkey, count(*) AS places, min(lat) AS alat, min(lon) AS alon, max(lat) AS blat, max(lon) AS blon FROM u GROUP BY 1, 2),
-x AS (SELECT c_mktsegment, c_nationkey, places, {METRES_SQL.replace('{a}.lat', 'alat').replace('{a}.lon', 'alon').replace('{b}.lat', 'blat').replace('{b}.lon', 'blon')} AS box FROM b)
-SELECT c_mktsegment, c_nationkey, places, round(box, 2) AS box FROM x WHERE places > 1 AND box > 40000""")
+_CITIES = ("Dubai", "Sharjah", "Ajman", "Al Ain")
+#: Branches of segments with addresses that several share, that say only their area, or a city that isn't where they stand.
+_BRANCHES = f"""b AS (SELECT c_custkey, c_mktsegment AS chain, 'Area ' || c_nationkey % 5 AS area, CASE WHEN c_nationkey % 6 = 0 THEN ' area  ' || c_nationkey % 5 ELSE 'Shop ' || c_nationkey || CASE WHEN c_nationkey % 3 = 1 THEN '' ELSE ' - ' || {list(_CITIES)}[c_nationkey % 4 + 1] END || CASE WHEN c_nationkey % 3 = 2 THEN ' - Mall' ELSE '' END END AS raw,
+ 'https://x/menu/' || replace(lower(c_name), '#', '') || CASE WHEN c_custkey % 4 = 0 THEN '' ELSE '-area-' || (c_nationkey + c_custkey % 3) % 7 END AS url, lat, lon, {list(_CITIES)}[c_custkey % 2 + 1] AS verified, c_name FROM (SELECT *, {places_sql('c_custkey', 13)} FROM customer))"""
+
+
+def _smear_rows(spark: SparkSession, sf: str) -> DataFrame:
+    n, k = c("c_nationkey"), c("c_custkey")
+    city = lambda i: F.element_at(F.array(*map(F.lit, _CITIES)), (i + 1).cast("int"))
+    digits = lambda x: x.cast("string")
+    full = F.concat(F.lit("Shop "), digits(n), F.when(n % 3 == 1, "").otherwise(F.concat(F.lit(" - "), city(n % 4))), F.when(n % 3 == 2, " - Mall").otherwise(""))
+    raw = F.when(n % 6 == 0, F.concat(F.lit(" area  "), digits(n % 5))).otherwise(full)
+    url = F.concat(F.lit("https://x/menu/"), F.replace(F.lower("c_name"), F.lit("#"), F.lit("")), F.when(k % 4 == 0, "").otherwise(F.concat(F.lit("-area-"), digits((n + k % 3) % 7))))
+    rows = places(table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_name"), "c_custkey", 13)
+    return rows.select("c_custkey", c("c_mktsegment").alias("chain"), F.concat(F.lit("Area "), digits(n % 5)).alias("area"), raw.alias("raw"), url.alias("url"), "lat", "lon", city(k % 2).alias("verified"), F.regexp_replace("c_name", "#", "").alias("name"))
+
+
+_SMEARS = f"""{_BRANCHES}, k AS (SELECT *, lower(trim(regexp_replace(raw, '\\s+', ' ', 'g'))) AS address FROM b), g AS (SELECT * FROM k WHERE address <> lower(area)),
+s AS (SELECT a.chain, a.address, count(DISTINCT a.c_custkey) AS branches, max({METRES_SQL.format(a='a', b='z')}) AS spread FROM g a JOIN g z ON a.chain = z.chain AND a.address = z.address GROUP BY 1, 2 HAVING count(DISTINCT a.c_custkey) > 1 AND max({METRES_SQL.format(a='a', b='z')}) > 20000)"""
+
+
+@plans.query(f"WITH {_SMEARS} SELECT chain, address, branches, round(spread, 2) AS spread FROM s")
 def smeared_addresses(spark: SparkSession, sf: str) -> DataFrame:
-    rows = places(table(spark, sf, "customer"), "c_custkey", 13).withColumn("address", c("c_nationkey").cast("string"))
-    out = resolving.smeared(rows, "c_mktsegment", "address", 40_000.0)
-    return out.select("c_mktsegment", c("address").cast("int").alias("c_nationkey"), "places", F.round("box", 2).alias("box"))
+    return resolving.smeared(_smear_rows(spark, sf), "c_custkey", "chain", "raw", "area", 20_000.0).withColumn("spread", F.round("spread", 2))
+
+
+@plans.query(f"""
+WITH {_SMEARS}, j AS (SELECT g.* FROM g JOIN s USING (chain, address)),
+v AS (SELECT j.c_custkey, k.verified, sqrt(pow(j.lat - k.lat, 2) + pow(j.lon - k.lon, 2)) * 111 AS km, k.c_custkey AS other FROM j, k WHERE k.c_custkey % 3 = 0),
+n AS (SELECT * FROM v WHERE km <= 2 QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY km, other) <= 5),
+m AS (SELECT c_custkey, verified AS place_city FROM n GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY count(*) DESC, verified) = 1),
+e AS (SELECT j.*, place_city, list_filter(list_transform(string_split(raw, ' - '), lambda x: CASE WHEN list_contains({[x.lower() for x in _CITIES]}, lower(trim(x))) THEN trim(x) END), lambda x: x IS NOT NULL)[-1] AS stated,
+  nullif(trim(substr(trim(replace(regexp_extract(url, '([^/]*)$', 1), '-', ' ')), len(replace(c_name, '#', ' ')) + 1)), '') AS tail, replace(lower(c_name), '#', '') AS nm FROM j LEFT JOIN m USING (c_custkey))
+SELECT c_custkey, CASE WHEN place_city <> stated THEN 'wrong emirate' WHEN tail IN ('area 0', 'area 1', 'area 2', 'area 3', 'area 4') AND tail = lower(area) THEN 'consistent' WHEN tail IN ('area 0', 'area 1', 'area 2', 'area 3', 'area 4') THEN 'wrong area' ELSE 'unverified' END AS verdict FROM (SELECT * REPLACE (nullif(trim(substr(replace(regexp_extract(url, '([^/]*)$', 1), '-', ' '), len(nm) + 1)), '') AS tail) FROM e)""")
+def smear_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the places around, the stated city and the page's own area say of each branch of a smeared address."""
+    from lakeshed.functions.text import item_key, last_known_city, slug_tail
+    from lakeshed.operators import nearby
+
+    rows = _smear_rows(spark, sf)
+    bad = resolving.smeared(rows, "c_custkey", "chain", "raw", "area", 20_000.0).select("chain", "address")
+    held = rows.withColumn("address", item_key(c("raw"))).join(bad, ["chain", "address"])
+    voted = nearby.vote(held.select("c_custkey", "lat", "lon"), rows.filter("c_custkey % 3 = 0").select(c("c_custkey").alias("known"), "lat", "lon", "verified"), "c_custkey", "known", "verified", 5, 2.0).select("c_custkey", c("verified").alias("place_city"))
+    listed = rows.select(F.lower("area").alias("on_list")).distinct()
+    held = held.join(voted, "c_custkey", "left").withColumn("tail", slug_tail(c("url"), c("name"))).join(listed, c("tail") == c("on_list"), "left")
+    verdict = resolving.smear_verdict(c("place_city"), last_known_city(c("raw"), _CITIES), c("tail"), c("on_list").isNotNull(), F.lower("area"))
+    return held.select("c_custkey", verdict.alias("verdict"))
 
 
 @plans.query(f"""
@@ -78,13 +117,35 @@ def brand_matches(spark: SparkSession, sf: str) -> DataFrame:
 @plans.query("""
 WITH r AS (SELECT l_suppkey, l_partkey, l_orderkey % 40 AS address, l_returnflag = 'R' AS closed, CASE WHEN l_discount > 0.08 THEN 'other kind' WHEN l_quantity < 3 THEN 'too small' END AS reason FROM lineitem),
 k AS (SELECT * FROM r WHERE reason IS NULL QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY CASE WHEN address = 0 THEN 'id:' || l_partkey ELSE address::VARCHAR END, closed) = 1),
-u AS (SELECT l_suppkey, CASE WHEN address = 0 THEN 'id:' || l_partkey ELSE address::VARCHAR END AS own FROM k GROUP BY 1, 2)
-SELECT l_suppkey, count(*) AS rows, count(*) FILTER (reason = 'other kind') AS other_kind, count(*) FILTER (reason = 'too small') AS too_small, (SELECT count(*) FROM u WHERE u.l_suppkey = r.l_suppkey) AS outlets, count(*) >= 600 AS cut FROM r GROUP BY l_suppkey""")
+u AS (SELECT l_suppkey, CASE WHEN address = 0 THEN 'id:' || l_partkey ELSE address::VARCHAR END AS own, bool_and(closed) AS shut FROM k GROUP BY 1, 2),
+o AS (SELECT l_suppkey, count(*) AS outlets, count(*) FILTER (NOT shut) AS open FROM u GROUP BY 1),
+t AS (SELECT l_suppkey, count(*) AS rows, count(*) FILTER (reason = 'other kind') AS other_kind, count(*) FILTER (reason = 'too small') AS too_small, count(*) >= 600 AS cut FROM r GROUP BY 1),
+c AS (SELECT l_suppkey, rows, other_kind, too_small, coalesce(outlets, 0) AS outlets, coalesce(open, 0) AS open, cut FROM t LEFT JOIN o USING (l_suppkey))
+SELECT *, NULL::VARCHAR AS shared_from FROM c UNION ALL SELECT s.s_suppkey, rows, other_kind, too_small, outlets, open, cut, l_suppkey::VARCHAR FROM supplier s JOIN c ON l_suppkey = s.s_suppkey % 7 WHERE s.s_suppkey % 10 = 0""")
 def outlet_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as outlets of suppliers; every tenth supplier is said to be another one, and has its counts too."""
     address = F.when(c("l_orderkey") % 40 != 0, (c("l_orderkey") % 40).cast("string")).otherwise("")
     reasons = [("other kind", c("l_discount") > 0.08), ("too small", c("l_quantity") < 3)]
     rows = table(spark, sf, "lineitem").withColumn("address", address)
-    return resolving.outlets(rows, ["l_suppkey"], reasons, "l_partkey", "address", c("l_returnflag") == "R", 600).drop("open")
+    counts = resolving.outlets(rows, ["l_suppkey"], reasons, "l_partkey", "address", c("l_returnflag") == "R", 600)
+    same = table(spark, sf, "supplier").filter("s_suppkey % 10 = 0").select(c("s_suppkey").alias("l_suppkey"), (c("s_suppkey") % 7).alias("same_as"))
+    return resolving.shared_counts(counts, "l_suppkey", same)
+
+
+@plans.query(r"""
+WITH h AS (SELECT page_id, split_part(split_part(regexp_replace(lower(trim(url)), '^[a-z]+://', ''), '/', 1), ':', 1) AS host, nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '') AS title FROM pages),
+d AS (SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS p, ' ' || trim(regexp_replace(replace(regexp_replace(replace(lower(strip_accents(coalesce(title, ''))), '&', ' and '), '[''.]', '', 'g'), '-', ' '), '\s+', ' ', 'g')) || ' ' AS said FROM h),
+r AS (SELECT *, CASE WHEN len(p) >= 2 THEN array_to_string(p[-2:], '.') END AS domain FROM d),
+m AS (SELECT domain, CASE WHEN contains(said, ' of ') THEN NULL WHEN contains(said, ' the ') OR contains(said, ' und ') THEN 'title' WHEN domain = 'example.org' THEN 'domain' END AS how FROM r)
+SELECT domain, count(*) AS rows, count(*) FILTER (how IS NULL) AS noise, count(*) FILTER (how = 'title') AS by_title FROM m GROUP BY 1""")
+def matched_outlets(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as a search's results, by registered domain: how many are a brand's by its words in the title or by its domain."""
+    from lakeshed.sources import html
+
+    rows = table(spark, sf, "pages").select("page_id", html.title(c("html")).alias("title"), "url")
+    words = lambda *x: F.array(*map(F.lit, x))
+    how = resolving.outlet_match(c("title"), c("url"), words("the", "und"), words("of"), F.lit("example.org"))
+    return rows.withColumns({"domain": resolving.registrable_domain(c("url")), "how": how}).groupBy("domain").agg(F.count("*").alias("rows"), F.count_if(c("how").isNull()).alias("noise"), F.count_if(c("how") == "title").alias("by_title"))
 
 
 @plans.query("""
