@@ -156,11 +156,13 @@ class Index:
         return [(int(blocks[k // self.block] * self.block + k % self.block), float(score[k])) for k in good]
 
     def verified(self, item: int, passage: np.ndarray) -> tuple[float, float]:
-        """Shares of the question's word runs, and of the answer's words in their order, that the passage holds."""
+        """Shares of the question's word runs, and of the answer's words in their order, that the passage holds; the second is 0 below its threshold, and not looked for where the first is below its own."""
         runs, asked = self.runs[self.runs_at[item] : self.runs_at[item + 1]], int(self.asked[item])
         question = float(np.isin(runs, runs_of(passage, min(RUN, asked))).mean()) if asked else 1.0
         answer = self.answers[self.answers_at[item] : self.answers_at[item + 1]]
-        return question, _in_order(answer, passage) / len(answer) if len(answer) else 1.0
+        if question < QUESTION_OVERLAP or not len(answer):
+            return question, 1.0
+        return question, _in_order(answer, passage, max(1, int(np.ceil(ANSWER_OVERLAP * len(answer) - 1e-9)))) / len(answer)
 
 
 @lru_cache(maxsize=4096)
@@ -169,19 +171,51 @@ def _mapped(folder: str, part: int, longest: int) -> Index:
     return Index({name: store.read(f"{name}-{part}", kind) for name, kind in _ARRAYS.items()}, longest)
 
 
-def _in_order(short: np.ndarray, long: np.ndarray) -> int:
-    """The length of the longest common subsequence within any stretch of twice the answer's length."""
+def _common(masks: dict[int, int], size: int, words: list[int], enough: int) -> tuple[int, int]:
+    """The longest common subsequence of an answer and these words, a bit for each word of the answer; and after how many words it has ``enough``."""
+    full = (1 << size) - 1
+    free, at = full, len(words)
+    for k, word in enumerate(words):
+        if hit := free & masks.get(word, 0):
+            free = ((free + hit) | (free - hit)) & full
+            if at == len(words) and size - free.bit_count() >= enough:
+                at = k + 1
+    return size - free.bit_count(), at
+
+
+def _in_order(short: np.ndarray, long: np.ndarray, need: int = 1) -> int:
+    """The length of the longest common subsequence within any stretch of twice the answer's length; 0 if it is below ``need``.
+
+    Stretches of twice that, half over each other, hold every such one and bound it.
+    Within one whose bound is above the best so far, the tightest place that reaches
+    the bound is tried, then starts in order; as a step of a start changes the length
+    by one at most, starts that can't get above the best are passed over.
+    """
+    size, width = len(short), 2 * len(short)
+    masks, back = {}, {}
+    for k, word in enumerate(short.tolist()):
+        masks[word] = masks.get(word, 0) | 1 << k
+        back[word] = back.get(word, 0) | 1 << (size - 1 - k)
     hits = np.flatnonzero(np.isin(long, short))
-    best = 0
-    for start in hits:
-        row = np.zeros(len(short) + 1, np.int64)
-        for word in long[start : start + 2 * len(short)]:
-            row[1:] = np.maximum(row[1:], np.where(short == word, row[:-1] + 1, 0))
-            np.maximum.accumulate(row, out=row)
-        best = max(best, int(row[-1]))
-        if best == len(short):
+    words, best = long[hits].tolist(), need - 1
+    between = lambda a, b: slice(*np.searchsorted(hits, (a, b)))
+    for left in range(0, len(long), width):
+        part = between(left, left + 2 * width)
+        bound, _ = _common(masks, size, words[part], size + 1)
+        if bound <= best:
+            continue
+        _, end = _common(masks, size, words[part], bound)
+        _, start = _common(back, size, words[part][:end][::-1], bound)
+        first = int(hits[part][end - start])
+        best = max(best, _common(masks, size, words[between(first, first + width)], size + 1)[0])
+        at = left
+        while best < bound and at < min(left + width, len(long)):
+            found, _ = _common(masks, size, words[between(at, at + width)], size + 1)
+            at += max(1, best - found + 1)
+            best = max(best, found)
+        if best == size:
             break
-    return best
+    return best if best >= need else 0
 
 
 def _matches(index: Index, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
