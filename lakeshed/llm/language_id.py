@@ -8,10 +8,10 @@ of bit masks, a bit for each language and share: ANDing an n-gram's rows gives
 all languages that hold it, and how often it comes there.  A text's count of hits
 by language, less those its filters would give by chance, decides.
 
-Tasks set the bits of a slice of the array each; the driver gathers the slices,
-at most ``MOST_BYTES``.  Where languages have more n-grams than fit at
-``BITS_A_GRAM``, there are fewer bits for each: none is left out, chance hits are
-more and corrected as ever.
+The array has ``BITS_A_GRAM`` rows for each n-gram of the language with most of
+them, however many they are.  Tasks set the bits of a slice each and write it to
+the shared folder, from where workers map it; the driver learns how full each
+filter is, nothing else.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; a
 text none of whose n-grams is known gets the language with most training
@@ -25,13 +25,15 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshed.llm.common import stored, table
+from lakeshed.llm.common import new_path, stored, table
+from lakeshed.llm.store import Store
 from lakeshed.llm.words import CHUNK_BYTES, chunks, mix, stretches
 
 #: A language's filters: n-grams with at least this share of its own.
@@ -39,9 +41,8 @@ SHARES = (0.0, 2e-6, 3e-5, 4e-4)
 LEVELS = len(SHARES)
 HASHES = 3
 BITS_A_GRAM = 16
-#: The array's largest size, and the rows that one task sets.
-MOST_BYTES = 64 << 20
-SLICE = 1 << 16
+#: Bytes of masks that one task sets, about.
+SLICE_BYTES = 16 << 20
 UNKNOWN = "und"
 #: More languages than this are taken for a mistake in the column; it bounds what is broadcast and collected.
 MOST_LANGUAGES = 4096
@@ -99,13 +100,45 @@ def _places(found: np.ndarray, bits: int) -> Iterator[np.ndarray]:
         yield ((h + _U(k) * step) & _U(bits - 1)).astype(np.int64)
 
 
+@dataclass(frozen=True)
+class Slices:
+    """An array of masks in the shared folder, read like one in memory; slices that no n-gram falls in aren't there."""
+
+    folder: str
+    bits: int
+    size: int
+    width: int
+    kind: str
+    there: frozenset[int]
+
+    def __len__(self) -> int:
+        return self.bits
+
+    def __getitem__(self, place: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(place), self.width), self.kind)
+        if self.size == self.bits:
+            return _mapped(self)[0][place] if 0 in self.there else out
+        order = np.argsort(place, kind="stable")
+        sorted_, maps = place[order], _mapped(self)
+        for k in np.unique(sorted_ // self.size).tolist():
+            if k in self.there:
+                a, b = np.searchsorted(sorted_, (k * self.size, (k + 1) * self.size))
+                out[order[a:b]] = maps[k][sorted_[a:b] - k * self.size]
+        return out
+
+
+@lru_cache(maxsize=2)
+def _mapped(slices: Slices) -> dict[int, np.ndarray]:
+    return {k: Store(slices.folder).read(f"masks-{k}", slices.kind).reshape(-1, slices.width) for k in slices.there}
+
+
 @dataclass
 class Filters:
     """rows[i] has bit LEVELS * k + l set if language k has set bit i of its filter l; chance[k, l] is a filter's share of false hits."""
 
     languages: list[str]
     most_common: int
-    rows: np.ndarray
+    rows: np.ndarray | Slices
     chance: np.ndarray
 
     def masks(self, found: np.ndarray) -> np.ndarray:
@@ -121,12 +154,22 @@ class Filters:
         return (masks[:, language // each] >> masks.dtype.type(LEVELS * (language % each))) & masks.dtype.type((1 << LEVELS) - 1)
 
 
+def _narrow(languages: int) -> type:
+    """The narrowest kind of number that holds a mask; 64 bits, in several columns, for many languages."""
+    return next((t for t in (np.uint8, np.uint16, np.uint32) if languages * LEVELS <= 8 * np.dtype(t).itemsize), np.uint64)
+
+
+def filled(rows: np.ndarray, languages: int) -> np.ndarray:
+    """How many rows have the bit of each language and share."""
+    each = 8 * rows.dtype.itemsize
+    bit = lambda b: np.count_nonzero(rows[:, b // each] & rows.dtype.type(1 << b % each))
+    return np.array([[bit(k * LEVELS + level) for level in range(LEVELS)] for k in range(languages)], np.int64).reshape(-1, LEVELS)
+
+
 def build(languages: list[str], rows: np.ndarray, most_common: int) -> Filters:
     """Filters from an array of 64-bit masks, kept as narrow as the languages allow."""
-    bit = lambda k, level: np.count_nonzero(rows[:, k * LEVELS // 64] & (_U(1) << _U((k * LEVELS + level) % 64)))
-    fill = np.array([[bit(k, level) / len(rows) for level in range(LEVELS)] for k in range(len(languages))]).reshape(-1, LEVELS)
-    narrow = next((t for t in (np.uint8, np.uint16, np.uint32) if len(languages) * LEVELS <= 8 * np.dtype(t).itemsize), np.uint64)
-    return Filters(languages, most_common, rows.astype(narrow), np.minimum(fill**HASHES, 0.999))
+    rows = rows.astype(_narrow(len(languages)))
+    return Filters(languages, most_common, rows, (filled(rows, len(languages)) / len(rows)) ** HASHES)
 
 
 def set_bits(found: np.ndarray, language: np.ndarray, level: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,10 +178,13 @@ def set_bits(found: np.ndarray, language: np.ndarray, level: np.ndarray, bits: i
     return np.concatenate(list(_places(found, bits))), np.tile(language * LEVELS // 64, HASHES), np.tile(mask, HASHES)
 
 
-def sliced(counts: DataFrame, languages: list[str], totals: dict[str, int], bits: int) -> np.ndarray:
-    """The array of masks of (lang, gram, n) rows; tasks OR their slices together."""
+def sliced(counts: DataFrame, languages: list[str], totals: dict[str, int], bits: int) -> tuple[Slices, np.ndarray]:
+    """The array of masks of (lang, gram, n) rows, and how full each filter is; tasks OR their slices together and write them."""
     number, width = {x: k for k, x in enumerate(languages)}, -(-max(1, len(languages)) * LEVELS // 64)
-    size = min(SLICE, bits)
+    kind, folder = np.dtype(_narrow(len(languages))), new_path(counts.sparkSession, "language-filters")
+    size = bits
+    while size > 1024 and size * width * 8 > SLICE_BYTES:
+        size //= 2
     each = np.array([totals.get(x, 1) for x in languages], float)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,22 +196,25 @@ def sliced(counts: DataFrame, languages: list[str], totals: dict[str, int], bits
             row, column, mask = set_bits(batch.column(1).to_numpy().view(np.uint64), langs, level, bits)
             order = np.argsort(row, kind="stable")
             row, column, mask = row[order], column[order], mask[order]
-            cuts = np.searchsorted(row, np.arange(0, bits + 1, size))
-            some = np.flatnonzero(np.diff(cuts))
-            packed = lambda x, kind: pa.array([x[cuts[k] : cuts[k + 1]].astype(kind).tobytes() for k in some], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), packed(row % size, np.uint32), packed(column, np.uint16), packed(mask, np.uint64)], ["slice", "row", "column", "mask"])
+            some, first = np.unique(row // size, return_index=True)
+            cuts = np.append(first, len(row))
+            packed = lambda x, kind: pa.array([x[a:b].astype(kind).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), packed(row % size, np.uint32), packed(column, np.uint16), packed(mask, np.uint64)], ["slice", "row", "column", "mask"])
 
     def together(group: pa.Table) -> pa.Table:
         out = np.zeros((size, width), np.uint64)
         for row, column, mask in zip(*(group.column(c) for c in ("row", "column", "mask")), strict=True):
             np.bitwise_or.at(out, (np.frombuffer(row.as_buffer(), np.uint32), np.frombuffer(column.as_buffer(), np.uint16)), np.frombuffer(mask.as_buffer(), np.uint64))
-        return pa.table({"slice": group.column("slice").slice(0, 1), "rows": pa.array([out.tobytes()], pa.binary())})
+        part, out = group.column("slice")[0].as_py(), out.astype(kind)
+        Store(folder).write(f"masks-{part}", out)
+        return pa.table({"slice": pa.array([part], pa.int64()), "full": pa.array([filled(out, len(languages)).ravel().tolist()], pa.list_(pa.int64()))})
 
-    rows = np.zeros((bits, width), np.uint64)
-    parts = counts.select("lang", "gram", "n").mapInArrow(deal, "slice int, row binary, column binary, mask binary").groupBy("slice").applyInArrow(together, "slice int, rows binary")
+    parts = counts.select("lang", "gram", "n").mapInArrow(deal, "slice long, row binary, column binary, mask binary").groupBy("slice").applyInArrow(together, "slice long, full array<long>")
+    full, there = np.zeros(len(languages) * LEVELS, np.int64), []
     for r in parts.toLocalIterator():
-        rows[r["slice"] * size : (r["slice"] + 1) * size] = np.frombuffer(r["rows"], np.uint64).reshape(-1, width)
-    return rows
+        full += np.array(r["full"], np.int64)
+        there.append(r["slice"])
+    return Slices(folder, bits, size, width, kind.str, frozenset(there)), full.reshape(-1, LEVELS)
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
@@ -207,10 +256,11 @@ def learned(docs: DataFrame) -> Filters:
     facts = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("grams")).collect()
     most = max((r["grams"] for r in facts), default=1)
     bits = 1 << 10
-    while bits < most * BITS_A_GRAM and 2 * bits * max(8, len(languages) * LEVELS // 8) <= MOST_BYTES:
+    while bits < most * BITS_A_GRAM:
         bits *= 2
     most_common = max(range(len(sizes)), key=lambda k: (sizes[k]["docs"], -k), default=0)
-    return build(languages, sliced(counts, languages, {r["lang"]: r["total"] for r in facts}, bits), most_common)
+    slices, full = sliced(counts, languages, {r["lang"]: r["total"] for r in facts}, bits)
+    return Filters(languages, most_common, slices, (full / bits) ** HASHES)
 
 
 def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

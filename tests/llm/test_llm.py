@@ -410,6 +410,45 @@ def bm25_matches(docs, items):
     return out
 
 
+def plain_in_order(short, long):
+    """By every stretch of twice the answer's length."""
+    best = 0
+    for at in range(len(long)):
+        row = [0] * (len(short) + 1)
+        for word in long[at : at + 2 * len(short)]:
+            new = row[:]
+            for k, s in enumerate(short):
+                new[k + 1] = max(new[k], row[k + 1], row[k] + 1 if s == word else 0)
+            row = new
+        best = max(best, row[-1])
+    return best
+
+
+def test_words_in_order_within_stretches():
+    rng = random.Random(12)
+    for _ in range(400):
+        few = rng.randrange(2, 12)
+        short, long = [rng.randrange(few) for _ in range(rng.randrange(1, 12))], [rng.randrange(few + 3) for _ in range(rng.randrange(0, 80))]
+        want = plain_in_order(short, long)
+        need = rng.randrange(1, len(short) + 2)
+        assert decontamination._in_order(np.array(short), np.array(long, int), need) == (want if want >= need else 0)
+
+
+def test_a_long_item_takes_little_time(spark):
+    """An item of 20,000 words without sentences, and its damaged copy."""
+    import time
+
+    rng = random.Random(13)
+    words = [f"w{rng.randrange(3000)}" for _ in range(20_000)]
+    damaged = [w if rng.random() > 0.05 else "zz" for w in words]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "short one here. And more")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x " * 500 + " ".join(damaged)), (2, " ".join(rng.sample(words, 20_000)))], "doc_id long, text string")
+    decontamination.contaminated(docs, items.filter("item_id = 2")).collect()
+    began = time.time()
+    assert [(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, items).collect()] == [(1, 1)]
+    assert time.time() - began < 30
+
+
 def test_decontamination_against_plain_bm25(spark):
     """The same matches and scores as by brute force, whatever the size of the index's parts."""
     rng = random.Random(31)
@@ -559,17 +598,17 @@ def test_grams_match_plain_ones(sample, monkeypatch):
         assert got == want
 
 
-@pytest.mark.parametrize("most_bytes", [64 << 20, 200_000])
-def test_language_filters_against_exact_sets(spark, monkeypatch, most_bytes):
-    """Filters hold every n-gram; false hits come at the stated rate; corrected popcounts are near those of exact sets, however few the bits."""
+@pytest.mark.parametrize("slice_bytes", [16 << 20, 64_000])
+def test_language_filters_against_exact_sets(spark, monkeypatch, slice_bytes):
+    """Filters hold every n-gram; false hits come at the stated rate; corrected popcounts are near those of exact sets, in one slice or many."""
     import pyarrow as pa
 
-    monkeypatch.setattr(language_id, "MOST_BYTES", most_bytes)
+    monkeypatch.setattr(language_id, "SLICE_BYTES", slice_bytes)
     rng = random.Random(8)
     letters = ["abcdefghij", "fghijklmno", "klmnopqrst"]
     rows = [(i, " ".join("".join(rng.choice(letters[i % 3]) for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 60))), f"l{i % 3}") for i in range(240)]
     filters = language_id.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert filters.languages == ["l0", "l1", "l2"]
+    assert filters.languages == ["l0", "l1", "l2"] and (len(filters.rows.there) > 10) == (slice_bytes < 1 << 20)
     counts = [Counter(g for _, t, k in rows if k == lang for g in plain_grams(t)) for lang in filters.languages]
     exact = [[{number(g) for g, n in c.items() if n / sum(c.values()) >= share} for share in language_id.SHARES] for c in counts]
     for k, sets in enumerate(exact):
