@@ -57,11 +57,6 @@ def dominant(df: DataFrame, keys: list[str], value: str, least_rows: int, least_
     return modes(df, keys, value).filter((F.col("total") >= least_rows) & (F.col("n") / F.col("total") >= least_share)).select(*keys, value)
 
 
-def upper_median(values: Column) -> Column:
-    """The element at n // 2 of the sorted values."""
-    return F.element_at(F.array_sort(F.collect_list(values)), F.floor(F.count(values) / 2).cast("int") + 1)
-
-
 def uniform_values(df: DataFrame, key: str, value: str) -> DataFrame:
     """Rewrites ``value`` to its most frequent one for each ``key``; rows without a key stay."""
     best = modes(df.filter(F.col(key).isNotNull()), [key], value).select(F.col(key).alias("_key"), F.col(value).alias("_best"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakeshed.functions.text import compared
 from lakeshed.functions.values import differs, is_outlier, percent_change
 from lakeshed.operators.choosing import first_rows
+from lakeshed.operators.storing import stored
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -69,28 +70,45 @@ def multiset_hash(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
 def changed_groups(before: DataFrame, after: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """(group, status) of both snapshots' groups: no_change where their rows are the same, in whatever order and as often; else changed, added or removed.
 
-    Rows are hashed twice and summed by group, so that nothing is gathered; the
-    gate before a diff of rows.
+    Rows are hashed to 128 bits and the halves summed by group, so that nothing is
+    gathered; the gate before a diff of rows.
     """
-    own = [F.col(c) for c in columns]
-    parts = [F.conv(F.substring(F.sha2(F.to_json(F.struct(*own)), 256), k, 8), 16, 10).cast("decimal(20,0)") for k in (1, 9, 17, 25)]
+    said = [x for c in columns for x in (F.col(c), F.col(c).isNull())]
+    hashes = [F.xxhash64(F.lit(k), *said) for k in (1, 2)]
+    parts = [p for h in hashes for p in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))]
     hashed = lambda df, n: df.groupBy(group).agg(F.struct(F.count("*"), *[F.sum(p) for p in parts]).alias(n))
     both = hashed(before, "_a").join(hashed(after, "_b"), group, "full_outer")
     status = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(F.col("_a") == F.col("_b"), "no_change").otherwise("changed")
     return both.select(group, status.alias("status"))
 
 
-def snapshot_changes(before: DataFrame, after: DataFrame, keys: list[str], measure: str, texts: list[str], sequence: str) -> DataFrame:
+#: Changed groups that are sent to all tasks; more are joined.
+SENT_GROUPS = 1_000_000
+
+
+def gated(before: DataFrame, after: DataFrame, group: str, columns: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(before, after, gate): the rows of groups that aren't the same, by ``changed_groups``; those of the others go no further."""
+    gate = stored(changed_groups(before, after, group, columns), "gate")
+    moved = gate.filter("status <> 'no_change'").select(group)
+    moved = F.broadcast(moved) if moved.count() <= SENT_GROUPS else moved
+    return before.join(moved, group, "left_semi"), after.join(moved, group, "left_semi"), gate
+
+
+def snapshot_changes(before: DataFrame, after: DataFrame, keys: list[str], measure: str, texts: list[str], sequence: str, group: str | None = None, cosmetic: bool = False) -> DataFrame:
     """Rows added, removed or changed between two snapshots.
 
     Of rows with the same keys the last by ``sequence`` counts.  A measure that
     turns null, or was, is a change without a percentage.  Texts are compared
     trimmed, a null one as empty; those that differ in emoji, white space or
-    compatibility form alone (see ``compared``) are no change.  Columns: the keys,
+    compatibility form alone (see ``compared``) are no change, and are told as COSMETIC ones
+    with ``cosmetic``.  With ``group``, groups whose rows are all the same are left
+    out before rows are compared.  Columns: the keys,
     change (ADDED, REMOVED, CHANGED), field, before, after (as text, at most 500
     characters), percent and outlier for the measure.
     """
     columns = [measure, *texts]
+    if group:
+        before, after, _ = gated(before, after, group, [*[k for k in keys if k != group], *columns, sequence])
     a = first_rows(before, keys, [F.desc(sequence)]).select(*keys, *[F.col(c).alias(f"_a_{c}") for c in columns], F.lit(True).alias("_in_a"))
     b = first_rows(after, keys, [F.desc(sequence)]).select(*keys, *[F.col(c).alias(f"_b_{c}") for c in columns], F.lit(True).alias("_in_b"))
     both = a.join(b, keys, "full_outer")
@@ -109,11 +127,35 @@ def snapshot_changes(before: DataFrame, after: DataFrame, keys: list[str], measu
     )
     percent = F.when((F.col("c.change") == "CHANGED") & (F.col("c.field") == measure), percent_change(old, new))
     out = both.withColumn("c", F.explode(rows)).withColumn("percent", percent)
-    out = out.select(*keys, "c.change", "c.field", "c.before", "c.after", "percent", is_outlier(F.col("percent")).alias("outlier"))
-    # Only what differs comes here, so that few rows are brought to compatibility form.
-    said = lambda c: compared(F.when(F.col("field").isin(texts), F.col(c)))
-    real = ~F.col("field").isin(texts) | (said("before") != said("after"))
-    return out.filter(real).withColumns({c: F.substring(c, 1, 500) for c in ("before", "after")})
+    out = stored(out.select(*keys, "c.change", "c.field", "c.before", "c.after", "percent", is_outlier(F.col("percent")).alias("outlier")), "changes")
+    # Only what differs comes here; of that, only texts beyond ASCII are brought to compatibility form, outside the JVM.
+    told = F.col("field").isin(texts) & (F.col("change") == "CHANGED")
+    wide = told & (F.col("before").rlike(r"[^\x00-\x7F]") | F.col("after").rlike(r"[^\x00-\x7F]"))
+    plain = lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
+    same = [(out.filter(~wide), told & (plain("before") == plain("after"))), (out.filter(wide), compared(F.col("before")) == compared(F.col("after")))]
+    parts = [df.withColumn("change", F.when(x, "COSMETIC").otherwise(F.col("change"))) for df, x in same]
+    found = parts[0].unionByName(parts[1])
+    return (found if cosmetic else found.filter("change <> 'COSMETIC'")).withColumns({c: F.substring(c, 1, 500) for c in ("before", "after")})
+
+
+def change_records(changes: DataFrame, group: str, item: str, measure: str, about: DataFrame, run_id: Column, detected: Column) -> DataFrame:
+    """Changes as records that say over which window they were measured.
+
+    ``about`` has one row a group: owner, baseline_run, baseline_at, cohort.  Columns:
+    group, owner, run, baseline_run, cohort, days_since_baseline, detected_at,
+    change_type, item, field_changed (new_item, removed_item or the field), old_value,
+    new_value, old_price, new_price, price_change_pct, price_outlier.
+    """
+    known = about.select(F.col(group).alias("_g"), "owner", "baseline_run", "baseline_at", "cohort")
+    rows = changes.join(known, F.col(group) == F.col("_g"), "left")
+    field = F.when(F.col("change") == "ADDED", "new_item").when(F.col("change") == "REMOVED", "removed_item").otherwise(F.col("field"))
+    priced = (F.col("field") == measure) | F.col("change").isin("ADDED", "REMOVED")
+    days = F.round((F.unix_micros(detected) - F.unix_micros(F.col("baseline_at").cast("timestamp"))) / 86_400_000_000, 2)
+    price = lambda c: F.when(priced, F.col(c).try_cast("double"))
+    return rows.select(
+        group, "owner", run_id.alias("run"), "baseline_run", "cohort", days.alias("days_since_baseline"), detected.alias("detected_at"), F.col("change").alias("change_type"), item, field.alias("field_changed"),
+        F.when(~priced, F.col("before")).alias("old_value"), F.when(~priced, F.col("after")).alias("new_value"), price("before").alias("old_price"), price("after").alias("new_price"), F.col("percent").alias("price_change_pct"), F.col("outlier").alias("price_outlier"),
+    )
 
 
 def capture_status(before: DataFrame, after: DataFrame, seen: DataFrame, key: str) -> DataFrame:

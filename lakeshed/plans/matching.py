@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshed.functions.values import metres
-from lakeshed.operators import choosing, nearby, similarity, tfidf, tiers
+from lakeshed.operators import choosing, nearby, quantiles, similarity, tfidf, tiers
 from lakeshed.plans.base import METRES_SQL, Plans, places, places_sql, table
 
 plans = Plans()
@@ -73,7 +73,8 @@ def group_spread(spark: SparkSession, sf: str) -> DataFrame:
 WITH s AS ({_S}), u AS ({_C}), m AS (SELECT c_nationkey, median(lat) AS lat, median(lon) AS lon FROM u GROUP BY 1)
 SELECT s_suppkey, round({METRES_SQL.format(a='s', b='m')}, 2) AS off, {METRES_SQL.format(a='s', b='m')} > 20000 AS suspect FROM s JOIN m ON s_nationkey = c_nationkey""")
 def distance_from_centre(spark: SparkSession, sf: str) -> DataFrame:
-    centre = _customers(spark, sf).groupBy("c_nationkey").agg(F.median("lat").alias("mlat"), F.median("lon").alias("mlon"))
+    middle = lambda x: quantiles.quantiles(_customers(spark, sf), ["c_nationkey"], x, {f"m{x}": 0.5}).drop("n")
+    centre = quantiles.joined([middle("lat"), middle("lon")], ["c_nationkey"])
     off = metres(c("lat"), c("lon"), c("mlat"), c("mlon"))
     return _suppliers(spark, sf).join(centre, c("s_nationkey") == c("c_nationkey")).select("s_suppkey", F.round(off, 2).alias("off"), (off > 20000).alias("suspect"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshed.functions.values import band
-from lakeshed.operators import choosing, merging
+from lakeshed.operators import choosing, merging, quantiles
 from lakeshed.plans.base import Plans, mean_money, mean_money_sql, money, table
 
 plans = Plans()
@@ -113,12 +113,15 @@ def dominant_event(spark: SparkSession, sf: str) -> DataFrame:
 SELECT l_returnflag, min(l_extendedprice) AS least, max(l_extendedprice) AS most, {mean_money_sql("l_extendedprice")} AS mean, round(median(l_extendedprice), 4) AS median,
  list_sort(list(l_extendedprice))[(count(l_extendedprice) // 2 + 1)] AS upper_median, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90 FROM lineitem GROUP BY 1""")
 def price_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    x = c("l_extendedprice")
-    # The upper median by rank, not from a list of a hot group's values.
-    ranked = table(spark, sf, "lineitem").select("l_returnflag", x)
-    middle = F.percentile(x, F.array(F.lit(0.5), F.lit(0.9)))
-    upper = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY l_extendedprice DESC)")
-    return ranked.groupBy("l_returnflag").agg(F.min(x).alias("least"), F.max(x).alias("most"), mean_money(x).alias("mean"), F.round(middle[0], 4).alias("median"), upper.alias("upper_median"), F.round(middle[1], 4).alias("p90"))
+    x, lines = c("l_extendedprice"), table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
+    plain = lines.groupBy("l_returnflag").agg(F.min(x).alias("least"), F.max(x).alias("most"), mean_money(x).alias("mean"))
+    # places between two neighbours, and the upper median, from one count of the values
+    at = {"_m": 0.5, "_p": 0.9}
+    edges = {f"{k}{e}": (lambda n, s=s, f=f: f((n - 1) * F.lit(s))) for k, s in at.items() for e, f in (("a", F.floor), ("b", F.ceil))}
+    found = quantiles.by_rank(lines, ["l_returnflag"], "l_extendedprice", edges | {"upper_median": lambda n: F.floor(n / 2)})
+    between = lambda k: F.round(c(f"{k}a") + (c(f"{k}b") - c(f"{k}a")) * ((c("n") - 1) * at[k] - F.floor((c("n") - 1) * at[k])), 4)
+    ranks = found.select("l_returnflag", between("_m").alias("median"), "upper_median", between("_p").alias("p90"))
+    return quantiles.joined([plain, ranks], ["l_returnflag"])
 
 
 _BANDS = [(1000.0, "under 1k"), (50000.0, "1k to 50k"), (200000.0, "50k to 200k")]

@@ -48,7 +48,7 @@ SELECT l_orderkey, l_linenumber, change, field, percent, coalesce(abs(percent) >
 def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     """Lines added, removed and changed between two captures."""
     before, after = _months(spark, sf)
-    return merging.snapshot_changes(before, after, _KEYS, "price", ["flag"], "seq").select(*_KEYS, "change", "field", "percent", "outlier")
+    return merging.snapshot_changes(before, after, _KEYS, "price", ["flag"], "seq", group="l_orderkey").select(*_KEYS, "change", "field", "percent", "outlier")
 
 
 @plans.query(f"""
@@ -63,6 +63,29 @@ def changed_orders(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("status").agg(F.count("*").alias("orders"))
 
 
+@plans.query(f"""
+WITH d AS (SELECT * FROM ({_CHANGES}))
+SELECT d.l_orderkey, o_custkey AS owner, 'run 2' AS run, o_orderpriority AS baseline_run, o_orderstatus AS cohort, round(date_diff('microsecond', o_orderdate::TIMESTAMP, TIMESTAMP '2000-01-01 12:00:00')::DOUBLE / 86400000000, 2) AS days_since_baseline, change AS change_type, l_linenumber,
+ CASE change WHEN 'ADDED' THEN 'new_item' WHEN 'REMOVED' THEN 'removed_item' ELSE field END AS field_changed, percent AS price_change_pct, outlier AS price_outlier FROM d JOIN orders ON o_orderkey = d.l_orderkey""")
+def change_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The changes with the cohort and the window of their order's baseline."""
+    before, after = _months(spark, sf)
+    changes = merging.snapshot_changes(before, after, _KEYS, "price", ["flag"], "seq", group="l_orderkey")
+    about = table(spark, sf, "orders").select(c("o_orderkey").alias("l_orderkey"), c("o_custkey").alias("owner"), c("o_orderpriority").alias("baseline_run"), c("o_orderdate").alias("baseline_at"), c("o_orderstatus").alias("cohort"))
+    out = merging.change_records(changes, "l_orderkey", "l_linenumber", "price", about, F.lit("run 2"), F.lit("2000-01-01 12:00:00").cast("timestamp"))
+    return out.select("l_orderkey", "owner", "run", "baseline_run", "cohort", "days_since_baseline", "change_type", "l_linenumber", "field_changed", "price_change_pct", "price_outlier")
+
+
+@plans.query(f"""
+WITH a AS ({_A} {_LAST}), b AS ({_B} {_LAST}), j AS (SELECT a.flag AS f, b.flag AS g FROM a JOIN b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber)
+SELECT 'flag' AS field, count(*) FILTER ({_SEEN.format(x='f')} = {_SEEN.format(x='g')}) AS cosmetic, count(*) FILTER ({_SEEN.format(x='f')} <> {_SEEN.format(x='g')}) AS changed FROM j WHERE trim(coalesce(f, '')) <> trim(coalesce(g, ''))""")
+def cosmetic_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of texts in looks alone, counted beside the real ones."""
+    before, after = _months(spark, sf)
+    rows = merging.snapshot_changes(before, after, _KEYS, "price", ["flag"], "seq", group="l_orderkey", cosmetic=True).filter("field = 'flag'")
+    return rows.groupBy("field").agg(F.count_if(c("change") == "COSMETIC").alias("cosmetic"), F.count_if(c("change") == "CHANGED").alias("changed"))
+
+
 @plans.query(f"SELECT change, field, count(*) AS n, count(*) FILTER (outlier) AS outliers, coalesce({mean_money_sql('percent')}, 0) AS mean FROM ({_CHANGES}) GROUP BY 1, 2")
 def change_counters(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot_diff(spark, sf).groupBy("change", "field").agg(F.count("*").alias("n"), F.count_if("outlier").alias("outliers"), F.coalesce(mean_money(c("percent")), F.lit(0.0)).alias("mean"))

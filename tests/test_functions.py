@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeshed.functions import text as t
 from lakeshed.functions import values as v
-from lakeshed.operators import choosing, gates, merging, nearby, similarity, tiers
+from lakeshed.operators import choosing, gates, merging, nearby, quantiles, similarity, tiers
 from lakeshed.sources import html as h
 from lakeshed.sources import readers
 
@@ -104,7 +104,7 @@ def test_choices(spark):
     df = spark.createDataFrame([("a", 2, 1), ("a", 1, 2), ("a", 1, 3), ("a", 2, 4), ("b", None, 5)], "k string, v int, i int")
     assert [tuple(r) for r in choosing.modes(df, ["k"], "v").collect()] == [("a", 1, 2, 4)]
     assert choosing.first_rows(df, ["k"], [F.desc("i")]).orderBy("k").select("i").collect()[0][0] == 4
-    median = df.filter("k = 'a'").agg(choosing.upper_median(F.col("v"))).first()[0]
+    median = quantiles.upper_medians(df.filter("k = 'a'"), ["k"], "v").first()["upper_median"]
     assert median == 2
     empty = df.filter("false")
     for out in (choosing.modes(empty, ["k"], "v"), choosing.profile(empty, ["k"], "v", 0.1, 3), choosing.dominant(empty, ["k"], "v", 1, 0.5), choosing.stratified(empty, "k", "i", 5)):
@@ -197,3 +197,44 @@ def test_gates(spark):
     assert gates.missing_columns(df, {"id": "int", "q": "string"}) == {"q": "missing"}
     with pytest.raises(ValueError):
         gates.accounted(3, kept=1, removed=1)
+
+
+def test_quantiles_by_counts(spark):
+    """Against sorted lists: skewed values far apart, one value, ties, nulls, negative ones, no keys."""
+    import random
+
+    rng = random.Random(2)
+    rows = [("a", float(rng.randrange(50))) for _ in range(300)] + [("b", rng.random() ** 30 * 1e9) for _ in range(501)] + [("c", 7.0)] * 9 + [("d", None)] * 3 + [("e", -5.0), ("e", 1e300)] + [("f", 1.0 + k * 2**-52) for k in range(4)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r for r in quantiles.quantiles(df, ["k"], "v", {"p50": 0.5, "p90": 0.9, "least": 0.0, "most": 1.0}).collect()}
+    upper = {r["k"]: r["upper_median"] for r in quantiles.upper_medians(df, ["k"], "v").collect()}
+    for k in "abcef":
+        values = sorted(v for g, v in rows if g == k)
+        assert upper[k] == values[len(values) // 2] and (got[k]["least"], got[k]["most"], got[k]["n"]) == (values[0], values[-1], len(values))
+        for name, share in (("p50", 0.5), ("p90", 0.9)):
+            at = (len(values) - 1) * share
+            low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+            assert got[k][name] == pytest.approx(low + (high - low) * (at - int(at)), rel=1e-12)
+    assert "d" not in got
+    assert quantiles.upper_medians(df, [], "v").first()["upper_median"] == sorted(v for _, v in rows if v is not None)[(len(rows) - 3) // 2]
+    assert quantiles.upper_medians(df.limit(0), ["k"], "v").count() == 0
+
+
+def test_changes_behind_the_gate(spark):
+    """The cases of a menu's diff: unchanged groups never come to it, looks alone are counted."""
+    schema = "b int, k string, price double, text string, seq int"
+    old = spark.createDataFrame([(1, "x", 5.0, "same", 1), (2, "fries", 8.0, "", 1), (2, "burger", 20.0, "Caf\u00e9", 1), (2, "tea", 1.0, "hot  tea", 1), (2, "cake", 4.0, "old", 1), (2, "soup", 3.0, None, 1), (2, "rice", 20.0, "a", 1), (4, "gone", 1.0, "", 1)], schema)
+    new = spark.createDataFrame([(1, "x", 5.0, "same", 1), (2, "cola", 5.0, "", 1), (2, "burger", 25.0, "Cafe\u0301 \u2615", 1), (2, "tea", 159.0, "hot tea", 1), (2, "cake", 4.004, "new", 1), (2, "soup", None, None, 1), (2, "rice", 20.0, "a", 1), (3, "add", 2.0, "", 1)], schema)
+    want = {
+        (2, "cola", "ADDED", "row", None), (2, "fries", "REMOVED", "row", None), (2, "burger", "CHANGED", "price", 25.0), (2, "tea", "CHANGED", "price", 15800.0), (2, "cake", "CHANGED", "text", None), (2, "soup", "CHANGED", "price", None), (3, "add", "ADDED", "row", None), (4, "gone", "REMOVED", "row", None),
+    }
+    for group in ("b", None):
+        got = merging.snapshot_changes(old, new, ["b", "k"], "price", ["text"], "seq", group, True).collect()
+        assert {(r["b"], r["k"], r["change"], r["field"], r["percent"]) for r in got if r["change"] != "COSMETIC"} == want
+        assert {(r["k"], r["field"]) for r in got if r["change"] == "COSMETIC"} == {("burger", "text"), ("tea", "text")}
+        assert [r["k"] for r in got if r["outlier"]] == ["tea"]
+    kept, _, gate = merging.gated(old, new, "b", ["k", "price", "text"])
+    assert {r["b"] for r in kept.collect()} == {2, 4} and {r["b"]: r["status"] for r in gate.collect()} == {1: "no_change", 2: "changed", 3: "added", 4: "removed"}
+    assert merging.snapshot_changes(old, old, ["b", "k"], "price", ["text"], "seq", "b").count() == 0
+    nulls = [spark.createDataFrame([(1, *x)], "b int, p string, q string") for x in ((None, "a"), ("a", None))]
+    assert [r["status"] for r in merging.changed_groups(*nulls, "b", ["p", "q"]).collect()] == ["changed"]
