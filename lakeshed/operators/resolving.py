@@ -164,16 +164,6 @@ def arbitrated(old: Column, new: Column, voted: Column, votes: Column, least: in
     )
 
 
-def conformed(df: DataFrame, identity: str, values: str, vocabulary: DataFrame, term: str, recover: Column) -> DataFrame:
-    """An array's values as vocabulary terms: exact, else recovered (an expression of ``value``), else dropped and counted."""
-    terms = vocabulary.select(c(term).alias("_term")).distinct()
-    rows = df.select(identity, F.posexplode_outer(values).alias("_at", "value")).withColumn("_alt", recover)
-    exact, alt = terms.withColumnRenamed("_term", "_exact"), terms.withColumnRenamed("_term", "_other")
-    rows = rows.join(exact, c("value") == c("_exact"), "left").join(alt, c("_alt") == c("_other"), "left").withColumn("_found", F.coalesce("_exact", "_other"))
-    kept = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(c("_found").isNotNull(), F.struct("_at", "_found")))), lambda x: x["_found"]))
-    return rows.groupBy(identity).agg(kept.alias(values), F.count_if(c("value").isNotNull() & c("_found").isNull()).alias("dropped"))
-
-
 def area_by_ladder(page: Column, slug: Column, cleaned: Column, current: Column, vocabulary: DataFrame, df: DataFrame, identity: str, cities: Sequence[str]) -> DataFrame:
     """(identity, area, method): page value, slug, cleaned file, current one, the first that is set; a city is no area; what the vocabulary lacks is tagged."""
     picks = [("page", page), ("slug", slug), ("file", cleaned), ("current", current)]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshed.functions import text as t
-from lakeshed.operators import choosing, nearby, resolving
+from lakeshed.operators import choosing, nearby, phrases, resolving
 from lakeshed.plans.base import METRES_SQL, Plans, places, places_sql, table
 
 plans = Plans()
@@ -170,13 +170,31 @@ def label_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("p_partkey", resolving.arbitrated(c("p_type"), c("new"), c("voted"), c("n"), 3).alias("x")).select("p_partkey", "x.label", "x.why")
 
 
-@plans.query("""
-WITH v AS (SELECT DISTINCT string_split(p_name, ' ')[2] AS term FROM part), w AS (SELECT p_partkey, unnest([string_split(p_name, ' ')[2], string_split(p_name, ' ')[2] || 's', 'unknown']) AS value, unnest([1, 2, 3]) AS i FROM part)
-SELECT p_partkey, string_split(p_name, ' ')[2] AS terms, 1::BIGINT AS dropped FROM part""")
+_SAID = "[upper(a), b || 's', a || 'es', 'no ' || a, a || '/' || b, 'odd & ' || b || 's', a || ' (fresh)', '(' || b || ')', NULL, a || ' ' || b]"
+
+
+@plans.query(f"""
+WITH w AS (SELECT p_partkey, string_split(p_name, ' ')[1] AS a, string_split(p_name, ' ')[2] AS b, p_size, p_name FROM part), v AS (SELECT DISTINCT lower(term) AS low, term FROM (SELECT a AS term FROM w WHERE a < 'm' UNION SELECT b FROM w UNION SELECT p_name FROM w WHERE p_size % 7 = 0)),
+x AS (SELECT p_partkey, unnest(list_zip(range(1, 4), list_filter(range(1, 11), lambda i: (i + p_size) % 4 = 0 OR i = p_partkey % 10 + 1)[:3])) AS z, a, b FROM w),
+s AS (SELECT p_partkey, z[1] AS pos, {_SAID}[z[2]] AS value FROM x WHERE z[1] IS NOT NULL AND z[2] IS NOT NULL),
+f AS (SELECT p_partkey, pos, value, lower(trim(value)) AS low FROM s),
+g AS (SELECT *, list_concat([low, CASE WHEN low LIKE '%es' THEN regexp_replace(low, 'es$', '') END, CASE WHEN low LIKE '%s' THEN regexp_replace(low, 's$', '') END],
+  flatten(list_transform(regexp_split_to_array(low, '[/&,]'), lambda q: [trim(q), CASE WHEN trim(q) LIKE '%es' THEN regexp_replace(trim(q), 'es$', '') END, CASE WHEN trim(q) LIKE '%s' THEN regexp_replace(trim(q), 's$', '') END])), [trim(regexp_replace(low, '\\(.*?\\)', '', 'g'))]) AS forms FROM f),
+h AS (SELECT p_partkey, pos, value, unnest(forms) AS form, unnest(range(1, len(forms) + 1)) AS k FROM g),
+r AS (SELECT p_partkey, pos, any_value(value) AS value, arg_min(term, k) AS term FROM h LEFT JOIN v ON form = low GROUP BY 1, 2),
+t AS (SELECT p_partkey, term, min(pos) AS pos FROM r WHERE term IS NOT NULL GROUP BY 1, 2),
+d AS (SELECT s.p_partkey, count(*) FILTER (s.value IS NOT NULL AND r.term IS NULL) AS dropped FROM s LEFT JOIN r ON r.p_partkey = s.p_partkey AND r.pos = s.pos GROUP BY 1)
+SELECT d.p_partkey, coalesce((SELECT string_agg(term, ',' ORDER BY pos) FROM t WHERE t.p_partkey = d.p_partkey), '') AS terms, dropped FROM d""".replace("\\\\", "\\").replace("arg_min(term, k)", "arg_min(term, CASE WHEN term IS NOT NULL THEN k END)"))
 def conformed_terms(spark: SparkSession, sf: str) -> DataFrame:
-    word = F.element_at(F.split("p_name", " "), 2)
-    part = table(spark, sf, "part").select("p_partkey", F.array(word, F.concat(word, F.lit("s")), F.lit("unknown")).alias("terms"), word.alias("term"))
-    out = resolving.conformed(part, "p_partkey", "terms", part, "term", t.singular(c("value")))
+    """Three of ten ways to write a part's words, as terms of a vocabulary: capitals, plurals, parts of a slash, parentheses, unknown ones."""
+    w = F.split("p_name", " ")
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_size", w[0].alias("a"), w[1].alias("b"))
+    both = lambda *x: F.concat(*[c(y) if y in ("a", "b") else F.lit(y) for y in x])
+    said = F.array(F.upper("a"), both("b", "s"), both("a", "es"), both("no ", "a"), both("a", "/", "b"), both("odd & ", "b", "s"), both("a", " (fresh)"), both("(", "b", ")"), F.lit(None).cast("string"), both("a", " ", "b"))
+    picks = F.slice(F.filter(F.sequence(F.lit(1), F.lit(10)), lambda i: ((i + c("p_size")) % 4 == 0) | (i == c("p_partkey") % 10 + 1)), 1, 3)
+    rows = part.select("p_partkey", F.transform(picks, lambda i: F.element_at(said, i)).alias("terms"))
+    vocabulary = part.filter("a < 'm'").select(c("a").alias("term")).union(part.select("b")).union(part.filter("p_size % 7 = 0").select("p_name"))
+    out = phrases.recovered(rows, "p_partkey", "terms", vocabulary, "term")
     return out.select("p_partkey", F.array_join("terms", ",").alias("terms"), "dropped")
 
 
