@@ -11,7 +11,6 @@ from lakeshed.functions.text import collapsed, item_key, latin_folded
 from lakeshed.functions.values import metres
 from lakeshed.operators.choosing import first_rows, modes
 from lakeshed.operators.entities import beyond_area
-from lakeshed.operators.gates import Gate, checked
 from lakeshed.operators.nearby import exact_spread
 
 c = F.col
@@ -197,16 +196,3 @@ def separated(before: DataFrame, after: DataFrame, identity: str, group: str) ->
     counts = now.groupBy("was").agg(F.count("*").alias("members"), F.countDistinct(F.coalesce(c("now").cast("string"), F.concat(F.lit("row:"), c(identity).cast("string")))).alias("groups")).filter("members > 1")
     verdict = F.when(c("groups") == c("members"), "fully").when(c("groups") > 1, "partly").otherwise("not")
     return counts.select("was", "members", "groups", verdict.alias("verdict"))
-
-
-# Publishing ----------------------------------------------------------------
-
-
-def published(df: DataFrame, staging: str, target: str, gates: Sequence[Gate], dry_run: bool = False) -> list[str]:
-    """Writes to ``staging``, checks what was written, and only then to ``target``; the names of failed gates, which stop it."""
-    df.write.mode("overwrite").parquet(staging)
-    staged = df.sparkSession.read.schema(df.schema).parquet(staging)
-    failed = [r["gate"] for r in checked(staged, gates).filter("not passed").collect()]
-    if not failed and not dry_run:
-        staged.write.mode("overwrite").parquet(target)
-    return failed

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeshed.operators import gates, merging
 from lakeshed.operators.storing import new_folder
 from lakeshed.plans.base import Plans, mean_money, mean_money_sql, money, table
-from lakeshed.streaming import streams
+from lakeshed.streaming import retries, streams
 
 plans = Plans()
 c = F.col
@@ -215,3 +215,22 @@ s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED P
 def session_windows(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").withColumn("ts", c("ts").cast("timestamp"))
     return rows.groupBy(F.session_window("ts", "6 hours").alias("w"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.unix_micros(c("w.start")).alias("start"), "n")
+
+
+@plans.query("""
+WITH e AS (SELECT user_id, event_id, ts, event_type = 'error' AS failed, count(*) FILTER (event_type = 'error') OVER (PARTITION BY user_id ORDER BY ts, event_id) AS errors FROM events WHERE event_type IN ('error', 'purchase')),
+f AS (SELECT user_id, arg_min(struct_pack(errors := errors, failed := failed), (ts, event_id)) AS x FROM e WHERE NOT failed OR errors = 3 GROUP BY 1), a AS (SELECT user_id, max(errors) AS errors FROM e GROUP BY 1)
+SELECT user_id AS key, coalesce(f.x.errors, a.errors)::BIGINT AS attempts, CASE WHEN f.x IS NULL THEN 'retry' WHEN f.x.failed THEN 'dead' ELSE 'done' END AS status FROM a LEFT JOIN f USING (user_id)""")
+def retried_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors as failed attempts of a user until a purchase: three micro-batches in order of time, each by a stream started anew on the same state."""
+    folder = new_folder(spark, "stream")
+    rows = table(spark, sf, "events").filter("event_type in ('error', 'purchase')").select("user_id", "event_id", c("ts").cast("timestamp").alias("at"), (c("event_type") == "error").alias("failed"))
+    low, high = rows.agg(F.unix_micros(F.min("at")), F.unix_micros(F.max("at"))).first()
+    share = (F.unix_micros("at") - F.lit(low)) * 3
+    for part in range(3):
+        span = F.lit(max(1, high - low))
+        rows.filter((share >= span * part) & ((share < span * (part + 1)) | F.lit(part == 2))).coalesce(4).write.mode("append").parquet(f"{folder}/in")
+        told = retries.attempts(streams.file_stream(spark, f"{folder}/in", rows.schema, 1000), "user_id", "at", "event_id", "failed", 3, "1 day", "36500 days")
+        with retries.with_store(spark):
+            streams.run_once(told, "parquet", f"{folder}/out", f"{folder}/checkpoint")
+    return retries.last_status(spark.read.parquet(f"{folder}/out"))

@@ -1,4 +1,4 @@
-"""Sources and sinks: lines of JSON, whole JSON documents, CSV, Parquet, tables by JDBC, file listings."""
+"""Sources and sinks: lines of JSON, whole JSON documents, CSV, Parquet, file listings."""
 
 from __future__ import annotations
 
@@ -25,12 +25,6 @@ def csv_text(spark: SparkSession, path: str, columns: list[str] | None = None) -
     return df.toDF(*[c.lstrip("﻿") for c in df.columns])
 
 
-def table_range(spark: SparkSession, url: str, name: str, key: str, low: int, high: int, parts: int, properties: dict[str, str], after: int | None = None) -> DataFrame:
-    """A database table by ranges of its key; ``after`` reads only keys beyond it."""
-    source = f"(select * from {name} where {key} > {after}) t" if after is not None else name
-    return spark.read.jdbc(url, source, column=key, lowerBound=low, upperBound=high, numPartitions=parts, properties=properties)
-
-
 def latest_file(spark: SparkSession, folder: str, pattern: str, read: str = "parquet") -> DataFrame:
     """The rows of the file whose name comes last."""
     df = spark.read.format(read).option("pathGlobFilter", pattern).load(folder).withColumn("_file", F.col("_metadata.file_name"))

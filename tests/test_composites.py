@@ -19,15 +19,6 @@ def test_menus(spark):
     assert {r["id"]: len(r["menu"] or []) for r in resolving.refreshed(base, new, "id", "menu").collect()} == {1: 3, 2: 1, 3: 1, 4: 1}
 
 
-def test_publishing(spark, tmp_path):
-    df = spark.createDataFrame([(1, 5.0), (2, -1.0)], "id int, p double")
-    gates = [Gate("negative", F.col("p") < 0)]
-    assert resolving.published(df, str(tmp_path / "s"), str(tmp_path / "t"), gates) == ["negative"]
-    assert not (tmp_path / "t").exists()
-    assert resolving.published(df.filter("p > 0"), str(tmp_path / "s"), str(tmp_path / "t"), gates) == []
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
-
-
 def test_patches(spark):
     base = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id int, city string")
     side = spark.createDataFrame([(2, "b"), (3, "x"), (9, "y")], "id int, city string")
