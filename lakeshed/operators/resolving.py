@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeshed.functions.text import collapsed, item_key, latin_folded
+from lakeshed.functions.text import ARABIC, collapsed, item_key, latin_folded
 from lakeshed.functions.values import metres
 from lakeshed.operators.choosing import first_rows, modes
-from lakeshed.operators.entities import beyond_area
+from lakeshed.operators.entities import beyond_area, ruled_area
 from lakeshed.operators.nearby import exact_spread
+from lakeshed.operators.storing import stored
 
 c = F.col
 
@@ -163,15 +164,63 @@ def arbitrated(old: Column, new: Column, voted: Column, votes: Column, least: in
     )
 
 
-def area_by_ladder(page: Column, slug: Column, cleaned: Column, current: Column, vocabulary: DataFrame, df: DataFrame, identity: str, cities: Sequence[str]) -> DataFrame:
-    """(identity, area, method): page value, slug, cleaned file, current one, the first that is set; a city is no area; what the vocabulary lacks is tagged."""
-    picks = [("page", page), ("slug", slug), ("file", cleaned), ("current", current)]
-    ok = lambda x: x.isNotNull() & (F.trim(x) != "") & ~F.lower(x).isin(*[s.lower() for s in cities])
-    found = F.coalesce(*[F.when(ok(x), F.struct(F.trim(x).alias("area"), F.lit(n).alias("method"))) for n, x in picks])
-    rows = df.select(identity, found.alias("_f")).select(identity, c("_f.area").alias("area"), c("_f.method").alias("method"))
-    known = vocabulary.select(F.lower("area").alias("_known")).distinct()
-    rows = rows.join(known, F.lower("area") == c("_known"), "left")
-    return rows.select(identity, "area", F.when(c("area").isNull(), "none").when(c("_known").isNull(), F.concat("method", F.lit(", not listed"))).otherwise(c("method")).alias("method"))
+def resolved_areas(df: DataFrame, identity: str, vocabulary: DataFrame, answers: DataFrame, direct: DataFrame, named: DataFrame, cleaned: DataFrame, rejected: DataFrame) -> DataFrame:
+    """(identity, area, method): the area of each row (identity, source, raw, city) by eight methods in their order.
+
+    An answer given for the row; the source's own area of an earlier month; its page's
+    name for the area, where the source has one row, if it is known (else it is new, or was rejected);
+    the raw text as a known area; its cleaned form; its longest part that is a known
+    area; its part shaped like one, to approve.  Tables have (identity, area),
+    (source, area), (source, area), (raw, area), (area); the vocabulary area and city.
+    """
+    once = lambda t, key, name: t.groupBy(c(key).alias(f"_{name}_key")).agg(F.min("area").alias(f"_{name}"))
+    rows = df.select(identity, "source", F.nullif(F.trim("raw"), F.lit("")).alias("raw"), "city")
+    many = rows.groupBy("source").agg(F.count("*").alias("_rows")).withColumnRenamed("source", "_s")
+    known = vocabulary.select(c("area").alias("_v")).distinct()
+    rows = rows.join(once(answers, identity, "answer"), c(identity) == c("_answer_key"), "left").join(once(direct, "source", "direct"), c("source") == c("_direct_key"), "left")
+    rows = rows.join(once(named, "source", "page"), c("source") == c("_page_key"), "left").join(many, c("source") == c("_s"), "left").withColumn("_page", F.when(c("_rows") == 1, c("_page")))
+    rows = rows.join(known.withColumnRenamed("_v", "_page_known"), c("_page") == c("_page_known"), "left").join(rejected.select(c("area").alias("_no")).distinct(), c("_page") == c("_no"), "left")
+    rows = rows.join(known.withColumnRenamed("_v", "_raw_known"), c("raw") == c("_raw_known"), "left").join(once(cleaned.withColumn("raw", F.lower("raw")), "raw", "clean"), F.lower("raw") == c("_clean_key"), "left")
+    pick = lambda area, name: F.struct(area.alias("area"), F.lit(name).alias("method"))
+    none = F.lit(None).cast("string")
+    found = (
+        F.when(c("_answer").isNotNull(), pick(c("_answer"), "answer")).when(c("_direct").isNotNull(), pick(c("_direct"), "direct"))
+        .when(c("_page_known").isNotNull(), pick(c("_page"), "page")).when(c("_no").isNotNull(), pick(none, "unresolved: rejected")).when(c("_page").isNotNull(), pick(c("_page"), "page, new"))
+        .when(c("_raw_known").isNotNull(), pick(c("raw"), "exact")).when(c("_clean").isNotNull(), pick(c("_clean"), "cleaned")).when(c("raw").isNull(), pick(none, "unresolved: empty"))
+    )
+    rows = stored(rows.withColumn("_f", found).select(identity, "raw", "city", "_f"), "areas")
+    ruled = ruled_area(rows.filter("_f is null"), identity, "raw", "city", vocabulary)
+    ruled = ruled.join(known, c("area") == c("_v"), "left")
+    elsewhere = (c("method") == "candidate") & c("_v").isNotNull()  # a known area, but of another city
+    method = F.when(c("method").isin("exact", "part"), "rules").when(elsewhere, "unresolved: other city").when(c("method") == "candidate", "candidate, new").otherwise(F.concat(F.lit("unresolved: "), "method"))
+    late = ruled.select(identity, F.when(~elsewhere & ~F.startswith(method, F.lit("unresolved")), c("area")).alias("area"), method.alias("method"))
+    return rows.filter("_f is not null").select(identity, "_f.area", "_f.method").unionByName(late)
+
+
+def rectified_areas(df: DataFrame, identity: str, vocabulary: DataFrame, cities: Sequence[str]) -> DataFrame:
+    """(identity, area, method): each row's area as the vocabulary spells it, never a guess and never a city.
+
+    Rows have verified, page, slug, cleaned, current, raw (the address) and city.  A
+    verified place's own area counts, then a segment of its address; of others the page's
+    value, kept even if it isn't listed unless it is in Arabic script, the slug's, the
+    cleaned file's, the current one.  A listed area of another city is refused.
+    What is left is null where it is a city or in Arabic script, else kept, not listed.
+    """
+    low = [x.lower() for x in cities]
+    is_city = lambda x: (F.trim(x) == "") | F.lower(F.trim(x)).isin(*low)
+    tries = lambda *names: F.array(*[F.struct(F.lit(k).alias("k"), F.lit(n).alias("method"), c(n).alias("value")) for k, n in enumerate(names)])
+    segments = F.transform(F.split(F.coalesce("raw", F.lit("")), r"\s+-\s+|,"), lambda x, k: F.struct((k + 1).alias("k"), F.lit("address").alias("method"), F.trim(x).alias("value")))
+    every = F.when(F.coalesce("verified", F.lit(False)), F.concat(tries("current"), segments)).otherwise(tries("page", "slug", "cleaned", "current"))
+    rows = df.select(identity, "city", F.explode(every).alias("_t")).filter(c("_t.value").isNotNull() & ~is_city(c("_t.value")))
+    known = vocabulary.groupBy(F.lower("area").alias("_low")).agg(F.min(F.struct("area", "city")).alias("_v"))
+    rows = rows.join(known, F.lower(F.trim("_t.value")) == c("_low"), "left").withColumn("_v", F.when(c("city").isNull() | c("_v.city").isNull() | (c("city") == c("_v.city")), c("_v")))
+    kept = F.when((c("_t.method") == "page") & ~c("_t.value").rlike(ARABIC), F.struct(F.trim("_t.value").alias("area"), F.lit("page, not listed").alias("method")))
+    found = F.coalesce(F.when(c("_v").isNotNull(), F.struct(c("_v.area").alias("area"), c("_t.method").alias("method"))), kept)
+    best = rows.withColumn("_f", found).filter("_f is not null").groupBy(identity).agg(F.min_by("_f", "_t.k").alias("_f"))
+    current = F.nullif(F.trim("current"), F.lit(""))
+    gone = current.isNull() | is_city(current) | current.rlike(ARABIC)
+    rest = F.when(gone, F.struct(F.lit(None).cast("string").alias("area"), F.lit("none").alias("method"))).otherwise(F.struct(current.alias("area"), F.lit("kept, not listed").alias("method")))
+    return df.select(identity, "current").join(best, identity, "left").withColumn("_f", F.coalesce("_f", rest)).select(identity, "_f.area", "_f.method")
 
 
 def corrected_city(df: DataFrame, identity: str, stated: str, voted: DataFrame, dominant: DataFrame, area: str, city: str) -> DataFrame:

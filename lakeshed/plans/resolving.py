@@ -198,15 +198,59 @@ def conformed_terms(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("p_partkey", F.array_join("terms", ",").alias("terms"), "dropped")
 
 
-@plans.query("""
-WITH x AS (SELECT s_suppkey, n_name, r_name, CASE WHEN s_suppkey % 4 = 0 THEN r_name WHEN s_suppkey % 4 = 1 THEN n_name END AS page, CASE WHEN s_suppkey % 3 = 0 THEN s_name END AS slug FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
-SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 1 THEN n_name WHEN slug IS NOT NULL THEN slug ELSE n_name END AS area, CASE WHEN s_suppkey % 4 = 1 THEN 'page' WHEN slug IS NOT NULL THEN 'slug, not listed' ELSE 'current' END AS method FROM x""")
-def area_ladder(spark: SparkSession, sf: str) -> DataFrame:
+#: Customers as places: areas are nations, cities their regions; k picks what each source says.
+_PLACED = """x AS (SELECT c_custkey, c_custkey AS k, n_name, r_name, (SELECT min(n_name) FROM nation m WHERE m.n_regionkey <> n.n_regionkey) AS other FROM customer JOIN nation n ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def _placed(spark: SparkSession, sf: str) -> DataFrame:
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    rows = table(spark, sf, "supplier").join(nation, c("s_nationkey") == c("n_nationkey")).join(region, c("n_regionkey") == c("r_regionkey"))
-    page = F.when(c("s_suppkey") % 4 == 0, c("r_name")).when(c("s_suppkey") % 4 == 1, c("n_name"))
-    cities = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]  # the regions
-    return resolving.area_by_ladder(page, F.when(c("s_suppkey") % 3 == 0, c("s_name")), F.lit(None).cast("string"), c("n_name"), nation.select(c("n_name").alias("area")), rows, "s_suppkey", cities)
+    other = nation.select(c("n_name").alias("o_name"), c("n_regionkey").alias("o_region"))
+    first = nation.select("n_regionkey").distinct().join(F.broadcast(other), c("n_regionkey") != c("o_region")).groupBy("n_regionkey").agg(F.min("o_name").alias("other"))  # regions by nations, at most 125 rows
+    rows = table(spark, sf, "customer").join(nation, c("c_nationkey") == c("n_nationkey")).join(region, c("n_regionkey") == c("r_regionkey")).join(first, "n_regionkey")
+    return rows.select("c_custkey", c("c_custkey").alias("k"), "n_name", "r_name", "other")
+
+
+_ARABIC = "دبي القديمة"
+
+
+@plans.query(f"""
+WITH {_PLACED}, w AS (SELECT c_custkey, k % 5 = 0 AS verified, r_name AS city, n_name, CASE k % 7 WHEN 0 THEN r_name WHEN 1 THEN lower(n_name) WHEN 2 THEN 'Old ' || n_name WHEN 3 THEN '{_ARABIC}' WHEN 4 THEN other END AS page, CASE WHEN k % 3 = 0 THEN ' ' || n_name END AS slug,
+  CASE WHEN k % 11 = 0 THEN upper(n_name) WHEN k % 11 = 1 THEN '' END AS cleaned, CASE k % 4 WHEN 0 THEN n_name WHEN 1 THEN r_name WHEN 2 THEN 'Nowhere' ELSE '{_ARABIC}' END AS current, 'Shop ' || k || ' - ' || CASE WHEN k % 2 = 0 THEN n_name ELSE other END || ', ' || r_name AS raw FROM x),
+t AS (SELECT c_custkey, city, unnest(CASE WHEN verified THEN list_concat([{{'k': 0, 'method': 'current', 'value': current}}], list_transform(range(1, len(regexp_split_to_array(raw, '\s+-\s+|,')) + 1), lambda i: {{'k': i::INT, 'method': 'address', 'value': trim(regexp_split_to_array(raw, '\s+-\s+|,')[i])}}))
+  ELSE [{{'k': 0, 'method': 'page', 'value': page}}, {{'k': 1, 'method': 'slug', 'value': slug}}, {{'k': 2, 'method': 'cleaned', 'value': cleaned}}, {{'k': 3, 'method': 'current', 'value': current}}] END) AS t FROM w),
+f AS (SELECT c_custkey, t.k AS k, v.n_name AS area, t.method AS method, trim(t.value) AS value, regexp_matches(t.value, '[\\x{{0600}}-\\x{{06FF}}]') AS arabic FROM t LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) v ON lower(v.n_name) = lower(trim(t.value)) AND v.r_name = city
+  WHERE trim(t.value) <> '' AND lower(trim(t.value)) NOT IN (SELECT lower(r_name) FROM region)),
+b AS (SELECT c_custkey, arg_min(struct_pack(area := coalesce(area, value), method := CASE WHEN area IS NULL THEN 'page, not listed' ELSE method END), k) AS x FROM f WHERE area IS NOT NULL OR (method = 'page' AND NOT arabic) GROUP BY 1)
+SELECT c_custkey, CASE WHEN x IS NOT NULL THEN x.area WHEN k % 4 = 2 THEN 'Nowhere' WHEN k % 4 = 0 THEN w.current END AS area, CASE WHEN x IS NOT NULL THEN x.method WHEN w.k % 4 IN (0, 2) THEN 'kept, not listed' ELSE 'none' END AS method FROM (SELECT *, c_custkey AS k FROM w) w LEFT JOIN b USING (c_custkey)""".replace("\\\\x", "\\x"))
+def area_ladder(spark: SparkSession, sf: str) -> DataFrame:
+    """Areas of customers by what page, slug, file, current value and address say of them."""
+    x, k = _placed(spark, sf), c("k")
+    page = F.when(k % 7 == 0, c("r_name")).when(k % 7 == 1, F.lower("n_name")).when(k % 7 == 2, F.concat(F.lit("Old "), "n_name")).when(k % 7 == 3, _ARABIC).when(k % 7 == 4, c("other"))
+    current = F.when(k % 4 == 0, c("n_name")).when(k % 4 == 1, c("r_name")).when(k % 4 == 2, "Nowhere").otherwise(_ARABIC)
+    raw = F.concat(F.lit("Shop "), k.cast("string"), F.lit(" - "), F.when(k % 2 == 0, c("n_name")).otherwise(c("other")), F.lit(", "), "r_name")
+    rows = x.select("c_custkey", (k % 5 == 0).alias("verified"), c("r_name").alias("city"), page.alias("page"), F.when(k % 3 == 0, F.concat(F.lit(" "), "n_name")).alias("slug"), F.when(k % 11 == 0, F.upper("n_name")).when(k % 11 == 1, "").alias("cleaned"), current.alias("current"), raw.alias("raw"))
+    vocabulary = x.select(c("n_name").alias("area"), c("r_name").alias("city")).distinct()
+    return resolving.rectified_areas(rows, "c_custkey", vocabulary, ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])  # the regions
+
+
+@plans.query(f"""
+WITH {_PLACED}, w AS (SELECT c_custkey, CASE WHEN k % 13 = 0 THEN 1 ELSE k END AS source, CASE k % 6 WHEN 0 THEN n_name WHEN 1 THEN ' big ' || lower(n_name) WHEN 2 THEN 'Shop 9 - ' || n_name || ' - ' || r_name WHEN 3 THEN 'Shop 9, ' || other WHEN 4 THEN 'Green Valley Villas, 12' END AS raw, r_name AS city, n_name, k FROM x),
+m AS (SELECT source, count(*) AS n FROM w GROUP BY 1), v AS (SELECT n_name AS area, r_name AS city FROM nation JOIN region ON n_regionkey = r_regionkey),
+p AS (SELECT w.*, CASE WHEN m.n = 1 AND k % 8 = 1 THEN CASE k % 3 WHEN 0 THEN n_name WHEN 1 THEN 'Newtown' ELSE 'Refused' END END AS page FROM w JOIN m USING (source))
+SELECT c_custkey, CASE WHEN k % 17 = 0 THEN 'Answered' WHEN k % 19 = 0 AND source = k THEN 'Direct' WHEN page = 'Refused' THEN NULL WHEN page IS NOT NULL THEN page WHEN k % 6 IN (0, 1, 2) THEN n_name WHEN k % 6 = 4 THEN 'Green Valley Villas' END AS area,
+ CASE WHEN k % 17 = 0 THEN 'answer' WHEN k % 19 = 0 AND source = k THEN 'direct' WHEN page = 'Refused' THEN 'unresolved: rejected' WHEN page = 'Newtown' THEN 'page, new' WHEN page IS NOT NULL THEN 'page' WHEN k % 6 = 0 THEN 'exact' WHEN k % 6 = 1 THEN 'cleaned' WHEN k % 6 = 2 THEN 'rules' WHEN k % 6 = 4 THEN 'candidate, new' WHEN k % 6 = 3 THEN 'unresolved: other city' ELSE 'unresolved: empty' END AS method FROM p""")
+def resolved_areas(spark: SparkSession, sf: str) -> DataFrame:
+    """Areas of customers by eight methods, each present."""
+    x, k = _placed(spark, sf), c("k")
+    raw = F.when(k % 6 == 0, c("n_name")).when(k % 6 == 1, F.concat(F.lit(" big "), F.lower("n_name"))).when(k % 6 == 2, F.concat(F.lit("Shop 9 - "), "n_name", F.lit(" - "), "r_name")).when(k % 6 == 3, F.concat(F.lit("Shop 9, "), "other")).when(k % 6 == 4, "Green Valley Villas, 12")
+    rows = x.select("c_custkey", F.when(k % 13 == 0, 1).otherwise(k).alias("source"), raw.alias("raw"), c("r_name").alias("city"), "n_name", "k")
+    answers = rows.filter("k % 17 = 0").select("c_custkey", F.lit("Answered").alias("area"))
+    direct = rows.filter("k % 19 = 0 and source = k").select("source", F.lit("Direct").alias("area"))
+    named = rows.filter("k % 8 = 1").select("source", F.when(k % 3 == 0, c("n_name")).when(k % 3 == 1, "Newtown").otherwise("Refused").alias("area"))
+    cleaned = x.select(F.concat(F.lit("Big "), "n_name").alias("raw"), c("n_name").alias("area")).distinct()
+    vocabulary = x.select(c("n_name").alias("area"), c("r_name").alias("city")).distinct()
+    rejected = spark.range(1).select(F.lit("Refused").alias("area"))
+    return resolving.resolved_areas(rows, "c_custkey", vocabulary, answers, direct, named, cleaned, rejected)
 
 
 @plans.query("""

@@ -99,10 +99,10 @@ def phone_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query(r"""
-SELECT doc_id, CASE WHEN regexp_matches(text, '[0-9]{16}') THEN 'number' WHEN text LIKE '%|%' THEN 'table' WHEN regexp_matches(text, '[A-Z]{4,}!!') THEN 'shouting' WHEN regexp_matches(text, '(?i)all rights reserved') THEN 'licence' ELSE 'prose' END AS kind FROM documents WHERE text IS NOT NULL""")
+SELECT doc_id, CASE WHEN regexp_matches(text, '[0-9]{16}') THEN 'number' WHEN text LIKE '%|%' THEN 'table' WHEN regexp_matches(text, '[A-Z]{4,}!!') THEN 'shouting' WHEN regexp_matches(text, '(?i)all rights reserved') THEN 'licence' WHEN text IS NOT NULL THEN 'prose' END AS kind FROM documents""")
 def rule_classes(spark: SparkSession, sf: str) -> DataFrame:
     rules = [("[0-9]{16}", "number"), (r"\|", "table"), ("[A-Z]{4,}!!", "shouting"), ("(?i)all rights reserved", "licence")]
-    return table(spark, sf, "documents").filter(c("text").isNotNull()).select("doc_id", t.first_of(c("text"), rules, F.lit("prose")).alias("kind"))
+    return table(spark, sf, "documents").select("doc_id", F.when(c("text").isNotNull(), t.first_of(c("text"), rules, F.lit("prose"))).alias("kind"))
 
 
 @plans.query(r"""
@@ -147,10 +147,10 @@ def conversation_shapes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query(r"""
-SELECT doc_id, n > 0 AS grounded, n FROM (SELECT doc_id, len(regexp_extract_all(text, '[0-9]{3}-[0-9]{4}'))::BIGINT AS n FROM documents WHERE text IS NOT NULL)""")
+SELECT doc_id, n > 0 AS grounded, n FROM (SELECT doc_id, coalesce(len(regexp_extract_all(text, '[0-9]{3}-[0-9]{4}')), 0)::BIGINT AS n FROM documents)""")
 def evidence_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    n = F.regexp_count("text", F.lit("[0-9]{3}-[0-9]{4}")).cast("long")
-    return table(spark, sf, "documents").filter(c("text").isNotNull()).select("doc_id", (n > 0).alias("grounded"), n.alias("n"))
+    n = F.coalesce(F.regexp_count("text", F.lit("[0-9]{3}-[0-9]{4}")), F.lit(0)).cast("long")
+    return table(spark, sf, "documents").select("doc_id", (n > 0).alias("grounded"), n.alias("n"))
 
 
 @plans.query("""

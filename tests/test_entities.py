@@ -144,3 +144,47 @@ def test_relisting_through_the_chain(spark):
     new = spark.createDataFrame([(1, "a", 7, 3, "grill zaki", ["x"], 25.0, 55.0), (2, None, None, None, None, None, None, None)], schema)
     old = spark.createDataFrame([(9, "b", 7, 3, "grill zaki", ["x"], 25.02, 55.0), (10, "c", 7, 3, "tea time", ["x"], 25.5, 55.0), (11, "d", 7, 4, "grill zaki", ["x"], 25.02, 55.0), (12, None, None, None, None, None, None, None)], schema)
     assert {tuple(x) for x in tiers.relisting_candidates(new, old, ["cuisines"], "words").collect()} == {(1, 9)}
+
+
+def test_areas_by_eight_methods(spark):
+    from lakeshed.operators import resolving as r
+
+    rows = [(1, "a", None, None), (2, "b", None, None), (3, "c", None, None), (4, "d", None, None), (5, "e", None, None), (6, "f", "Deira", None), (7, "f", " old deira ", None), (8, "f", "x - Deira - y", "Dubai"), (9, "f", "Deira, 4", "Ajman"), (10, "f", "Green Valley Villas", None), (11, "f", " ", None), (12, "f", "12", None)]
+    df = spark.createDataFrame(rows, "id int, source string, raw string, city string")
+    make = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    out = r.resolved_areas(
+        df, "id", make([("Deira", "Dubai"), ("Corniche", None)], ["area", "city"]), spark.createDataFrame([(1, "Answered")], "id int, area string"), make([("b", "Direct")], ["source", "area"]),
+        make([("c", "Deira"), ("d", "Newtown"), ("e", "No"), ("f", "Deira")], ["source", "area"]), make([("Old Deira", "Deira")], ["raw", "area"]), make([("No",)], ["area"]),
+    )
+    got = {x["id"]: (x["area"], x["method"]) for x in out.collect()}
+    assert got == {
+        1: ("Answered", "answer"), 2: ("Direct", "direct"), 3: ("Deira", "page"), 4: ("Newtown", "page, new"), 5: (None, "unresolved: rejected"), 6: ("Deira", "exact"), 7: ("Deira", "cleaned"), 8: ("Deira", "rules"), 9: (None, "unresolved: other city"), 10: ("Green Valley Villas", "candidate, new"),
+        11: (None, "unresolved: empty"), 12: (None, got[12][1]),
+    }
+    assert got[12][1].startswith("unresolved")
+
+
+def test_rectified_areas(spark):
+    from lakeshed.operators import resolving as r
+
+    schema = "id int, verified boolean, page string, slug string, cleaned string, current string, raw string, city string"
+    rows = [
+        (1, False, "deira", None, None, "x", None, "Dubai"), (2, False, "Deira", "Corniche", None, "x", None, "Ajman"), (3, False, "Old Town", "Deira", None, "x", None, None), (4, False, "\u062f\u0628\u064a", None, "CORNICHE", "x", None, None), (5, None, "Dubai", None, None, "Dubai", None, None),
+        (6, True, "Corniche", None, None, "x", "Shop 1 - Deira, Dubai", "Dubai"), (7, True, None, None, None, "Nowhere", "Shop 1", None), (8, None, None, None, None, None, None, None), (9, True, None, None, None, "corniche", None, None), (10, False, None, None, None, "\u062f\u064a\u0631\u0629", None, None),
+    ]
+    words = spark.createDataFrame([("Deira", "Dubai"), ("Corniche", None)], "area string, city string")
+    got = {x["id"]: (x["area"], x["method"]) for x in r.rectified_areas(spark.createDataFrame(rows, schema), "id", words, ["Dubai", "Ajman"]).collect()}
+    assert got == {
+        1: ("Deira", "page"), 2: ("Deira", "page, not listed"), 3: ("Old Town", "page, not listed"), 4: ("Corniche", "cleaned"), 5: (None, "none"), 6: ("Deira", "address"), 7: ("Nowhere", "kept, not listed"), 8: (None, "none"), 9: ("Corniche", "current"), 10: (None, "none"),
+    }
+
+
+def test_many_rules_by_what_they_hold(spark):
+    """Above the number that is sent, rules are joined; the results are the same."""
+    from lakeshed.operators import tiers
+
+    rules = spark.createDataFrame([(k, f"(?i)dish{k}\\b", f"l{k}") for k in range(60)] + [(60, "(?i)tea", "drink")], "order int, pattern string, label string")
+    rows = spark.createDataFrame([(1, "Dish7 and dish3", None), (2, "x", "iced TEA"), (3, None, None), (4, "dish70", "dish5")], "id int, name string, category string")
+    for sent in (1000, 5):
+        got = {r["id"]: (r["label"], r["field"]) for r in tiers.rule_value(rows, "id", ["name", "category"], rules, sent).collect()}
+        assert got == {1: ("l3", "name"), 2: ("drink", "category"), 3: (None, None), 4: ("l5", "category")}
