@@ -213,7 +213,7 @@ def _placed(spark: SparkSession, sf: str) -> DataFrame:
 _ARABIC = "دبي القديمة"
 
 
-@plans.query(f"""
+@plans.query(rf"""
 WITH {_PLACED}, w AS (SELECT c_custkey, k % 5 = 0 AS verified, r_name AS city, n_name, CASE k % 7 WHEN 0 THEN r_name WHEN 1 THEN lower(n_name) WHEN 2 THEN 'Old ' || n_name WHEN 3 THEN '{_ARABIC}' WHEN 4 THEN other END AS page, CASE WHEN k % 3 = 0 THEN ' ' || n_name END AS slug,
   CASE WHEN k % 11 = 0 THEN upper(n_name) WHEN k % 11 = 1 THEN '' END AS cleaned, CASE k % 4 WHEN 0 THEN n_name WHEN 1 THEN r_name WHEN 2 THEN 'Nowhere' ELSE '{_ARABIC}' END AS current, 'Shop ' || k || ' - ' || CASE WHEN k % 2 = 0 THEN n_name ELSE other END || ', ' || r_name AS raw FROM x),
 t AS (SELECT c_custkey, city, unnest(CASE WHEN verified THEN list_concat([{{'k': 0, 'method': 'current', 'value': current}}], list_transform(range(1, len(regexp_split_to_array(raw, '\s+-\s+|,')) + 1), lambda i: {{'k': i::INT, 'method': 'address', 'value': trim(regexp_split_to_array(raw, '\s+-\s+|,')[i])}}))
