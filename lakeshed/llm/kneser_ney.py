@@ -1,7 +1,9 @@
 """LM scoring: an interpolated modified Kneser-Ney bigram model, counted in Spark and memory-mapped by workers.
 
 Words are numbered by their place among the sorted hashes of the training
-vocabulary; a bigram's key is context << 32 | word.  Counting goes in shards:
+vocabulary; a bigram's key is its context's place in its shard, then the word's
+number, in 64 bits (where they don't fit, words are counted again in twice as
+many shards).  Counting goes in shards, one for each 24 MB of text:
 
 * each task counts its documents' words (then bigrams) in sorted arrays and
   sends one binary row to each shard; a shard merges its rows and writes sorted
@@ -10,11 +12,12 @@ vocabulary; a bigram's key is context << 32 | word.  Counting goes in shards:
 * a bigram's shard is that of its context, but a context with more than
   1/``HOT`` of all tokens is dealt over all shards by its whole key; what shards
   know in part (continuation counts of words, totals of such contexts) is summed
-  by the shard of the word.
+  by the shard of the word.  A row goes only where there is something to send.
 
-Workers map the arrays and search them with a batch's sorted distinct keys.  No
-task holds more than a shard, a batch and the pages it touches; only totals,
-shard sizes and the few hot contexts reach the driver.
+Workers map the arrays and search them with a batch's sorted distinct keys, shard
+by shard, with at most ``MAPPED`` arrays mapped at a time.  No task holds more
+than a shard, a batch and the pages it touches; only totals, shard sizes and the
+few hot contexts reach the driver.
 
 With n1..n4 the counts of counts, Y = n1 / (n1 + 2 n2), D1 = 1 - 2 Y n2 / n1,
 D2 = 2 - 3 Y n3 / n2 and D3 = 3 - 4 Y n4 / n3 (clipped to lie above 0 and
@@ -33,7 +36,6 @@ an empty table gives no rows; other columns are left out.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -52,14 +54,17 @@ from lakeshed.llm.words import hashed_words, mix
 END = 0x5F3759DF5F3759DF
 #: Words' bytes of text for each shard; shards are a power of two.
 SHARD_BYTES = 24 << 20
-LEAST_SHARDS, MOST_SHARDS = 8, 8192
+LEAST_SHARDS = 8
 HOT = 200
-#: Words that 32 bits of a bigram's key can number; one more stands for those that training lacks.
-MOST_WORDS = (1 << 32) - 1
+#: Bits of a bigram's key: a context's place in its shard, then a word's number.
+KEY_BITS = 64
+#: Arrays that a worker maps at a time; each holds a file open.
+MAPPED = 512
 #: Counts from here on lie in a list of their own, those below in 32 bits.
 MANY = (1 << 32) - 1
 #: Pairs that a counting task gathers before it merges them.
 GATHER = 4_000_000
+COUNTS = "shard int, keys binary, counts binary"
 _U = np.uint64
 
 
@@ -79,44 +84,49 @@ def _blobs(group: pa.Table, name: str, dtype: type) -> list[np.ndarray]:
 
 
 def _rows(shard: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """One binary row for each shard."""
-    order = np.argsort(shard, kind="stable")
-    shard, keys, counts = shard[order], keys[order], counts[order]
-    start = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.zeros(0, int)
-    stop = np.append(start[1:], len(shard))[: len(start)]
-    columns = (pa.array(shard[start], pa.int32()), pa.array([keys[a:b].tobytes() for a, b in zip(start, stop, strict=True)], pa.binary()), pa.array([counts[a:b].tobytes() for a, b in zip(start, stop, strict=True)], pa.binary()))
+    """One binary row for each shard, by which the keys are sorted."""
+    parts = list(_by_shard(shard))
+    columns = (pa.array([k for k, _ in parts], pa.int32()), pa.array([keys[at].tobytes() for _, at in parts], pa.binary()), pa.array([counts[at].tobytes() for _, at in parts], pa.binary()))
     return pa.RecordBatch.from_arrays(list(columns), ["shard", "keys", "counts"])
 
 
+def _distinct(shard: np.ndarray, key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of each shard, sorted, and their summed counts."""
+    order = np.lexsort((key, shard))
+    shard, key, count = shard[order], key[order], count[order]
+    if not len(key):
+        return shard, key, count
+    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])]))
+    return shard[start], key[start], np.add.reduceat(count, start)
+
+
 class _Gathered:
-    """Counts of keys, merged whenever GATHER of them have come together; given out when they get many."""
+    """Counts of shards' keys, merged whenever GATHER of them have come together; given out when they get many."""
 
     def __init__(self) -> None:
-        self.keys: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.held = self.settled = 0
 
-    def add(self, found: np.ndarray) -> bool:
+    def add(self, shard: np.ndarray, keys: np.ndarray) -> bool:
         """Whether it is time to give out what is held."""
-        key, count = np.unique(found, return_counts=True)
-        self.keys.append(key)
-        self.counts.append(count.astype(np.uint32))
-        self.held += len(key)
+        self.parts.append(_distinct(shard.astype(np.int32), keys, np.ones(len(keys), np.uint32)))
+        self.held += len(self.parts[-1][1])
         if self.held < self.settled + GATHER:
             return False
         self.settle()
         return self.settled >= GATHER
 
     def settle(self) -> None:
-        if self.keys:
-            key, count = _merged(self.keys, self.counts)
-            self.keys, self.counts, self.held, self.settled = [key], [count.astype(np.uint32)], len(key), len(key)
+        if self.parts:
+            self.parts = [_distinct(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))]
+            self.held = self.settled = len(self.parts[0][1])
 
-    def take(self) -> tuple[np.ndarray, np.ndarray]:
+    def rows(self) -> pa.RecordBatch:
+        """All that is held, a binary row for each shard that it has keys of."""
         self.settle()
-        out = (self.keys[0], self.counts[0]) if self.keys else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        shard, keys, counts = self.parts[0] if self.parts else (np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.uint32))
         self.__init__()
-        return out
+        return _rows(shard, keys, counts.astype(np.uint32))
 
 
 def _tokens(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,15 +139,70 @@ def _tokens(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, begin
 
 
+@lru_cache(maxsize=MAPPED)
+def _array(folder: str, name: str, dtype: type) -> np.ndarray:
+    """An array of the store, mapped; empty where no task had anything to write."""
+    store = Store(folder)
+    return store.read(name, dtype) if store.has(name) else np.zeros(0, dtype)
+
+
+@dataclass(frozen=True)
+class Keys:
+    """How words are numbered and bigrams put in keys.
+
+    ``fullest`` is the number of words of the fullest shard: places from there on
+    stand for the contexts in ``hot``, which all shards share.
+    """
+
+    folder: str
+    shards: int
+    vocabulary: int
+    fullest: int
+    hot: tuple[int, ...]
+
+    @property
+    def shift(self) -> np.uint64:
+        """Bits of a word's number; the vocabulary's size stands for words that training lacks."""
+        return _U(self.vocabulary.bit_length())
+
+    @property
+    def fits(self) -> bool:
+        return self.vocabulary.bit_length() + (self.fullest + HOT).bit_length() <= KEY_BITS
+
+    @property
+    def offsets(self) -> np.ndarray:
+        """The number of each shard's first word, and the vocabulary's size."""
+        return _array(self.folder, "offsets", np.uint64)
+
+    def of(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shard and key of bigrams; the shard is ``shards`` where training lacks the context."""
+        offsets, hot = self.offsets, np.array(self.hot, np.uint64)
+        shard = np.searchsorted(offsets[1:], context, "right").astype(np.int64)
+        place = context - offsets[np.minimum(shard, self.shards - 1)]
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, context), len(hot) - 1)
+            spread = hot[at] == context
+            place[spread] = _U(self.fullest) + at[spread].astype(np.uint64)
+            shard[spread] = (mix(place[spread] << self.shift | word[spread]) % _U(self.shards)).astype(np.int64)
+        return shard, place << self.shift | word
+
+    def apart(self, shard: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of context and word of a shard's keys."""
+        place, word = keys >> self.shift, keys & ((_U(1) << self.shift) - _U(1))
+        context = place + self.offsets[shard]
+        shared = place >= _U(self.fullest)
+        if len(self.hot):
+            context[shared] = np.array(self.hot, np.uint64)[(place[shared] - _U(self.fullest)).astype(np.int64)]
+        return context, word
+
+
 @dataclass(frozen=True)
 class Model:
     """What workers need besides the arrays in ``folder``."""
 
     folder: str
-    shards: int
-    offsets: tuple[int, ...]
+    keys: Keys
     tokens: int
-    hot: tuple[int, ...]
     discounts: tuple[float, float, float]
     low_discounts: tuple[float, float, float]
     contexts: int
@@ -145,7 +210,7 @@ class Model:
 
     @property
     def vocabulary(self) -> int:
-        return self.offsets[-1]
+        return self.keys.vocabulary
 
 
 def _discounts(n: list[float]) -> tuple[float, float, float]:
@@ -160,71 +225,47 @@ def _discounted(count: np.ndarray, discounts: tuple[float, float, float]) -> np.
     return np.array([0.0, *discounts])[np.minimum(count, 3).astype(np.int64)]
 
 
-class _Words:
-    """Numbers of words: a search in the sorted hashes of the shard that the hash's top bits name."""
-
-    def __init__(self, store: Store, shards: int, offsets: tuple[int, ...]):
-        self.hashes = [store.read(f"words-{k}", np.uint64) for k in range(shards)]
-        self.shards, self.offsets = shards, offsets
-        self.shift = _U(64 - int(np.log2(shards)))
-
-    def numbers(self, words: np.ndarray) -> np.ndarray:
-        """The number of each word; the vocabulary's size for others."""
-        names, back = np.unique(words, return_inverse=True)
-        out = np.full(len(names), self.offsets[-1], np.uint64)
-        cuts = np.searchsorted(names >> self.shift, np.arange(self.shards + 1, dtype=np.uint64))
-        for k in range(self.shards):
-            part, have = names[cuts[k] : cuts[k + 1]], self.hashes[k]
-            if len(part) and len(have):
-                at = np.minimum(np.searchsorted(have, part), len(have) - 1)
-                ok = have[at] == part
-                out[cuts[k] : cuts[k + 1]][ok] = (at[ok] + self.offsets[k]).astype(np.uint64)
-        return out[back]
-
-
-@lru_cache(maxsize=2)
-def _words(folder: str, shards: int, offsets: tuple[int, ...]) -> _Words:
-    return _Words(Store(folder), shards, offsets)
+def _numbers(words: np.ndarray, keys: Keys) -> np.ndarray:
+    """The number of each word, searched in the sorted hashes of the shard that the hash's top bits name; the vocabulary's size for others."""
+    names, back = np.unique(words, return_inverse=True)
+    out = np.full(len(names), keys.vocabulary, np.uint64)
+    for k, at_names in _by_shard(names >> _U(64 - int(np.log2(keys.shards)))):
+        part, have = names[at_names], _array(keys.folder, f"words-{k}", np.uint64)
+        if len(have):
+            at = np.minimum(np.searchsorted(have, part), len(have) - 1)
+            ok = have[at] == part
+            out[at_names][ok] = at[ok].astype(np.uint64) + keys.offsets[k]
+    return out[back]
 
 
-def _of_pairs(numbers: np.ndarray, begin: np.ndarray, end: int) -> np.ndarray:
-    """Keys of (context, word); a document's first context is the end token."""
+def _contexts(numbers: np.ndarray, begin: np.ndarray, end: int) -> np.ndarray:
+    """The word before each; a document's first context is the end token."""
     context = np.empty_like(numbers)
     context[1:] = numbers[:-1]
     context[begin[:-1]] = end
-    return context << _U(32) | numbers
+    return context
 
 
-def _pair_shards(keys: np.ndarray, offsets: tuple[int, ...], hot: np.ndarray) -> np.ndarray:
-    context = keys >> _U(32)
-    shard = np.searchsorted(np.array(offsets[1:], np.uint64), context, "right").astype(np.int64)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, context), len(hot) - 1)
-        spread = hot[at] == context
-        shard[spread] = (mix(keys[spread]) % _U(len(offsets) - 1)).astype(np.int64)
-    return shard
+def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Slices of rows sorted by shard."""
+    which, start = np.unique(shard, return_index=True)
+    for k, a, b in zip(which.tolist(), start, np.append(start, len(shard))[1:], strict=True):
+        yield k, slice(a, b)
 
 
-def trained(docs: DataFrame) -> Model:
-    """Counts all of ``docs`` and leaves the model's arrays in the shared folder."""
-    spark = docs.sparkSession
-    folder = new_path(spark, "kneser-ney")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = LEAST_SHARDS
-    while shards < MOST_SHARDS and shards * SHARD_BYTES < size:
-        shards *= 2
+def _counted_words(docs: DataFrame, shards: int) -> tuple[Keys, int]:
+    """Counts words, numbers them; with the number of all tokens."""
+    folder = new_path(docs.sparkSession, "kneser-ney")
     shift = _U(64 - int(np.log2(shards)))
-    binary = "shard int, keys binary, counts binary"
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Gathered()
         for batch in batches:
             for _, _, words, first in hashed_words(batch.column(0)):
-                if held.add(_tokens(words, first)[0]):
-                    keys, counts = held.take()
-                    yield _rows((keys >> shift).astype(np.int32), keys, counts)
-        keys, counts = held.take()
-        yield _rows((keys >> shift).astype(np.int32), keys, counts)
+                said = _tokens(words, first)[0]
+                if held.add(said >> shift, said):
+                    yield held.rows()
+        yield held.rows()
 
     def merge_words(group: pa.Table) -> pa.Table:
         keys, counts = _merged(_blobs(group, "keys", np.uint64), [x.astype(np.int64) for x in _blobs(group, "counts", np.uint32)])
@@ -235,30 +276,40 @@ def trained(docs: DataFrame) -> Model:
         often = counts * HOT > counts.sum()  # at least all that are hot overall
         return pa.table({"shard": pa.array([shard], pa.int32()), "words": [len(keys)], "tokens": [int(counts.sum())], "often": pa.array([np.flatnonzero(often).tolist()], pa.list_(pa.int64())), "often_counts": pa.array([counts[often].tolist()], pa.list_(pa.int64()))})
 
-    facts = docs.select("text").mapInArrow(count_words, binary).repartition(4 * shards, "shard").groupBy("shard").applyInArrow(merge_words, "shard int, words long, tokens long, often array<long>, often_counts array<long>").collect()
-    by_shard = {r["shard"]: r for r in facts}
-    for k in set(range(shards)) - set(by_shard):
-        Store(folder).write(f"words-{k}", np.zeros(0, np.uint64))
-        Store(folder).write(f"counts-{k}", np.zeros(0, np.int64))
-    offsets = tuple(int(x) for x in np.concatenate([[0], np.cumsum([by_shard[k]["words"] if k in by_shard else 0 for k in range(shards)])]))
+    facts = docs.select("text").mapInArrow(count_words, COUNTS).repartition(4 * shards, "shard").groupBy("shard").applyInArrow(merge_words, "shard int, words long, tokens long, often array<long>, often_counts array<long>").collect()
+    sizes = np.zeros(shards, np.uint64)
+    for r in facts:
+        sizes[r["shard"]] = r["words"]
+    offsets = np.concatenate([np.zeros(1, np.uint64), np.cumsum(sizes, dtype=np.uint64)])
+    Store(folder).write("offsets", offsets)
     tokens = sum(r["tokens"] for r in facts)
-    if offsets[-1] >= MOST_WORDS:
-        raise ValueError(f"{offsets[-1]} distinct words; a bigram's key has room for {MOST_WORDS}")
-    hot = tuple(sorted(offsets[r["shard"]] + i for r in facts for i, n in zip(r["often"], r["often_counts"], strict=True) if n * HOT > tokens))
+    hot = tuple(sorted(int(offsets[r["shard"]]) + i for r in facts for i, n in zip(r["often"], r["often_counts"], strict=True) if n * HOT > tokens))
+    return Keys(folder, shards, int(offsets[-1]), int(sizes.max()), hot), tokens
+
+
+def trained(docs: DataFrame) -> Model:
+    """Counts all of ``docs`` and leaves the model's arrays in the shared folder."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = LEAST_SHARDS
+    while shards * SHARD_BYTES < size:
+        shards *= 2
+    numbered, tokens = _counted_words(docs, shards)
+    while not numbered.fits:
+        shards *= 2
+        numbered, tokens = _counted_words(docs, shards)
+    folder = numbered.folder
     if not tokens:
-        return Model(folder, shards, offsets, 0, hot, (0.0,) * 3, (0.0,) * 3, 0, 1.0)
+        return Model(folder, numbered, 0, (0.0,) * 3, (0.0,) * 3, 0, 1.0)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, often = _words(folder, shards, offsets), _Gathered(), np.array(hot, np.uint64)
-        end = int(words.numbers(np.array([END], np.uint64))[0])
+        held, end = _Gathered(), int(_numbers(np.array([END], np.uint64), numbered)[0])
         for batch in batches:
             for _, _, found, first in hashed_words(batch.column(0)):
                 said, begin = _tokens(found, first)
-                if held.add(_of_pairs(words.numbers(said), begin, end)):
-                    keys, counts = held.take()
-                    yield _rows(_pair_shards(keys, offsets, often).astype(np.int32), keys, counts)
-        keys, counts = held.take()
-        yield _rows(_pair_shards(keys, offsets, often).astype(np.int32), keys, counts)
+                numbers = _numbers(said, numbered)
+                if held.add(*numbered.of(_contexts(numbers, begin, end), numbers)):
+                    yield held.rows()
+        yield held.rows()
 
     def merge_pairs(group: pa.Table) -> pa.Table:
         """Writes the shard's bigrams; sends on, by the shard of the word, contexts of words and what contexts have followed by."""
@@ -268,29 +319,31 @@ def trained(docs: DataFrame) -> Model:
         store.write(f"pairs-{shard}", keys)
         store.write(f"pair-counts-{shard}", np.minimum(counts, MANY).astype(np.uint32))
         store.write(f"pairs-of-many-{shard}", np.concatenate([many, counts[many]]))
-        bounds = np.array(offsets[1:], np.uint64)
-        word, before = np.unique(keys & _U(0xFFFFFFFF), return_counts=True)
-        context, start = np.unique(keys >> _U(32), return_index=True)
-        kinds = [np.add.reduceat((counts == c) if c < 3 else (counts >= 3), start).astype(np.uint32) for c in (1, 2, 3)]
-        tally = [int((counts == c).sum()) for c in (1, 2, 3, 4)]
-        word_shard, context_shard = np.searchsorted(bounds, word, "right"), np.searchsorted(bounds, context, "right")
-        columns: dict[str, list] = {k: [] for k in ("shard", "word", "before", "context", "kinds", "tally")}
-        for k in range(shards):
-            a, b = np.searchsorted(word_shard, (k, k + 1))
-            c, d = np.searchsorted(context_shard, (k, k + 1))
+        offsets = numbered.offsets
+        of_context, of_word = numbered.apart(shard, keys)
+        word, before = np.unique(of_word, return_counts=True)
+        start = np.flatnonzero(np.concatenate([[True], of_context[1:] != of_context[:-1]]))
+        kinds = np.stack([np.add.reduceat((counts == c) if c < 3 else (counts >= 3), start).astype(np.uint32) for c in (1, 2, 3)])
+        order = np.argsort(of_context[start])
+        context, kinds = of_context[start][order], kinds[:, order]
+        words = dict(_by_shard(np.searchsorted(offsets[1:], word, "right")))
+        contexts = dict(_by_shard(np.searchsorted(offsets[1:], context, "right")))
+        none, columns = slice(0, 0), {k: [] for k in ("shard", "word", "before", "context", "kinds", "tally")}
+        for k in sorted(words.keys() | contexts.keys()):
+            own, led = words.get(k, none), contexts.get(k, none)
             columns["shard"].append(k)
-            columns["word"].append((word[a:b] - _U(offsets[k])).astype(np.uint32).tobytes())
-            columns["before"].append(before[a:b].astype(np.uint32).tobytes())
-            columns["context"].append((context[c:d] - _U(offsets[k])).astype(np.uint32).tobytes())
-            columns["kinds"].append(np.concatenate([x[c:d] for x in kinds]).tobytes())
-            columns["tally"].append(tally if k == 0 else [0, 0, 0, 0])
+            columns["word"].append((word[own] - offsets[k]).astype(np.uint32).tobytes())
+            columns["before"].append(before[own].astype(np.uint32).tobytes())
+            columns["context"].append((context[led] - offsets[k]).astype(np.uint32).tobytes())
+            columns["kinds"].append(kinds[:, led].tobytes())
+            columns["tally"].append([0] * 4 if len(columns["tally"]) else [int((counts == c).sum()) for c in (1, 2, 3, 4)])
         schema = pa.schema([("shard", pa.int32()), ("word", pa.binary()), ("before", pa.binary()), ("context", pa.binary()), ("kinds", pa.binary()), ("tally", pa.list_(pa.int64()))])
         return pa.table(columns, schema=schema)
 
     def merge_words_again(group: pa.Table) -> pa.Table:
         """For the shard's words: N(w), and as contexts how many words follow them once, twice, more often."""
         shard, store = group.column("shard")[0].as_py(), Store(folder)
-        n = offsets[shard + 1] - offsets[shard]
+        n = int(numbered.offsets[shard + 1] - numbered.offsets[shard])
         before, kinds = np.zeros(n, np.int64), np.zeros((3, n), np.int64)
         for word, count in zip(_blobs(group, "word", np.uint32), _blobs(group, "before", np.uint32), strict=True):
             before[word] += count
@@ -302,75 +355,64 @@ def trained(docs: DataFrame) -> Model:
         own = [int((before == c).sum()) for c in (1, 2, 3, 4)] + [int((before >= 3).sum())]
         return pa.table({"shard": pa.array([shard], pa.int32()), "tally": [tally], "own": [own], "pairs": [int(before.sum())]})
 
-    pairs = docs.select("text").mapInArrow(count_pairs, binary).repartition(4 * shards, "shard").groupBy("shard").applyInArrow(merge_pairs, "shard int, word binary, before binary, context binary, kinds binary, tally array<long>")
+    pairs = docs.select("text").mapInArrow(count_pairs, COUNTS).repartition(4 * shards, "shard").groupBy("shard").applyInArrow(merge_pairs, "shard int, word binary, before binary, context binary, kinds binary, tally array<long>")
     facts = pairs.groupBy("shard").applyInArrow(merge_words_again, "shard int, tally array<long>, own array<long>, pairs long").collect()
-    have = set(range(shards)) - {r["shard"] for r in facts}
-    if have:
-        raise RuntimeError(f"shards without counts: {sorted(have)}")
+    lacks = set(np.flatnonzero(np.diff(numbered.offsets.astype(np.int64))).tolist()) - {r["shard"] for r in facts}
+    if lacks:
+        raise RuntimeError(f"shards without counts: {sorted(lacks)}")
     tally, own = (np.array([r[k] for r in facts], np.int64).sum(0).tolist() for k in ("tally", "own"))
     contexts = sum(r["pairs"] for r in facts)
     low = _discounts(own[:4])
     low_gamma = (low[0] * own[0] + low[1] * own[1] + low[2] * own[4]) / contexts
-    return Model(folder, shards, offsets, tokens, hot, _discounts(tally), low, contexts, low_gamma)
+    return Model(folder, numbered, tokens, _discounts(tally), low, contexts, low_gamma)
 
 
 class _Mapped:
-    """The model's arrays, mapped, and searches in them."""
+    """Searches in the model's arrays, which are mapped as they are needed."""
 
     def __init__(self, model: Model):
-        store, shards = Store(model.folder), range(model.shards)
-        self.model, self.words = model, _words(model.folder, model.shards, model.offsets)
-        self.counts = [store.read(f"counts-{k}", np.int64) for k in shards]
-        self.hot = np.array(model.hot, np.uint64)
-        self.before = [store.read(f"before-{k}", np.int64) for k in shards]
-        self.kinds = [store.read(f"kinds-{k}", np.int64).reshape(3, -1) for k in shards]
-        self.paths = [store.local and os.path.exists(f"{store.local}/pairs-{k}") for k in shards]
-        read = lambda name, dtype: [store.read(f"{name}-{k}", dtype) if self.paths[k] or not store.local else np.zeros(0, dtype) for k in shards]
-        self.pairs, self.pair_counts = read("pairs", np.uint64), read("pair-counts", np.uint32)
-        self.many = [x.reshape(2, -1) for x in read("pairs-of-many", np.int64)]
-        self.end = int(self.words.numbers(np.array([END], np.uint64))[0])
-
-    def _by_shard(self, names: np.ndarray) -> Iterator[tuple[int, slice]]:
-        """Slices of sorted word numbers that lie in a shard."""
-        cuts = np.searchsorted(names, np.array(self.model.offsets, np.uint64))
-        for k in range(self.model.shards):
-            if cuts[k + 1] > cuts[k]:
-                yield k, slice(cuts[k], cuts[k + 1])
+        self.model = model
+        self.end = int(_numbers(np.array([END], np.uint64), model.keys)[0])
+
+    def _read(self, name: str, shard: int, dtype: type) -> np.ndarray:
+        return _array(self.model.folder, f"{name}-{shard}", dtype)
+
+    def _known(self, names: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray]]:
+        """Shard, slice and places in the shard of sorted word numbers; those that training lacks are left out."""
+        offsets = self.model.keys.offsets
+        known = names[: np.searchsorted(names, _U(self.model.vocabulary))]
+        for k, part in _by_shard(np.searchsorted(offsets[1:], known, "right")):
+            yield k, part, (known[part] - offsets[k]).astype(np.int64)
 
     def seen(self, names: np.ndarray) -> np.ndarray:
         out = np.zeros(len(names), np.int64)
-        for k, part in self._by_shard(names):
-            out[part] = self.counts[k][(names[part] - _U(self.model.offsets[k])).astype(np.int64)]
+        for k, part, at in self._known(names):
+            out[part] = self._read("counts", k, np.int64)[at]
         return out
 
     def low(self, names: np.ndarray) -> np.ndarray:
         """p(w) for sorted word numbers."""
         m, n = self.model, np.zeros(len(names), np.int64)
-        for k, part in self._by_shard(names):
-            n[part] = self.before[k][(names[part] - _U(m.offsets[k])).astype(np.int64)]
+        for k, part, at in self._known(names):
+            n[part] = self._read("before", k, np.int64)[at]
         return np.maximum(n - _discounted(n, m.low_discounts), 0) / m.contexts + m.low_gamma / (m.vocabulary + 1)
 
     def context(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """c(v) and gamma(v) for sorted word numbers; 1 and 1 for those that training lacks."""
         total, gamma = np.ones(len(names)), np.ones(len(names))
-        for k, part in self._by_shard(names):
-            at = (names[part] - _U(self.model.offsets[k])).astype(np.int64)
-            total[part] = self.counts[k][at]
-            gamma[part] = np.array(self.model.discounts) @ self.kinds[k][:, at] / total[part]
+        for k, part, at in self._known(names):
+            total[part] = self._read("counts", k, np.int64)[at]
+            gamma[part] = np.array(self.model.discounts) @ self._read("kinds", k, np.int64).reshape(3, -1)[:, at] / total[part]
         return total, gamma
 
-    def pair(self, keys: np.ndarray) -> np.ndarray:
-        """c(v w) for sorted keys."""
+    def pair(self, shard: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """c(v w) for keys sorted within their shards."""
         out = np.zeros(len(keys), np.int64)
-        shard = _pair_shards(keys, self.model.offsets, self.hot)
-        known = shard < self.model.shards
-        order = np.argsort(shard[known], kind="stable")
-        which, cuts = np.flatnonzero(known)[order], np.searchsorted(shard[known][order], np.arange(self.model.shards + 1))
-        for k in range(self.model.shards):
-            part, have = which[cuts[k] : cuts[k + 1]], self.pairs[k]
-            if len(part) and len(have):
+        for k, part in _by_shard(shard):
+            have = self._read("pairs", k, np.uint64) if k < self.model.keys.shards else ()
+            if len(have):
                 at = np.minimum(np.searchsorted(have, keys[part]), len(have) - 1)
-                count, (place, exact) = self.pair_counts[k][at].astype(np.int64), self.many[k]
+                count, (place, exact) = self._read("pair-counts", k, np.uint32)[at].astype(np.int64), self._read("pairs-of-many", k, np.int64).reshape(2, -1)
                 if len(place):
                     count[np.isin(at, place)] = exact[np.searchsorted(place, at[np.isin(at, place)])]
                 out[part] = np.where(have[at] == keys[part], count, 0)
@@ -395,15 +437,20 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                     columns = (size, zero.astype(np.int64), zero, zero, zero + 1)
                 else:
                     m = _mapped(model)
-                    numbers = m.words.numbers(said)
+                    numbers = _numbers(said, model.keys)
                     names, back = np.unique(numbers, return_inverse=True)
                     seen = m.seen(names)
                     base = np.log10((seen + 1) / (model.tokens + model.vocabulary + 1))[back]
-                    keys, of = np.unique(_of_pairs(numbers, begin, m.end), return_inverse=True)
-                    contexts, where = np.unique(keys >> _U(32), return_inverse=True)
+                    before = _contexts(numbers, begin, m.end)
+                    shard, key = model.keys.of(before, numbers)
+                    order = np.lexsort((key, shard))
+                    new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (shard[order][1:] != shard[order][:-1])])
+                    first_of, of = order[new], np.empty(len(order), np.int64)
+                    of[order] = np.cumsum(new) - 1
+                    contexts, where = np.unique(before[first_of], return_inverse=True)
                     total, gamma = m.context(contexts)
-                    count = m.pair(keys)
-                    low = m.low(names)[np.searchsorted(names, keys & _U(0xFFFFFFFF))]
+                    count = m.pair(shard[first_of], key[first_of])
+                    low = m.low(names)[back[first_of]]
                     p = np.maximum(count - _discounted(count, model.discounts), 0) / total[where] + gamma[where] * low
                     full = np.add.reduceat(np.log10(p)[of], begin[:-1])
                     columns = (size, np.add.reduceat((seen > 0)[back].astype(np.int64), begin[:-1]), np.add.reduceat(base, begin[:-1]), full, 10 ** (-full / size))

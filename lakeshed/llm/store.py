@@ -38,6 +38,14 @@ class Store:
             out.write(values.tobytes())
         system.move(f"{path}/{own}", f"{path}/{name}")
 
+    def has(self, name: str) -> bool:
+        if self.local:
+            return os.path.exists(f"{self.local}/{name}")
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(self.folder)
+        return system.get_file_info(f"{path}/{name}").type == fs.FileType.File
+
     def read(self, name: str, dtype: type) -> np.ndarray:
         if self.local:
             path = f"{self.local}/{name}"

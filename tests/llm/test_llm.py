@@ -346,6 +346,23 @@ def test_kneser_ney(docs, sample, none):
     assert kneser_ney.scored(none, model).count() == 0
 
 
+def test_kneser_ney_in_many_shards(docs, sample, monkeypatch):
+    """Keys too narrow for the shards at first: words are counted again in more of them, scores stay."""
+    rows = {r[0]: r[1] for r in sample}
+    taught = docs.filter("doc_id % 4 <> 0").dropDuplicates(["doc_id"])
+    usual = kneser_ney.trained(taught).keys
+    bits = usual.vocabulary.bit_length() + kneser_ney.HOT.bit_length()
+    assert usual.shards == kneser_ney.LEAST_SHARDS and usual.fits
+    monkeypatch.setattr(kneser_ney, "KEY_BITS", bits)
+    monkeypatch.setattr(kneser_ney, "GATHER", 50)
+    model = kneser_ney.trained(taught)
+    assert model.keys.shards > usual.shards and model.keys.hot and model.keys.fits
+    want = bigram_scores(list(rows.items()), lambda i: i % 4 != 0)
+    for r in kneser_ney.scored(docs, model).collect():
+        assert r["base_score"] == pytest.approx(want[r["doc_id"]][3]) and r["score"] == pytest.approx(want[r["doc_id"]][4])
+    assert kneser_ney._array.cache_info().maxsize == kneser_ney.MAPPED
+
+
 def test_decontamination(spark, docs, none):
     items = spark.createDataFrame([(1, "What is the tallest tower of the old harbour town? It is the red lighthouse keeper house."), (2, "Name seven quiet rivers that cross plains. Answer: Ondava Topla Laborec"), (3, None), (4, ""), (5, "Unrelated question about glass marbles and kites. Blue ones.")], "item_id long, text string")
     text = items.filter("item_id = 1").first()["text"]
