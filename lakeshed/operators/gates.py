@@ -103,3 +103,24 @@ def line_problems(lines: DataFrame, text: str, required: dict[str, str], key: st
     extra = rows.select(F.explode(F.array_except("_names", F.array(*map(F.lit, required)))).alias("field")).groupBy("field").agg(F.count("*").alias("n")).select(F.lit("extra").alias("problem"), "field", "n")
     again = rows.filter("_key is not null").groupBy("_key").agg(F.count("*").alias("c")).filter("c > 1").agg(F.count("*").alias("n")).select(F.lit("repeated key").alias("problem"), F.lit(key).alias("field"), "n")
     return counted.unionByName(extra).unionByName(again).filter("n > 0")
+
+
+def load_gates(items: DataFrame, deltas: DataFrame, run: str, run_id: Column, branch: str, needed: tuple[list[str], list[str]], kind: str, kinds: Sequence[str], emptied: DataFrame, stated: DataFrame) -> DataFrame:
+    """(gate, found, wanted, passed) of a load, before it is published.
+
+    ``stated`` is one row: how many items and deltas the files and the report have.
+    Gates: the run's items and deltas are as many; no branch has rows of two runs;
+    each branch of ``emptied`` keeps its earlier rows and gets no new ones; no
+    needed column of the run's items and deltas is null; kinds of change are listed ones.
+    """
+    of_run = lambda x: F.coalesce(x, F.lit(False)) & F.col(run).eqNullSafe(run_id)
+    gone = emptied.select(branch).distinct().withColumn("_gone", F.lit(True))
+    branches = items.groupBy(branch).agg(F.countDistinct(run).alias("_runs"), F.count_if(of_run(F.lit(True))).alias("_new")).join(gone, branch, "full_outer")
+    by_branch = branches.agg(F.count_if(F.col("_runs") > 1).alias("several"), F.count_if(F.col("_gone") & F.col("_runs").isNotNull()).alias("keeps"), F.count_if("_gone").alias("gone"), F.coalesce(F.sum(F.when(F.col("_gone"), F.col("_new"))), F.lit(0)).alias("anew"))
+    lacks = lambda df, which, more: df.agg(F.count_if(of_run(F.lit(True))).alias(which), *[F.count_if(of_run(F.col(c).isNull())).alias(f"{which}_{c}") for c in needed[which == "deltas"]], *more)
+    one = by_branch.crossJoin(F.broadcast(lacks(items, "items", []))).crossJoin(F.broadcast(lacks(deltas, "deltas", [F.count_if(of_run(~F.col(kind).isin(*kinds))).alias("kinds")])))  # one row each
+    one = one.crossJoin(F.broadcast(stated.select(F.col("items").alias("want_items"), F.col("deltas").alias("want_deltas")).limit(1)))
+    gate = lambda name, found, wanted: F.struct(F.lit(name).alias("gate"), F.col(found).cast("long").alias("found"), wanted.cast("long").alias("wanted"), (F.col(found) == wanted).alias("passed"))
+    none, rows = F.lit(0), [gate("items as stated", "items", F.col("want_items")), gate("deltas as stated", "deltas", F.col("want_deltas")), gate("branches of several runs", "several", F.lit(0)), gate("emptied branches keep rows", "keeps", F.col("gone")), gate("emptied branches get rows", "anew", F.lit(0)), gate("kinds of change beyond the list", "kinds", F.lit(0))]
+    rows += [gate(f"{which} without {c}", f"{which}_{c}", none) for which, columns in zip(("items", "deltas"), needed, strict=True) for c in columns]
+    return one.select(F.inline(F.array(*rows)))

@@ -153,3 +153,9 @@ def owners(links: DataFrame, child: str, parent: str) -> DataFrame:
             break
     goes_on = now.select(F.col("c").alias("_c"), F.col("least").alias("_least"))  # the smallest name ahead of a place in a cycle is the cycle's
     return now.join(goes_on, F.col("p") == F.col("_c"), "left").select(F.col("c").alias(child), F.coalesce("_least", "p").alias("owner"))
+
+
+def with_survivors(clusters: DataFrame, identity: str, component: str, placed: Column) -> DataFrame:
+    """Adds ``survivor``, the one of a cluster that stays, and ``kept``: those with a resolved area first, then the newest (largest) id."""
+    best = clusters.groupBy(component).agg(F.max_by(identity, F.struct(F.coalesce(placed, F.lit(False)), F.col(identity))).alias("survivor"))
+    return clusters.join(best, component).withColumn("kept", F.col(identity) == F.col("survivor"))

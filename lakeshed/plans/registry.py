@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from lakeshed.plans import decisions, entities, matching, records, relational, resolving, snapshots, terms, texts
+from lakeshed.plans import decisions, entities, listings, matching, records, relational, resolving, snapshots, terms, texts
 from lakeshed.plans.base import Query
 
 FLAGSHIP = "snapshot_diff"
-_MODULES = (relational, texts, matching, terms, entities, decisions, resolving, records, snapshots)
+_MODULES = (relational, texts, matching, terms, entities, decisions, listings, resolving, records, snapshots)
 
 
 def queries() -> dict[str, Query]:
