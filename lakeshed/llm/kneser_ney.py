@@ -107,10 +107,10 @@ class _Gathered:
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.held = self.settled = 0
 
-    def add(self, shard: np.ndarray, keys: np.ndarray) -> bool:
+    def add(self, shard: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> bool:
         """Whether it is time to give out what is held."""
-        self.parts.append(_distinct(shard.astype(np.int32), keys, np.ones(len(keys), np.uint32)))
-        self.held += len(self.parts[-1][1])
+        self.parts.append((shard.astype(np.int32), keys, counts.astype(np.uint32)))
+        self.held += len(keys)
         if self.held < self.settled + GATHER:
             return False
         self.settle()
@@ -225,8 +225,11 @@ def _discounted(count: np.ndarray, discounts: tuple[float, float, float]) -> np.
     return np.array([0.0, *discounts])[np.minimum(count, 3).astype(np.int64)]
 
 
-def _numbers(words: np.ndarray, keys: Keys) -> np.ndarray:
-    """The number of each word, searched in the sorted hashes of the shard that the hash's top bits name; the vocabulary's size for others."""
+def _numbers(words: np.ndarray, keys: Keys) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the distinct words, and which of them each word is.
+
+    A number is found in the sorted hashes of the shard that the hash's top bits name; others get the vocabulary's size.
+    """
     names, back = np.unique(words, return_inverse=True)
     out = np.full(len(names), keys.vocabulary, np.uint64)
     for k, at_names in _by_shard(names >> _U(64 - int(np.log2(keys.shards)))):
@@ -235,15 +238,15 @@ def _numbers(words: np.ndarray, keys: Keys) -> np.ndarray:
             at = np.minimum(np.searchsorted(have, part), len(have) - 1)
             ok = have[at] == part
             out[at_names][ok] = at[ok].astype(np.uint64) + keys.offsets[k]
-    return out[back]
+    return out, back
 
 
-def _contexts(numbers: np.ndarray, begin: np.ndarray, end: int) -> np.ndarray:
-    """The word before each; a document's first context is the end token."""
-    context = np.empty_like(numbers)
-    context[1:] = numbers[:-1]
-    context[begin[:-1]] = end
-    return context
+def _pairs(which: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Context and word of each token in one number, by their places among the chunk's distinct words; a document's first context is its end token."""
+    context = np.empty_like(which)
+    context[1:] = which[:-1]
+    context[begin[:-1]] = which[begin[1:] - 1]
+    return context << 32 | which
 
 
 def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -262,8 +265,8 @@ def _counted_words(docs: DataFrame, shards: int) -> tuple[Keys, int]:
         held = _Gathered()
         for batch in batches:
             for _, _, words, first in hashed_words(batch.column(0)):
-                said = _tokens(words, first)[0]
-                if held.add(said >> shift, said):
+                said, counts = np.unique(_tokens(words, first)[0], return_counts=True)
+                if held.add(said >> shift, said, counts):
                     yield held.rows()
         yield held.rows()
 
@@ -302,12 +305,13 @@ def trained(docs: DataFrame) -> Model:
         return Model(folder, numbered, 0, (0.0,) * 3, (0.0,) * 3, 0, 1.0)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, end = _Gathered(), int(_numbers(np.array([END], np.uint64), numbered)[0])
+        held = _Gathered()
         for batch in batches:
             for _, _, found, first in hashed_words(batch.column(0)):
                 said, begin = _tokens(found, first)
-                numbers = _numbers(said, numbered)
-                if held.add(*numbered.of(_contexts(numbers, begin, end), numbers)):
+                numbers, which = _numbers(said, numbered)
+                pairs, counts = np.unique(_pairs(which, begin), return_counts=True)
+                if held.add(*numbered.of(numbers[pairs >> 32], numbers[pairs & 0xFFFFFFFF]), counts):
                     yield held.rows()
         yield held.rows()
 
@@ -372,17 +376,16 @@ class _Mapped:
 
     def __init__(self, model: Model):
         self.model = model
-        self.end = int(_numbers(np.array([END], np.uint64), model.keys)[0])
 
     def _read(self, name: str, shard: int, dtype: type) -> np.ndarray:
         return _array(self.model.folder, f"{name}-{shard}", dtype)
 
-    def _known(self, names: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray]]:
-        """Shard, slice and places in the shard of sorted word numbers; those that training lacks are left out."""
+    def _known(self, names: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Shard, positions and places in the shard of word numbers; those that training lacks are left out."""
         offsets = self.model.keys.offsets
-        known = names[: np.searchsorted(names, _U(self.model.vocabulary))]
-        for k, part in _by_shard(np.searchsorted(offsets[1:], known, "right")):
-            yield k, part, (known[part] - offsets[k]).astype(np.int64)
+        known = np.flatnonzero(names < _U(self.model.vocabulary))  # in the order of their hashes, which is that of numbers
+        for k, part in _by_shard(np.searchsorted(offsets[1:], names[known], "right")):
+            yield k, known[part], (names[known[part]] - offsets[k]).astype(np.int64)
 
     def seen(self, names: np.ndarray) -> np.ndarray:
         out = np.zeros(len(names), np.int64)
@@ -391,14 +394,14 @@ class _Mapped:
         return out
 
     def low(self, names: np.ndarray) -> np.ndarray:
-        """p(w) for sorted word numbers."""
+        """p(w) for numbers of distinct words in the order of their hashes."""
         m, n = self.model, np.zeros(len(names), np.int64)
         for k, part, at in self._known(names):
             n[part] = self._read("before", k, np.int64)[at]
         return np.maximum(n - _discounted(n, m.low_discounts), 0) / m.contexts + m.low_gamma / (m.vocabulary + 1)
 
     def context(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """c(v) and gamma(v) for sorted word numbers; 1 and 1 for those that training lacks."""
+        """c(v) and gamma(v) for numbers of distinct words in the order of their hashes; 1 and 1 for those that training lacks."""
         total, gamma = np.ones(len(names)), np.ones(len(names))
         for k, part, at in self._known(names):
             total[part] = self._read("counts", k, np.int64)[at]
@@ -406,9 +409,10 @@ class _Mapped:
         return total, gamma
 
     def pair(self, shard: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """c(v w) for keys sorted within their shards."""
-        out = np.zeros(len(keys), np.int64)
-        for k, part in _by_shard(shard):
+        """c(v w) of bigrams' keys in their shards."""
+        out, order = np.zeros(len(keys), np.int64), np.lexsort((keys, shard))
+        for k, at_shard in _by_shard(shard[order]):
+            part = order[at_shard]
             have = self._read("pairs", k, np.uint64) if k < self.model.keys.shards else ()
             if len(have):
                 at = np.minimum(np.searchsorted(have, keys[part]), len(have) - 1)
@@ -437,21 +441,14 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                     columns = (size, zero.astype(np.int64), zero, zero, zero + 1)
                 else:
                     m = _mapped(model)
-                    numbers = _numbers(said, model.keys)
-                    names, back = np.unique(numbers, return_inverse=True)
-                    seen = m.seen(names)
+                    numbers, back = _numbers(said, model.keys)
+                    seen = m.seen(numbers)
                     base = np.log10((seen + 1) / (model.tokens + model.vocabulary + 1))[back]
-                    before = _contexts(numbers, begin, m.end)
-                    shard, key = model.keys.of(before, numbers)
-                    order = np.lexsort((key, shard))
-                    new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (shard[order][1:] != shard[order][:-1])])
-                    first_of, of = order[new], np.empty(len(order), np.int64)
-                    of[order] = np.cumsum(new) - 1
-                    contexts, where = np.unique(before[first_of], return_inverse=True)
-                    total, gamma = m.context(contexts)
-                    count = m.pair(shard[first_of], key[first_of])
-                    low = m.low(names)[back[first_of]]
-                    p = np.maximum(count - _discounted(count, model.discounts), 0) / total[where] + gamma[where] * low
+                    pairs, of = np.unique(_pairs(back, begin), return_inverse=True)
+                    before, word = pairs >> 32, pairs & 0xFFFFFFFF
+                    total, gamma = m.context(numbers)
+                    count = m.pair(*model.keys.of(numbers[before], numbers[word]))
+                    p = np.maximum(count - _discounted(count, model.discounts), 0) / total[before] + gamma[before] * m.low(numbers)[word]
                     full = np.add.reduceat(np.log10(p)[of], begin[:-1])
                     columns = (size, np.add.reduceat((seen > 0)[back].astype(np.int64), begin[:-1]), np.add.reduceat(base, begin[:-1]), full, 10 ** (-full / size))
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
