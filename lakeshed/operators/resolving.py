@@ -164,6 +164,34 @@ def arbitrated(old: Column, new: Column, voted: Column, votes: Column, least: in
     )
 
 
+def settled_conflicts(df: DataFrame, name: str, voted: DataFrame) -> DataFrame:
+    """(name, term, ingredients, why) for names with several labels (term, ingredients) over two months.
+
+    ``df`` has name, newer (whether the row is of the later month; null rows are
+    left out), term, ingredients (an array); ``voted`` has name and term, what the name's neighbours
+    say (the smallest, if several).  A month's label is the one of most rows, ties
+    go to the smallest.  With both months: the one whose term the neighbours back;
+    if both have that term, the longer list, the older month's where they are as
+    long; else the later month's.  With one month: the most frequent of its labels
+    that the neighbours back, else the most frequent.  Terms are compared without
+    case and outer blanks.
+    """
+    plain = lambda x: F.lower(F.trim(x))
+    label = F.struct(c("term"), F.coalesce("ingredients", F.array().cast("array<string>")).alias("ingredients"))
+    counts = df.filter("newer is not null").groupBy(name, "newer", label.alias("label")).agg(F.count("*").alias("n"))
+    said = voted.groupBy(name).agg(F.min(plain(c("term"))).alias("_voted"))
+    counts = counts.join(said, name, "left").withColumn("backed", F.coalesce(plain(c("label.term")) == c("_voted"), F.lit(False)))
+    best = lambda which: F.min_by("label", F.when(which, F.struct(-c("n"), c("label"))))
+    by_name = counts.groupBy(name).agg(F.countDistinct("label").alias("labels"), best(~c("newer")).alias("old"), best(c("newer")).alias("new"), best(c("backed")).alias("backed"), best(F.lit(True)).alias("most"), F.min("_voted").alias("_voted"))
+    backs = lambda x: F.coalesce(plain(c(f"{x}.term")) == c("_voted"), F.lit(False))
+    longer = F.when(F.size("old.ingredients") >= F.size("new.ingredients"), c("old")).otherwise(c("new"))
+    result = lambda x, why: F.struct(x.alias("label"), F.lit(why).alias("why"))
+    one = F.when(c("backed").isNotNull(), result(c("backed"), "one month, backed")).otherwise(result(c("most"), "one month, most rows"))
+    both = F.when(backs("old") & backs("new"), result(longer, "same term, longer list")).when(backs("old"), result(c("old"), "neighbours back the old")).when(backs("new"), result(c("new"), "neighbours back the new")).otherwise(result(c("new"), "neighbours back neither"))
+    out = by_name.filter("labels > 1").withColumn("_x", F.when(c("old").isNull() | c("new").isNull(), one).otherwise(both))
+    return out.select(name, "_x.label.term", "_x.label.ingredients", "_x.why")
+
+
 def resolved_areas(df: DataFrame, identity: str, vocabulary: DataFrame, answers: DataFrame, direct: DataFrame, named: DataFrame, cleaned: DataFrame, rejected: DataFrame) -> DataFrame:
     """(identity, area, method): the area of each row (identity, source, raw, city) by eight methods in their order.
 

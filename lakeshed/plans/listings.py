@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshed.operators import gates, nearby, tiers
+from lakeshed.operators import gates, nearby, resolving, tiers
 from lakeshed.plans.base import METRES_SQL, Plans, places, places_sql, table
 from lakeshed.sources import html
 
@@ -111,3 +111,26 @@ def load_gates(spark: SparkSession, sf: str) -> DataFrame:
     june = lambda df, name, more: df.filter("run = 'June'").agg((F.count("*") + more).alias(name))
     stated = june(items, "items", 0).crossJoin(june(deltas, "deltas", 1))  # one row each
     return gates.load_gates(items, deltas, "run", F.lit("June"), "branch", (["item_key"], ["base"]), "kind", ["A", "R"], emptied, stated)
+
+
+@plans.query("""
+WITH x AS (SELECT p_brand || '-' || p_size % 12 AS name, CASE p_size % 5 WHEN 0 THEN true WHEN 1 THEN false ELSE p_partkey % 2 = 0 END AS newer, CASE WHEN p_partkey % 3 = 0 THEN lower(p_type) ELSE p_type END AS term, string_split(p_name, ' ')[1:1 + (p_partkey % 2)::INT] AS list FROM part),
+v AS (SELECT name, min(term) AS v FROM (SELECT p_brand || '-' || p_size % 12 AS name, ['small', 'large', 'economy', 'promo'][p_size % 4 + 1] AS term FROM part WHERE p_partkey % 2 = 0) GROUP BY 1),
+k AS (SELECT name, newer, term, list, count(*) AS n, any_value(v) AS v, coalesce(lower(term) = any_value(v), false) AS backed FROM x LEFT JOIN v USING (name) GROUP BY 1, 2, 3, 4),
+o AS (SELECT * FROM k WHERE NOT newer QUALIFY row_number() OVER (PARTITION BY name ORDER BY n DESC, term, list) = 1), w AS (SELECT * FROM k WHERE newer QUALIFY row_number() OVER (PARTITION BY name ORDER BY n DESC, term, list) = 1),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY name ORDER BY backed DESC, n DESC, term, list) = 1),
+c AS (SELECT name FROM k GROUP BY 1 HAVING count(DISTINCT term || '|' || array_to_string(list, ' ')) > 1),
+j AS (SELECT name, o.term AS ot, o.list AS ol, o.backed AS ob, w.term AS wt, w.list AS wl, w.backed AS wb, b.term AS bt, b.list AS bl, b.backed AS bb FROM c LEFT JOIN o USING (name) LEFT JOIN w USING (name) LEFT JOIN b USING (name)),
+y AS (SELECT *, CASE WHEN ot IS NULL OR wt IS NULL THEN CASE WHEN bb THEN 'one month, backed' ELSE 'one month, most rows' END WHEN ob AND wb THEN 'same term, longer list' WHEN ob THEN 'neighbours back the old' WHEN wb THEN 'neighbours back the new' ELSE 'neighbours back neither' END AS why FROM j),
+z AS (SELECT *, CASE WHEN why LIKE 'one%' THEN 'b' WHEN why = 'neighbours back the old' OR why LIKE 'same%' AND len(ol) >= len(wl) THEN 'o' ELSE 'w' END AS side FROM y)
+SELECT name, CASE side WHEN 'b' THEN bt WHEN 'o' THEN ot ELSE wt END AS term, array_to_string(CASE side WHEN 'b' THEN bl WHEN 'o' THEN ol ELSE wl END, ' ') AS ingredients, why FROM z""")
+def conflicts_settled(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels of names (brand and size) over two months, arbitrated by a stated vote."""
+    part, k, size = table(spark, sf, "part"), c("p_partkey"), c("p_size")
+    name = F.concat("p_brand", F.lit("-"), (size % 12).cast("string")).alias("name")
+    newer = F.when(size % 5 == 0, True).when(size % 5 == 1, False).otherwise(k % 2 == 0)
+    rows = part.select(name, newer.alias("newer"), F.when(k % 3 == 0, F.lower("p_type")).otherwise(c("p_type")).alias("term"), F.slice(F.split("p_name", " "), 1, (1 + k % 2).cast("int")).alias("ingredients"))
+    terms = F.array(*map(F.lit, ("small", "large", "economy", "promo")))
+    voted = part.filter(k % 2 == 0).select(name, F.element_at(terms, (size % 4 + 1).cast("int")).alias("term"))
+    out = resolving.settled_conflicts(rows, "name", voted)
+    return out.select("name", "term", F.array_join("ingredients", " ").alias("ingredients"), "why")

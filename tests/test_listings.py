@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeshed.operators import gates, nearby, tiers
+from lakeshed.operators import gates, nearby, resolving, tiers
 from lakeshed.sources import html
 
 
@@ -80,3 +80,20 @@ def test_load_gates(spark):
     }
     empty = run(items.limit(0), deltas.limit(0), emptied.limit(0))
     assert empty["items as stated"] == (0, 3, False) and empty["branches of several runs"] == (0, 0, True) and empty["emptied branches get rows"] == (0, 0, True)
+
+
+def test_conflicts(spark):
+    rows = []
+    add = lambda name, newer, term, *goods, n=1: rows.extend([(name, newer, term, list(goods) or None)] * n)
+    for name in ("old", "new", "neither", "unvoted"):
+        add(name, False, "Soup", "x", n=2), add(name, False, "Other"), add(name, True, "Tea", "y")
+    add("longer", True, "soup", "x"), add("longer", False, "Soup ", "x", "y")
+    add("as long", True, "Soup", "b"), add("as long", False, "Soup", "a")
+    add("one", True, "Soup", n=3), add("one", True, "Tea", "x"), add("most", True, "Soup", n=3), add("most", True, "Tea", "x")
+    add("agreed", True, "Tea"), add("agreed", False, "Tea"), add("gone", None, "Tea"), add("gone", None, "Soup")
+    votes = [("old", " SOUP"), ("new", "tea"), ("neither", "Cake"), ("longer", "soup"), ("as long", "soup"), ("one", "tea"), ("most", None), ("agreed", "x")]
+    out = resolving.settled_conflicts(spark.createDataFrame(rows, "name string, newer boolean, term string, ingredients array<string>"), "name", spark.createDataFrame(votes, "name string, term string"))
+    assert {r["name"]: (r["term"], r["ingredients"], r["why"]) for r in out.collect()} == {
+        "old": ("Soup", ["x"], "neighbours back the old"), "new": ("Tea", ["y"], "neighbours back the new"), "neither": ("Tea", ["y"], "neighbours back neither"), "unvoted": ("Tea", ["y"], "neighbours back neither"),
+        "longer": ("Soup ", ["x", "y"], "same term, longer list"), "as long": ("Soup", ["a"], "same term, longer list"), "one": ("Tea", ["x"], "one month, backed"), "most": ("Soup", [], "one month, most rows"),
+    }
