@@ -50,14 +50,14 @@ def page_stores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @plans.query(f"""
-WITH RECURSIVE u AS (SELECT c_custkey, c_acctbal, {places_sql('c_custkey', 13)} FROM customer), e AS (SELECT a.c_custkey AS u, b.c_custkey AS v FROM u a, u b WHERE a.c_custkey <> b.c_custkey AND {METRES_SQL.format(a='a', b='b')} <= 300),
+WITH RECURSIVE u AS (SELECT c_custkey, c_acctbal, {places_sql('c_custkey', 13)} FROM customer), e AS (SELECT a.c_custkey AS u, b.c_custkey AS v FROM u a, u b WHERE a.c_custkey <> b.c_custkey AND {METRES_SQL.format(a='a', b='b')} <= 500),
 r AS (SELECT c_custkey AS u, c_custkey AS v FROM u UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u), k AS (SELECT u AS c_custkey, min(v) AS component FROM r GROUP BY 1),
 b AS (SELECT component, c_custkey AS survivor FROM k JOIN u USING (c_custkey) QUALIFY row_number() OVER (PARTITION BY component ORDER BY c_acctbal > 0 DESC, c_custkey DESC) = 1)
 SELECT c_custkey, component, survivor, c_custkey = survivor AS kept FROM k JOIN b USING (component)""")
 def venue_survivors(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers within 300 m of each other, directly or by others, are one venue: those in credit stay first, then the newest."""
+    """Customers within 500 m of each other, directly or by others, are one venue: those in credit stay first, then the newest."""
     people = places(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "c_custkey", 13)
-    edges = nearby.close_pairs(people.withColumn("every", F.lit(1)), "c_custkey", 300.0, ["every"]).select("a", "b")
+    edges = nearby.close_pairs(people.withColumn("every", F.lit(1)), "c_custkey", 500.0, ["every"]).select("a", "b")
     clusters = nearby.connected(edges, people, "c_custkey").join(people.select("c_custkey", "c_acctbal"), "c_custkey")
     return nearby.with_survivors(clusters, "c_custkey", "component", c("c_acctbal") > 0).select("c_custkey", "component", "survivor", "kept")
 
