@@ -96,9 +96,9 @@ def problem_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @plans.query("""SELECT o_orderkey, c_custkey, first FROM orders JOIN customer ON o_custkey = c_custkey AND o_orderpriority[1] = (c_custkey % 5 + 1)::VARCHAR LEFT JOIN (SELECT l_orderkey, l_partkey AS first FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) = 1) ON l_orderkey = o_orderkey""")
 def matched_by_two_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders that agree with a customer in two keys, with their first line's part."""
+    """Orders that agree with a customer in two keys, with their first line's part: of lines of one number the first in the file."""
     orders = table(spark, sf, "orders").select("o_orderkey", c("o_custkey").alias("c_custkey"), F.substring("o_orderpriority", 1, 1).alias("digit"))
     side = table(spark, sf, "customer").select("c_custkey", (c("c_custkey") % 5 + 1).cast("string").alias("digit"))
-    lines = table(spark, sf, "lineitem").select(c("l_orderkey").alias("o_orderkey"), c("l_partkey").alias("first"), "l_linenumber")
+    lines = table(spark, sf, "lineitem").select(c("l_orderkey").alias("o_orderkey"), c("l_partkey").alias("first"), "l_linenumber", c("_metadata.file_path").alias("_file"), c("_metadata.row_index").alias("_row"))
     matched, _ = choosing.split_by_match(orders, side, ["c_custkey", "digit"])
-    return choosing.first_wins(matched, lines, ["o_orderkey"], [F.asc("l_linenumber")]).select("o_orderkey", "c_custkey", "first")
+    return choosing.first_wins(matched, lines, ["o_orderkey"], [F.asc("l_linenumber"), F.asc("_file"), F.asc("_row")]).select("o_orderkey", "c_custkey", "first")
