@@ -57,8 +57,7 @@ SELECT c_custkey, component, survivor, c_custkey = survivor AS kept FROM k JOIN
 def venue_survivors(spark: SparkSession, sf: str) -> DataFrame:
     """Customers within 500 m of each other, directly or by others, are one venue: those in credit stay first, then the newest."""
     people = places(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "c_custkey", 13)
-    edges = nearby.close_pairs(people.withColumn("every", F.lit(1)), "c_custkey", 500.0, ["every"]).select("a", "b")
-    clusters = nearby.connected(edges, people, "c_custkey").join(people.select("c_custkey", "c_acctbal"), "c_custkey")
+    clusters = nearby.clustered(people, "c_custkey", 500.0).join(people.select("c_custkey", "c_acctbal"), "c_custkey")
     return nearby.with_survivors(clusters, "c_custkey", "component", c("c_acctbal") > 0).select("c_custkey", "component", "survivor", "kept")
 
 
