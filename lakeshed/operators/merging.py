@@ -182,13 +182,13 @@ def patched(df: DataFrame, patches: DataFrame, keys: list[str], column: str) ->
 
 def narrowed(df: DataFrame, known: DataFrame, fields: list[str], value: str, identity: str) -> DataFrame:
     """The value of the known row that agrees in every field (null with null); ambiguous and unmatched are told apart."""
-    k = known.select(*[F.col(f).alias(f"_k_{f}") for f in fields], F.col(value).alias("_value"))
+    k = known.groupBy(*[F.col(f).alias(f"_k_{f}") for f in fields]).agg(F.count(value).alias("_held"), F.min(value).alias("_value"))  # a row a group, not its pairs
     same = reduce(lambda x, y: x & y, [F.col(f).eqNullSafe(F.col(f"_k_{f}")) for f in fields])
-    rows = df.join(k, same, "left").withColumn("_n", F.count("_value").over(Window.partitionBy(identity)))
+    rows = df.join(k, same, "left").withColumn("_n", F.coalesce(F.sum("_held").over(Window.partitionBy(identity)), F.lit(0)))
     verdict = F.when(F.col("_n") == 0, "unmatched").when(F.col("_n") > 1, "ambiguous").otherwise("matched")
     rows = rows.withColumns({"verdict": verdict, value: F.when(F.col("_n") == 1, F.col("_value"))})
     rows = first_rows(rows, [identity], [F.asc_nulls_last("_value")])
-    return rows.drop("_n", "_value", *[f"_k_{f}" for f in fields])
+    return rows.drop("_n", "_held", "_value", *[f"_k_{f}" for f in fields])
 
 
 def patched_in_turn(df: DataFrame, patches: list[tuple[str, DataFrame, str, bool]], keys: list[str]) -> tuple[DataFrame, DataFrame]:

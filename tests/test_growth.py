@@ -46,3 +46,42 @@ def test_components_of_a_long_chain(spark):
     found = nearby.connected(edges, spark.createDataFrame([(k,) for k in names], "id long"), "id").collect()
     assert {r["component"] for r in found} == {min(names)}
     assert len(found) == 400
+
+
+def test_joins_in_even_tasks(spark):
+    """A hot cell is cut into parts of both sides; no pair is lost or given twice."""
+    a = spark.createDataFrame([(k % 7 % 3, k) for k in range(200)], "g int, x int")
+    b = spark.createDataFrame([(k % 5 % 4, k) for k in range(150)], "g int, y int")
+    want = sorted((r["x"], r["y"]) for r in a.join(b, "g").collect())
+    for pairs in (1, 50, 1000, 10**9):
+        assert sorted((r["x"], r["y"]) for r in nearby.met(a, b, ["g"], pairs).select("x", "y").collect()) == want
+
+
+def test_nearest_of_crowds(spark):
+    """Thousands of places around one another: the k nearest of a group, without all pairs within the radius."""
+    r = random.Random(6)
+    spots = [(k, k % 2, 25.0 + r.random() ** 3 * 0.05, 55.0 + r.random() ** 3 * 0.05) for k in range(1500)]
+    left = spark.createDataFrame(spots[:300], "l long, g int, lat double, lon double")
+    right = spark.createDataFrame(spots + [(5000 + k, *spots[0][1:]) for k in range(20)], "r long, g int, lat double, lon double")
+    plain = nearby.first_rows(nearby.within(left, right, "l", "r", 4000.0, ["g"]), ["l"], [nearby.F.asc("distance"), nearby.F.asc("r")], 3)
+    got = nearby.nearest_within(left, right, "l", "r", 4000.0, 3, ["g"])
+    rows = lambda df: sorted((x["l"], x["r"], round(x["distance"], 6)) for x in df.collect())
+    assert rows(got) == rows(plain)
+
+
+def test_narrowed_without_pairs(spark):
+    """Groups of a thousand rows on either side: one row each is joined."""
+    from lakeshed.operators.merging import narrowed
+
+    known = spark.range(3000).selectExpr("id % 2 as g", "id as v").unionByName(spark.createDataFrame([(5, 9), (None, 4)], "g long, v long"))
+    asked = spark.range(2000).selectExpr("id", "nullif(id % 4, 3) as g").unionByName(spark.createDataFrame([(7001, 5)], "id long, g long"))
+    out = {x["id"]: (x["verdict"], x["v"]) for x in narrowed(asked, known, ["g"], "v", "id").collect()}
+    assert (out[0], out[2], out[3], out[7001], len(out)) == (("ambiguous", None), ("unmatched", None), ("matched", 4), ("matched", 9), 2001)
+
+
+def test_items_once_with_nulls(spark):
+    from lakeshed.operators.resolving import nested_once
+
+    df = spark.sql("SELECT 1 AS k, array(named_struct('n', 3, 'a', 'x', 'b', 1), named_struct('n', 2, 'a', null, 'b', 1), named_struct('n', 1, 'a', 'x', 'b', 1), named_struct('n', 9, 'a', null, 'b', 1)) AS items UNION ALL SELECT 2, null")
+    assert {x["k"]: [y["n"] for y in x["items"]] for x in nested_once(df, "k", "items", ["a", "b"]).collect()} == {1: [3, 2], 2: []}
+    assert "Exchange" not in nested_once(df, "k", "items", ["a"])._jdf.queryExecution().executedPlan().toString()
