@@ -21,11 +21,13 @@ c = F.col
 
 
 def nested_once(df: DataFrame, key: str, items: str, fields: list[str]) -> DataFrame:
-    """Keeps an array's first item for each combination of fields, in the order there was."""
-    rows = df.select(key, F.posexplode(items).alias("_at", "_item"))
-    kept = first_rows(rows, [key, *[f"_item.{f}" for f in fields]], [F.asc("_at")])
-    nested = kept.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_item"))), lambda x: x["_item"]).alias("_items"))
-    return df.drop(items).join(nested, key, "left").withColumn(items, F.coalesce("_items", F.array().cast(df.schema[items].dataType))).drop("_items")
+    """Keeps an array's first item for each combination of fields, in the order there was; each row by itself, without a shuffle."""
+    held = F.transform(items, lambda x, k: F.struct(F.struct(*[x[f].alias(f) for f in fields]).alias("of"), k.alias("at")))
+    rows = df.withColumn("_s", F.array_sort(held)).withColumnRenamed(items, "_items")
+    firsts = F.filter("_s", lambda x, k: (k == 0) | ~x["of"].eqNullSafe(F.get("_s", k - 1)["of"]))
+    places = F.array_sort(F.transform(firsts, lambda x: x["at"]))
+    kept = F.transform(places, lambda k: F.get("_items", k))
+    return rows.withColumn(items, F.coalesce(kept, F.array().cast(df.schema[items].dataType))).drop("_items", "_s")
 
 
 def refreshed(base: DataFrame, new: DataFrame, key: str, menu: str) -> DataFrame:
