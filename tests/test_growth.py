@@ -85,3 +85,14 @@ def test_items_once_with_nulls(spark):
     df = spark.sql("SELECT 1 AS k, array(named_struct('n', 3, 'a', 'x', 'b', 1), named_struct('n', 2, 'a', null, 'b', 1), named_struct('n', 1, 'a', 'x', 'b', 1), named_struct('n', 9, 'a', null, 'b', 1)) AS items UNION ALL SELECT 2, null")
     assert {x["k"]: [y["n"] for y in x["items"]] for x in nested_once(df, "k", "items", ["a", "b"]).collect()} == {1: [3, 2], 2: []}
     assert "Exchange" not in nested_once(df, "k", "items", ["a"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_close_texts_are_not_broadcast(spark):
+    """Segments of texts are joined by a shuffle, whatever Spark expects of their size."""
+    from lakeshed.operators.similarity import near_texts
+
+    a, b = spark.createDataFrame([("large ring",)], "a string"), spark.createDataFrame([("large rings",)], "b string")
+    out = near_texts(a, b, 88.0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert [tuple(r) for r in out.collect()] == [("large ring", "large rings")]
