@@ -1,20 +1,21 @@
 """Dictionaries against texts: terms of several words in one pass, terms recovered from other forms, patterns by what they must hold.
 
-All joins here are on words, runs of words or three characters; none compares
+All joins here are on words, runs of words or of characters; none compares
 every text with every entry.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 from lakeshed.operators.storing import stored
 
@@ -149,10 +150,29 @@ def _anchors(pattern: pd.Series) -> pd.Series:
     return pattern.map(anchor_of)
 
 
-@pandas_udf(ArrayType(StringType()))
-def _threes(text: pd.Series) -> pd.Series:
-    """Distinct runs of three characters."""
-    return text.map(lambda t: sorted({t[k : k + 3] for k in range(len(t) - 2)}) if t else [])
+#: Characters of the runs that patterns are listed under: the longest that an anchor has, so that it holds half of it or more.
+RUNS = (3, 6, 12, 24)
+
+
+def _hashed_runs(text: str | None, sizes: Sequence[int]) -> np.ndarray:
+    """Hashes of a text's distinct runs of so many characters."""
+    codes = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    found, run = [], np.zeros(len(codes) + 1, np.uint64)
+    for n in range(1, min(max(sizes, default=0), len(codes)) + 1):
+        run = run[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :]
+        if n in sizes:
+            found.append((run ^ (run >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(n))
+    return np.unique(np.concatenate(found)).view(np.int64) if found else np.zeros(0, np.int64)
+
+
+def _runs(text: Column, sizes: Sequence[int]) -> Column:
+    return pandas_udf(lambda x: x.map(lambda t: _hashed_runs(t, sizes)), ArrayType(LongType()))(text)
+
+
+@pandas_udf(ArrayType(LongType()))
+def _own_runs(anchor: pd.Series, size: pd.Series) -> pd.Series:
+    """An anchor's runs of its own size."""
+    return pd.Series([_hashed_runs(a, [n]) for a, n in zip(anchor, size, strict=True)], dtype=object)
 
 
 #: Patterns without an anchor, which meet every text.
@@ -162,22 +182,25 @@ MOST_LOOSE = 100
 def pattern_hits(df: DataFrame, identity: str, text: str, patterns: DataFrame, pattern: str, most_loose: int = MOST_LOOSE) -> DataFrame:
     """The rows of ``patterns`` that match each text, with its identity; a pattern's match is Java's, anywhere in the text.
 
-    A pattern is listed under the rarest three characters of its anchor (the longest text that
-    it must hold), texts under all of theirs; the anchor, then the pattern itself, are
-    tried on those that meet.  Patterns without an anchor are counted: up to
-    ``most_loose`` are tried on every text, more are refused.
+    A pattern is listed under the rarest run of its anchor (the longest text that it must
+    hold), texts under all of theirs of the lengths (``RUNS``) that anchors take: with runs of
+    three characters alone, the pairs that meet would grow with texts times patterns.  The
+    anchor, then the pattern itself, are tried on those that meet.  Patterns without an anchor are
+    counted: up to ``most_loose`` are tried on every text, more are refused.
     """
     rows = df.filter(F.col(text).isNotNull()).select(F.col(identity).alias("_id"), F.col(text).alias("_text"), F.lower(text).alias("_low"))
-    known = stored(patterns.filter(F.col(pattern).isNotNull()).withColumn("_number", F.monotonically_increasing_id()).withColumn("_anchor", _anchors(pattern)), "patterns")
-    loose = known.filter("_anchor is null")
+    size = F.array_max(F.filter(F.array(*map(F.lit, RUNS)), lambda n: n <= F.length("_anchor")))
+    known = stored(patterns.filter(F.col(pattern).isNotNull()).withColumn("_number", F.monotonically_increasing_id()).withColumn("_anchor", _anchors(pattern)).withColumn("_size", size), "patterns")
+    loose = known.filter("_anchor is null").drop("_size")
     if loose.count() > most_loose:
         raise ValueError(f"more than {most_loose} patterns that hold no text of three characters")
-    parts = rows.select("_id", F.explode(_threes("_low")).alias("_three"))
-    held = parts.groupBy("_three").agg(F.count("*").alias("_df"))
-    own = known.filter("_anchor is not null").select("_number", F.explode(_threes("_anchor")).alias("_three")).join(held, "_three", "left")
-    rarest = own.groupBy("_number").agg(F.min_by("_three", F.struct(F.coalesce("_df", F.lit(0)), "_three")).alias("_three"), F.min(F.coalesce("_df", F.lit(0))).alias("_df")).filter("_df > 0")
-    meet = parts.join(rarest.select("_number", "_three"), "_three").select("_id", "_number")
-    tried = meet.join(known, "_number").join(rows, "_id")
+    sizes = sorted(r["_size"] for r in known.filter("_anchor is not null").select("_size").distinct().collect())  # at most as many as RUNS
+    parts = rows.select("_id", F.explode(_runs(F.col("_low"), sizes)).alias("_run"))
+    held = parts.groupBy("_run").agg(F.count("*").alias("_df"))
+    own = known.filter("_anchor is not null").select("_number", F.explode(_own_runs("_anchor", "_size")).alias("_run")).join(held, "_run", "left")
+    rarest = own.groupBy("_number").agg(F.min_by("_run", F.struct(F.coalesce("_df", F.lit(0)), "_run")).alias("_run"), F.min(F.coalesce("_df", F.lit(0))).alias("_df")).filter("_df > 0")
+    meet = parts.join(rarest.select("_number", "_run"), "_run").select("_id", "_number")
+    tried = meet.join(known.drop("_size"), "_number").join(rows, "_id")
     hits = tried.filter(F.contains("_low", "_anchor") & F.expr(f"_text rlike `{pattern}`"))
     out = hits.select(F.col("_id").alias(identity), *patterns.columns)
     if loose.isEmpty():

@@ -71,3 +71,36 @@ def test_fifty_thousand_patterns(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     with pytest.raises(ValueError):
         phrases.pattern_hits(df, "id", "text", table.withColumn("pattern", F.lit("a.")), "pattern")
+
+
+def joined_rows(plan):
+    """Rows that each join of an executed plan gave."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        yield from joined_rows(plan.executedPlan())
+    elif plan.nodeName().endswith("QueryStage"):
+        yield from joined_rows(plan.plan())
+    elif "Join" in plan.nodeName():
+        yield plan.metrics().apply("numOutputRows").value()
+    for k in range(plan.children().size()):
+        yield from joined_rows(plan.children().apply(k))
+
+
+def test_patterns_of_long_numbers_meet_few_texts(spark):
+    """Numbers share their runs of three digits; what meets must follow texts and patterns, not their product."""
+    n = 20_000
+    number = "cast(100000 + id * 7919 % 900000 as string)"
+    rows = spark.range(n).selectExpr("id", f"concat('https://x.org/en/', {number}, '?page=2') as url")
+    rules = spark.range(n).selectExpr("id as rule", f"concat('/en/', {number}, '(\\\\D|$)') as pattern")
+    out = phrases.pattern_hits(rows, "id", "url", rules, "pattern")
+    assert {(r["id"], r["rule"]) for r in out.collect()} == {(k, k) for k in range(n)}
+    assert max(joined_rows(out._jdf.queryExecution().executedPlan())) < 8 * n
+
+
+def test_anchors_of_every_length(spark):
+    """Anchors between and beyond the lengths of runs, with other letters around them, find what a scan finds."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abé", k=rng.randrange(3, 40))) for _ in range(80)] + ["ab" * 20, "abc", "😀abc", ""]
+    rules = [(k, re.sub("[^a-c]", ".", w[: rng.randrange(3, 40)])) for k, w in enumerate(words) if len(w) > 2 and re.search("[abc]{3}", w[:3])]
+    df, table = spark.createDataFrame(list(enumerate([*words, None])), "id int, text string"), spark.createDataFrame(rules, "rule int, pattern string")
+    got = {(r["id"], r["rule"]) for r in phrases.pattern_hits(df, "id", "text", table, "pattern").collect()}
+    assert got == {(i, k) for i, t in enumerate(words) for k, p in rules if re.search(p, t)} and len(got) > 20
