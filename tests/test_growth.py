@@ -96,3 +96,19 @@ def test_close_texts_are_not_broadcast(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert [tuple(r) for r in out.collect()] == [("large ring", "large rings")]
+
+
+def test_spread_sorts_no_places(spark):
+    """Sums by group are hashed: one that holds rows would sort all places of a task; the farthest pair is that of all pairs."""
+    from lakeshed.functions.values import metres
+
+    r = random.Random(12)
+    rows = [(k, k % 3, 25.0 + r.random(), 55.0 + r.random()) for k in range(600)] + [(900, 7, 25.0, 55.0), (901, 7, 25.0, 55.0), (902, 8, None, 55.0)]
+    rows += [(1000 + k, 9, 25.0 + k // 40 * 0.01, 55.0 + k % 40 * 0.01) for k in range(1600)]  # a grid: many share an end
+    df = spark.createDataFrame(rows, "id long, g long, lat double, lon double")
+    c = nearby.F.col
+    pairs = df.alias("a").join(df.alias("b"), "g").groupBy("g").agg(nearby.F.max(metres(c("a.lat"), c("a.lon"), c("b.lat"), c("b.lon"))).alias("far")).filter("far is not null")
+    assert dict(map(tuple, nearby.exact_spread(df, "g", "id").collect())) == dict(map(tuple, pairs.collect()))
+    bound = nearby.spread(df, "g", "id")
+    assert "SortAggregate" not in bound._jdf.queryExecution().executedPlan().toString()
+    assert {x["g"] for x in bound.collect()} == {0, 1, 2, 7, 9}
