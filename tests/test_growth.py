@@ -112,3 +112,14 @@ def test_spread_sorts_no_places(spark):
     bound = nearby.spread(df, "g", "id")
     assert "SortAggregate" not in bound._jdf.queryExecution().executedPlan().toString()
     assert {x["g"] for x in bound.collect()} == {0, 1, 2, 7, 9}
+
+
+def test_planar_nearest_in_even_tasks(spark):
+    """More spots make more tasks, not larger ones, and the same neighbours."""
+    r = random.Random(3)
+    places = [(k, 25.0 + r.random() ** 2 * 0.1, 55.0 + r.random() * 0.1, k % 4) for k in range(900)]
+    df = spark.createDataFrame(places, "id long, lat double, lon double, kind long")
+    few, whole = (nearby.planar_nearest(df, df.withColumnRenamed("id", "known"), "known", ["kind"], 3, 5.0, pairs=n) for n in (2000, 10**9))
+    rows = lambda x: sorted(map(tuple, x.collect()))
+    assert rows(few) == rows(whole) and whole.count() == 2700
+    assert "REPARTITION_BY_NUM" in few._jdf.queryExecution().executedPlan().toString()
