@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from difflib import SequenceMatcher
 
 import pytest
@@ -67,6 +68,32 @@ def test_nulls_pass(spark):
         assert row.select(make(F.col("x"))).first()[0] is None
 
 
+def plainly_finished(x):
+    """``finished`` by Python's own expressions."""
+    if x is None:
+        return None
+    out = re.sub("[\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff\u00ad\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]", "", x)
+    out = " ".join(out.translate(str.maketrans(t.ARABIC_MARKS, t.PLAIN_MARKS)).split())
+    out = re.sub(r"\( ?\)|\[ ?\]", "", out).strip(" ,;|/-")
+    return re.sub(" +", " ", out) or x
+
+
+def test_finished_as_plainly(spark):
+    """Random texts of marks, brackets, white space, hidden characters and pictures; nulls, empty texts and long runs of separators."""
+    r = random.Random(19)
+    marks = [*"ab é()()[]  ,;|/-،؛؟٪ \n\t\r", "\x00", "\x0b", "\x1f", "\x7f", "\x85", "\xa0", "\xad", "\u1680", "\u2009", "\u200b", "\u2028", "\u2029", "\u202e", "\u2063", "\u3000", "\ufeff", "\U0001f375", "\U0002005c"]
+    texts = ["".join(r.choices(marks, k=r.randint(0, 12))) for _ in range(20_000)]
+    texts += [None, "", " ", "()", "-", "(())", "(( ))", "a () b", "a -", "x" + "-" * 300_000 + "y", "- " * 150_000 + "y" + " ()" * 100_000]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, x string").select("k", t.finished(F.col("x")).alias("y"))
+    assert dict(map(tuple, rows.collect())) == {k: plainly_finished(x) for k, x in enumerate(texts)}
+
+
+def test_finished_steps_once(spark):
+    """No step of the cleaning stands in the plan more than once, after a Python function too, where the optimizer shares nothing."""
+    plan = spark.range(1).select(t.finished(t.unmangled(t.composed(F.col("id").cast("string")))).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\x{FEFF}") == 1
+
+
 def test_numbers(spark):
     assert value(spark, v.percent_change(F.lit(20.0), F.lit(25.0))) == 25.0
     assert value(spark, v.percent_change(F.lit(0.0), F.lit(5.0))) is None
