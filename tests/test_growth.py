@@ -123,3 +123,14 @@ def test_planar_nearest_in_even_tasks(spark):
     rows = lambda x: sorted(map(tuple, x.collect()))
     assert rows(few) == rows(whole) and whole.count() == 2700
     assert "REPARTITION_BY_NUM" in few._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nearest_sends_no_side_whole(spark, monkeypatch, tmp_path):
+    """No join of places is by broadcast, however few bytes stored places take up: neither in the steps that are stored nor in the last."""
+    plans, kept = [], nearby.stored
+    shown = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr(nearby, "stored", lambda df, *x: kept(shown(df), *x))
+    for name in ("nearest_of_brand",):
+        shown(registry.queries()[name](spark, "/root/testdata/sf0.001"))
+    shown(nearby.met(spark.range(30), spark.range(30), ["id"], 10))  # in tasks of ten pairs
+    assert len(plans) >= 5 and "SortMergeJoin" in plans[-1] and not [x for x in plans if "BroadcastHashJoin" in x]
