@@ -130,7 +130,7 @@ def test_nearest_sends_no_side_whole(spark, monkeypatch, tmp_path):
     plans, kept = [], nearby.stored
     shown = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
     monkeypatch.setattr(nearby, "stored", lambda df, *x: kept(shown(df), *x))
-    for name in ("nearest_of_brand",):
+    for name in ("nearest_of_brand", "listing_distances"):
         shown(registry.queries()[name](spark, "/root/testdata/sf0.001"))
     shown(nearby.met(spark.range(30), spark.range(30), ["id"], 10))  # in tasks of ten pairs
-    assert len(plans) >= 5 and "SortMergeJoin" in plans[-1] and not [x for x in plans if "BroadcastHashJoin" in x]
+    assert len(plans) >= 8 and "SortMergeJoin" in plans[-1] and not [x for x in plans if "BroadcastHashJoin" in x]
